@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.ngram_join import JaccardJoin
 from tickloom.llm.runtime import table
+from tickloom.llm.substring_dedup import remove_repeats
 
 
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,8 +17,12 @@ def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"), with_text=False).drop("kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_join": op2_ngram_join}
+    return {"op2_ngram_join": op2_ngram_join, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
