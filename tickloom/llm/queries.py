@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.decontaminate import PositionalIndex
 from tickloom.llm.ngram_join import JaccardJoin
 from tickloom.llm.runtime import table
 from tickloom.llm.substring_dedup import remove_repeats
@@ -17,12 +18,17 @@ def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    judged = PositionalIndex(table(spark, folder, "documents"), table(spark, folder, "benchmark")).judged()
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"), with_text=False).drop("kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_join": op2_ngram_join, "op10_substring_dedup": op10_substring_dedup}
+    return {"op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
