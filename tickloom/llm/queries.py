@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.decontaminate import PositionalIndex
 from tickloom.llm.ngram_join import JaccardJoin
+from tickloom.llm.packing import pack
 from tickloom.llm.runtime import table
 from tickloom.llm.substring_dedup import remove_repeats
 
@@ -23,12 +24,16 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return judged.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"), with_text=False).drop("kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op10_substring_dedup": op10_substring_dedup}
+    return {"op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
