@@ -165,12 +165,13 @@ _WINDOWS = "gram long, more int, times int, key long, place int, length int"
 
 def _suspects(width: int, cells: int, sketch):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = zlib.decompress(sketch.value)
         for batch in chunks(batches):
             words = split_words(batch.column("text"), RAW)
             hashes = words.hashes()
             starts, owner = _starts(words, width)
             anchor, use = anchors(hashes, starts, width)
-            keep = _estimate(sketch.value, anchor, cells)[use] if len(starts) else np.empty(0, bool)
+            keep = _estimate(bits, anchor, cells)[use] if len(starts) else np.empty(0, bool)
             if not keep.any():
                 continue
             starts, owner = starts[keep], owner[keep]
@@ -242,6 +243,7 @@ def _texts(width: int, cells: int, sketch, with_text: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
+        bits = zlib.decompress(sketch.value)
         for batch in chunks(batches):
             texts = batch.column("text").cast(pa.large_binary())
             words = split_words(texts, RAW)
@@ -249,7 +251,7 @@ def _texts(width: int, cells: int, sketch, with_text: bool):
             anchor, use = anchors(words.hashes(), starts, width)
             suspect = np.zeros(len(texts), bool)
             if len(starts):
-                suspect[owner[_estimate(sketch.value, anchor, cells)[use]]] = True
+                suspect[owner[_estimate(bits, anchor, cells)[use]]] = True
             packed, shas, kept = [], [], []
             for text, held in zip(texts.to_pylist(), suspect.tolist(), strict=True):
                 packed.append(pack(text) if held else None)
@@ -322,7 +324,7 @@ def _cut(width: int, with_text: bool):
     return run
 
 
-def remove_repeats(documents: DataFrame, width: int = 35, cells: int = 1 << 28, with_text: bool = True) -> DataFrame:
+def remove_repeats(documents: DataFrame, width: int = 35, cells: int = 1 << 26, with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept text, one row per row of (doc_id, text)."""
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -332,7 +334,7 @@ def remove_repeats(documents: DataFrame, width: int = 35, cells: int = 1 << 28,
     bits = np.zeros((2 * PARTS, cells // PARTS // 8), np.uint8)
     for part, blob in merged.collect():
         bits[part] = np.frombuffer(zlib.decompress(blob), np.uint8)
-    sketch = spark.sparkContext.broadcast(bits.tobytes())
+    sketch = spark.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1))
     suspects = rows.select("key", "text").mapInArrow(_suspects(width, cells, sketch), _WINDOWS)
     repeated = suspects.repartition("gram", "more").sortWithinPartitions("gram", "more").mapInArrow(_repeated, "key long, place int, length int")
     texts = rows.mapInArrow(_texts(width, cells, sketch, with_text), "key long, doc_id long, place int, length int, n_words long, packed binary, sha string, kept string")
