@@ -14,9 +14,10 @@ form a class and are handled as one.
    leaders meet in a second grouping.
 3. Rounds of verification.  In a leader round each class is compared with the
    leader that shares most of its posted n-grams, so a group of g near copies
-   costs g comparisons.  The last round compares what is left: every pair that
-   shares a posted n-gram, passes the length, positional and suffix filters and
-   isn't connected yet.  No linked pair is lost, hence components are exact.
+   costs g comparisons.  The last round compares what is left, in blocks: every
+   class that shares a posted n-gram with a class of another component, if the
+   length and suffix filters let it.  No link between components is lost, hence
+   they are exact.  ``links()`` lists every linked pair instead.
 
 Edge cases: null, empty and blank texts have an empty set, no class and no
 link.  Texts of fewer than ``width`` words have one n-gram, the whole sequence.
@@ -30,13 +31,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.graph import components
-from tickloom.llm.runtime import collect_sketch, merge_sketches, sketch_rows, stored
+from tickloom.llm.runtime import collect_sketch, key_bits, key_cells, merge_sketches, sketch_rows, stored
 from tickloom.llm.textwords import FOLDED, chunks, rolling, split_words
 
 SKETCH_WIDTH = 1 << 20
@@ -45,6 +47,9 @@ SKETCH_PARTS = 8
 HOT = 20_000
 #: Members that one task compares with a leader at a time.
 FAN = 512
+#: Sets, and n-grams in them, that one block compares with all that may link.
+BLOCK = 256
+BLOCK_GRAMS = 1 << 20
 #: Cells of the histogram behind the suffix filter.
 CELLS = 48
 
@@ -248,6 +253,73 @@ def _verify(width: int, percent: int):
     return run
 
 
+def _blocks(width: int, percent: int):
+    """Links of each block's sets (role 0) with what streams past them (role 1), between different components.
+
+    One link joins two components; further ones in the same block are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        now, ids, parts, sets, shapes, known = None, [], [], [], None, None
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                x = parent[x] = parent[parent[x]]
+            return x
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 256):
+                    part = batch.slice(start, 256)
+                    texts = pa.array([unpack(x) for x in part.column("packed").to_pylist()], pa.large_binary())
+                    plain = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("grp", "role", "cls", "component")), texts], ["grp", "role", "cls", "component", "text"])
+                    for small in chunks(iter([plain])):
+                        yield from zip(*(small.column(c).to_pylist() for c in ("grp", "role", "cls", "component")), shingle_sets(small.column("text"), width), strict=True)
+
+        a: list[int] = []
+        b: list[int] = []
+        for grp, role, cls, component, one in rows():
+            if grp != now:
+                now, ids, parts, sets, shapes, known = grp, [], [], [], None, None
+                parent.clear()
+            if role == 0:
+                ids.append(cls)
+                parts.append(component)
+                sets.append(one)
+                continue
+            if known is None:
+                n = np.array([len(s) for s in sets])
+                shapes = np.stack([np.frombuffer(_histogram(s), "<u2") for s in sets]).astype(np.int64)
+                flat = np.concatenate(sets)
+                order = np.argsort(flat, kind="stable")
+                known, holder = flat[order], np.repeat(np.arange(len(sets)), n)[order]
+            need = -(-percent * (n + len(one)) // (100 + percent))
+            shape = np.frombuffer(_histogram(one), "<u2").astype(np.int64)
+            most = np.minimum(shapes, shape).sum(axis=1) if len(one) < 65535 else np.minimum(n, len(one))
+            mine = root(component)
+            open_sets = [k for k in np.flatnonzero((np.minimum(most, np.minimum(n, len(one))) >= need) | (n >= 65535)).tolist() if root(parts[k]) != mine]
+            if not open_sets:
+                continue
+            low, high = np.searchsorted(known, one), np.searchsorted(known, one, side="right")
+            times = high - low
+            at = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+            both = np.bincount(holder[at], minlength=len(sets))
+            for k in open_sets:
+                if 100 * both[k] >= percent * (n[k] + len(one) - both[k]) and root(parts[k]) != root(component):
+                    parent[root(parts[k])] = root(component)
+                    a.append(ids[k])
+                    b.append(cls)
+            if len(a) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                a, b = [], []
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The linked pairs among (a, b), each compared once.
 
@@ -261,10 +333,21 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return rows.repartition("grp", "salt").sortWithinPartitions("grp", "salt", "role").mapInArrow(_verify(width, percent), "a long, b long")
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in chunks(batches):
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([None if x is None else pack(x) for x in batch.column("text").cast(pa.large_binary()).to_pylist()], pa.binary())], ["doc_id", "packed"])
+def _packed(bits):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        wanted = np.frombuffer(bits.value, np.uint8)
+        for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column("doc_id")))
+            cell = key_cells(np.asarray(batch.column("doc_id")), 8 * len(wanted))
+            batch = batch.filter(pa.array((wanted[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0))
+            yield from packed(batch, pack)
+
+    def packed(batch: pa.RecordBatch, pack) -> Iterator[pa.RecordBatch]:
+        for part in chunks(iter([batch])):
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([None if x is None else pack(x) for x in part.column("text").cast(pa.large_binary()).to_pylist()], pa.binary())], ["doc_id", "packed"])
+
+    return run
 
 
 class JaccardJoin:
@@ -286,8 +369,9 @@ class JaccardJoin:
         sketch = spark.sparkContext.broadcast(self._sketch.tobytes())
         postings = self.documents.select("text").mapInArrow(_postings(self.width, self.percent, sketch), "gram long, cls long, n int, pos int, salts int")
         led = stored(_led(postings), "jaccard-postings")
-        wanted = led.select("cls").distinct().join(self.classes, "cls").select("cls", "doc_id")
-        texts = stored(self.documents.mapInArrow(_packed, "doc_id long, packed binary").join(wanted, "doc_id").dropDuplicates(["cls"]).select("cls", "packed"), "jaccard-texts")
+        wanted = stored(led.select("cls").distinct().join(self.classes, "cls").select("cls", "doc_id"), "jaccard-wanted")
+        bits = spark.sparkContext.broadcast(key_bits(wanted.where("doc_id is not null").select("doc_id")).tobytes())
+        texts = stored(self.documents.mapInArrow(_packed(bits), "doc_id long, packed binary").join(wanted, "doc_id").dropDuplicates(["cls"]).select("cls", "packed"), "jaccard-texts")
         return led, texts
 
     def _meeting(self, led: DataFrame) -> DataFrame:
@@ -301,25 +385,43 @@ class JaccardJoin:
         best = votes.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a")).select("a", "b")
         return _verified(_filtered(best, self.classes, self.percent), texts, self.width, self.percent)
 
-    def _rest(self, led: DataFrame, labels: DataFrame | None, texts: DataFrame) -> DataFrame:
-        """Linked pairs of all classes that share a posted n-gram and aren't connected yet."""
+    def _pairs(self, led: DataFrame, texts: DataFrame) -> DataFrame:
+        """Linked pairs of all classes that share a posted n-gram."""
         rows = led.select("gram", "cls", "n", "pos")
-        if labels is not None:
-            rows = rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-            mixed = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("gram")
-            rows = stored(rows.join(mixed, "gram"), "jaccard-rest")
-        else:
-            rows = rows.withColumn("component", F.col("cls"))
-        two = rows.select("gram", *(F.col(c).alias(f"{c}2") for c in ("cls", "n", "pos", "component")))
-        pairs = rows.join(two, "gram").where((F.col("component") != F.col("component2")) & (F.col("cls") < F.col("cls2")))
+        two = rows.select("gram", *(F.col(c).alias(f"{c}2") for c in ("cls", "n", "pos")))
+        pairs = rows.join(two, "gram").where(F.col("cls") < F.col("cls2"))
         pairs = pairs.where(_possible(self.percent, F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
         pairs = pairs.select(F.col("cls").alias("a"), F.col("cls2").alias("b")).distinct()
         return _verified(_filtered(pairs, self.classes, self.percent), texts, self.width, self.percent)
 
+    def _rest(self, led: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links between components whose classes share a posted n-gram.
+
+        In each n-gram's group the classes outside its largest component are
+        loose.  Loose classes of one family and size go into blocks; all that
+        share an n-gram with a block stream past it once, so a group costs rows
+        by the number of blocks, not of pairs.
+        """
+        rows = led.select("gram", "cls", "n", "lead_cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        sizes = rows.groupBy("gram", "component").agg(F.count("*").alias("size"))
+        groups = sizes.groupBy("gram").agg(F.count("*").alias("kinds"), F.max_by("component", F.struct("size", "component")).alias("main")).where("kinds > 1").select("gram", "main")
+        # linked sets lie in the same step of sizes or the next
+        step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / self.percent)) + 1e-9).cast("int")
+        rows = stored(rows.join(groups, "gram").withColumn("step", step), "jaccard-rest")
+        loose = rows.where("component <> main").groupBy("cls").agg(F.min("lead_cls").alias("family"), F.min("step").alias("step"), F.min("n").alias("n"))
+        heaps = loose.groupBy("family", "step").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_GRAMS))).cast("int").alias("heaps"))
+        heap = F.pmod(F.xxhash64("cls"), F.col("heaps").cast("long")).cast("int")
+        held = stored(loose.join(heaps, ["family", "step"]).select("cls", F.xxhash64("family", "step", heap).alias("grp"), "step"), "jaccard-blocks")
+        asked = rows.where("component <> main").select("gram", "cls").join(held, "cls").select("gram", "grp", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step")).distinct()
+        passing = rows.join(asked, ["gram", "step"]).select("grp", "cls").distinct().withColumn("role", F.lit(1))
+        both = passing.unionByName(held.select("grp", "cls", F.lit(0).alias("role")))
+        named = both.join(rows.select("cls", "component").distinct(), "cls").join(texts, "cls").select("grp", "role", "cls", "component", "packed")
+        return named.repartition("grp").sortWithinPartitions("grp", "role").mapInArrow(_blocks(self.width, self.percent), "a long, b long")
+
     def links(self) -> DataFrame:
         """Every linked pair of different classes, by their smallest documents: (doc_id, other_id)."""
         led, texts = self._candidates()
-        found = self._rest(led, None, texts)
+        found = self._pairs(led, texts)
         name = self.classes.select("cls", "doc_id")
         found = found.join(name.withColumnRenamed("cls", "a"), "a").join(name.select(F.col("cls").alias("b"), F.col("doc_id").alias("second")), "b")
         return found.select(F.least("doc_id", "second").alias("doc_id"), F.greatest("doc_id", "second").alias("other_id"))

@@ -80,3 +80,43 @@ def collect_sketch(rows: DataFrame, width: int, parts: int, dtype: str) -> np.nd
     for row in rows.collect():
         out[row.part * step : (row.part + 1) * step] = np.frombuffer(zlib.decompress(row.cells), dtype)
     return out
+
+
+def key_bits(keys: DataFrame, cells: int = 1 << 26, parts: int = 16) -> np.ndarray:
+    """A bit array of fixed size in which every key (one long column) has its bit.
+
+    Others may share a bit: it only spares work and is followed by an exact join.
+    """
+    step = cells // parts
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [key_cells(np.asarray(b.column(0)), cells) for b in batches if b.num_rows]
+        if found:
+            cell = np.unique(np.concatenate(found))
+            rows = []
+            for k in range(parts):
+                own = cell[(cell >= k * step) & (cell < (k + 1) * step)] - k * step
+                if len(own):
+                    bits = np.zeros(step, np.uint8)
+                    bits[own] = 1
+                    rows.append((k, zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)))
+            yield pa.record_batch({"part": pa.array([r[0] for r in rows], pa.int32()), "cells": pa.array([r[1] for r in rows], pa.binary())})
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                one = np.frombuffer(zlib.decompress(blob), np.uint8)
+                bits[k] = bits[k] | one if k in bits else one
+        if bits:
+            yield pa.record_batch({"part": pa.array(list(bits), pa.int32()), "cells": pa.array([zlib.compress(b.tobytes(), 1) for b in bits.values()], pa.binary())})
+
+    out = np.zeros(cells // 8, np.uint8)
+    for part, blob in keys.mapInArrow(mark, SKETCH_SCHEMA).repartition(parts, "part").mapInArrow(join, SKETCH_SCHEMA).collect():
+        out[part * step // 8 : (part + 1) * step // 8] = np.frombuffer(zlib.decompress(blob), np.uint8)
+    return out
+
+
+def key_cells(keys: np.ndarray, cells: int) -> np.ndarray:
+    mixed = keys.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(20)) & np.uint64(cells - 1)).astype(np.int64)
