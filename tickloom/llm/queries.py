@@ -12,6 +12,7 @@ from tickloom.llm.ngram_join import JaccardJoin
 from tickloom.llm.packing import pack
 from tickloom.llm.runtime import table
 from tickloom.llm.substring_dedup import remove_repeats
+from tickloom.llm.toxicity import held_out, score, train
 
 
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +25,12 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return judged.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = train(documents, table(spark, folder, "labels"), ~held_out(F.col("doc_id")))
+    return score(documents, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
@@ -33,7 +40,7 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup}
+    return {"op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op3_toxicity": op3_toxicity, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
