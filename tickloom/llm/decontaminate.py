@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.runtime import stored
+from tickloom.llm.runtime import plain, stored
 from tickloom.llm.textwords import ALNUM, chunks, dictionary_hashes, split_words
 
 VOCABULARY_BYTES = 32 << 20
@@ -144,7 +144,7 @@ class PositionalIndex:
     def __init__(self, documents: DataFrame, benchmark: DataFrame, width: int = 13, vocabulary_bytes: int = VOCABULARY_BYTES):
         spark = documents.sparkSession
         self.width = width
-        texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        texts = plain(documents, doc_id="long", text="string")
         texts = texts.withColumn("key", F.coalesce("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
         items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string").alias("text"))
         rows = stored(items.mapInArrow(_windows(width), "item_id string, gram binary, terms array<string>"), "test-windows")

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.graph import components
-from tickloom.llm.runtime import collect_sketch, key_bits, key_cells, merge_sketches, sketch_rows, stored
+from tickloom.llm.runtime import collect_sketch, key_bits, key_cells, merge_sketches, plain, sketch_rows, stored
 from tickloom.llm.textwords import FOLDED, chunks, rolling, split_words
 
 SKETCH_WIDTH = 1 << 20
@@ -354,7 +354,7 @@ class JaccardJoin:
     """The join of ``documents`` (doc_id, text) with itself."""
 
     def __init__(self, documents: DataFrame, width: int = 5, percent: int = 75):
-        self.documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.documents = plain(documents, doc_id="long", text="string")
         self.width, self.percent = width, percent
         profile = stored(self.documents.mapInArrow(_profile(width), "doc_id long, n long, cls long, shape binary, part int, cells binary"), "jaccard-profile")
         #: doc_id, n (size of its set), cls (its class, null if the set is empty)

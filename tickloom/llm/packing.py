@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.runtime import stored
+from tickloom.llm.runtime import plain, stored
 from tickloom.llm.textwords import RAW, chunks, dictionary_hashes, split_words
 
 SALTS = 64
@@ -221,7 +221,7 @@ def pack(documents: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int
     ``tokenizer`` names a file of the installed public vocabularies.
     """
     spark = documents.sparkSession
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = plain(documents, doc_id="long", text="string")
     pieces = stored(rows.mapInArrow(_pieces(tokenizer, end_id, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"), "pieces")
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SALTS)).cast("int"))
     counts = stored(salted.groupBy("length", "salt").agg(F.count("*").alias("pieces")), "piece-counts")

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 4 << 20
 TEST_FOLDER = "/tmp/tickloom-checkpoints"
 
 
@@ -28,6 +29,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def plain(df: DataFrame, **columns: str) -> DataFrame:
+    """The named columns of ``df`` in the given types; Arrow batches are bounded by bytes from here on.
+
+    Ten thousand rows of text can be any size: without the bound the JVM holds
+    whole batches of them off heap.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.select(*(F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: lineage ends here."""
     spark = df.sparkSession

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.runtime import stored
+from tickloom.llm.runtime import plain, stored
 from tickloom.llm.textwords import RAW, Words, chunks, mixed, rolling, split_words
 
 GRAM = 8
@@ -327,7 +327,7 @@ def _cut(width: int, with_text: bool):
 def remove_repeats(documents: DataFrame, width: int = 35, cells: int = 1 << 26, with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept text, one row per row of (doc_id, text)."""
     spark = documents.sparkSession
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = plain(documents, doc_id="long", text="string")
     rows = rows.withColumn("key", F.coalesce("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
     counted = rows.select("text").mapInArrow(_count(width, cells), "part int, places binary")
     merged = counted.repartition(PARTS, "part").mapInArrow(_merge(cells), "part int, bits binary")

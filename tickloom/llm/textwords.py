@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 
 _SPACE = {9, 10, 11, 12, 13, 32}
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from tickloom.llm.runtime import key_bits, key_cells, stored
+from tickloom.llm.runtime import key_bits, key_cells, plain, stored
 from tickloom.llm.textwords import ALNUM, chunks, dictionary_hashes, split_words
 
 MAX_TOXIC = 20_000
@@ -191,8 +191,8 @@ def _sample(doc_id: Column, share: float) -> Column:
 def train(documents: DataFrame, labels: DataFrame, learnable: Column | None = None) -> ToxicityModel:
     """A model from (doc_id, text) and (doc_id, toxic); ``learnable`` says which rows may teach it."""
     spark = documents.sparkSession
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
+    rows = plain(documents, doc_id="long", text="string")
+    labels = plain(labels, doc_id="long", toxic="int").dropna()
     if learnable is not None:
         rows, labels = rows.where(learnable), labels.where(learnable)
     labels = stored(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "toxic-labels")
@@ -246,8 +246,8 @@ def score(documents: DataFrame, model: ToxicityModel, threshold: float = 0.5) ->
     """All columns of ``documents`` but ``score`` and ``predicted``, which are added."""
     spark = documents.sparkSession
     blob = spark.sparkContext.broadcast((model.features.tobytes(), model.weights.tobytes(), model.bias))
-    plain = documents.drop("score", "predicted")
-    schema = StructType([*plain.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    kept = documents.drop("score", "predicted")
+    schema = StructType([*kept.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, weights, bias = blob.value
@@ -257,4 +257,4 @@ def score(documents: DataFrame, model: ToxicityModel, threshold: float = 0.5) ->
             value = np.where(np.isneginf(own.bias), 0.0, value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value), pa.array((value >= threshold).astype(np.int32))], [*batch.schema.names, "score", "predicted"])
 
-    return plain.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
