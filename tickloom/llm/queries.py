@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.decontaminate import PositionalIndex
 from tickloom.llm.ngram_join import JaccardJoin
 from tickloom.llm.packing import pack
 from tickloom.llm.runtime import table
+from tickloom.llm.secrets import KINDS, scan, span_text
 from tickloom.llm.substring_dedup import remove_repeats
 from tickloom.llm.toxicity import held_out, score, train
 
 
+def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS[:3]), F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("secrets")).alias("spans"))
+
+
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     found = JaccardJoin(table(spark, folder, "documents")).components()
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -40,7 +51,7 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op3_toxicity": op3_toxicity, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_secret_scans": op1_secret_scans, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op3_toxicity": op3_toxicity, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
