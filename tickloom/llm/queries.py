@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm import language
 from tickloom.llm.decontaminate import PositionalIndex
 from tickloom.llm.ngram_join import JaccardJoin
 from tickloom.llm.packing import pack
 from tickloom.llm.runtime import table
 from tickloom.llm.secrets import KINDS, scan, span_text
 from tickloom.llm.substring_dedup import remove_repeats
+from tickloom.llm.token_counts import count_tokens
 from tickloom.llm.toxicity import held_out, score, train
 
 
@@ -42,16 +44,26 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score(documents, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.train(documents, ~language.held_out(F.col("doc_id")))
+    return language.label(documents, model, with_spans=False).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"), with_text=False).drop("kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_secret_scans": op1_secret_scans, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op3_toxicity": op3_toxicity, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_secret_scans": op1_secret_scans, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op3_toxicity": op3_toxicity, "op5_language_id": op5_language_id, "op9_token_counts": op9_token_counts, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
