@@ -16,6 +16,8 @@ from tickloom.llm.secrets import KINDS, scan, span_text
 from tickloom.llm.substring_dedup import remove_repeats
 from tickloom.llm.token_counts import count_tokens
 from tickloom.llm.toxicity import held_out, score, train
+from tickloom.llm.topk_search import top_k
+from tickloom.llm.url_filter import judge
 
 
 def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,6 +52,19 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.label(documents, model, with_spans=False).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+#: The rules of the url filter's query.
+URL_RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block"))
+
+
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return judge(table(spark, folder, "pages"), rules)
+
+
+def op7_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
@@ -63,7 +78,7 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_secret_scans": op1_secret_scans, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op3_toxicity": op3_toxicity, "op5_language_id": op5_language_id, "op9_token_counts": op9_token_counts, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_secret_scans": op1_secret_scans, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op3_toxicity": op3_toxicity, "op6_url_filters": op6_url_filters, "op7_topk_search": op7_topk_search, "op5_language_id": op5_language_id, "op9_token_counts": op9_token_counts, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
