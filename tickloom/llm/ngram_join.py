@@ -48,8 +48,8 @@ HOT = 20_000
 #: Members that one task compares with a leader at a time.
 FAN = 512
 #: Sets, and n-grams in them, that one block compares with all that may link.
-BLOCK = 256
-BLOCK_GRAMS = 1 << 20
+BLOCK = 1024
+BLOCK_GRAMS = 1 << 21
 #: Cells of the histogram behind the suffix filter.
 CELLS = 48
 
@@ -403,17 +403,19 @@ class JaccardJoin:
         by the number of blocks, not of pairs.
         """
         rows = led.select("gram", "cls", "n", "lead_cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        # one exchange serves both aggregates and the join
+        rows = rows.repartition("gram")
         sizes = rows.groupBy("gram", "component").agg(F.count("*").alias("size"))
         groups = sizes.groupBy("gram").agg(F.count("*").alias("kinds"), F.max_by("component", F.struct("size", "component")).alias("main")).where("kinds > 1").select("gram", "main")
         # linked sets lie in the same step of sizes or the next
         step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / self.percent)) + 1e-9).cast("int")
-        rows = stored(rows.join(groups, "gram").withColumn("step", step), "jaccard-rest")
-        loose = rows.where("component <> main").groupBy("cls").agg(F.min("lead_cls").alias("family"), F.min("step").alias("step"), F.min("n").alias("n"))
+        rows = stored(rows.join(groups, "gram").select("gram", "cls", "n", "lead_cls", "component", (F.col("component") != F.col("main")).alias("loose"), step.alias("step")), "jaccard-rest")
+        loose = rows.where("loose").groupBy("cls").agg(F.min("lead_cls").alias("family"), F.min("step").alias("step"), F.min("n").alias("n"))
         heaps = loose.groupBy("family", "step").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_GRAMS))).cast("int").alias("heaps"))
         heap = F.pmod(F.xxhash64("cls"), F.col("heaps").cast("long")).cast("int")
         held = stored(loose.join(heaps, ["family", "step"]).select("cls", F.xxhash64("family", "step", heap).alias("grp"), "step"), "jaccard-blocks")
-        asked = rows.where("component <> main").select("gram", "cls").join(held, "cls").select("gram", "grp", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step")).distinct()
-        passing = rows.join(asked, ["gram", "step"]).select("grp", "cls").distinct().withColumn("role", F.lit(1))
+        asked = rows.where("loose").select("gram", "cls").join(held, "cls").select("gram", "grp", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step")).distinct()
+        passing = rows.select("gram", "step", "cls").join(asked, ["gram", "step"]).select("grp", "cls").distinct().withColumn("role", F.lit(1))
         both = passing.unionByName(held.select("grp", "cls", F.lit(0).alias("role")))
         named = both.join(rows.select("cls", "component").distinct(), "cls").join(texts, "cls").select("grp", "role", "cls", "component", "packed")
         return named.repartition("grp").sortWithinPartitions("grp", "role").mapInArrow(_blocks(self.width, self.percent), "a long, b long")
