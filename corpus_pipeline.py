@@ -19,15 +19,10 @@ from tickloom.llm import toxicity as toxic
 from tickloom.llm.decontaminate import PositionalIndex
 from tickloom.llm.ngram_join import JaccardJoin
 from tickloom.llm.packing import pack
-from tickloom.llm.runtime import stored, table
+from tickloom.llm.runtime import stored, table, without
 from tickloom.llm.secrets import redacted, scan
 
 
-def keep(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``names``."""
-    return docs.join(names.select(F.col("doc_id")).distinct(), "doc_id", "left_semi").select(docs.columns)
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the model, learnt from ``labels``, rejects."""
     docs = docs.where("doc_id is not null")
@@ -38,13 +33,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of each group of near duplicates that has the smallest id."""
     found = JaccardJoin(docs.select("doc_id", "text")).components()
-    return keep(docs, found.where("doc_id = component_id"))
+    return without(docs, stored(found.where("doc_id <> component_id").select("doc_id"), "near-duplicates"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops contaminated documents."""
     judged = PositionalIndex(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark")).judged()
-    return keep(docs, judged.where("not contaminated"))
+    return without(docs, stored(judged.where("contaminated").select("doc_id"), "contaminated"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

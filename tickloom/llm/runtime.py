@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,3 +132,22 @@ def key_bits(keys: DataFrame, cells: int = 1 << 26, parts: int = 16) -> np.ndarr
 def key_cells(keys: np.ndarray, cells: int) -> np.ndarray:
     mixed = keys.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return ((mixed >> np.uint64(20)) & np.uint64(cells - 1)).astype(np.int64)
+
+
+def without(docs: DataFrame, names: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose key isn't in ``names``, an anti join that moves few rows.
+
+    A row whose bit isn't set can't be named and stays where it is; only the
+    others, the named ones and a few that share a bit, are joined.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(key_bits(names.select(F.col(key).cast("long")).dropna()).tobytes())
+
+    @F.pandas_udf("boolean")
+    def marked(keys: pd.Series) -> pd.Series:
+        array = np.frombuffer(bits.value, np.uint8)
+        cell = key_cells(keys.fillna(0).to_numpy(np.int64), 8 * len(array))
+        return pd.Series(((array[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0) & keys.notna().to_numpy())
+
+    flag = marked(F.col(key).cast("long"))
+    some = docs.where(flag).join(names.select(key).distinct(), key, "left_anti").select(docs.columns)
+    return docs.where(~flag).unionByName(some)
