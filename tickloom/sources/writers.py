@@ -155,7 +155,7 @@ def write(
         raise ValueError("upsert_by_key needs a key")
     if mode == "replace_range" and not date_field:
         raise ValueError("replace_range needs a date field")
-    old = spark.read.option("mergeSchema", True).parquet(target).drop("part_") if exists(spark, target) else None
+    old = read_written(spark, target) if exists(spark, target) else None
     before = old.count() if old is not None else 0
     written = df.count()
     result = WriteResult(before, written, 0)
@@ -197,6 +197,12 @@ def write(
     return result
 
 
+def read_written(spark: SparkSession, target: str) -> DataFrame:
+    """What ``write`` wrote, without the folders' own columns."""
+    df = spark.read.option("mergeSchema", True).parquet(target)
+    return df.drop(*(c for c in df.columns if c.startswith("part_")))
+
+
 def write_run_log(spark: SparkSession, folder: str, entry: dict) -> None:
     """One JSON line a run."""
     import json
