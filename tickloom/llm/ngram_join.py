@@ -15,8 +15,8 @@ form a class and are handled as one.
 3. Rounds of verification.  In a leader round each class is compared with the
    leader that shares most of its posted n-grams, so a group of g near copies
    costs g comparisons.  The last round compares what is left, in blocks: every
-   class that shares a posted n-gram with a class of another component, if the
-   length and suffix filters let it.  No link between components is lost, hence
+   class that shares enough posted n-grams with a class of another component,
+   if the length and suffix filters let it.  No link between components is lost, hence
    they are exact.  ``links()`` lists every linked pair instead.
 
 Edge cases: null, empty and blank texts have an empty set, no class and no
@@ -178,7 +178,8 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(np.append(starts, len(rows["gram"])))
         lead = np.repeat(starts, sizes)
         last = np.repeat(starts + sizes - 1, sizes)
-        keep = rows["cls"][lead] != rows["cls"][last]
+        # alone in its salt, a class may still meet those of other salts
+        keep = (rows["cls"][lead] != rows["cls"][last]) | (rows["salts"] > 1)
         if keep.any():
             out = {k: v[keep] for k, v in rows.items() if k != "salt"}
             out |= {f"lead_{k}": rows[k][lead][keep] for k in ("cls", "n", "pos")}
@@ -199,6 +200,33 @@ def _possible(percent: int, n: Column, pos: Column, n2: Column, pos2: Column) ->
     return (100 * F.least(n, n2) >= percent * F.greatest(n, n2)) & ((100 + percent) * most >= percent * (n + n2))
 
 
+def _least_shared(percent: int, n: Column, n2: Column) -> Column:
+    """How many posted n-grams two linked sets of these sizes share at least.
+
+    With an overlap of o, the k-th shared n-gram has a rank below k + n - o in
+    either set, so it is posted by both while that is within both prefixes.
+    """
+    overlap = F.ceil(percent * (n + n2) / (100 + percent))
+    return F.greatest(F.lit(1), overlap - F.ceil(percent * F.greatest(n, n2) / 100) + 1)
+
+
+def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """N-grams shared by several components; rows outside the largest of them are loose."""
+    for rows in _runs(batches, ["gram"]):
+        grams = _starts(rows, ["gram"])
+        parts = _starts(rows, ["gram", "component"])
+        sizes = np.diff(np.append(parts, len(rows["gram"])))
+        first = np.searchsorted(parts, grams)
+        kinds = np.diff(np.append(first, len(parts)))
+        largest = np.repeat(np.maximum.reduceat(sizes, first), kinds)
+        at = np.where(sizes == largest, np.arange(len(parts)), len(parts))
+        main = np.repeat(np.minimum.reduceat(at, first), kinds)
+        loose = np.repeat(np.arange(len(parts)) != main, sizes)
+        keep = np.repeat(np.repeat(kinds > 1, kinds), sizes)
+        if keep.any():
+            yield pa.RecordBatch.from_pydict({k: pa.array(rows[k][keep]) for k in ("gram", "cls", "n", "lead_cls", "component")} | {"loose": pa.array(loose[keep])})
+
+
 def _suffix(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,77 +391,88 @@ class JaccardJoin:
         self.classes = profile.where("cls is not null").groupBy("cls").agg(F.min("n").alias("n"), F.min("shape").alias("shape"), F.min("doc_id").alias("doc_id"))
         self._sketch = collect_sketch(merge_sketches(profile.where("part is not null").select("part", "cells"), SKETCH_PARTS, "uint32"), SKETCH_WIDTH, SKETCH_PARTS, "uint32")
 
-    def _candidates(self) -> tuple[DataFrame, DataFrame]:
-        """Postings of shared n-grams with their leaders, and the packed texts of their classes."""
-        spark = self.documents.sparkSession
-        sketch = spark.sparkContext.broadcast(self._sketch.tobytes())
+    def _led(self) -> DataFrame:
+        """Postings of shared n-grams with their leaders."""
+        sketch = self.documents.sparkSession.sparkContext.broadcast(self._sketch.tobytes())
         postings = self.documents.select("text").mapInArrow(_postings(self.width, self.percent, sketch), "gram long, cls long, n int, pos int, salts int")
-        led = stored(_led(postings), "jaccard-postings")
-        wanted = stored(led.select("cls").distinct().join(self.classes, "cls").select("cls", "doc_id"), "jaccard-wanted")
-        bits = spark.sparkContext.broadcast(key_bits(wanted.where("doc_id is not null").select("doc_id")).tobytes())
-        texts = stored(self.documents.mapInArrow(_packed(bits), "doc_id long, packed binary").join(wanted, "doc_id").dropDuplicates(["cls"]).select("cls", "packed"), "jaccard-texts")
-        return led, texts
-
-    def _meeting(self, led: DataFrame) -> DataFrame:
-        """Leaders of the salts of hot n-grams, with the leader of them all."""
-        salts = led.where("salts > 1").select("gram", F.col("lead_cls").alias("cls"), F.col("lead_n").alias("n"), F.col("lead_pos").alias("pos"), F.lit(1).alias("salts")).distinct()
-        return _led(salts)
+        return stored(_led(postings), "jaccard-postings")
+
+    def _texts(self, classes: DataFrame) -> DataFrame:
+        """The packed text of one document of each of the classes (cls); the other texts stay where they are."""
+        wanted = stored(classes.distinct().join(self.classes, "cls").select("cls", "doc_id"), "jaccard-wanted")
+        bits = wanted.sparkSession.sparkContext.broadcast(key_bits(wanted.where("doc_id is not null").select("doc_id")).tobytes())
+        return stored(self.documents.mapInArrow(_packed(bits), "doc_id long, packed binary").join(wanted, "doc_id").dropDuplicates(["cls"]).select("cls", "packed"), "jaccard-texts")
+
+    def _checked(self, pairs: DataFrame) -> DataFrame:
+        pairs = stored(_filtered(pairs, self.classes, self.percent), "jaccard-pairs")
+        texts = self._texts(pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))))
+        return _verified(pairs, texts, self.width, self.percent)
 
-    def _round(self, led: DataFrame, texts: DataFrame) -> DataFrame:
-        shared = led.where("cls <> lead_cls").where(_possible(self.percent, F.col("n"), F.col("pos"), F.col("lead_n"), F.col("lead_pos")))
-        votes = shared.groupBy(F.col("lead_cls").alias("a"), F.col("cls").alias("b")).count()
-        best = votes.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a")).select("a", "b")
-        return _verified(_filtered(best, self.classes, self.percent), texts, self.width, self.percent)
+    def _leader_round(self, led: DataFrame) -> DataFrame:
+        """Linked pairs of each class and the leader that shares most of its n-grams.
 
-    def _pairs(self, led: DataFrame, texts: DataFrame) -> DataFrame:
-        """Linked pairs of all classes that share a posted n-gram."""
-        rows = led.select("gram", "cls", "n", "pos")
+        Counts are of n-grams that have this leader, so a pair below the least
+        number may still be linked; the last round looks at it again.
+        """
+        # leaders of the salts of hot n-grams, with the leader of them all
+        salts = led.where("salts > 1").select("gram", F.col("lead_cls").alias("cls"), F.col("lead_n").alias("n"), F.col("lead_pos").alias("pos"), F.lit(1).alias("salts")).distinct()
+        shared = led.unionByName(_led(salts)).where("cls <> lead_cls").where(_possible(self.percent, F.col("n"), F.col("pos"), F.col("lead_n"), F.col("lead_pos")))
+        votes = shared.groupBy(F.col("lead_cls").alias("a"), F.col("cls").alias("b")).agg(F.count("*").alias("count"), F.min("n").alias("n"), F.min("lead_n").alias("lead_n"))
+        votes = votes.where(F.col("count") >= _least_shared(self.percent, F.col("n"), F.col("lead_n")))
+        return self._checked(votes.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a")).select("a", "b"))
+
+    def _pairs(self, led: DataFrame) -> DataFrame:
+        """Linked pairs of all classes that share enough posted n-grams."""
+        rows = led.select("gram", "cls", "n", "pos").distinct()
         two = rows.select("gram", *(F.col(c).alias(f"{c}2") for c in ("cls", "n", "pos")))
         pairs = rows.join(two, "gram").where(F.col("cls") < F.col("cls2"))
         pairs = pairs.where(_possible(self.percent, F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
-        pairs = pairs.select(F.col("cls").alias("a"), F.col("cls2").alias("b")).distinct()
-        return _verified(_filtered(pairs, self.classes, self.percent), texts, self.width, self.percent)
+        pairs = pairs.groupBy(F.col("cls").alias("a"), F.col("cls2").alias("b")).agg(F.count("*").alias("count"), F.min("n").alias("n"), F.min("n2").alias("n2"))
+        return self._checked(pairs.where(F.col("count") >= _least_shared(self.percent, F.col("n"), F.col("n2"))).select("a", "b"))
 
-    def _rest(self, led: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-        """Links between components whose classes share a posted n-gram.
+    def _rest(self, led: DataFrame, labels: DataFrame) -> DataFrame:
+        """Links between components whose classes share enough posted n-grams.
 
         In each n-gram's group the classes outside its largest component are
-        loose.  Loose classes of one family and size go into blocks; all that
-        share an n-gram with a block stream past it once, so a group costs rows
-        by the number of blocks, not of pairs.
+        loose.  Loose classes of one family and nearly one size form blocks; a
+        class passes a block once if it shares as many n-grams with the block as
+        a link with a set of its sizes takes.  So a group costs rows by the
+        number of blocks, not of pairs.
         """
         rows = led.select("gram", "cls", "n", "lead_cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        # one exchange serves both aggregates and the join
-        rows = rows.repartition("gram")
-        sizes = rows.groupBy("gram", "component").agg(F.count("*").alias("size"))
-        groups = sizes.groupBy("gram").agg(F.count("*").alias("kinds"), F.max_by("component", F.struct("size", "component")).alias("main")).where("kinds > 1").select("gram", "main")
-        # linked sets lie in the same step of sizes or the next
-        step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / self.percent)) + 1e-9).cast("int")
-        rows = stored(rows.join(groups, "gram").select("gram", "cls", "n", "lead_cls", "component", (F.col("component") != F.col("main")).alias("loose"), step.alias("step")), "jaccard-rest")
-        loose = rows.where("loose").groupBy("cls").agg(F.min("lead_cls").alias("family"), F.min("step").alias("step"), F.min("n").alias("n"))
-        heaps = loose.groupBy("family", "step").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_GRAMS))).cast("int").alias("heaps"))
+        rows = rows.repartition("gram").sortWithinPartitions("gram", "component").mapInArrow(_mixed, "gram long, cls long, n int, lead_cls long, component long, loose boolean")
+        rows = stored(rows, "jaccard-rest")
+        step = F.floor(F.log("n") / float(np.log(1.05)))
+        loose = rows.where("loose").groupBy("cls").agg(F.min("lead_cls").alias("family"), F.min("n").alias("n")).withColumn("step", step)
+        heaps = loose.groupBy("family", "step").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_GRAMS))).cast("int").alias("heaps"), F.min("n").alias("low"), F.max("n").alias("high"))
         heap = F.pmod(F.xxhash64("cls"), F.col("heaps").cast("long")).cast("int")
-        held = stored(loose.join(heaps, ["family", "step"]).select("cls", F.xxhash64("family", "step", heap).alias("grp"), "step"), "jaccard-blocks")
-        asked = rows.where("loose").select("gram", "cls").join(held, "cls").select("gram", "grp", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step")).distinct()
-        passing = rows.select("gram", "step", "cls").join(asked, ["gram", "step"]).select("grp", "cls").distinct().withColumn("role", F.lit(1))
-        both = passing.unionByName(held.select("grp", "cls", F.lit(0).alias("role")))
+        held = stored(loose.join(heaps, ["family", "step"]).select("cls", F.xxhash64("family", "step", heap).alias("grp"), "low", "high"), "jaccard-blocks")
+        asked = rows.where("loose").select("gram", "cls").join(held, "cls").select("gram", "grp", "low", "high").distinct()
+        passing = rows.select("gram", "cls", "n").join(asked, "gram").where((100 * F.col("n") >= self.percent * F.col("low")) & (100 * F.col("high") >= self.percent * F.col("n")))
+        passing = passing.groupBy("grp", "cls").agg(F.count("*").alias("count"), F.min("n").alias("n"), F.min("low").alias("low"), F.min("high").alias("high"))
+        # the least number falls towards either end of the block's sizes; one less allows for rounding
+        least = F.least(_least_shared(self.percent, F.col("low"), F.col("n")), _least_shared(self.percent, F.col("high"), F.col("n"))) - 1
+        passing = passing.where(F.col("count") >= least).select("grp", "cls", F.lit(1).alias("role"))
+        # a block that only its own single class passes has nothing to compare
+        met = passing.join(held.select("grp", F.col("cls").alias("own")), "grp").where("cls <> own").select("grp").distinct()
+        both = stored(passing.unionByName(held.select("grp", "cls", F.lit(0).alias("role"))).join(met, "grp"), "jaccard-passing")
+        texts = self._texts(both.select("cls"))
         named = both.join(rows.select("cls", "component").distinct(), "cls").join(texts, "cls").select("grp", "role", "cls", "component", "packed")
         return named.repartition("grp").sortWithinPartitions("grp", "role").mapInArrow(_blocks(self.width, self.percent), "a long, b long")
 
     def links(self) -> DataFrame:
         """Every linked pair of different classes, by their smallest documents: (doc_id, other_id)."""
-        led, texts = self._candidates()
-        found = self._pairs(led, texts)
+        found = self._pairs(self._led())
         name = self.classes.select("cls", "doc_id")
         found = found.join(name.withColumnRenamed("cls", "a"), "a").join(name.select(F.col("cls").alias("b"), F.col("doc_id").alias("second")), "b")
         return found.select(F.least("doc_id", "second").alias("doc_id"), F.greatest("doc_id", "second").alias("other_id"))
 
     def components(self) -> DataFrame:
         """doc_id, n (size of the set), component_id (smallest document reachable by links)."""
-        led, texts = self._candidates()
-        first = stored(self._round(led, texts).unionByName(self._round(self._meeting(led), texts)), "jaccard-links")
+        led = self._led()
+        first = stored(self._leader_round(led), "jaccard-links")
         labels = components(first)
-        second = stored(self._rest(led, labels, texts), "jaccard-links")
+        second = stored(self._rest(led, labels), "jaccard-links")
         if second.limit(1).count():
             labels = components(first.unionByName(second))
         named = self.classes.select("cls", "doc_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
