@@ -454,7 +454,8 @@ class JaccardJoin:
         least = F.least(_least_shared(self.percent, F.col("low"), F.col("n")), _least_shared(self.percent, F.col("high"), F.col("n"))) - 1
         passing = passing.where(F.col("count") >= least).select("grp", "cls", F.lit(1).alias("role"))
         # a block that only its own single class passes has nothing to compare
-        met = passing.join(held.select("grp", F.col("cls").alias("own")), "grp").where("cls <> own").select("grp").distinct()
+        members = passing.select("grp", "cls").unionByName(held.select("grp", "cls"))
+        met = members.groupBy("grp").agg(F.min("cls").alias("first"), F.max("cls").alias("last")).where("first <> last").select("grp")
         both = stored(passing.unionByName(held.select("grp", "cls", F.lit(0).alias("role"))).join(met, "grp"), "jaccard-passing")
         texts = self._texts(both.select("cls"))
         named = both.join(rows.select("cls", "component").distinct(), "cls").join(texts, "cls").select("grp", "role", "cls", "component", "packed")

@@ -34,7 +34,9 @@ from tickloom.llm.runtime import plain, stored
 from tickloom.llm.textwords import RAW, chunks, dictionary_hashes, split_words
 
 SALTS = 64
-CACHE_WORDS = 3_000_000
+CACHE_WORDS = 2_000_000
+#: Words given to the tokenizer at a time; each takes about a kilobyte until its ids are read.
+ENCODE_WORDS = 4096
 
 _CACHES: dict[str, _WordIds] = {}
 
@@ -57,8 +59,8 @@ class _WordIds:
 
     def forget(self) -> None:
         self.keys = np.empty(0, np.uint64)
-        self.starts = np.empty(0, np.int64)
-        self.sizes = np.empty(0, np.int64)
+        self.starts = np.empty(0, np.int32)
+        self.sizes = np.empty(0, np.int32)
         self.ids = np.empty(0, np.uint32)
 
     def lookup(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,11 +72,8 @@ class _WordIds:
             if len(self.keys) > CACHE_WORDS:
                 self.forget()
                 found[:] = False
-            new = words.filter(pa.array(~found)).to_pylist()
-            lists = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            ids = np.fromiter((i for one in lists for i in one), np.uint32, int(sizes.sum()))
-            starts = len(self.ids) + np.cumsum(sizes) - sizes
+            sizes, ids = self._encoded(words.filter(pa.array(~found)))
+            starts = (len(self.ids) + np.cumsum(sizes) - sizes).astype(np.int32)
             all_keys = np.concatenate([self.keys, keys[~found]])
             order = np.argsort(all_keys, kind="stable")
             self.keys = all_keys[order]
@@ -85,6 +84,15 @@ class _WordIds:
         return self.starts[at], self.sizes[at]
 
 
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        sizes, ids = [], []
+        for low in range(0, len(words), ENCODE_WORDS):
+            lists = [e.ids for e in self.tokenizer.encode_batch(words.slice(low, ENCODE_WORDS).to_pylist(), add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, lists), np.int32, len(lists)))
+            ids.append(np.fromiter((i for one in lists for i in one), np.uint32, int(sizes[-1].sum())))
+        return np.concatenate(sizes), np.concatenate(ids)
+
+
 def document_ids(texts: pa.Array, tokenizer: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts in a row, each closed by the end id, and their bounds."""
     cache = _CACHES.get(tokenizer)
@@ -92,7 +100,7 @@ def document_ids(texts: pa.Array, tokenizer: str, end_id: int) -> tuple[np.ndarr
         cache = _CACHES[tokenizer] = _WordIds(tokenizer)
     words = split_words(texts, RAW)
     starts, sizes = cache.lookup(words.dictionary)
-    starts, sizes = starts[words.codes], sizes[words.codes]
+    starts, sizes = starts[words.codes].astype(np.int64), sizes[words.codes].astype(np.int64)
     upto = np.concatenate([[0], np.cumsum(sizes)])
     n = len(words.bounds) - 1
     bounds = upto[words.bounds] + np.arange(n + 1)

@@ -13,6 +13,7 @@ from tickloom.llm.ngram_join import JaccardJoin
 from tickloom.llm.packing import pack
 from tickloom.llm.runtime import table
 from tickloom.llm.secrets import KINDS, scan, span_text
+from tickloom.llm.sql import SQL
 from tickloom.llm.substring_dedup import remove_repeats
 from tickloom.llm.token_counts import count_tokens
 from tickloom.llm.toxicity import held_out, score, train
@@ -82,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

@@ -7,6 +7,7 @@ size is; a single longer text is one chunk of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 3 << 20
 
 _SPACE = {9, 10, 11, 12, 13, 32}
 
@@ -92,8 +93,23 @@ def split_words(texts: pa.Array, table: bytes) -> Words:
     return Words(np.asarray(coded.indices, np.int64), bounds, coded.dictionary)
 
 
+def _give_back() -> None:
+    """Hand freed memory back: a worker is kept for later tasks, and others need the room meanwhile."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of text, or one text."""
+    # Arrow's own allocator keeps what it frees
+    pa.set_memory_pool(pa.system_memory_pool())
+    yield from _chunks(batches, column, limit)
+    _give_back()
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
