@@ -70,11 +70,11 @@ def scan_files(spark: SparkSession, files: TableFiles) -> DataFrame:
     frames = []
     for keys, paths in groups.items():
         frame = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(*paths)
-        if missing := [k for k in keys if k not in frame.columns]:
-            name = F.col("_metadata.file_path")
-            for k in missing:
-                value = F.url_decode(F.regexp_extract(name, rf"/{k}=([^/]*)/", 1))
-                frame = frame.withColumn(k, F.when(~value.isin(*HIVE_NULL), value))
+        for k in keys:
+            value = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), rf"/{k}=([^/]*)/", 1))
+            value = F.when(~value.isin(*HIVE_NULL), value)
+            # some of the files may have the column, others only the folder's name
+            frame = frame.withColumn(k, F.coalesce(F.col(f"`{k}`").cast("string"), value) if k in frame.columns else value)
         frames.append(frame)
     return reduce(lambda a, b: _union(a, b), frames)
 
