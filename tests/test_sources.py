@@ -5,7 +5,6 @@ import os
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from tickloom import catalog
 from tickloom.schema import list_tables, table_schema
@@ -284,4 +283,3 @@ def test_typed_and_validation(spark):
     assert sorted(str(r.is_open) for r in typed.collect()) == ["1", "None"]
     issues = {i["issue"] for i in quality.validate_table(typed, "trade_cal")}
     assert issues == {"missing_required", "primary_key_duplicates"}
-    assert F.lit(1) is not None

@@ -1,6 +1,6 @@
 """Where a table's files are, listed through Hadoop's file systems.
 
-A table is one file ``core/<t>.parquet``, which wins over all else, or a folder
+A table is one file (or a written folder) ``core/<t>.parquet``, which wins over all else, or a folder
 ``core/table=<t>`` with an optional ``parquet`` folder in it, holding files
 named by date or hive folders.  Files whose name or folder puts them outside
 the asked dates are never opened, so a damaged one there doesn't matter.
@@ -68,7 +68,7 @@ def table_files(spark: SparkSession, root: str, table: str, date_field: str | No
     """The files to read; FileNotFoundError tells a missing table from an empty folder."""
     start, end = (b.replace("-", "") if b else None for b in (start, end))
     single = f"{root}/core/{table}.parquet"
-    if exists(spark, single) and not any(is_folder for p, is_folder in _children(spark, f"{root}/core") if p.endswith(f"/{table}.parquet")):
+    if exists(spark, single):
         return TableFiles(None, (single,), True)
     folders = [f for f in (f"{root}/core/table={table}/parquet", f"{root}/core/table={table}") if exists(spark, f)]
     if not folders:
