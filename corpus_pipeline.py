@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and
 returns a DataFrame; all but the last return the columns of ``docs``.  ``run``
-writes each stage's rows as Parquet to the shared folder and hands the reread
-rows on.
+writes each stage's rows as Parquet to the shared folder, hands the reread rows
+on and deletes what the stage needed meanwhile.
 
 Rows without doc_id can't be named by the stages that drop documents, so the
 first stage drops them; rows that repeat a doc_id are kept or dropped together;
@@ -19,7 +19,7 @@ from tickloom.llm import toxicity as toxic
 from tickloom.llm.decontaminate import PositionalIndex
 from tickloom.llm.ngram_join import JaccardJoin
 from tickloom.llm.packing import pack
-from tickloom.llm.runtime import stored, table, without
+from tickloom.llm.runtime import stored, sweep, table, without
 from tickloom.llm.secrets import redacted, scan
 
 
@@ -73,4 +73,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        sweep(spark)
     return docs

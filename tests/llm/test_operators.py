@@ -148,6 +148,14 @@ def test_join_of_nothing(spark):
     assert all(r.doc_id == r.component_id and r.n == 0 for r in JaccardJoin(blank).components().collect())
 
 
+def test_rows_without_or_with_repeated_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near = text.replace("w30", "x")
+    rows = [(None, text), (5, near), (9, text), (9, text), (None, "alone"), (7, "some other words that are here"), (7, near)]
+    got = Counter((r.doc_id, r.n, r.component_id) for r in JaccardJoin(spark.createDataFrame(rows, "doc_id long, text string")).components().collect())
+    assert got == Counter({(None, 56, 5): 1, (5, 56, 5): 1, (9, 56, 5): 2, (None, 1, None): 1, (7, 2, 7): 1, (7, 56, 5): 1})
+
+
 def test_components(spark):
     edges = [(1, 2), (3, 2), (4, 5), (9, 9), (2, 1)] + [(i, i + 1) for i in range(20, 60)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

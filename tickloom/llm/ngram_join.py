@@ -20,7 +20,8 @@ form a class and are handled as one.
    they are exact.  ``links()`` lists every linked pair instead.
 
 Edge cases: null, empty and blank texts have an empty set, no class and no
-link.  Texts of fewer than ``width`` words have one n-gram, the whole sequence.
+link.  A row without doc_id takes part like any other and names no component.
+Texts of fewer than ``width`` words have one n-gram, the whole sequence.
 Repeated rows and ties share a class; ids decide nothing but the name of a
 component.  An empty table gives no rows.  Extra columns are ignored.
 """
@@ -31,7 +32,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -90,8 +90,8 @@ def _histogram(one: np.ndarray) -> bytes:
 def _profile(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(SKETCH_WIDTH, np.uint32)
-        names = ["doc_id", "n", "cls", "shape", "part", "cells"]
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+        names = ["doc_id", "row", "n", "cls", "shape", "part", "cells"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
         for batch in chunks(batches):
             sets = shingle_sets(batch.column("text"), width)
             if sum(map(len, sets)):
@@ -100,6 +100,7 @@ def _profile(width: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("row"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([_histogram(s) if len(s) else None for s in sets], pa.binary()),
@@ -111,7 +112,7 @@ def _profile(width: int):
         rows = sketch_rows(cells, SKETCH_PARTS)
         k = rows.num_rows
         if k:
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(k, t) for t in types[:4]), *rows.columns], names)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(k, t) for t in types[:5]), *rows.columns], names)
 
     return run
 
@@ -362,18 +363,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 
 def _packed(bits):
+    """Rows whose bit is set, with their texts packed."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         wanted = np.frombuffer(bits.value, np.uint8)
-        for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column("doc_id")))
-            cell = key_cells(np.asarray(batch.column("doc_id")), 8 * len(wanted))
-            batch = batch.filter(pa.array((wanted[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0))
-            yield from packed(batch, pack)
 
-    def packed(batch: pa.RecordBatch, pack) -> Iterator[pa.RecordBatch]:
-        for part in chunks(iter([batch])):
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([None if x is None else pack(x) for x in part.column("text").cast(pa.large_binary()).to_pylist()], pa.binary())], ["doc_id", "packed"])
+        def marked() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                cell = key_cells(np.asarray(batch.column("row")), 8 * len(wanted))
+                yield batch.filter(pa.array((wanted[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0))
+
+        for part in chunks(marked()):
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array([None if x is None else pack(x) for x in part.column("text").cast(pa.large_binary()).to_pylist()], pa.binary())], ["row", "packed"])
 
     return run
 
@@ -382,13 +384,14 @@ class JaccardJoin:
     """The join of ``documents`` (doc_id, text) with itself."""
 
     def __init__(self, documents: DataFrame, width: int = 5, percent: int = 75):
-        self.documents = plain(documents, doc_id="long", text="string")
+        # rows are told apart by id and text, as either may be missing or repeat
+        self.documents = plain(documents, doc_id="long", text="string").withColumn("row", F.xxhash64("doc_id", "text"))
         self.width, self.percent = width, percent
-        profile = stored(self.documents.mapInArrow(_profile(width), "doc_id long, n long, cls long, shape binary, part int, cells binary"), "jaccard-profile")
+        profile = stored(self.documents.mapInArrow(_profile(width), "doc_id long, row long, n long, cls long, shape binary, part int, cells binary"), "jaccard-profile")
         #: doc_id, n (size of its set), cls (its class, null if the set is empty)
         self.members = profile.where("part is null").select("doc_id", "n", "cls")
-        #: cls, n, shape, doc_id (the smallest of the class)
-        self.classes = profile.where("cls is not null").groupBy("cls").agg(F.min("n").alias("n"), F.min("shape").alias("shape"), F.min("doc_id").alias("doc_id"))
+        #: cls, n, shape, doc_id (the smallest of the class), row (one of its texts)
+        self.classes = profile.where("cls is not null").groupBy("cls").agg(F.min("n").alias("n"), F.min("shape").alias("shape"), F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
         self._sketch = collect_sketch(merge_sketches(profile.where("part is not null").select("part", "cells"), SKETCH_PARTS, "uint32"), SKETCH_WIDTH, SKETCH_PARTS, "uint32")
 
     def _led(self) -> DataFrame:
@@ -399,9 +402,9 @@ class JaccardJoin:
 
     def _texts(self, classes: DataFrame) -> DataFrame:
         """The packed text of one document of each of the classes (cls); the other texts stay where they are."""
-        wanted = stored(classes.distinct().join(self.classes, "cls").select("cls", "doc_id"), "jaccard-wanted")
-        bits = wanted.sparkSession.sparkContext.broadcast(key_bits(wanted.where("doc_id is not null").select("doc_id")).tobytes())
-        return stored(self.documents.mapInArrow(_packed(bits), "doc_id long, packed binary").join(wanted, "doc_id").dropDuplicates(["cls"]).select("cls", "packed"), "jaccard-texts")
+        wanted = stored(classes.distinct().join(self.classes, "cls").select("cls", "row"), "jaccard-wanted")
+        bits = wanted.sparkSession.sparkContext.broadcast(key_bits(wanted.select("row")).tobytes())
+        return stored(self.documents.select("row", "text").mapInArrow(_packed(bits), "row long, packed binary").join(wanted, "row").dropDuplicates(["cls"]).select("cls", "packed"), "jaccard-texts")
 
     def _checked(self, pairs: DataFrame) -> DataFrame:
         pairs = stored(_filtered(pairs, self.classes, self.percent), "jaccard-pairs")

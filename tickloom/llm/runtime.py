@@ -45,9 +45,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete all that ``stored`` has written but the last table; call it once nothing older is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while len(_WRITTEN) > 1:
+        old = path(_WRITTEN.pop(0))
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
