@@ -69,14 +69,14 @@ TOPICS = [("000001.SZ", "机器人", "T1", 1, 2.0), ("000001.SZ", "银行", "T2"
 
 
 def stocks(spark):
-    rows = [("000001.SZ", "平安银行", 4, "sealed", "8天6板", 8_000_000.0, 100_000_000.0, 1, "20240102"), ("000002.SZ", "万科A", 4, "sealed", "4天2板", 800_000.0, 96_400_000.0, 2, "20240102")]
+    rows = [("000001.SZ", "平安银行", 4, "sealed", "8天6板", 8_000_000.0, 100_000_000.0, 1, "20240102"), ("000002.SZ", "万科A", 1, "sealed", "4天2板", 800_000.0, 96_400_000.0, 2, "20240102")]
     return spark.createDataFrame(rows, "instrument_id string, name string, ladder_level int, limit_status string, limit_board_text string, seal_amount double, amount double, rank int, trade_date string")
 
 
 def test_theme_rank(spark):
     topics = spark.createDataFrame(TOPICS, "instrument_id string, topic_name string, topic_id string, ordinal int, relevance double")
     out = ladder.theme_rank(stocks(spark), topics).orderBy("rank").collect()
-    assert [(r.topic_name, r.theme_strength_score) for r in out] == [("机器人", 250.0), ("银行", 145.0), ("地产", 145.0)]
+    assert [(r.topic_name, r.theme_strength_score) for r in out] == [("机器人", 245.0), ("银行", 145.0), ("地产", 110.0)]
     assert (out[0].leader_instrument_id, out[0].leader_ladder_level, out[0].seal_amount_sum, out[0].amount_sum) == ("000001.SZ", 4, 8_800_000.0, 196_400_000.0)
     assert out[0].top_stock_summary == "平安银行（8天6板） 万科A（4天2板）"
 
