@@ -6,8 +6,8 @@ writes each stage's rows as Parquet to the shared folder, hands the reread rows
 on and deletes what the stage needed meanwhile.
 
 Rows without doc_id can't be named by the stages that drop documents, so the
-first stage drops them; rows that repeat a doc_id are kept or dropped together;
-null texts are kept as they are.  An empty table passes through.
+first stage drops them.  Of rows that repeat id and text one stays; rows that
+share an id only are kept or dropped together.  Null texts are kept as they are.  An empty table passes through.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from tickloom.llm import toxicity as toxic
 from tickloom.llm.decontaminate import PositionalIndex
 from tickloom.llm.ngram_join import JaccardJoin
 from tickloom.llm.packing import pack
-from tickloom.llm.runtime import stored, sweep, table, without
+from tickloom.llm.runtime import once, stored, sweep, table, without
 from tickloom.llm.secrets import redacted, scan
 
 
@@ -31,9 +31,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of each group of near duplicates that has the smallest id."""
+    """Keeps the document of each group of near duplicates that has the smallest id, once."""
     found = JaccardJoin(docs.select("doc_id", "text")).components()
-    return without(docs, stored(found.where("doc_id <> component_id").select("doc_id"), "near-duplicates"))
+    return once(without(docs, stored(found.where("doc_id <> component_id").select("doc_id"), "near-duplicates")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -193,8 +193,9 @@ def test_decontamination(spark, rows, docs):
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "x alpha beta gamma y"), (2, "alpha one beta gamma"), (3, "gamma beta")], "doc_id int, text string")
     index = PositionalIndex(docs, spark.createDataFrame([("i", "alpha beta gamma")], "item_id string, text string"))
-    assert {r.key for r in index.phrases().collect()} == {1}
-    assert {(r.key, r.gap) for r in index.near(slop=1).collect()} >= {(1, 0)}
+    ids = {r.key: r.doc_id for r in index.documents.collect()}
+    assert {ids[r.key] for r in index.phrases().collect()} == {1}
+    assert {(ids[r.key], r.gap) for r in index.near(slop=1).collect()} >= {(1, 0)}
 
 
 def test_decontamination_of_nothing(spark, docs):
@@ -225,9 +226,9 @@ def test_substring_dedup(rows, docs, cells):
 
 
 def test_substring_dedup_within_a_text(spark):
-    texts = [(1, "a " * 100), (2, " ".join(map(str, range(50))) + " " + " ".join(map(str, range(50)))), (3, " ".join("ab"[i % 2] for i in range(90))), (None, "x " * 40), (None, "y"), (4, " ".join(map(str, range(100, 134))))]
+    texts = [(1, "a " * 100), (2, " ".join(map(str, range(50))) + " " + " ".join(map(str, range(50)))), (3, " ".join("ab"[i % 2] for i in range(90))), (None, "x " * 40), (None, "y"), (6, "z " * 36), (6, "other"), (4, " ".join(map(str, range(100, 134))))]
     got = Counter((r.doc_id, r.n_words, r.n_removed) for r in remove_repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect())
-    assert got == Counter({(1, 100, 100): 1, (2, 100, 100): 1, (3, 90, 90): 1, (None, 40, 40): 1, (None, 1, 0): 1, (4, 34, 0): 1})
+    assert got == Counter({(1, 100, 100): 1, (2, 100, 100): 1, (3, 90, 90): 1, (None, 40, 40): 1, (None, 1, 0): 1, (4, 34, 0): 1, (6, 36, 36): 1, (6, 1, 0): 1})
     assert remove_repeats(empty(spark)).count() == 0
 
 

@@ -80,3 +80,23 @@ def test_dedup_query_hashes_words(spark, data):
     first = queries.op10_substring_dedup(spark, data).where("n_removed = 0").first()
     text = table(spark, data, "documents").where(f"doc_id = {first.doc_id}").first().text
     assert first.kept_sha256 == hashlib.sha256(" ".join(blank_words(text)).encode()).hexdigest()
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls, repeated rows, near copies and columns with clashing names; and no rows at all."""
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, text, "x", 1.0, 5), (1, text, "x", 1.0, 5), (2, text.replace("w40", "y"), "x", 1.0, 5), (3, None, None, None, None), (None, "lost", "x", 1.0, 5), (4, "", "x", 1.0, 5), (5, "key password=abcdef0123456789", "x", 1.0, 5)]
+    schema = "doc_id long, text string, key string, score double, predicted int"
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for docs, wanted in ((spark.createDataFrame(rows, schema), [1, 3, 4, 5]), (spark.createDataFrame([], schema), [])):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stored(stage(spark, docs, str(tmp_path)), f"odd-{name}")
+            if name != "packing":
+                assert docs.columns == ["doc_id", "text", "key", "score", "predicted"]
+            if name == "secrets" and wanted:
+                assert docs.where("doc_id = 5").first().text == "key [secret]"
+                assert docs.where("doc_id = 3").first().text is None
+            if name in ("ngram_join", "secrets"):
+                assert sorted(r.doc_id for r in docs.collect()) == wanted
+        assert sorted({r.doc_id for r in docs.collect()}) == wanted

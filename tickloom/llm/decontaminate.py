@@ -16,8 +16,8 @@ wanted ones.
 
 Edge cases: null, empty or wordless texts have no words, no windows and no hit.
 Items without an id are named by the empty string; an id that repeats counts
-once.  Rows that repeat a doc_id must repeat its text; rows without doc_id are
-told apart by their text.  Empty tables give no matches; extra columns are
+once.  Rows may lack a doc_id or share one: they are told apart by id and text.
+Empty tables give no matches; extra columns are
 ignored.
 """
 
@@ -145,7 +145,7 @@ class PositionalIndex:
         spark = documents.sparkSession
         self.width = width
         texts = plain(documents, doc_id="long", text="string")
-        texts = texts.withColumn("key", F.coalesce("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
+        texts = texts.withColumn("key", F.xxhash64("doc_id", "text"))
         items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string").alias("text"))
         rows = stored(items.mapInArrow(_windows(width), "item_id string, gram binary, terms array<string>"), "test-windows")
         #: gram, item_id

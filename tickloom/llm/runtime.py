@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_BYTES = 4 << 20
@@ -146,12 +146,8 @@ def key_cells(keys: np.ndarray, cells: int) -> np.ndarray:
     return ((mixed >> np.uint64(20)) & np.uint64(cells - 1)).astype(np.int64)
 
 
-def without(docs: DataFrame, names: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose key isn't in ``names``, an anti join that moves few rows.
-
-    A row whose bit isn't set can't be named and stays where it is; only the
-    others, the named ones and a few that share a bit, are joined.
-    """
+def may_be_in(docs: DataFrame, names: DataFrame, key: str) -> Column:
+    """Whether a row's key has its bit among the names' bits: true for all of them and a few others."""
     bits = docs.sparkSession.sparkContext.broadcast(key_bits(names.select(F.col(key).cast("long")).dropna()).tobytes())
 
     @F.pandas_udf("boolean")
@@ -160,6 +156,24 @@ def without(docs: DataFrame, names: DataFrame, key: str = "doc_id") -> DataFrame
         cell = key_cells(keys.fillna(0).to_numpy(np.int64), 8 * len(array))
         return pd.Series(((array[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0) & keys.notna().to_numpy())
 
-    flag = marked(F.col(key).cast("long"))
+    return marked(F.col(key).cast("long"))
+
+
+def without(docs: DataFrame, names: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose key isn't in ``names``, an anti join that moves few rows.
+
+    A row whose bit isn't set can't be named and stays where it is; only the
+    others, the named ones and a few that share a bit, are joined.
+    """
+    flag = may_be_in(docs, names, key)
     some = docs.where(flag).join(names.select(key).distinct(), key, "left_anti").select(docs.columns)
     return docs.where(~flag).unionByName(some)
+
+
+def once(docs: DataFrame, key: str = "doc_id", same: tuple[str, ...] = ("text",)) -> DataFrame:
+    """One of the rows that repeat a key and the columns ``same``; rows with a key of their own stay where they are."""
+    repeated = stored(docs.groupBy(key).count().where("count > 1").select(key), "repeated")
+    if not repeated.limit(1).count():
+        return docs
+    flag = may_be_in(docs, repeated, key)
+    return docs.where(~flag).unionByName(docs.where(flag).dropDuplicates([key, *same]))

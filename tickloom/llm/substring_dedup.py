@@ -19,9 +19,8 @@ that it lets more windows through; none is ever lost.
 
 Edge cases: null, empty and blank texts have no words and keep the hash of the
 empty string.  Texts shorter than a window keep all words.  A repeated row
-repeats all its windows.  Rows that repeat a doc_id must repeat its text; rows
-without doc_id are told apart by their text.  An empty table gives no rows, and
-extra columns are ignored.
+repeats all its windows.  Rows may lack a doc_id or share one.  An empty table
+gives no rows, and extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.runtime import plain, stored
+from tickloom.llm.runtime import plain
 from tickloom.llm.textwords import RAW, Words, chunks, mixed, rolling, split_words
 
 GRAM = 8
@@ -328,7 +327,8 @@ def remove_repeats(documents: DataFrame, width: int = 35, cells: int = 1 << 26,
     """doc_id, n_words, n_removed, kept_sha256 and the kept text, one row per row of (doc_id, text)."""
     spark = documents.sparkSession
     rows = plain(documents, doc_id="long", text="string")
-    rows = rows.withColumn("key", F.coalesce("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
+    # rows are told apart by id and text, as either may be missing or repeat
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     counted = rows.select("text").mapInArrow(_count(width, cells), "part int, places binary")
     merged = counted.repartition(PARTS, "part").mapInArrow(_merge(cells), "part int, bits binary")
     bits = np.zeros((2 * PARTS, cells // PARTS // 8), np.uint8)

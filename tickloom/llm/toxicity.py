@@ -46,7 +46,7 @@ MIN_TEXTS = 3
 SUPPORT = 0.01
 MAX_FEATURES = 4096
 #: Standard errors between the shares of toxic and of all texts with a feature, and the share of such texts that must be toxic.
-APART = 4.0
+APART = 3.0
 TOXIC_SHARE = 0.75
 PREFIXES = (3, 4, 5, 6)
 
