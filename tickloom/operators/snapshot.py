@@ -15,28 +15,29 @@ from tickloom.functions.text import board_text
 LEVELS = 5
 
 
+# What a snapshot derives, the columns it takes, and how.
+_DERIVED = {
+    "instrument_id": (("tdx_code",), instrument_id),
+    "exchange": (("tdx_code",), exchange_of),
+    "change": (("last_price", "pre_close"), lambda last, pre: money.round6(num(last) - num(pre))),
+    "change_pct": (("last_price", "pre_close"), money.percent_change),
+    "open_change_pct": (("open", "pre_close"), money.percent_change),
+    "high_change_pct": (("high", "pre_close"), money.percent_change),
+    "low_change_pct": (("low", "pre_close"), money.percent_change),
+    "average_price": (("amount", "volume"), money.average_price),
+    "drawdown_pct": (("high", "last_price", "pre_close"), money.drawdown_pct),
+    "attack_pct": (("last_price", "low", "pre_close"), money.attack_pct),
+    "inside_outside_ratio": (("inside_volume", "outside_volume"), money.safe_ratio),
+    "locked_amount": (("bid1_price", "bid1_volume"), money.locked_amount),
+    "balance_pct": (("bid1_volume", "ask1_volume"), money.balance_pct),
+    "volume_gap": (("bid1_volume", "ask1_volume"), money.int_diff),
+}
+
+
 def derived(quotes: DataFrame) -> DataFrame:
-    """Adds all that a snapshot derives from raw quotes."""
-    new = {
-        "instrument_id": instrument_id("tdx_code"),
-        "exchange": exchange_of("tdx_code"),
-        "change": money.round6(num("last_price") - num("pre_close")),
-        "change_pct": money.percent_change("last_price", "pre_close"),
-        "open_change_pct": money.percent_change("open", "pre_close"),
-        "high_change_pct": money.percent_change("high", "pre_close"),
-        "low_change_pct": money.percent_change("low", "pre_close"),
-        "average_price": money.average_price("amount", "volume"),
-        "drawdown_pct": money.drawdown_pct("high", "last_price", "pre_close"),
-        "attack_pct": money.attack_pct("last_price", "low", "pre_close"),
-        "inside_outside_ratio": money.safe_ratio("inside_volume", "outside_volume"),
-        "locked_amount": money.locked_amount("bid1_price", "bid1_volume"),
-        "balance_pct": money.balance_pct("bid1_volume", "ask1_volume"),
-        "volume_gap": money.int_diff("bid1_volume", "ask1_volume"),
-    }
-    needed = {"change": ("last_price", "pre_close")}
+    """Adds all that raw quotes with these columns give."""
     have = set(quotes.columns)
-    inputs = {"instrument_id": ("tdx_code",), "exchange": ("tdx_code",), "change_pct": ("last_price", "pre_close"), "open_change_pct": ("open", "pre_close"), "high_change_pct": ("high", "pre_close"), "low_change_pct": ("low", "pre_close"), "average_price": ("amount", "volume"), "drawdown_pct": ("high", "last_price", "pre_close"), "attack_pct": ("last_price", "low", "pre_close"), "inside_outside_ratio": ("inside_volume", "outside_volume"), "locked_amount": ("bid1_price", "bid1_volume"), "balance_pct": ("bid1_volume", "ask1_volume"), "volume_gap": ("bid1_volume", "ask1_volume"), **needed}
-    return quotes.withColumns({k: c for k, c in new.items() if have.issuperset(inputs[k])})
+    return quotes.withColumns({name: how(*takes) for name, (takes, how) in _DERIVED.items() if have.issuperset(takes)})
 
 
 def order_book(quotes: DataFrame, keep: Sequence[str]) -> DataFrame:
