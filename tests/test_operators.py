@@ -191,3 +191,11 @@ def test_json_items(spark):
 def test_pennies(spark):
     df = spark.createDataFrame([("a", 0.9), ("b", None), ("ST c", 5.0), ("d", 2.0)], "name string, last_price double")
     assert sorted(r.name for r in filters.without_pennies(df).collect()) == ["b", "d"]
+
+
+def test_numbers_over_all_rows(spark):
+    from tickloom.operators.ranking import numbered
+
+    rows = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("v"))
+    assert {(r.v, r["rank"]) for r in numbered(rows, [F.desc("v")], start=10).collect()} == {(v, 5010 - v) for v in range(5000)}
+    assert numbered(rows.limit(0), [F.asc("v")]).count() == 0

@@ -120,8 +120,11 @@ def with_one_row(rows: DataFrame, aggregate: DataFrame) -> DataFrame:
 
 def positional(left: DataFrame, right: DataFrame, left_order: str, right_order: str, by: Sequence[str] = ()) -> DataFrame:
     """Row i of one with row i of the other, within each key."""
-    number = lambda df, o: df.withColumn("row_", F.row_number().over(Window.partitionBy(*(by or [F.lit(0)])).orderBy(o)))
-    return number(left, left_order).join(number(right, right_order).drop(*(c for c in right.columns if c in left.columns and c not in by)), [*by, "row_"], "left").drop("row_")
+    from tickloom.operators.ranking import ranked
+
+    fresh = [c for c in right.columns if c not in left.columns or c in by]
+    other = ranked(right, [F.asc(right_order)], by=by, name="row_").select(*fresh, "row_")
+    return ranked(left, [F.asc(left_order)], by=by, name="row_").join(other, [*by, "row_"], "left").drop("row_")
 
 
 def by_key_or_code(quotes: DataFrame, instruments: DataFrame, values: Sequence[str]) -> DataFrame:

@@ -11,9 +11,27 @@ from tickloom.functions.money import num
 from tickloom.operators.joins import exchange_order
 
 
-def ranked(df: DataFrame, order: Sequence[Column], start: int = 0, by: Sequence[str] = ()) -> DataFrame:
-    """Numbers rows in an order, from start + 1."""
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order)) + start)
+def ranked(df: DataFrame, order: Sequence[Column], start: int = 0, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
+    """Numbers rows in an order, from start + 1, within each key or over all rows."""
+    if by:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)) + start)
+    return numbered(df, order, start, name)
+
+
+def numbered(df: DataFrame, order: Sequence[Column], start: int = 0, name: str = "rank") -> DataFrame:
+    """Row numbers over all rows without gathering them in one task.
+
+    Rows are dealt into ranges of the order; each range is numbered on its own
+    and shifted by the sizes of the ranges before it, one row a range.  Both
+    uses of the ranges are one exchange.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *order).withColumn("part_", F.spark_partition_id())
+    sizes = dealt.groupBy("part_").agg(F.count("*").alias("size_"))
+    shift = F.sum("size_").over(Window.orderBy("part_")) - F.col("size_")
+    own = F.row_number().over(Window.partitionBy("part_").orderBy(*order))
+    rows = dealt.withColumn("own_", own).join(F.broadcast(sizes.select("part_", shift.alias("shift_"))), "part_")
+    return rows.withColumn(name, F.col("own_") + F.col("shift_") + start).drop("part_", "own_", "shift_")
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
