@@ -10,9 +10,9 @@ the hashes of the words around it.
 3. The two lists are adjusted by the terms' offsets and intersected; what is
    left is compared with the whole window by the stored context.
 
-The test vocabulary is broadcast while it is at most ``VOCABULARY_BYTES``;
-beyond that every training term is counted and posted, and joins pick the
-wanted ones.
+The test vocabulary and the probes are broadcast while they are at most
+``VOCABULARY_BYTES`` each; beyond that every training term is counted and
+posted, and joins pick the wanted ones.
 
 Edge cases: null, empty or wordless texts have no words, no windows and no hit.
 Items without an id are named by the empty string; an id that repeats counts
@@ -143,7 +143,7 @@ class PositionalIndex:
 
     def __init__(self, documents: DataFrame, benchmark: DataFrame, width: int = 13, vocabulary_bytes: int = VOCABULARY_BYTES):
         spark = documents.sparkSession
-        self.width = width
+        self.width, self.vocabulary_bytes = width, vocabulary_bytes
         texts = plain(documents, doc_id="long", text="string")
         texts = texts.withColumn("key", F.xxhash64("doc_id", "text"))
         items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -172,9 +172,14 @@ class PositionalIndex:
         #: term, key, place, context
         self.postings = index.where("term is not null").select("term", "key", "place", "context")
 
+    def _probes(self) -> DataFrame:
+        """The probes, broadcast while they are small, so that one frequent term isn't one task."""
+        small = self.probes.count() * (8 * self.width + 120) <= self.vocabulary_bytes
+        return F.broadcast(self.probes) if small else self.probes
+
     def near(self, slop: int = 0) -> DataFrame:
         """Where a window's two rarest terms lie as far apart as in it, give or take ``slop``: gram, n, key, start, gap, context."""
-        lead = self.postings.join(self.probes, "term").select("gram", "n", "key", (F.col("place") - F.col("offset")).alias("start"), "place", "context", "offset", "term2", "offset2")
+        lead = self.postings.join(self._probes(), "term").select("gram", "n", "key", (F.col("place") - F.col("offset")).alias("start"), "place", "context", "offset", "term2", "offset2")
         other = self.postings.select(F.col("term").alias("term2"), F.col("key"), F.col("place").alias("place2"))
         gap = F.col("place2") - F.col("offset2") - F.col("start")
         if slop == 0:

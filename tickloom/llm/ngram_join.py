@@ -50,6 +50,8 @@ FAN = 512
 #: Sets, and n-grams in them, that one block compares with all that may link.
 BLOCK = 1024
 BLOCK_GRAMS = 1 << 21
+#: Classes that pass one copy of a block; more go past further copies of it.
+PASSING = 2048
 #: Cells of the histogram behind the suffix filter.
 CELLS = 48
 
@@ -303,15 +305,15 @@ def _blocks(width: int, percent: int):
                 for start in range(0, batch.num_rows, 256):
                     part = batch.slice(start, 256)
                     texts = pa.array([unpack(x) for x in part.column("packed").to_pylist()], pa.large_binary())
-                    plain = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("grp", "role", "cls", "component")), texts], ["grp", "role", "cls", "component", "text"])
+                    plain = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("grp", "salt", "role", "cls", "component")), texts], ["grp", "salt", "role", "cls", "component", "text"])
                     for small in chunks(iter([plain])):
-                        yield from zip(*(small.column(c).to_pylist() for c in ("grp", "role", "cls", "component")), shingle_sets(small.column("text"), width), strict=True)
+                        yield from zip(*(small.column(c).to_pylist() for c in ("grp", "salt", "role", "cls", "component")), shingle_sets(small.column("text"), width), strict=True)
 
         a: list[int] = []
         b: list[int] = []
-        for grp, role, cls, component, one in rows():
-            if grp != now:
-                now, ids, parts, sets, shapes, known = grp, [], [], [], None, None
+        for grp, salt, role, cls, component, one in rows():
+            if (grp, salt) != now:
+                now, ids, parts, sets, shapes, known = (grp, salt), [], [], [], None, None
                 parent.clear()
             if role == 0:
                 ids.append(cls)
@@ -461,8 +463,11 @@ class JaccardJoin:
         met = members.groupBy("grp").agg(F.min("cls").alias("first"), F.max("cls").alias("last")).where("first <> last").select("grp")
         both = stored(passing.unionByName(held.select("grp", "cls", F.lit(0).alias("role"))).join(met, "grp"), "jaccard-passing")
         texts = self._texts(both.select("cls"))
-        named = both.join(rows.select("cls", "component").distinct(), "cls").join(texts, "cls").select("grp", "role", "cls", "component", "packed")
-        return named.repartition("grp").sortWithinPartitions("grp", "role").mapInArrow(_blocks(self.width, self.percent), "a long, b long")
+        copies = both.groupBy("grp").agg(F.ceil(F.greatest(F.lit(1), F.sum("role")) / F.lit(PASSING)).cast("int").alias("copies"))
+        place = F.when(F.col("role") == 1, F.array(F.pmod(F.xxhash64("cls"), F.col("copies").cast("long")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("copies") - 1))
+        dealt = both.join(copies, "grp").select("grp", "role", "cls", F.explode(place).alias("salt"))
+        named = dealt.join(rows.select("cls", "component").distinct(), "cls").join(texts, "cls").select("grp", "salt", "role", "cls", "component", "packed")
+        return named.repartition("grp", "salt").sortWithinPartitions("grp", "salt", "role").mapInArrow(_blocks(self.width, self.percent), "a long, b long")
 
     def links(self) -> DataFrame:
         """Every linked pair of different classes, by their smallest documents: (doc_id, other_id)."""
