@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +32,23 @@ def read_csv(spark: SparkSession, path: str, params: Mapping[str, Any] | None =
     return df if limit is None else df.limit(limit)
 
 
+def text_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """Lines of text files in any encoding that Python knows and that keeps line feeds as bytes of their own."""
+    lines = spark.read.text(path)
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        return lines.select(F.col("value").alias("line"))
+
+    @F.pandas_udf("string")
+    def decoded(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: bytes(b).decode(encoding, "replace"))
+
+    # a line is read as its bytes, whatever they spell
+    return lines.select(decoded(F.col("value").cast("binary")).alias("line"))
+
+
 def read_stats(spark: SparkSession, path: str, columns: Mapping[int, str], least: int = 35, encoding: str = "GBK") -> DataFrame:
     """Pipe-separated lines: (market_id, code) and the asked positions; short lines are skipped."""
-    lines = spark.read.option("encoding", encoding).option("sep", "\u0001").option("quote", "").csv(path).toDF("line")
+    lines = text_lines(spark, path, encoding)
     cells = F.split("line", r"\|")
     rows = lines.select(cells.alias("c")).where(F.size("c") >= least)
     return rows.select(F.col("c")[0].try_cast("int").alias("market_id"), F.lpad(F.trim(F.col("c")[1]), 6, "0").alias("code"), *(clean_text(F.col("c")[i]).alias(n) for i, n in columns.items()))
@@ -89,8 +104,6 @@ def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
         import zipfile
         from xml.etree import ElementTree
 
-        import pandas as pd
-
         space = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
         for batch in batches:
             rows = []

@@ -76,10 +76,11 @@ def scan_files(spark: SparkSession, files: TableFiles) -> DataFrame:
             # some of the files may have the column, others only the folder's name
             frame = frame.withColumn(k, F.coalesce(F.col(f"`{k}`").cast("string"), value) if k in frame.columns else value)
         frames.append(frame)
-    return reduce(lambda a, b: _union(a, b), frames)
+    return reduce(lambda a, b: union_by_name(a, b), frames)
 
 
-def _union(a: DataFrame, b: DataFrame) -> DataFrame:
+def union_by_name(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of both by column name; a column of two types becomes text, one that a side lacks is null there."""
     types = dict(a.dtypes)
     clash = [c for c, t in b.dtypes if c in types and types[c] != t]
     a, b = (d.withColumns({c: F.col(f"`{c}`").cast("string") for c in clash}) if clash else d for d in (a, b))

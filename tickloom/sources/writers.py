@@ -6,9 +6,13 @@ failed job leaves the old data; nothing that is read is overwritten meanwhile.
 
 from __future__ import annotations
 
+import json
+import posixpath
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.dates import compact
 from tickloom.schema import table_schema
 from tickloom.sources.layout import exists
-from tickloom.sources.tables import _union
+from tickloom.sources.tables import union_by_name
 
 NULL_LABEL = "__null__"
 MODES = ("snapshot", "append", "overwrite_partition", "replace_range", "upsert_by_key")
@@ -119,7 +123,7 @@ def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]) -
 def upserted(old: DataFrame, new: DataFrame, key: Sequence[str], order: str | None = None, date_field: str | None = None, legacy_keys: bool = False) -> DataFrame:
     """Old and new rows, the new ones last, one a key.  ``order`` ranks rows within either side."""
     rank = F.col(order) if order else F.lit(0)
-    both = _union(old.withColumns({"side_": F.lit(0), "order_": rank}), new.withColumns({"side_": F.lit(1), "order_": rank if order in new.columns else F.lit(0)}))
+    both = union_by_name(old.withColumns({"side_": F.lit(0), "order_": rank}), new.withColumns({"side_": F.lit(1), "order_": rank if order in new.columns else F.lit(0)}))
     both = both.withColumns({k: key_text(F.col(k), k == date_field, legacy_keys) for k in key})
     tie = F.xxhash64(*(F.col(f"`{c}`") for c in both.columns if c not in ("side_", "order_")))
     return keep_last(both, [F.col(k) for k in key], [F.col("side_"), F.col("order_"), tie]).drop("side_", "order_")
@@ -130,7 +134,7 @@ def range_replaced(old: DataFrame, new: DataFrame, date_field: str, start: str,
     if start > end:
         raise ValueError("the range starts after its end")
     day = compact(date_field)
-    return _union(old.where(day.isNull() | ~day.between(start, end)), new)
+    return union_by_name(old.where(day.isNull() | ~day.between(start, end)), new)
 
 
 def write(
@@ -159,30 +163,25 @@ def write(
     before = old.count() if old is not None else 0
     written = df.count()
     result = WriteResult(before, written, 0)
-    labels = partition_labels(df, partition_by) if partition_by else None
-    if labels is not None:
-        result.partitions = sorted(r.label for r in labels.collect())
+    if partition_by:
+        result.partitions = sorted(r.label for r in partition_labels(df, partition_by).collect())
     if mode == "replace_range":
         low, high = df.agg(F.min(compact(date_field)), F.max(compact(date_field))).first()
         result.range_start, result.range_end = (start or low or "").replace("-", "") or None, (end or high or "").replace("-", "") or None
         if not result.range_start or not result.range_end:
             raise ValueError("no row has a date, so there is no range to replace")
-    if old is None or mode == "snapshot":
-        whole = keep_last(df, [key_text(F.col(k), k == date_field, legacy_keys) for k in key], [F.xxhash64(*df.columns)]) if mode == "upsert_by_key" and order is None else upserted(df.limit(0), df, key, order, date_field, legacy_keys) if mode == "upsert_by_key" else df
+    if mode == "upsert_by_key":
+        whole = upserted(df.limit(0) if old is None else old, df, key, order, date_field, legacy_keys)
+    elif old is None or mode == "snapshot":
+        whole = df
     elif mode == "append":
-        whole = _union(old, df)
-    elif mode == "overwrite_partition":
-        touched = [partition_label(F.col(k)).alias(f"{k}_") for k in partition_by]
-        named = df.select(*touched).distinct()
-        same = [partition_label(old[k]) == named[f"{k}_"] for k in partition_by]
-        condition = same[0]
-        for s in same[1:]:
-            condition = condition & s
-        whole = _union(old.join(named, condition, "left_anti"), df)
+        whole = union_by_name(old, df)
     elif mode == "replace_range":
         whole = range_replaced(old, df, date_field, result.range_start, result.range_end)
     else:
-        whole = upserted(old, df, key, order, date_field, legacy_keys)
+        named = df.select(*(partition_label(F.col(k)).alias(f"{k}_") for k in partition_by)).distinct()
+        same = reduce(and_, (partition_label(old[k]) == named[f"{k}_"] for k in partition_by))
+        whole = union_by_name(old.join(named, same, "left_anti"), df)
     if mode == "append" and old is not None:
         # never touches what is there
         df.write.mode("append").parquet(target)
@@ -205,8 +204,6 @@ def read_written(spark: SparkSession, target: str) -> DataFrame:
 
 def write_run_log(spark: SparkSession, folder: str, entry: dict) -> None:
     """One JSON line a run."""
-    import json
-
     spark.createDataFrame([(json.dumps(entry, ensure_ascii=False, default=str),)], "value string").coalesce(1).write.mode("append").text(f"{folder}/runs")
 
 
@@ -228,7 +225,7 @@ def json_rows(df: DataFrame) -> DataFrame:
 
 def exchange_scoped(old: DataFrame, new: DataFrame, exchange: str = "exchange") -> DataFrame:
     """Old rows of exchanges that the new batch doesn't hold, and the new batch."""
-    return _union(old.join(new.select(exchange).distinct(), exchange, "left_anti").select(old.columns), new)
+    return union_by_name(old.join(new.select(exchange).distinct(), exchange, "left_anti").select(old.columns), new)
 
 
 def shrinking(old: DataFrame, new: DataFrame, group: str = "exchange", least: int = 1, share: float = 0.9) -> DataFrame:
@@ -258,8 +255,6 @@ def snapshot_date(df: DataFrame, meta: dict, today: str, date_field: str = "trad
 
 def delete_dataset(spark: SparkSession, root: str, path: str) -> None:
     """Delete a dataset that lies under the data root, and nothing else."""
-    import posixpath
-
     root, whole = posixpath.normpath(root), posixpath.normpath(posixpath.join(root, path))
     if not whole.startswith(root + "/"):
         raise ValueError(f"{path} is outside {root}")
