@@ -731,6 +731,111 @@ def q_pushdown_scan(spark, folder):
     return rows.select("l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("net"))
 
 
+# --- more scalars, joins and sources
+
+
+@query("""SELECT l_orderkey, l_linenumber, CAST(trunc(((p / 1000.0 * 10 - c1) + c4 * c2) / (10 + c3 + c4) * 1000) AS BIGINT) AS pre
+FROM (SELECT *, CAST(round(l_extendedprice) AS BIGINT) AS p, l_discount * 10 AS c1, l_quantity AS c2, l_tax * 10 AS c3, CAST(l_linenumber AS DOUBLE) AS c4 FROM lineitem)""")
+def q_ex_rights_price(spark, folder):
+    rows = load(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.round("l_extendedprice").cast("long").alias("p"), (F.col("l_discount") * 10).alias("c1"), F.col("l_quantity").alias("c2"), (F.col("l_tax") * 10).alias("c3"), F.col("l_linenumber").cast("double").alias("c4"))
+    return rows.select("l_orderkey", "l_linenumber", adjust.ex_rights_close("p", "c1", "c2", "c3", "c4").alias("pre"))
+
+
+@query("SELECT c_custkey AS k, s_acctbal, p_size, o.n AS n FROM customer JOIN supplier ON s_suppkey = c_custkey LEFT JOIN part ON p_partkey = c_custkey LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON o_custkey = c_custkey")
+def q_quoted_chain(spark, folder):
+    quotes = load(spark, folder, "supplier").select(F.col("s_suppkey").alias("k"), "s_acctbal")
+    sizes = load(spark, folder, "part").select(F.col("p_partkey").alias("k"), "p_size")
+    counts = load(spark, folder, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"))
+    return joins.quoted(load(spark, folder, "customer").select(F.col("c_custkey").alias("k")), quotes, sizes, counts, key="k")
+
+
+@query("SELECT event_id, u.name AS name FROM events LEFT JOIN (SELECT DISTINCT user_id AS user_id, 'u' || user_id AS name FROM events WHERE user_id % 2 = 0) u USING (user_id)")
+def q_event_details(spark, folder):
+    rows = load(spark, folder, "events")
+    details = rows.where("user_id % 2 = 0").select("user_id", F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("name"))
+    return joins.with_details(rows.select("event_id", "user_id"), details, "user_id").select("event_id", "name")
+
+
+@query("SELECT event_id, i AS item_index, CASE i WHEN 0 THEN CAST(user_id AS VARCHAR) ELSE 'b' END AS a FROM (SELECT event_id, user_id, unnest([0, 1]) AS i FROM events WHERE event_id < 500)")
+def q_json_items(spark, folder):
+    rows = load(spark, folder, "events").where("event_id < 500").select("event_id", F.format_string('[{"a": "%d"}, ["b", "c"]]', "user_id").alias("j"))
+    return reshape.json_items(rows, "j", {"a": 0}).select("event_id", "item_index", "a")
+
+
+@query("SELECT p_partkey, round(p_size * 37 / pow(10, p_partkey % 4), 6) AS price, round(p_size * 37 / pow(10, p_partkey % 4 + 2), 6) AS average, round(p_retailprice * pow(10, 2 - p_partkey % 4), 6) AS rescaled, CASE WHEN p_retailprice * 12 > 10000 THEN p_retailprice * 12 / 1e8 ELSE p_retailprice * 12 END AS shares FROM part")
+def q_raw_prices(spark, folder):
+    decimals = F.col("p_partkey") % 4
+    return load(spark, folder, "part").select("p_partkey", F.round(money.price_from_raw(F.col("p_size") * 37, decimals), 6).alias("price"), F.round(money.average_from_raw(F.col("p_size") * 37, decimals), 6).alias("average"), F.round(money.rescaled("p_retailprice", decimals), 6).alias("rescaled"), money.share_to_100m(F.col("p_retailprice") * 12).alias("shares"))
+
+
+@query(f"""WITH {v.SECURITY_SQL} SELECT ordinal, CASE ordinal % 4 WHEN 0 THEN substr(tdx_code, 1, 2) WHEN 1 THEN substr(tdx_code, 1, 2) WHEN 2 THEN 'sh' ELSE 'sz' END || substr(tdx_code, 3) AS code FROM security""")
+def q_any_symbol(spark, folder):
+    symbol, market = F.substring("tdx_code", 3, 6), F.substring("tdx_code", 1, 2)
+    written = F.when(F.col("ordinal") % 4 == 0, F.concat(F.upper(market), F.lit("."), symbol)).when(F.col("ordinal") % 4 == 1, F.concat(symbol, F.lit("."), market)).when(F.col("ordinal") % 4 == 2, F.concat(F.lit("1."), symbol)).otherwise(F.concat(F.lit("0."), symbol))
+    return v.security(spark, folder).select("ordinal", codes.any_symbol(written).alias("code"))
+
+
+@query("SELECT n_nationkey, CASE WHEN n_regionkey % 2 = 0 THEN 'root / ' || n_name ELSE 'root' END AS path FROM nation")
+def q_name_path(spark, folder):
+    names = F.create_map(F.lit("T"), F.lit("root"), F.lit("T0"), F.lit("root"), F.lit("T0X"), F.col("n_name"))
+    code = F.when(F.col("n_regionkey") % 2 == 0, "T0X").otherwise("T0")
+    return load(spark, folder, "nation").select("n_nationkey", text.path_text(code, names, (1, 2, 3)).alias("path"))
+
+
+@query("SELECT count(*) AS n_rows, min(o_orderkey) AS min_date, max(o_orderkey) AS max_date FROM orders")
+def q_footer_stats(spark, folder):
+    from tickloom import catalog
+
+    return catalog.footer_stats(spark, [f"{folder}/orders.parquet"], "o_orderkey")
+
+
+@query(f"WITH {v.SECURITY_SQL} SELECT ordinal, CASE WHEN name LIKE '*ST%' THEN '*ST' WHEN name LIKE 'ST%' THEN 'ST' END AS st_type FROM security WHERE name LIKE '*ST%' OR name LIKE 'ST%'")
+def q_special_treatment(spark, folder):
+    return v.security(spark, folder).select("ordinal", codes.st_type("name").alias("st_type")).where("st_type is not null")
+
+
+@query(f"""WITH {v.DAILY_SQL}, t AS (SELECT DISTINCT instrument, CASE WHEN instrument % 5 = 0 THEN '20230101' ELSE '20240115' END AS trade_date FROM daily)
+SELECT t.instrument AS instrument, coalesce((SELECT arg_max(d.close, d.trade_date) FROM daily d WHERE d.instrument = t.instrument AND d.trade_date < t.trade_date), (SELECT arg_max(d.close, d.trade_date) FROM daily d WHERE d.instrument = t.instrument)) AS pre_close FROM t""")
+def q_base_close(spark, folder):
+    rows = v.daily(spark, folder)
+    targets = rows.select("instrument").distinct().withColumn("trade_date", F.when(F.col("instrument") % 5 == 0, "20230101").otherwise("20240115"))
+    return ladder.base_close(rows, targets, "instrument").select("instrument", "pre_close")
+
+
+@query(f"""WITH {v.SECURITY_SQL}, x AS (SELECT *, CASE WHEN ordinal % 3 = 0 THEN round(pre_close * 1.1 + 1e-9, 2) ELSE pre_close END AS last_price, ordinal % 4 = 0 AS todays FROM security
+  WHERE substr(tdx_code, 1, 5) IN ('sh600', 'sz000') AND NOT regexp_matches(upper(trim(name)), '^(\*ST|S\*ST|ST|SST|N|C)'))
+SELECT ordinal, CAST(greatest(1, size % 4 + CASE WHEN todays THEN 0 ELSE 1 END) AS INTEGER) AS ladder_level, CAST(size % 9 + 2 + CASE WHEN todays THEN 0 ELSE 1 END AS VARCHAR) || '天' || CAST(size % 4 + 1 + CASE WHEN todays THEN 0 ELSE 1 END AS VARCHAR) || '板' AS limit_board_text, last_price AS limit_up_price FROM x WHERE ordinal % 3 = 0""")
+def q_ladder_rows(spark, folder):
+    size = F.col("size")
+    rows = v.security(spark, folder).withColumn("last_price", F.when(F.col("ordinal") % 3 == 0, F.round(F.col("pre_close") * 1.1 + 1e-9, 2)).otherwise(F.col("pre_close")))
+    rows = rows.withColumns({
+        "high": F.col("pre_close"), "bid1_price": F.col("last_price"), "locked_amount": F.lit(5.0), "trade_date": F.lit("20240103"), "stats_date": F.when(F.col("ordinal") % 4 == 0, "20240103").otherwise("20240102"),
+        "limit_up_streak_days": size % 4, "limit_stat_days": size % 9 + 2, "limit_up_count_in_stat_days": size % 4 + 1, "year_limit_up_days": size, "free_float_shares_10k": size,
+    })
+    return ladder.ladder_rows(rows).select("ordinal", "ladder_level", "limit_board_text", "limit_up_price")
+
+
+@query(f"""WITH {v.DAILY_SQL} SELECT instrument, trade_date, round(volume - lag(volume) OVER w, 6) AS change, round((volume - lag(volume) OVER w) / lag(volume) OVER w * 100, 6) AS change_pct, round(volume / lag(volume) OVER w, 6) AS ratio, round(amount / open / 100, 6) AS open_lots
+FROM daily WHERE open > 0 WINDOW w AS (PARTITION BY instrument ORDER BY trade_date)""")
+def q_volume_scalars(spark, folder):
+    rows = v.daily(spark, folder).where("open > 0").withColumn("before", F.lag("volume").over(Window.partitionBy("instrument").orderBy("trade_date")))
+    return rows.select("instrument", "trade_date", money.volume_change("volume", "before").alias("change"), money.volume_change_pct("volume", "before").alias("change_pct"), money.volume_ratio("volume", "before").alias("ratio"), money.auction_open_lots("amount", "open").alias("open_lots"))
+
+
+@query(f"WITH {v.CALENDAR_SQL} SELECT exchange, cal_date, CASE WHEN cal_date BETWEEN '19970101' AND '19970131' THEN 1 ELSE is_open END AS is_open FROM calendar UNION ALL SELECT 'SSE', '19980101', 1")
+def q_calendar_update(spark, folder):
+    old = v.calendar(spark, folder)
+    new = calendar.spine(spark, "19970101", "19970131").unionByName(calendar.spine(spark, "19980101", "19980101")).select(F.lit("SSE").alias("exchange"), "cal_date", F.lit(1).alias("is_open"))
+    return calendar.updated(old, new)
+
+
+@query("SELECT event_type, user_id, ts_text, event_id FROM (SELECT event_type, user_id, strftime(ts, '%Y%m%d%H%M%S') AS ts_text, event_id FROM events) ORDER BY CAST(user_id AS VARCHAR), event_type, ts_text, event_id LIMIT 40")
+def q_kline_order(spark, folder):
+    rows = load(spark, folder, "events").select("event_type", "user_id", F.date_format("ts", "yyyyMMddHHmmss").alias("ts_text"), "event_id")
+    named = rows.withColumns({"instrument_id": F.col("user_id"), "period": F.col("event_type"), "trade_time": F.col("ts_text")})
+    return ranking.top(named, 40, *ranking.kline_order(), F.asc("event_id")).select("event_type", "user_id", "ts_text", "event_id")
+
+
 # --- writes and streams: their state lives in files, so their queries have no SQL
 
 
