@@ -199,3 +199,20 @@ def test_numbers_over_all_rows(spark):
     rows = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("v"))
     assert {(r.v, r["rank"]) for r in numbered(rows, [F.desc("v")], start=10).collect()} == {(v, 5010 - v) for v in range(5000)}
     assert numbered(rows.limit(0), [F.asc("v")]).count() == 0
+
+
+def test_action_categories(spark):
+    df = spark.createDataFrame([(1,), (5,), (15,), (None,)], "category_raw int")
+    assert [r[0] for r in filters.by_category(df, ["XDXR", "5"]).collect()] == [1, 5]
+    assert filters.by_category(df, []).count() == 4
+    assert filters.by_category(df, [0]).count() == 1
+    with pytest.raises(ValueError):
+        filters.by_category(df, ["odd"])
+
+
+def test_rank_masks():
+    assert filters.rank_mask(["ST", "star", "0x10", 1]) == 23
+    assert filters.rank_mask([]) == 0
+    for wrong in (["odd"], [70_000]):
+        with pytest.raises(ValueError):
+            filters.rank_mask(wrong)

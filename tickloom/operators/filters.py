@@ -46,14 +46,17 @@ def etfs(df: DataFrame, code: str = "tdx_code") -> DataFrame:
     return df.withColumn("etf_type", codes.etf_type(code)).where("etf_type is not null")
 
 
-# The categories of corporate actions and their names.
-ACTION_CATEGORIES = {"xdxr": 1, "dividend": 1, "bonus_listing": 2, "non_tradable": 3, "unknown_change": 4, "share_change": 5, "new_issue": 6, "repurchase": 7, "new_listing": 8, "transfer_listing": 9, "convertible_listing": 10, "split_or_reverse": 11}
+# The names by which categories of corporate actions are asked for.
+ACTION_CATEGORIES = {"xdxr": 1, "dividend": 1, "除权除息": 1, "equity": 5, "股本变化": 5, "restructure": 15, "重整调整": 15}
 
 
 def by_category(df: DataFrame, asked: Sequence[str | int], category: str = "category_raw") -> DataFrame:
-    """Corporate actions by category number or alias."""
-    numbers = [int(a) if str(a).isdigit() else ACTION_CATEGORIES[str(a).strip().lower()] for a in asked]
-    return df.where(F.col(category).isin(numbers)) if numbers else df
+    """Corporate actions by category number or name; a missing category counts as 0."""
+    names = [str(a).strip().lower() for a in asked if str(a).strip()]
+    if unknown := [n for n in names if n not in ACTION_CATEGORIES and not n.lstrip("-").isdigit()]:
+        raise ValueError(f"no such category: {', '.join(unknown)}")
+    numbers = [ACTION_CATEGORIES.get(n) or int(n) for n in names]
+    return df.where(F.coalesce(F.col(category), F.lit(0)).isin(numbers)) if numbers else df
 
 
 def in_dates_or_undated(df: DataFrame, column: str, start: str | None, end: str | None) -> DataFrame:
@@ -98,6 +101,14 @@ def mask_of(values: Sequence[str | int], names: Mapping[str, int]) -> int:
     return out
 
 
+# The flags of a ranking request and the names they go by.
+RANK_FLAGS = {1: ("new", "exclude_new", "次新", "未开板次新"), 2: ("kcb", "star", "exclude_kcb", "科创板"), 4: ("st", "exclude_st", "st股"), 8: ("cyb", "chinext", "exclude_cyb", "创业板"), 16: ("bj", "bse", "exclude_bj", "北证a")}
+
+
+def rank_mask(values: Sequence[str | int]) -> int:
+    return mask_of(values, {name: flag for flag, names in RANK_FLAGS.items() for name in names})
+
+
 def is_active(*columns: str) -> Column:
     """Whether any of a bar's volume columns is above zero."""
     return F.greatest(F.lit(0.0), *(F.coalesce(num(c), F.lit(0.0)) for c in columns)) > 0
