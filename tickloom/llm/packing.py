@@ -74,11 +74,13 @@ class _WordIds:
                 found[:] = False
             sizes, ids = self._encoded(words.filter(pa.array(~found)))
             starts = (len(self.ids) + np.cumsum(sizes) - sizes).astype(np.int32)
-            all_keys = np.concatenate([self.keys, keys[~found]])
-            order = np.argsort(all_keys, kind="stable")
-            self.keys = all_keys[order]
-            self.starts = np.concatenate([self.starts, starts])[order]
-            self.sizes = np.concatenate([self.sizes, sizes])[order]
+            # new keys go in between; the words of a dictionary are all different
+            order = np.argsort(keys[~found])
+            fresh = keys[~found][order]
+            place = np.searchsorted(self.keys, fresh)
+            self.keys = np.insert(self.keys, place, fresh)
+            self.starts = np.insert(self.starts, place, starts[order])
+            self.sizes = np.insert(self.sizes, place, sizes[order])
             self.ids = np.concatenate([self.ids, ids])
             at = np.searchsorted(self.keys, keys)
         return self.starts[at], self.sizes[at]
