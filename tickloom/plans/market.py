@@ -803,7 +803,7 @@ def q_base_close(spark, folder):
 
 
 @query(f"""WITH {v.SECURITY_SQL}, x AS (SELECT *, CASE WHEN ordinal % 3 = 0 THEN round(pre_close * 1.1 + 1e-9, 2) ELSE pre_close END AS last_price, ordinal % 4 = 0 AS todays FROM security
-  WHERE substr(tdx_code, 1, 5) IN ('sh600', 'sz000') AND NOT regexp_matches(upper(trim(name)), '^(\*ST|S\*ST|ST|SST|N|C)'))
+  WHERE substr(tdx_code, 1, 5) IN ('sh600', 'sz000') AND NOT regexp_matches(upper(trim(name)), '^(\\*ST|S\\*ST|ST|SST|N|C)'))
 SELECT ordinal, CAST(greatest(1, size % 4 + CASE WHEN todays THEN 0 ELSE 1 END) AS INTEGER) AS ladder_level, CAST(size % 9 + 2 + CASE WHEN todays THEN 0 ELSE 1 END AS VARCHAR) || '天' || CAST(size % 4 + 1 + CASE WHEN todays THEN 0 ELSE 1 END AS VARCHAR) || '板' AS limit_board_text, last_price AS limit_up_price FROM x WHERE ordinal % 3 = 0""")
 def q_ladder_rows(spark, folder):
     size = F.col("size")
