@@ -440,9 +440,11 @@ class JaccardJoin:
 
         In each n-gram's group the classes outside its largest component are
         loose.  Loose classes of one family and nearly one size form blocks; a
-        class passes a block once if it shares as many n-grams with the block as
-        a link with a set of its sizes takes.  So a group costs rows by the
-        number of blocks, not of pairs.
+        class passes a block once if it shares half as many n-grams with the
+        block's loose classes as a link with a set of its sizes takes: in every
+        n-gram that two classes of different components share one of them is
+        loose, so one of the two is loose in half of them at least.  So a group
+        costs rows by the number of blocks, not of pairs.
         """
         rows = led.select("gram", "cls", "n", "lead_cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         rows = rows.repartition("gram").sortWithinPartitions("gram", "component").mapInArrow(_mixed, "gram long, cls long, n int, lead_cls long, component long, loose boolean")
@@ -457,7 +459,7 @@ class JaccardJoin:
         passing = passing.groupBy("grp", "cls").agg(F.count("*").alias("count"), F.min("n").alias("n"), F.min("low").alias("low"), F.min("high").alias("high"))
         # the least number falls towards either end of the block's sizes; one less allows for rounding
         least = F.least(_least_shared(self.percent, F.col("low"), F.col("n")), _least_shared(self.percent, F.col("high"), F.col("n"))) - 1
-        passing = passing.where(F.col("count") >= least).select("grp", "cls", F.lit(1).alias("role"))
+        passing = passing.where(2 * F.col("count") >= least).select("grp", "cls", F.lit(1).alias("role"))
         # a block that only its own single class passes has nothing to compare
         members = passing.select("grp", "cls").unionByName(held.select("grp", "cls"))
         met = members.groupBy("grp").agg(F.min("cls").alias("first"), F.max("cls").alias("last")).where("first <> last").select("grp")
