@@ -1,8 +1,15 @@
 """Cases in which an operator did less than its whole job, against brute force."""
 
+import math
 import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.test_operators import linked, plain_components, shingles
+from tickloom.llm import topk_search
 from tickloom.llm.ngram_join import JaccardJoin
 
 
@@ -23,3 +30,30 @@ def test_links_between_components_that_lead_in_different_ngrams(spark):
     near = [(a, b) for first in range(0, len(texts), 4) for a, b in linked({i: sets[i] for i in range(first, first + 4)})]
     got = {r.doc_id: r.component_id for r in JaccardJoin(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).components().collect()}
     assert got == plain_components(sets, near)
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.02])
+def test_top_k_where_ids_repeat(spark, monkeypatch, spread):
+    """Every id several times, as copies or with vectors that differ: still k different neighbours, the best ones."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(5, 6))
+    vectors = []
+    for i in range(150):
+        v = centres[i % 5] * 0.4 + rng.normal(size=6) * 0.05
+        vectors += [(i, (v + rng.normal(size=6) * spread).tolist()) for _ in range(1 + 7 * (i % 3))]
+    # a query is one vector of its id
+    vectors = [(i, v, False) for i, v in vectors if i % 10] + [(i, v, True) for i, v in {i: v for i, v in vectors if i % 10 == 0}.items()]
+    monkeypatch.setattr(topk_search, "GROUP_QUERIES", 4)
+    monkeypatch.setattr(topk_search, "SALT_ROWS", 300)
+    df = spark.createDataFrame([(i, v) for i, v, _ in vectors], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in topk_search.top_k(df, F.col("vec_id") % 10 == 0, 5).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in vectors]
+    queries = {i: v for (i, v), (_, _, asked) in zip(whole, vectors, strict=True) if asked}
+    for q, v in queries.items():
+        best = {}
+        for i, w in whole:
+            if i != q:
+                best[i] = max(best.get(i, -math.inf), sum(a * b for a, b in zip(v, w, strict=True)))
+        assert got[q] == [(n + 1, i, s) for n, (i, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5])]

@@ -2,10 +2,10 @@
 
 1. Pivots are fitted on a sample of at most ``SAMPLE`` vectors; every vector
    joins the cell of its nearest pivot p, at distance d.  A cell's summary is
-   its k + 1 smallest distances.
+   the k + 1 different ids of the smallest distances.
 2. For a query q and x in a cell, q.p - |q| d <= q.x <= q.p + |q| d.  From the
-   summaries alone, the (k+1)-th largest lower bound is a floor under q's k-th
-   score, whether or not q itself is among the data.
+   summaries alone, the (k+1)-th largest lower bound of different ids is a floor
+   under q's k-th score, whether or not q itself is among the data.
 3. Queries are grouped by pivots.  For each group and cell the floors give the
    least distance at which a vector can still matter to any of its queries;
    only such vectors are replicated to the group, and the group is solved
@@ -92,6 +92,17 @@ def _best(query: np.ndarray, item: np.ndarray, score: np.ndarray, k: int) -> tup
     return query[rank < k], item[rank < k], score[rank < k]
 
 
+def _different(names: np.ndarray, values: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest value of each row of ``values``, where columns of one name count once; -inf if names are fewer."""
+    order = np.argsort(names, kind="stable")
+    starts = np.flatnonzero(np.append(True, names[order][1:] != names[order][:-1])) if len(names) else np.empty(0, np.int64)
+    if len(starts) < k:
+        return np.full(len(values), -np.inf)
+    if len(starts) < len(names):
+        values = np.maximum.reduceat(values[:, order], starts, axis=1)
+    return np.partition(values, -k, axis=1)[:, -k]
+
+
 def _solve(k: int, width: int):
     """Queries (role 0) of a group and salt, then its data (role 1)."""
 
@@ -121,7 +132,12 @@ def _solve(k: int, width: int):
                 for low in range(0, len(vec), 4096):
                     item = vec[low : low + 4096]
                     score = _scores(rows[low : low + 4096], asked)
-                    # what can't be among the k best of these rows is left out; one more than k for the query itself
+                    # an id that repeats counts once, by its best score
+                    order = np.argsort(item, kind="stable")
+                    starts = np.flatnonzero(np.append(True, item[order][1:] != item[order][:-1]))
+                    if len(starts) < len(item):
+                        item, score = item[order][starts], np.maximum.reduceat(score[order], starts, axis=0)
+                    # what can't be among the k best of these ids is left out; one more than k for the query itself
                     bar = np.partition(score, -k - 1, axis=0)[-k - 1] if len(item) > k + 1 else np.full(len(own), np.iinfo(np.int64).min)
                     at, query = np.nonzero(score >= bar)
                     keep = item[at] != own[query]
@@ -167,16 +183,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) ->
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(groups[cell].astype(np.int32)), pa.array(away[np.arange(len(cell)), cell])], ["vec_id", "v", "asked", "cell", "grp", "d"])
 
     cells = stored(rows.mapInArrow(assign, "vec_id long, v array<long>, asked boolean, cell int, grp int, d double"), "voronoi-cells")
-    # summaries: the k + 1 smallest distances of each cell, kept by partial sorts of salts first
+    # summaries: the k + 1 ids of the smallest distances of each cell, kept by partial sorts of salts first;
+    # an id has one salt, and its least distance in the cell counts
     by_salt = Window.partitionBy("cell", "salt").orderBy("d")
     by_cell = Window.partitionBy("cell").orderBy("d")
-    near = cells.select("cell", "d", F.pmod(F.xxhash64("vec_id"), F.lit(32)).alias("salt")).withColumn("r", F.row_number().over(by_salt)).where(F.col("r") <= k + 1)
-    near = near.withColumn("r", F.row_number().over(by_cell)).where(F.col("r") <= k + 1).select("cell", "d").collect()
-    held = np.array([r.cell for r in near], np.int64), np.array([r.d for r in near])
+    near = cells.groupBy("cell", "vec_id").agg(F.min("d").alias("d")).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(32))).withColumn("r", F.row_number().over(by_salt)).where(F.col("r") <= k + 1)
+    near = near.withColumn("r", F.row_number().over(by_cell)).where(F.col("r") <= k + 1).select("cell", "vec_id", "d").collect()
+    held = np.array([r.cell for r in near], np.int64), np.array([r.vec_id for r in near], np.int64), np.array([r.d for r in near])
     summary = spark.sparkContext.broadcast(held)
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (centres, _), (cell, away) = shared.value, summary.value
+        (centres, _), (cell, name, away) = shared.value, summary.value
         least = {}
         for batch in batches:
             if not batch.num_rows:
@@ -184,8 +201,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) ->
             q = _matrix(batch.column("v"), width).astype(float)
             size = np.sqrt((q**2).sum(axis=1))[:, None]
             dots = q @ centres.T
-            lower = np.sort(dots[:, cell] - size * away, axis=1)
-            floor = lower[:, -k - 1] if lower.shape[1] > k else np.full(len(q), -np.inf)
+            floor = _different(name, dots[:, cell] - size * away, k + 1)
             # a margin for rounding
             floor = floor - 1e-9 * (np.abs(floor) + np.abs(dots).max(axis=1) + 1) - 1
             with np.errstate(divide="ignore", invalid="ignore"):
