@@ -7,7 +7,7 @@ on and deletes what the stage needed meanwhile.
 
 Rows without doc_id can't be named by the stages that drop documents, so the
 first stage drops them.  Of rows that repeat id and text one stays; rows that
-share an id only are kept or dropped together.  Null texts are kept as they are.  An empty table passes through.
+share an id only are judged one by one.  Null texts are kept as they are.  An empty table passes through.
 """
 
 from __future__ import annotations
@@ -23,6 +23,16 @@ from tickloom.llm.runtime import once, stored, sweep, table, without
 from tickloom.llm.secrets import redacted, scan
 
 
+#: The hash of id and text that tells rows apart, as in JaccardJoin and PositionalIndex.
+ROW = "__row__"
+
+
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose hash isn't in the one column of ``rows``."""
+    marked = docs.withColumn(ROW, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    return without(marked, rows.toDF(ROW), ROW).drop(ROW)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the model, learnt from ``labels``, rejects."""
     docs = docs.where("doc_id is not null")
@@ -33,13 +43,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of each group of near duplicates that has the smallest id, once."""
     found = JaccardJoin(docs.select("doc_id", "text")).components()
-    return once(without(docs, stored(found.where("doc_id <> component_id").select("doc_id"), "near-duplicates")))
+    return once(without_rows(docs, stored(found.where("doc_id <> component_id").select("row"), "near-duplicates")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops contaminated documents."""
     judged = PositionalIndex(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark")).judged()
-    return without(docs, stored(judged.where("contaminated").select("doc_id"), "contaminated"))
+    return without_rows(docs, stored(judged.where("contaminated").select("key"), "contaminated"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.llm.test_operators import linked, plain_components, shingles
 from tickloom.llm import topk_search
 from tickloom.llm.ngram_join import JaccardJoin
@@ -57,3 +58,16 @@ def test_top_k_where_ids_repeat(spark, monkeypatch, spread):
             if i != q:
                 best[i] = max(best.get(i, -math.inf), sum(a * b for a, b in zip(v, w, strict=True)))
         assert got[q] == [(n + 1, i, s) for n, (i, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5])]
+
+
+def test_clean_rows_that_share_an_id_stay(spark, tmp_path):
+    """A near copy or a contaminated row doesn't take others of its id along."""
+    text = " ".join(f"w{i}" for i in range(80))
+    item = " ".join(f"b{i}" for i in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, text), (2, text.replace("w40", "y")), (2, "a clean text of id two"), (3, item), (3, "a clean text of id three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for stage in (corpus_pipeline.ngram_join, corpus_pipeline.decontamination):
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text"]
+    assert sorted((r.doc_id, r.text) for r in docs.collect()) == [rows[0], rows[2], rows[4]]

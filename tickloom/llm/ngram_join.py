@@ -390,8 +390,8 @@ class JaccardJoin:
         self.documents = plain(documents, doc_id="long", text="string").withColumn("row", F.xxhash64("doc_id", "text"))
         self.width, self.percent = width, percent
         profile = stored(self.documents.mapInArrow(_profile(width), "doc_id long, row long, n long, cls long, shape binary, part int, cells binary"), "jaccard-profile")
-        #: doc_id, n (size of its set), cls (its class, null if the set is empty)
-        self.members = profile.where("part is null").select("doc_id", "n", "cls")
+        #: doc_id, row, n (size of its set), cls (its class, null if the set is empty)
+        self.members = profile.where("part is null").select("doc_id", "row", "n", "cls")
         #: cls, n, shape, doc_id (the smallest of the class), row (one of its texts)
         self.classes = profile.where("cls is not null").groupBy("cls").agg(F.min("n").alias("n"), F.min("shape").alias("shape"), F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
         self._sketch = collect_sketch(merge_sketches(profile.where("part is not null").select("part", "cells"), SKETCH_PARTS, "uint32"), SKETCH_WIDTH, SKETCH_PARTS, "uint32")
@@ -479,7 +479,7 @@ class JaccardJoin:
         return found.select(F.least("doc_id", "second").alias("doc_id"), F.greatest("doc_id", "second").alias("other_id"))
 
     def components(self) -> DataFrame:
-        """doc_id, n (size of the set), component_id (smallest document reachable by links)."""
+        """doc_id, n (size of the set), component_id (smallest document reachable by links), row (the hash of id and text)."""
         led = self._led()
         first = stored(self._leader_round(led), "jaccard-links")
         labels = components(first)
@@ -489,4 +489,4 @@ class JaccardJoin:
         named = self.classes.select("cls", "doc_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
         names = named.join(smallest, "component").select("cls", "component_id")
-        return self.members.join(names, "cls", "left").select("doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id"))
+        return self.members.join(names, "cls", "left").select("doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id"), "row")
