@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import adjust, aggregates, bars, calendar, filters, joins, ladder, options, quality, reshape, snapshot
+from tickloom.operators import adjust, aggregates, bars, calendar, filters, joins, ladder, options, quality, ranking, reshape, snapshot
 
 
 def test_adjustment_factors(spark):
@@ -216,3 +216,37 @@ def test_rank_masks():
     for wrong in (["odd"], [70_000]):
         with pytest.raises(ValueError):
             filters.rank_mask(wrong)
+
+
+@pytest.mark.parametrize("parts", [4, 8, 64])
+def test_numbered_counts_every_row_once(spark, parts):
+    """With several columns, which a plan may prune apart, and ties that only the last key decides."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey")
+        got = ranking.numbered(orders, [F.col("o_orderstatus"), F.desc("o_custkey"), F.col("o_orderkey")], start=5, name="place").collect()
+        wanted = sorted(got, key=lambda r: (r.o_orderstatus, -r.o_custkey, r.o_orderkey))
+        assert [r.place for r in wanted] == list(range(6, 6 + orders.count()))
+        assert ranking.numbered(orders.limit(0), [F.col("o_orderkey")]).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_positional_pairs_of_large_tables(spark):
+    left = spark.range(5000).select((F.col("id") * 7 % 5000).alias("a"), F.lit("x").alias("pad"))
+    right = spark.range(4000).select((F.col("id") * 3 % 4001 + 10).alias("b"), F.lit(1).alias("more"))
+    order = sorted(r.b for r in right.collect())
+    for r in joins.positional(left, right, "a", "b").collect():
+        assert r.b == (order[r.a] if r.a < 4000 else None)
+
+
+def test_theme_leaders_are_the_five_best(spark):
+    rows = [(str(i), f"s{i}", i % 7, "sealed", float(i % 11), 1.0, i, "20240102", "b") for i in range(300)]
+    stocks = spark.createDataFrame(rows, "instrument_id string, name string, ladder_level int, limit_status string, seal_amount double, amount double, rank int, trade_date string, limit_board_text string")
+    topics = stocks.select("instrument_id", F.lit("all").alias("topic_name"), F.lit("T").alias("topic_id"), F.col("rank").alias("ordinal"))
+    best = sorted(rows, key=lambda r: (-r[2], -r[4], r[6]))[:5]
+    got = ladder.theme_rank(stocks, topics).first()
+    assert got.leader_instrument_id == best[0][0]
+    assert [w.split("（")[0] for w in got.top_stock_summary.split(" ")] == [r[1] for r in best]
+    assert ladder.theme_rank(stocks, topics, 1).first().rank == 1

@@ -11,6 +11,7 @@ from tickloom.functions import codes, limits
 from tickloom.functions.money import market_value, num, ten_thousand
 from tickloom.functions.text import board_text, stock_summary
 from tickloom.operators.joins import topics_of
+from tickloom.operators.ranking import numbered
 
 PUBLIC_FIELDS = (
     "rank", "trade_date", "instrument_id", "name", "ladder_level", "limit_status", "limit_board_text", "last_price", "change_pct", "limit_up_price",
@@ -136,10 +137,6 @@ def theme_rank(rows: DataFrame, topics: DataFrame, limit: int | None = None) ->
     sealed = topics_of(rows.where("limit_status = 'sealed'"), topics.select("instrument_id", "topic_name", "topic_id", "ordinal"))
     level = F.coalesce(num("ladder_level").cast("int"), F.lit(0))
     seal = F.coalesce(num("seal_amount"), F.lit(0.0))
-    stock = F.struct(
-        (-level).alias("level"), (-seal).alias("seal"), F.coalesce(num("rank"), F.lit(0.0)).alias("rank"), "instrument_id", "name",
-        F.col("ladder_level").alias("ladder_level"), "limit_board_text", "seal_amount",
-    )
     out = sealed.groupBy("topic_name").agg(
         F.min_by("trade_date", "ordinal").alias("trade_date"),
         F.min_by("topic_id", F.when(F.coalesce("topic_id", F.lit("")) != "", F.col("ordinal"))).alias("topic_id"),
@@ -149,16 +146,19 @@ def theme_rank(rows: DataFrame, topics: DataFrame, limit: int | None = None) ->
         F.count_if(level < 2).alias("first_board_count"),
         F.round(F.sum(seal), 6).alias("seal_amount_sum"),
         F.round(F.sum(F.coalesce(num("amount"), F.lit(0.0))), 6).alias("amount_sum"),
-        F.slice(F.array_sort(F.collect_list(stock)), 1, 5).alias("stocks_"),
     )
-    out = out.withColumn("theme_strength_score", strength(F.col("limit_up_count"), F.col("highest_ladder_level"), F.col("lianban_stock_count")))
+    # five stocks a theme; each task keeps five before anything is gathered
+    first = Window.partitionBy("topic_name").orderBy(level.desc(), seal.desc(), F.coalesce(num("rank"), F.lit(0.0)), "instrument_id", "name")
+    stock = F.struct(F.col("r_").alias("r"), "instrument_id", "name", "ladder_level", "limit_board_text", "seal_amount")
+    leaders = sealed.withColumn("r_", F.row_number().over(first)).where("r_ <= 5").groupBy("topic_name").agg(F.array_sort(F.collect_list(stock)).alias("stocks_"))
+    out = out.join(leaders, "topic_name").withColumn("theme_strength_score", strength(F.col("limit_up_count"), F.col("highest_ladder_level"), F.col("lianban_stock_count")))
     leader = F.get("stocks_", 0)
     out = out.withColumns({f"leader_{n}": leader[n] for n in ("instrument_id", "name", "ladder_level", "limit_board_text", "seal_amount")})
     out = out.withColumn("top_stock_summary", F.array_join(F.transform("stocks_", lambda s: stock_summary(s["name"], s["limit_board_text"], s["ladder_level"])), " ")).drop("stocks_")
     order = [F.desc("limit_up_count"), F.desc("highest_ladder_level"), F.desc("lianban_stock_count"), F.desc("theme_strength_score"), F.desc("seal_amount_sum"), F.asc("topic_name")]
-    # as many rows as there are topics
-    out = out.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-    return out if limit is None else out.where(F.col("rank") <= limit)
+    if limit is None:
+        return numbered(out, order)
+    return out.orderBy(*order).limit(limit).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def without_topics(rows: DataFrame, topics: DataFrame) -> DataFrame:

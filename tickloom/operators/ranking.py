@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.money import num
 from tickloom.operators.joins import exchange_order
+from tickloom.storage import stored
 
 
 def ranked(df: DataFrame, order: Sequence[Column], start: int = 0, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
@@ -21,17 +22,20 @@ def ranked(df: DataFrame, order: Sequence[Column], start: int = 0, by: Sequence[
 def numbered(df: DataFrame, order: Sequence[Column], start: int = 0, name: str = "rank") -> DataFrame:
     """Row numbers over all rows without gathering them in one task.
 
-    Rows are dealt into ranges of the order; each range is numbered on its own
-    and shifted by the sizes of the ranges before it, one row a range.  Both
-    uses of the ranges are one exchange.
+    Rows are dealt into sorted ranges of the order and written to the shared
+    folder with their place in the range: ranges are sampled, so dealing twice
+    would not give the same ones.  The numbers are places plus the sizes of the
+    ranges before, one row a range.  One exchange in all.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(parts, *order).withColumn("part_", F.spark_partition_id())
-    sizes = dealt.groupBy("part_").agg(F.count("*").alias("size_"))
+    dealt = stored(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("place_", F.monotonically_increasing_id()), "numbered")
+    # an id is the range times 2^33 plus the place in it
+    part, place = F.shiftright("place_", 33), F.col("place_").bitwiseAND((1 << 33) - 1)
+    sizes = dealt.groupBy(part.alias("part_")).agg(F.count("*").alias("size_"))
     shift = F.sum("size_").over(Window.orderBy("part_")) - F.col("size_")
-    own = F.row_number().over(Window.partitionBy("part_").orderBy(*order))
-    rows = dealt.withColumn("own_", own).join(F.broadcast(sizes.select("part_", shift.alias("shift_"))), "part_")
-    return rows.withColumn(name, F.col("own_") + F.col("shift_") + start).drop("part_", "own_", "shift_")
+    # as many rows as there are shuffle partitions
+    rows = dealt.withColumn("part_", part).join(F.broadcast(sizes.select("part_", shift.alias("shift_"))), "part_")
+    return rows.withColumn(name, place + F.col("shift_") + 1 + start).drop("part_", "place_", "shift_")
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
