@@ -150,9 +150,50 @@ def test_overwrite_partition_and_append(spark, tmp_path):
     assert writers.write(spark.range(2), flat, "append").rows_after == 4
 
 
+def test_append_to_partitions(spark, tmp_path):
+    target, kind = f"{tmp_path}/t", "k long, d string"
+    writers.write(spark.createDataFrame([(1, "a"), (2, "b/c")], kind), target, partition_by=["d"])
+    result = writers.write(spark.createDataFrame([(3, "a"), (4, None), (5, "")], kind), target, "append", partition_by=["d"])
+    assert (result.rows_before, result.rows_written, result.rows_after) == (2, 3, 5)
+    assert sorted(r.k for r in writers.read_written(spark, target).collect()) == [1, 2, 3, 4, 5]
+    for wrong in ([], ["k"], ["d", "k"]):
+        with pytest.raises(ValueError):
+            writers.write(spark.createDataFrame([(6, "a")], kind), target, "append", partition_by=wrong)
+    assert writers.read_written(spark, target).count() == 5
+
+
+def test_only_touched_partitions_are_written(spark, tmp_path):
+    target, kind = f"{tmp_path}/t", "k string, d string, p string, v double"
+    first = [("1", "20240101", "a", 1.0), ("2", "20240102", "b", 2.0), ("3", None, "c", 3.0), ("4", "20240102", "c", 4.0), ("5", "20240105", "", 5.0)]
+    writers.write(spark.createDataFrame(first, kind), target, partition_by=["p"])
+    files = lambda p: set(os.listdir(f"{target}/part_p={p}"))
+    was = {p: files(p) for p in "abc"}
+    writers.write(spark.createDataFrame([("1", "20240103", "b", 1.5)], kind), target, "upsert_by_key", ["k"], ["p"], "d")
+    # the key's old partition holds nothing else and goes; c isn't touched
+    assert not os.path.exists(f"{target}/part_p=a")
+    assert files("c") == was["c"] and files("b") != was["b"]
+    writers.write(spark.createDataFrame([("7", "20240102", "e", 7.0)], kind), target, "replace_range", partition_by=["p"], date_field="d")
+    rows = {(r.k, r.p, r.v) for r in writers.read_written(spark, target).collect()}
+    assert rows == {("1", "b", 1.5), ("3", "c", 3.0), ("5", "", 5.0), ("7", "e", 7.0)}
+    writers.write(spark.createDataFrame([("8", "20240109", "", 8.0)], kind), target, "overwrite_partition", partition_by=["p"])
+    assert {r.k for r in writers.read_written(spark, target).collect()} == {"1", "3", "7", "8"}
+
+
+def test_keys_that_become_text_do_so_everywhere(spark, tmp_path):
+    target = f"{tmp_path}/t"
+    writers.write(spark.createDataFrame([(1, "a"), (2, "b")], "k long, p string"), target, partition_by=["p"])
+    result = writers.write(spark.createDataFrame([(1, "a"), (3, "a")], "k long, p string"), target, "upsert_by_key", ["k"], ["p"])
+    assert result.duplicates_dropped == 1
+    assert sorted(r.k for r in writers.read_written(spark, target).collect()) == ["1", "2", "3"]
+
+
 def test_outputs(spark, tmp_path):
     df = spark.createDataFrame([(1, "中")], "a int, b string")
-    out = writers.write_outputs(df, str(tmp_path), "x", ("parquet", "csv", "jsonl"))
+    out = writers.write_outputs(df, str(tmp_path), "x", ("parquet", "csv", "jsonl", "duckdb"))
+    import duckdb
+
+    with duckdb.connect(out["duckdb"], read_only=True) as db:
+        assert db.execute("SELECT * FROM x").fetchall() == [(1, "中")]
     assert spark.read.parquet(out["parquet"]).count() == 1
     assert spark.read.option("header", True).csv(out["csv"]).first().b == "中"
     assert spark.read.json(out["jsonl"]).first().b == "中"

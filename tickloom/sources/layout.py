@@ -23,7 +23,7 @@ class TableFiles:
     found_any: bool
 
 
-def _children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+def children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     """(path, is folder) below a folder, sorted; nothing if there is none."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
@@ -45,7 +45,7 @@ def _outside(value: str, start: str | None, end: str | None) -> bool:
 
 def _walk(spark: SparkSession, folder: str, date_field: str | None, start: str | None, end: str | None) -> tuple[list[str], bool]:
     kept, seen = [], False
-    for path, is_folder in _children(spark, folder):
+    for path, is_folder in children(spark, folder):
         name = path.rstrip("/").rsplit("/", 1)[-1]
         if name.startswith(("_", ".")):
             continue

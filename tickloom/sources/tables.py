@@ -9,6 +9,7 @@ pushes them down.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -16,7 +17,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tickloom.functions.dates import between_text, undashed
 from tickloom.schema import TableSchema, table_schema
@@ -121,10 +122,31 @@ def query_table(
     if not files.paths:
         return spark.createDataFrame([], StructType([f for n in asked for f in schema.struct() if f.name == n]))
     raw = scan_files(spark, files)
+    if schema.date_field in raw.columns:
+        raw = raw.where(stored_between(raw, schema.date_field, start_date, end_date))
     needed = list(dict.fromkeys([*asked, *filters, *([schema.date_field] if start_date or end_date else [])]))
     return filtered(raw.select(*declared(raw, schema, needed)), filters, schema.date_field, start_date, end_date, limit).select(*asked)
 
 
+def stored_between(df: DataFrame, name: str, start: str | None, end: str | None) -> Column:
+    """What the stored date column must fulfil to lie within the bounds, whether its text has dashes or not.
+
+    A dash sorts before any digit, so no writing of a day sorts before the dashed
+    one or after the compact one.  The bounds go to the Parquet scan as they are;
+    the exact comparison of compact text follows.
+    """
+    out = F.lit(True)
+    if not isinstance(df.schema[name].dataType, StringType):
+        return out
+    column = F.col(f"`{name}`")
+    low, high = (re.sub("-", "", b or "") for b in (start, end))
+    if re.fullmatch(r"\d{8}", low):
+        out = out & (column >= f"{low[:4]}-{low[4:6]}-{low[6:]}")
+    if re.fullmatch(r"\d{8}", high):
+        out = out & (column <= high)
+    return out
+
+
 def filtered(df: DataFrame, filters: Mapping[str, Any] | None = None, date_field: str | None = None, start: str | None = None, end: str | None = None, limit: int | None = None) -> DataFrame:
     for name, value in (filters or {}).items():
         df = df.where(condition(F.col(f"`{name}`"), value))

@@ -9,17 +9,18 @@ from __future__ import annotations
 import json
 import posixpath
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.dates import compact
 from tickloom.schema import table_schema
-from tickloom.sources.layout import exists
+from tickloom.sources.layout import children, exists
 from tickloom.sources.tables import union_by_name
 
 NULL_LABEL = "__null__"
@@ -76,9 +77,12 @@ def write_outputs(df: DataFrame, folder: str, stem: str, forms: Sequence[str] =
     again = df.sparkSession.read.schema(df.schema).parquet(first)
     out = {"parquet": first}
     for form in forms:
-        if form not in ("parquet", "csv", "jsonl"):
+        if form not in ("parquet", "csv", "jsonl", "duckdb"):
             raise ValueError(f"unknown format {form}")
-        if form != "parquet":
+        if form == "duckdb":
+            out[form] = f"{folder}/duckdb/{stem}.duckdb"
+            write_duckdb(df.sparkSession, first, out[form], stem)
+        elif form != "parquet":
             out[form] = f"{folder}/{form}/{stem}.{form}"
             staged(again, out[form], form)
     if "parquet" not in forms:
@@ -87,6 +91,31 @@ def write_outputs(df: DataFrame, folder: str, stem: str, forms: Sequence[str] =
     return out
 
 
+def write_duckdb(spark: SparkSession, parquet: str, target: str, table: str) -> None:
+    """A DuckDB file with one table of a written Parquet folder's rows.
+
+    DuckDB has one writer and a file of its own, so this is an export for one
+    machine: the driver lets DuckDB read the Parquet files itself, in its own
+    bounded memory, and rows never pass through Python.  The folder must be one
+    that the driver sees as a path.
+    """
+    import os
+
+    import duckdb
+
+    local = [p.removeprefix("file:") for p in (parquet, target)]
+    if any("://" in p for p in local):
+        raise ValueError("a DuckDB file is written to a path that the driver sees")
+    os.makedirs(os.path.dirname(local[1]), exist_ok=True)
+    fresh = f"{local[1]}.staging-{uuid.uuid4().hex}"
+    files = f"{local[0]}/*.parquet"
+    with duckdb.connect(fresh) as db:
+        db.execute("SET threads = 1")
+        name = '"' + table.replace('"', '""') + '"'
+        db.execute(f"CREATE TABLE {name} AS SELECT * FROM read_parquet(?)", [files])
+    os.replace(fresh, local[1])
+
+
 def partition_label(column: Column) -> Column:
     """A partition's text: nulls as a name, slashes as underscores."""
     return F.coalesce(F.replace(column.cast("string"), F.lit("/"), F.lit("_")), F.lit(NULL_LABEL))
@@ -137,6 +166,40 @@ def range_replaced(old: DataFrame, new: DataFrame, date_field: str, start: str,
     return union_by_name(old.where(day.isNull() | ~day.between(start, end)), new)
 
 
+def _named(folder: str) -> str:
+    """The label of a partition's folder."""
+    return unquote(folder).replace("__HIVE_DEFAULT_PARTITION__", "")
+
+
+def _leaves(spark: SparkSession, target: str, depth: int) -> dict[str, str]:
+    """Label -> folder of every partition below a target."""
+    found = {"": target}
+    for _ in range(depth):
+        found = {f"{label}/{_named(name)}".lstrip("/"): path for label, folder in found.items() for path, is_folder in children(spark, folder) if is_folder and "=" in (name := path.rstrip("/").rsplit("/", 1)[-1])}
+    return found
+
+
+def _labelled(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return df.withColumns({f"part_{k}": partition_label(F.col(k)) for k in partition_by})
+
+
+def _label(partition_by: Sequence[str]) -> Column:
+    return F.concat_ws("/", *(F.concat(F.lit(f"part_{k}="), partition_label(F.col(k))) for k in partition_by))
+
+
+def _check_layout(spark: SparkSession, target: str, partition_by: Sequence[str]) -> None:
+    """What is there must be partitioned as the new rows are; otherwise readers would skip one of them."""
+    there = set()
+    folders = [target]
+    while folders:
+        below = [(p, p.rstrip("/").rsplit("/", 1)[-1]) for f in folders for p, is_folder in children(spark, f) if is_folder]
+        names = {n.partition("=")[0].removeprefix("part_") for _, n in below if "=" in n}
+        there |= names
+        folders = [p for p, n in below if "=" in n][:1]
+    if there != set(partition_by):
+        raise ValueError(f"{target} is partitioned by {sorted(there)}, not by {sorted(partition_by)}")
+
+
 def write(
     df: DataFrame,
     target: str,
@@ -149,7 +212,11 @@ def write(
     order: str | None = None,
     legacy_keys: bool = False,
 ) -> WriteResult:
-    """Write rows to a Parquet folder in one of MODES."""
+    """Write rows to a Parquet folder in one of MODES.
+
+    In a partitioned target only the partitions that the new rows touch, or
+    whose old rows go, are read and written.
+    """
     spark = df.sparkSession
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode}")
@@ -160,6 +227,8 @@ def write(
     if mode == "replace_range" and not date_field:
         raise ValueError("replace_range needs a date field")
     old = read_written(spark, target) if exists(spark, target) else None
+    if old is not None and mode != "snapshot":
+        _check_layout(spark, target, partition_by)
     before = old.count() if old is not None else 0
     written = df.count()
     result = WriteResult(before, written, 0)
@@ -170,32 +239,80 @@ def write(
         result.range_start, result.range_end = (start or low or "").replace("-", "") or None, (end or high or "").replace("-", "") or None
         if not result.range_start or not result.range_end:
             raise ValueError("no row has a date, so there is no range to replace")
-    if mode == "upsert_by_key":
-        whole = upserted(df.limit(0) if old is None else old, df, key, order, date_field, legacy_keys)
-    elif old is None or mode == "snapshot":
-        whole = df
+
+    def merged(had: DataFrame) -> DataFrame:
+        """The rows that take the place of ``had``."""
+        if mode == "upsert_by_key":
+            return upserted(had, df, key, order, date_field, legacy_keys)
+        if mode == "replace_range":
+            return range_replaced(had, df, date_field, result.range_start, result.range_end)
+        return df
+
+    if old is None or mode == "snapshot":
+        whole = merged(df.limit(0)) if mode == "upsert_by_key" else df
+        if partition_by:
+            paths = [f"part_{k}" for k in partition_by]
+            staged(_labelled(whole, partition_by).hint("rebalance", *paths), target, partition_by=paths)
+        else:
+            staged(whole, target)
     elif mode == "append":
-        whole = union_by_name(old, df)
-    elif mode == "replace_range":
-        whole = range_replaced(old, df, date_field, result.range_start, result.range_end)
-    else:
-        named = df.select(*(partition_label(F.col(k)).alias(f"{k}_") for k in partition_by)).distinct()
-        same = reduce(and_, (partition_label(old[k]) == named[f"{k}_"] for k in partition_by))
-        whole = union_by_name(old.join(named, same, "left_anti"), df)
-    if mode == "append" and old is not None:
         # never touches what is there
-        df.write.mode("append").parquet(target)
+        rows = _labelled(df, partition_by) if partition_by else df
+        (rows.write.partitionBy(*(f"part_{k}" for k in partition_by)) if partition_by else rows.write).mode("append").parquet(target)
     elif partition_by:
-        paths = {f"part_{k}": partition_label(F.col(k)) for k in partition_by}
-        staged(whole.withColumns(paths).repartition(*paths).select(*whole.columns, *paths), target, partition_by=list(paths))
+        kinds = dict(merged(old).dtypes)
+        # where a column changes its type, as keys that become text, all partitions are written anew
+        changed = any(kinds[c] != t for c, t in old.dtypes if c in kinds)
+        _rewrite(spark, target, partition_by, df, old if changed and mode != "overwrite_partition" else _going(old, df, mode, key, date_field, result, legacy_keys), merged)
     else:
-        staged(whole, target)
-    result.rows_after = spark.read.parquet(target).count()
+        staged(merged(old), target)
+    result.rows_after = read_written(spark, target).count()
+    if mode == "append" and result.rows_after != before + written:
+        raise OSError(f"{target} holds {result.rows_after} rows after {before} and {written}")
     if mode == "upsert_by_key":
         result.duplicates_dropped = before + written - result.rows_after
     return result
 
 
+def _going(old: DataFrame, new: DataFrame, mode: str, key: Sequence[str], date_field: str | None, result: WriteResult, legacy_keys: bool) -> DataFrame | None:
+    """The old rows that a mode takes away wherever they are."""
+    if mode == "replace_range":
+        return old.where(compact(date_field).between(result.range_start, result.range_end))
+    if mode == "upsert_by_key":
+        texts = lambda d: d.withColumns({f"key_{k}": key_text(F.col(k), k == date_field, legacy_keys) for k in key})
+        named, fresh = texts(old), texts(new).select(*(f"key_{k}" for k in key)).distinct()
+        return named.join(fresh, reduce(and_, (named[f"key_{k}"].eqNullSafe(fresh[f"key_{k}"]) for k in key)), "left_semi")
+    return None
+
+
+def _rewrite(spark: SparkSession, target: str, partition_by: Sequence[str], df: DataFrame, going: DataFrame | None, merged: Callable[[DataFrame], DataFrame]) -> None:
+    """Write the touched partitions beside the target and swap them in, one folder each."""
+    label, depth = _label(partition_by), len(partition_by)
+    labels = df.select(label.alias("label")).distinct()
+    if going is not None:
+        labels = labels.unionByName(going.select(label.alias("label")).distinct())
+    # as many as there are partitions
+    touched = {r.label for r in labels.distinct().collect()}
+    there = _leaves(spark, target, depth)
+    paths = [there[t] for t in sorted(touched) if t in there]
+    if paths:
+        had = spark.read.option("mergeSchema", True).option("basePath", target).parquet(*paths)
+        had = had.drop(*(c for c in had.columns if c.startswith("part_")))
+    else:
+        had = df.limit(0)
+    stage = f"{target.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    names = [f"part_{k}" for k in partition_by]
+    # a partition's rows come together, a large one's in several tasks
+    _labelled(merged(had), partition_by).hint("rebalance", *names).write.partitionBy(*names).parquet(stage)
+    fresh = _leaves(spark, stage, depth)
+    for name in sorted(touched | set(fresh)):
+        if name in fresh:
+            _move(spark, fresh[name], there.get(name) or fresh[name].replace(stage, target.rstrip("/"), 1))
+        elif name in there:
+            _delete(spark, there[name])
+    _delete(spark, stage)
+
+
 def read_written(spark: SparkSession, target: str) -> DataFrame:
     """What ``write`` wrote, without the folders' own columns."""
     df = spark.read.option("mergeSchema", True).parquet(target)
