@@ -35,6 +35,21 @@ def test_reader_repeats_a_batch():
     assert list(reader.readBetweenOffsets(start, end)) == rows
 
 
+def test_bounded_batches_leave_nothing_out():
+    schema = type("S", (), {"names": ["instrument_id", "update_time_raw"]})()
+    reader = refresh.CursorReader(schema, {"codes": '["c", "b", "a"]', "fetcher": "tests.test_streaming:fetch", "most_rows": "2"})
+    at, seen = reader.initialOffset(), []
+    while True:
+        rows, end = reader.read(at)
+        rows = list(rows)
+        assert len(rows) <= 2
+        assert list(reader.readBetweenOffsets(at, end)) == rows
+        if not rows:
+            break
+        at, seen = end, seen + rows
+    assert sorted(seen) == [(c, k) for c in "abc" for k in (1, 2)]
+
+
 def test_subscription(spark, tmp_path):
     kind = "instrument_id string, last_price double, update_time_raw long"
     updates = refresh.subscribe(spark, "tests.test_streaming:fetch", ["a", "b"], kind)

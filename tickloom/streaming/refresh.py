@@ -47,6 +47,7 @@ class CursorReader(SimpleDataSourceStreamReader):
     def __init__(self, schema: StructType, options: Mapping[str, str]):
         self.names, self.options = schema.names, options
         self.codes = json.loads(options["codes"])
+        self.most = int(options.get("most_rows", "0")) or None
 
     def initialOffset(self) -> dict:
         return {"cursors": json.dumps(dict.fromkeys(self.codes, 0))}
@@ -54,6 +55,8 @@ class CursorReader(SimpleDataSourceStreamReader):
     def _rows(self, start: dict) -> tuple[list[Mapping[str, Any]], dict]:
         cursors = json.loads(start["cursors"])
         rows = _function(self.options["fetcher"])(self.codes, cursors)
+        # what a batch doesn't admit keeps its cursor and comes with a later poll; keys that are furthest behind come first
+        rows = sorted(rows, key=lambda r: (cursors.get(str(r.get("instrument_id")), 0) if self.most else 0, str(r.get("instrument_id"))))[: self.most]
         return sorted(rows, key=lambda r: str(r.get("instrument_id"))), {"cursors": json.dumps(advanced(cursors, rows))}
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
@@ -70,7 +73,7 @@ class CursorReader(SimpleDataSourceStreamReader):
 
 
 class CursorSource(DataSource):
-    """``spark.readStream.format("quote_refresh")`` with options fetcher, codes (JSON) and schema."""
+    """``spark.readStream.format("quote_refresh")`` with options fetcher, codes (JSON), schema and most_rows, the bound of a batch."""
 
     @classmethod
     def name(cls) -> str:
@@ -83,9 +86,10 @@ class CursorSource(DataSource):
         return CursorReader(schema, dict(self.options))
 
 
-def subscribe(spark: SparkSession, fetcher: str, codes: Sequence[str], schema: str) -> DataFrame:
+def subscribe(spark: SparkSession, fetcher: str, codes: Sequence[str], schema: str, most_rows: int = 0) -> DataFrame:
     spark.dataSource.register(CursorSource)
-    return spark.readStream.format("quote_refresh").schema(schema).option("fetcher", fetcher).option("codes", json.dumps(checked_codes(codes))).load()
+    reader = spark.readStream.format("quote_refresh").schema(schema).option("fetcher", fetcher).option("codes", json.dumps(checked_codes(codes)))
+    return reader.option("most_rows", str(most_rows)).load()
 
 
 def public(df: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
