@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,6 +13,7 @@ from tickloom.operators import adjust, aggregates, bars, calendar, filters, join
 from tickloom.plans import views as v
 from tickloom.plans.views import load
 from tickloom.sources import formats, tables, writers
+from tickloom.storage import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,9 +75,9 @@ def q_filter_name_special(spark, folder):
     return filters.without_special(filters.by_name(v.security(spark, folder), ["RING", "bolt"])).select("ordinal", "name")
 
 
-@query("SELECT event_id, user_id FROM events WHERE (event_id & 6) <> 0 AND user_id % 10 = 1")
+@query("SELECT event_id, user_id FROM events WHERE (event_id & 6) <> 0")
 def q_filter_bits(spark, folder):
-    return filters.with_bits(load(spark, folder, "events"), "event_id", filters.mask_of(["two", "0x4"], {"two": 2})).where("user_id % 10 = 1").select("event_id", "user_id")
+    return filters.with_bits(load(spark, folder, "events"), "event_id", filters.mask_of(["two", "0x4"], {"two": 2})).select("event_id", "user_id")
 
 
 @query(f"WITH {v.LIFE_SQL} SELECT instrument_id, delist_date FROM life WHERE delist_date IS NULL OR delist_date BETWEEN '20000101' AND '20001231'")
@@ -187,10 +189,10 @@ def q_join_stats(spark, folder):
     return joins.with_stats(keyed("part", "p_partkey", "p_partkey"), keyed("supplier", "s_suppkey", "s_acctbal"), keyed("customer", "c_custkey", "c_acctbal")).select("p_partkey", "s_acctbal", "c_acctbal")
 
 
-@query(f"WITH {v.SECURITY_SQL} SELECT a.tdx_code AS tdx_code, a.ordinal AS ordinal FROM security a WHERE (a.size & 8) <> 0 AND a.ordinal < 1000")
+@query("SELECT 'sh' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS tdx_code, p_size AS status FROM part WHERE (p_size & 8) <> 0")
 def q_suspensions(spark, folder):
-    rows = v.security(spark, folder).where("ordinal < 1000")
-    return joins.suspended(rows.select("tdx_code", "ordinal"), rows.select(F.upper("tdx_code").alias("tdx_code"), F.col("size").alias("status")), 8).select("tdx_code", "ordinal")
+    rows = load(spark, folder, "part").select(F.concat(F.lit("sh"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("tdx_code"), F.col("p_size").alias("status"))
+    return joins.suspended(rows.select("tdx_code"), rows.withColumn("tdx_code", F.upper("tdx_code")), 8).select("tdx_code", "status")
 
 
 @query("SELECT a.n_name AS n_name, b.r_name AS r_name FROM (SELECT *, row_number() OVER (ORDER BY n_nationkey) AS r FROM nation) a LEFT JOIN (SELECT *, row_number() OVER (ORDER BY r_regionkey) AS r FROM region) b USING (r)")
@@ -198,6 +200,12 @@ def q_positional_zip(spark, folder):
     return joins.positional(load(spark, folder, "nation"), load(spark, folder, "region"), "n_nationkey", "r_regionkey").select("n_name", "r_name")
 
 
+@query("SELECT a.o_orderkey AS o_orderkey, coalesce(b.c_custkey, -1) AS c_custkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey DESC) AS r FROM orders) a LEFT JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS r FROM customer) b USING (r)")
+def q_positional_orders(spark, folder):
+    orders = load(spark, folder, "orders").select("o_orderkey", (-F.col("o_orderkey")).alias("from_last"))
+    return joins.positional(orders, load(spark, folder, "customer").select("c_custkey"), "from_last", "c_custkey").select("o_orderkey", F.coalesce("c_custkey", F.lit(-1)).alias("c_custkey"))
+
+
 @query("SELECT c_custkey, round(c_acctbal - m, 6) AS gap FROM customer, (SELECT max(c_acctbal) AS m FROM customer)")
 def q_broadcast_one_row(spark, folder):
     rows = load(spark, folder, "customer")
@@ -502,11 +510,11 @@ def q_staged_union(spark, folder):
     return reshape.staged_union({"completed": done, "plan": plan}, defaults={"completed": "done", "plan": "open"}).select("name", "stage", "progress")
 
 
-@query("SELECT page_id, CAST(i - 1 AS BIGINT) AS row_index, w[i] AS word FROM (SELECT page_id, string_split(regexp_extract(html, '<title>([^<]*)</title>', 1), ' ') AS w, unnest(generate_series(1, 3)) AS i FROM pages) WHERE i <= len(w)")
+@query("SELECT page_id, CAST(i - 1 AS BIGINT) AS row_index, w[i] AS word FROM (SELECT page_id, w, unnest(generate_series(1, len(w))) AS i FROM (SELECT page_id, string_split(regexp_extract(html, '<title>([^<]*)</title>', 1), ' ') AS w FROM pages)) WHERE trim(w[i]) <> ''")
 def q_delimited_rows(spark, folder):
     rows = load(spark, folder, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
-    out = rows.select("page_id", F.posexplode(F.split("title", " ")).alias("row_index", "word"))
-    return out.where("row_index < 3").select("page_id", F.col("row_index").cast("long").alias("row_index"), "word")
+    out = formats.delimited_rows(rows, "title", " ", "\t", ["word"]).where("word is not null")
+    return out.select("page_id", F.col("row_index").cast("long").alias("row_index"), "word")
 
 
 # --- aggregates and ranks
@@ -603,20 +611,23 @@ def q_quality_signs(spark, folder):
     return quality.sign_checks(load(spark, folder, "customer").withColumn("c_acctbal", F.col("c_acctbal") - 5000), ["c_acctbal", "c_name"])
 
 
-@query(f"""WITH {v.CALENDAR_SQL}, o AS (SELECT cal_date FROM calendar WHERE is_open = 1), d AS (SELECT DISTINCT strftime(o_orderdate, '%Y%m%d') AS d FROM orders WHERE o_orderstatus = 'F' AND o_orderdate BETWEEN '1996-03-01' AND '1997-06-30'), m AS (SELECT min(d) AS lo, max(d) AS hi FROM d)
+@query(f"""WITH {v.CALENDAR_SQL}, o AS (SELECT cal_date FROM calendar WHERE is_open = 1), d AS (SELECT DISTINCT strftime(l_shipdate, '%Y%m%d') AS d FROM lineitem), m AS (SELECT min(d) AS lo, max(d) AS hi FROM d)
 SELECT (SELECT count(*) FROM o, m WHERE cal_date BETWEEN lo AND hi) AS n_expected, (SELECT count(*) FROM d) AS n_actual, (SELECT count(*) FROM o, m WHERE cal_date BETWEEN lo AND hi AND cal_date NOT IN (SELECT d FROM d)) AS n_missing,
 (SELECT count(*) FROM d WHERE d NOT IN (SELECT cal_date FROM o)) AS n_extra, CASE WHEN (SELECT count(*) FROM d WHERE d NOT IN (SELECT cal_date FROM o)) > 0 THEN 'error' ELSE 'warn' END AS status""")
 def q_quality_calendar(spark, folder):
-    rows = load(spark, folder, "orders").where("o_orderstatus = 'F' and o_orderdate between timestamp_ntz'1996-03-01' and timestamp_ntz'1997-06-30'").select(v.day("o_orderdate").alias("d"))
+    rows = load(spark, folder, "lineitem").select(v.day("l_shipdate").alias("d"))
     return quality.calendar_coverage(rows, v.calendar(spark, folder), "d").select("n_expected", "n_actual", "n_missing", "n_extra", "status")
 
 
-@query(f"""WITH {v.CALENDAR_SQL}, r AS (SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y%m%d') AS d FROM orders WHERE o_custkey < 40), s AS (SELECT o_custkey, min(d) AS lo, max(d) AS hi FROM r GROUP BY 1)
-SELECT CAST(o_custkey AS VARCHAR) || '.SH' AS symbol, cal_date AS d, o_custkey % 2 = 0 AND cal_date LIKE '199607%' AS explained FROM s JOIN calendar ON is_open = 1 AND cal_date BETWEEN lo AND hi WHERE (o_custkey, cal_date) NOT IN (SELECT o_custkey, d FROM r)""")
+@query(f"""WITH {v.CALENDAR_SQL}, r AS (SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y%m%d') AS d FROM orders), s AS (SELECT o_custkey, min(d) AS lo, max(d) AS hi FROM r GROUP BY 1),
+m AS (SELECT o_custkey, cal_date FROM s JOIN calendar ON is_open = 1 AND cal_date BETWEEN lo AND hi), g AS (SELECT m.o_custkey, cal_date FROM m LEFT JOIN r ON r.o_custkey = m.o_custkey AND r.d = m.cal_date WHERE r.d IS NULL)
+SELECT CAST(o_custkey AS VARCHAR) || '.SH' AS symbol, o_custkey % 2 = 0 AND cal_date LIKE '199607%' AS explained, count(*) AS n_days, min(cal_date) AS first_day FROM g GROUP BY 1, 2""")
 def q_symbol_coverage(spark, folder):
-    rows = load(spark, folder, "orders").where("o_custkey < 40").select(F.concat(F.col("o_custkey").cast("string"), F.lit(".SH")).alias("symbol"), v.day("o_orderdate").alias("d"))
-    halts = calendar.spine(spark, "19960701", "19960731", "d").crossJoin(spark.range(0, 40, 2).select(F.concat(F.col("id").cast("string"), F.lit(".SH")).alias("symbol")))
-    return quality.symbol_coverage(rows, v.calendar(spark, folder), "symbol", "d", halts)
+    rows = load(spark, folder, "orders").select("o_custkey", F.concat(F.col("o_custkey").cast("string"), F.lit(".SH")).alias("symbol"), v.day("o_orderdate").alias("d"))
+    # every second symbol is halted for a month of 31 days
+    halts = rows.where("o_custkey % 2 = 0").select("symbol").distinct().withColumn("d", F.explode(F.transform(F.sequence(F.lit(1), F.lit(31)), lambda i: F.format_string("199607%02d", i))))
+    out = quality.symbol_coverage(rows, v.calendar(spark, folder), "symbol", "d", halts)
+    return out.groupBy("symbol", "explained").agg(F.count("*").alias("n_days"), F.min("d").alias("first_day"))
 
 
 @query(f"WITH {v.CALENDAR_SQL} SELECT min(cal_date) AS first_date, max(cal_date) AS last_date, count(*) AS n_days, count(*) FILTER (WHERE is_open = 1) AS n_open FROM calendar")
@@ -713,15 +724,15 @@ def q_jsonp(spark, folder):
     return load(spark, folder, "pages").select("page_id", F.get(F.from_json(body, "array<bigint>"), 1).alias("n"))
 
 
-@query("""SELECT o_orderkey, 'T' || o_orderkey AS name, CASE WHEN o_orderkey % 2 = 0 THEN 1.5 END::DOUBLE AS price FROM orders WHERE o_orderkey < 200""")
+@query("""SELECT o_orderkey, 'T' || o_orderkey AS name, CASE WHEN o_orderkey % 2 = 0 THEN 1.5 END::DOUBLE AS price FROM orders""")
 def q_field_map(spark, folder):
-    rows = load(spark, folder, "orders").where("o_orderkey < 200").select(F.array(F.col("o_orderkey").cast("string"), F.concat(F.lit(" T"), F.col("o_orderkey").cast("string")), F.when(F.col("o_orderkey") % 2 == 0, "1.5").otherwise("--")).alias("cells"))
+    rows = load(spark, folder, "orders").select(F.array(F.col("o_orderkey").cast("string"), F.concat(F.lit(" T"), F.col("o_orderkey").cast("string")), F.when(F.col("o_orderkey") % 2 == 0, "1.5").otherwise("--")).alias("cells"))
     return formats.mapped_fields(rows, [("o_orderkey", 0, "int"), ("name", 1, "text"), ("price", 2, "float")], "cells")
 
 
-@query("""SELECT o_orderkey, t AS table_index, r AS row_index, CASE WHEN r = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'x' END AS a, CASE WHEN r = 0 THEN 'y' END AS a1 FROM (SELECT o_orderkey, unnest([0, 0]) AS t, unnest([0, 1]) AS r FROM orders WHERE o_orderkey < 100)""")
+@query("""SELECT o_orderkey, t AS table_index, r AS row_index, CASE WHEN r = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'x' END AS a, CASE WHEN r = 0 THEN 'y' END AS a1 FROM (SELECT o_orderkey, unnest([0, 0]) AS t, unnest([0, 1]) AS r FROM orders)""")
 def q_result_sets(spark, folder):
-    rows = load(spark, folder, "orders").where("o_orderkey < 100").select("o_orderkey", F.format_string('{"tables":[{"columns":["a","a"],"rows":[["%d","y"],["x"]]}]}', "o_orderkey").alias("json"))
+    rows = load(spark, folder, "orders").select("o_orderkey", F.format_string('{"tables":[{"columns":["a","a"],"rows":[["%d","y"],["x"]]}]}', "o_orderkey").alias("json"))
     return formats.result_sets(rows).select("o_orderkey", "table_index", "row_index", F.try_element_at("cells", F.lit("a")).alias("a"), F.try_element_at("cells", F.lit("a__1")).alias("a1"))
 
 
@@ -756,9 +767,9 @@ def q_event_details(spark, folder):
     return joins.with_details(rows.select("event_id", "user_id"), details, "user_id").select("event_id", "name")
 
 
-@query("SELECT event_id, i AS item_index, CASE i WHEN 0 THEN CAST(user_id AS VARCHAR) ELSE 'b' END AS a FROM (SELECT event_id, user_id, unnest([0, 1]) AS i FROM events WHERE event_id < 500)")
+@query("SELECT event_id, i AS item_index, CASE i WHEN 0 THEN CAST(user_id AS VARCHAR) ELSE 'b' END AS a FROM (SELECT event_id, user_id, unnest([0, 1]) AS i FROM events)")
 def q_json_items(spark, folder):
-    rows = load(spark, folder, "events").where("event_id < 500").select("event_id", F.format_string('[{"a": "%d"}, ["b", "c"]]', "user_id").alias("j"))
+    rows = load(spark, folder, "events").select("event_id", F.format_string('[{"a": "%d"}, ["b", "c"]]', "user_id").alias("j"))
     return reshape.json_items(rows, "j", {"a": 0}).select("event_id", "item_index", "a")
 
 
@@ -866,7 +877,8 @@ def q_stream_dedup_cursor(spark, folder):
     return spark.read.schema(once.schema).parquet(out).groupBy("user_id").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("""WITH b AS (SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS s, arg_min(value, (ts, value)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, value)) AS close, count(*) AS n_ticks FROM events GROUP BY 1, 2)
+SELECT user_id, strftime(s, '%Y%m%d%H') AS bar_start, open, high, low, close, n_ticks FROM b WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
 def q_stream_bars(spark, folder):
     from tickloom.streaming import refresh
 
@@ -875,15 +887,13 @@ def q_stream_bars(spark, folder):
     source.withColumn("at", F.col("ts").cast("timestamp")).write.parquet(held)
     stream = spark.readStream.schema(spark.read.parquet(held).schema).parquet(held)
     out = scratch(spark, "bars")
+    # a bar is final once the watermark, ten minutes behind the newest tick, has passed it
     rows = refresh.streaming_bars(stream, "1 hour", ["user_id"], "at", "value")
     rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out)
+    bars_ = spark.read.schema(rows.schema).parquet(out)
+    return bars_.select("user_id", F.date_format("bar_start", "yyyyMMddHH").alias("bar_start"), "open", "high", "low", "close", "n_ticks")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share."""
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/tickloom-checkpoints"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -88,10 +88,10 @@ LADDER_SQL = """stocks AS (
   SELECT CAST(p_partkey AS VARCHAR) AS instrument_id, p_name AS name, p_size % 6 + 1 AS ladder_level,
          CASE WHEN p_partkey % 3 = 0 THEN 'touched' ELSE 'sealed' END AS limit_status, p_retailprice * 10 AS seal_amount, p_retailprice * 100 AS amount,
          p_partkey AS rank, '20240102' AS trade_date, CAST(p_size % 6 + 3 AS VARCHAR) || '天' || CAST(p_size % 6 + 1 AS VARCHAR) || '板' AS limit_board_text, p_partkey
-  FROM part WHERE p_partkey < 400),
+  FROM part),
 topics AS (
   SELECT CAST(p_partkey AS VARCHAR) AS instrument_id, w AS topic_name, 'T' || w AS topic_id, p_partkey * 10 + i AS ordinal, p_size / 10.0 AS relevance
-  FROM (SELECT p_partkey, p_size, unnest(string_split(p_name, ' ') || [ p_type, 'MSCI ' || p_type ]) AS w, generate_subscripts(string_split(p_name, ' ') || [ p_type, 'MSCI ' || p_type ], 1) AS i FROM part WHERE p_partkey < 400)),
+  FROM (SELECT p_partkey, p_size, unnest(string_split(p_name, ' ') || [ p_type, 'MSCI ' || p_type ]) AS w, generate_subscripts(string_split(p_name, ' ') || [ p_type, 'MSCI ' || p_type ], 1) AS i FROM part)),
 own AS (
   SELECT instrument_id, topic_name, min(ordinal) AS ordinal, arg_min(topic_id, ordinal) AS topic_id, arg_min(relevance, ordinal) AS relevance
   FROM topics WHERE topic_name NOT LIKE '%MSCI%' AND trim(topic_name) <> '' GROUP BY 1, 2)"""
@@ -99,7 +99,7 @@ own AS (
 
 def stocks(spark: SparkSession, folder: str) -> DataFrame:
     level = F.col("p_size") % 6
-    return load(spark, folder, "part").where("p_partkey < 400").select(
+    return load(spark, folder, "part").select(
         F.col("p_partkey").cast("string").alias("instrument_id"), F.col("p_name").alias("name"), (level + 1).alias("ladder_level"),
         F.when(F.col("p_partkey") % 3 == 0, "touched").otherwise("sealed").alias("limit_status"), (F.col("p_retailprice") * 10).alias("seal_amount"), (F.col("p_retailprice") * 100).alias("amount"),
         F.col("p_partkey").alias("rank"), F.lit("20240102").alias("trade_date"), F.format_string("%d天%d板", (level + 3).cast("int"), (level + 1).cast("int")).alias("limit_board_text"),
@@ -108,7 +108,7 @@ def stocks(spark: SparkSession, folder: str) -> DataFrame:
 
 def topics(spark: SparkSession, folder: str) -> DataFrame:
     words = F.concat(F.split("p_name", " "), F.array(F.col("p_type"), F.concat(F.lit("MSCI "), F.col("p_type"))))
-    rows = load(spark, folder, "part").where("p_partkey < 400").select("p_partkey", "p_size", F.posexplode(words).alias("i", "topic_name"))
+    rows = load(spark, folder, "part").select("p_partkey", "p_size", F.posexplode(words).alias("i", "topic_name"))
     return rows.select(F.col("p_partkey").cast("string").alias("instrument_id"), "topic_name", F.concat(F.lit("T"), "topic_name").alias("topic_id"), (F.col("p_partkey") * 10 + F.col("i") + 1).alias("ordinal"), (F.col("p_size") / 10.0).alias("relevance"))
 
 
@@ -131,7 +131,7 @@ BARS_SQL = """bars AS (
 actions AS (
   SELECT l_partkey % 150 AS instrument_id, '202401' || lpad(CAST(l_suppkey % 31 + 1 AS VARCHAR), 2, '0') AS event_date, 1 AS category_raw,
          l_orderkey * 10 + l_linenumber AS ordinal, l_discount * 10 AS c1, 1.0 AS c2, l_tax * 20 AS c3, CAST(l_linenumber % 3 AS DOUBLE) AS c4
-  FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey % 50 = 0)"""
+  FROM lineitem WHERE l_returnflag = 'R')"""
 
 
 def bars(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,7 +139,7 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def actions(spark: SparkSession, folder: str) -> DataFrame:
-    rows = load(spark, folder, "lineitem").where("l_returnflag = 'R' and l_orderkey % 50 = 0")
+    rows = load(spark, folder, "lineitem").where("l_returnflag = 'R'")
     return rows.select(
         (F.col("l_partkey") % 150).alias("instrument_id"), F.concat(F.lit("202401"), F.lpad((F.col("l_suppkey") % 31 + 1).cast("string"), 2, "0")).alias("event_date"), F.lit(1).alias("category_raw"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ordinal"), (F.col("l_discount") * 10).alias("c1"), F.lit(1.0).alias("c2"), (F.col("l_tax") * 20).alias("c3"), (F.col("l_linenumber") % 3).cast("double").alias("c4"),
