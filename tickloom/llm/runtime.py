@@ -1,8 +1,7 @@
-"""Shared folders, lineage cuts and additive sketches."""
+"""Tables, Arrow bounds, additive sketches and bit arrays of keys."""
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -12,54 +11,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 4 << 20
-TEST_FOLDER = "/tmp/tickloom-checkpoints"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+from tickloom.storage import stored
 
-    It is the one the cluster names in ``spark.checkpoint.dir``; a folder of
-    our own is set only where that is unset, as in local tests.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = TEST_FOLDER
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+BATCH_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 
 def plain(df: DataFrame, **columns: str) -> DataFrame:
-    """The named columns of ``df`` in the given types; Arrow batches are bounded by bytes from here on.
+    """The named columns of ``df`` in the given types.
 
-    Ten thousand rows of text can be any size: without the bound the JVM holds
-    whole batches of them off heap.
+    Ten thousand rows of text can be any size: without a bound in bytes the JVM
+    holds whole batches of them off heap.  A session that names no bound gets one.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if df.sparkSession.conf.get(BATCH_BOUND, None) is None:
+        df.sparkSession.conf.set(BATCH_BOUND, str(BATCH_BYTES))
     return df.select(*(F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: lineage ends here."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_WRITTEN: list[str] = []
-
-
-def sweep(spark: SparkSession) -> None:
-    """Delete all that ``stored`` has written but the last table; call it once nothing older is read any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    while len(_WRITTEN) > 1:
-        old = path(_WRITTEN.pop(0))
-        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -170,9 +138,9 @@ def without(docs: DataFrame, names: DataFrame, key: str = "doc_id") -> DataFrame
     return docs.where(~flag).unionByName(some)
 
 
-def once(docs: DataFrame, key: str = "doc_id", same: tuple[str, ...] = ("text",)) -> DataFrame:
-    """One of the rows that repeat a key and the columns ``same``; rows with a key of their own stay where they are."""
-    repeated = stored(docs.groupBy(key).count().where("count > 1").select(key), "repeated")
+def once(docs: DataFrame, key: str, same: tuple[str, ...]) -> DataFrame:
+    """One of the rows that repeat a key and the columns ``same``; rows without a key, or with one of their own, stay where they are."""
+    repeated = stored(docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key), "repeated")
     if not repeated.limit(1).count():
         return docs
     flag = may_be_in(docs, repeated, key)
