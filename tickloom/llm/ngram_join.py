@@ -38,8 +38,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.graph import components
-from tickloom.llm.runtime import collect_sketch, key_bits, key_cells, merge_sketches, plain, sketch_rows, stored
+from tickloom.llm.runtime import collect_sketch, key_bits, key_cells, merge_sketches, plain, sketch_rows
 from tickloom.llm.textwords import FOLDED, chunks, rolling, split_words
+from tickloom.storage import stored
 
 SKETCH_WIDTH = 1 << 20
 SKETCH_PARTS = 8
@@ -175,8 +176,10 @@ def _starts(rows: dict[str, np.ndarray], keys: list[str]) -> np.ndarray:
 
 
 def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of two classes or more, each row with the first of its group."""
+    """Groups of two classes or more, each row with the first of its group; tasks may have posted a class several times."""
     for rows in _runs(batches, ["gram", "salt"]):
+        once = _starts(rows, ["gram", "salt", "cls"])
+        rows = {k: v[once] for k, v in rows.items()}
         starts = _starts(rows, ["gram", "salt"])
         sizes = np.diff(np.append(starts, len(rows["gram"])))
         lead = np.repeat(starts, sizes)
@@ -214,20 +217,16 @@ def _least_shared(percent: int, n: Column, n2: Column) -> Column:
 
 
 def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """N-grams shared by several components; rows outside the largest of them are loose."""
+    """N-grams shared by several components; rows outside the last of them, in the order of sizes, are loose."""
     for rows in _runs(batches, ["gram"]):
+        once = _starts(rows, ["gram", "cls"])
+        rows = {k: v[once] for k, v in rows.items()}
         grams = _starts(rows, ["gram"])
-        parts = _starts(rows, ["gram", "component"])
-        sizes = np.diff(np.append(parts, len(rows["gram"])))
-        first = np.searchsorted(parts, grams)
-        kinds = np.diff(np.append(first, len(parts)))
-        largest = np.repeat(np.maximum.reduceat(sizes, first), kinds)
-        at = np.where(sizes == largest, np.arange(len(parts)), len(parts))
-        main = np.repeat(np.minimum.reduceat(at, first), kinds)
-        loose = np.repeat(np.arange(len(parts)) != main, sizes)
-        keep = np.repeat(np.repeat(kinds > 1, kinds), sizes)
+        last = np.repeat(np.append(grams[1:], len(rows["gram"])) - 1, np.diff(np.append(grams, len(rows["gram"]))))
+        loose = rows["component"] != rows["component"][last]
+        keep = np.repeat(rows["component"][grams] != rows["component"][last[grams]], np.diff(np.append(grams, len(last))))
         if keep.any():
-            yield pa.RecordBatch.from_pydict({k: pa.array(rows[k][keep]) for k in ("gram", "cls", "n", "lead_cls", "component")} | {"loose": pa.array(loose[keep])})
+            yield pa.RecordBatch.from_pydict({k: pa.array(rows[k][keep]) for k in ("gram", "cls", "n", "lead_cls", "size", "component")} | {"loose": pa.array(loose[keep])})
 
 
 def _suffix(percent: int):
@@ -285,19 +284,22 @@ def _verify(width: int, percent: int):
 
 
 def _blocks(width: int, percent: int):
-    """Links of each block's sets (role 0) with what streams past them (role 1), between different components.
+    """Linked components: each block's sets (role 0) against what streams past them (role 1).
 
-    One link joins two components; further ones in the same block are left out.
+    Two sets are compared where the one of the smaller component is held, so
+    nowhere twice.  A link joins two components; further links between what is
+    joined already are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        now, ids, parts, sets, shapes, known = None, [], [], [], None, None
+        now, parts, sets, shapes, known = None, [], [], None, None
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
-            while parent.setdefault(x, x) != x:
-                x = parent[x] = parent[parent[x]]
+            while (above := parent.setdefault(x, x)) != x:
+                parent[x] = parent[above]
+                x = above
             return x
 
         def rows() -> Iterator[tuple]:
@@ -305,19 +307,19 @@ def _blocks(width: int, percent: int):
                 for start in range(0, batch.num_rows, 256):
                     part = batch.slice(start, 256)
                     texts = pa.array([unpack(x) for x in part.column("packed").to_pylist()], pa.large_binary())
-                    plain = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("grp", "salt", "role", "cls", "component")), texts], ["grp", "salt", "role", "cls", "component", "text"])
+                    names = ["grp", "salt", "role", "size", "component"]
+                    plain = pa.RecordBatch.from_arrays([*map(part.column, names), texts], [*names, "text"])
                     for small in chunks(iter([plain])):
-                        yield from zip(*(small.column(c).to_pylist() for c in ("grp", "salt", "role", "cls", "component")), shingle_sets(small.column("text"), width), strict=True)
+                        yield from zip(*(small.column(c).to_pylist() for c in names), shingle_sets(small.column("text"), width), strict=True)
 
         a: list[int] = []
         b: list[int] = []
-        for grp, salt, role, cls, component, one in rows():
+        for grp, salt, role, size, component, one in rows():
             if (grp, salt) != now:
-                now, ids, parts, sets, shapes, known = (grp, salt), [], [], [], None, None
+                now, parts, sets, shapes, known = (grp, salt), [], [], None, None
                 parent.clear()
             if role == 0:
-                ids.append(cls)
-                parts.append(component)
+                parts.append((size, component))
                 sets.append(one)
                 continue
             if known is None:
@@ -330,7 +332,8 @@ def _blocks(width: int, percent: int):
             shape = np.frombuffer(_histogram(one), "<u2").astype(np.int64)
             most = np.minimum(shapes, shape).sum(axis=1) if len(one) < 65535 else np.minimum(n, len(one))
             mine = root(component)
-            open_sets = [k for k in np.flatnonzero((np.minimum(most, np.minimum(n, len(one))) >= need) | (n >= 65535)).tolist() if root(parts[k]) != mine]
+            near = np.flatnonzero((np.minimum(most, np.minimum(n, len(one))) >= need) | (n >= 65535)).tolist()
+            open_sets = [k for k in near if parts[k] < (size, component) and root(parts[k][1]) != mine]
             if not open_sets:
                 continue
             low, high = np.searchsorted(known, one), np.searchsorted(known, one, side="right")
@@ -338,10 +341,10 @@ def _blocks(width: int, percent: int):
             at = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
             both = np.bincount(holder[at], minlength=len(sets))
             for k in open_sets:
-                if 100 * both[k] >= percent * (n[k] + len(one) - both[k]) and root(parts[k]) != root(component):
-                    parent[root(parts[k])] = root(component)
-                    a.append(ids[k])
-                    b.append(cls)
+                if 100 * both[k] >= percent * (n[k] + len(one) - both[k]) and root(parts[k][1]) != root(component):
+                    parent[root(parts[k][1])] = root(component)
+                    a.append(parts[k][1])
+                    b.append(component)
             if len(a) >= 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
                 a, b = [], []
@@ -436,40 +439,40 @@ class JaccardJoin:
         return self._checked(pairs.where(F.col("count") >= _least_shared(self.percent, F.col("n"), F.col("n2"))).select("a", "b"))
 
     def _rest(self, led: DataFrame, labels: DataFrame) -> DataFrame:
-        """Links between components whose classes share enough posted n-grams.
-
-        In each n-gram's group the classes outside its largest component are
-        loose.  Loose classes of one family and nearly one size form blocks; a
-        class passes a block once if it shares half as many n-grams with the
-        block's loose classes as a link with a set of its sizes takes: in every
-        n-gram that two classes of different components share one of them is
-        loose, so one of the two is loose in half of them at least.  So a group
-        costs rows by the number of blocks, not of pairs.
+        """Linked pairs (a, b) of components whose classes share enough posted n-grams.
+
+        Components are ordered by size, then name.  In each n-gram's group the
+        classes outside the last component are loose, so of two classes of
+        different components the one of the smaller is loose in every n-gram
+        that they share.  Loose classes of one family and nearly one size form
+        blocks; a class of a larger component passes a block if it shares as
+        many n-grams with the block's loose classes as a link with a set of its
+        sizes takes.  So a pair is compared once, and a group costs rows by the
+        number of blocks, not of pairs.
         """
-        rows = led.select("gram", "cls", "n", "lead_cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        rows = rows.repartition("gram").sortWithinPartitions("gram", "component").mapInArrow(_mixed, "gram long, cls long, n int, lead_cls long, component long, loose boolean")
+        sized = labels.join(labels.groupBy("component").agg(F.count("*").alias("size")), "component").withColumnRenamed("node", "cls")
+        rows = led.select("gram", "cls", "n", "lead_cls").join(sized, "cls", "left").withColumns({"component": F.coalesce("component", "cls"), "size": F.coalesce("size", F.lit(1))})
+        rows = rows.repartition("gram").sortWithinPartitions("gram", "size", "component", "cls").mapInArrow(_mixed, "gram long, cls long, n int, lead_cls long, size long, component long, loose boolean")
         rows = stored(rows, "jaccard-rest")
+        place = F.struct("size", "component")
         step = F.floor(F.log("n") / float(np.log(1.05)))
-        loose = rows.where("loose").groupBy("cls").agg(F.min("lead_cls").alias("family"), F.min("n").alias("n")).withColumn("step", step)
+        loose = rows.where("loose").groupBy("cls").agg(F.min("lead_cls").alias("family"), F.min("n").alias("n"), F.min(place).alias("place")).withColumn("step", step)
         heaps = loose.groupBy("family", "step").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_GRAMS))).cast("int").alias("heaps"), F.min("n").alias("low"), F.max("n").alias("high"))
         heap = F.pmod(F.xxhash64("cls"), F.col("heaps").cast("long")).cast("int")
-        held = stored(loose.join(heaps, ["family", "step"]).select("cls", F.xxhash64("family", "step", heap).alias("grp"), "low", "high"), "jaccard-blocks")
-        asked = rows.where("loose").select("gram", "cls").join(held, "cls").select("gram", "grp", "low", "high").distinct()
-        passing = rows.select("gram", "cls", "n").join(asked, "gram").where((100 * F.col("n") >= self.percent * F.col("low")) & (100 * F.col("high") >= self.percent * F.col("n")))
-        passing = passing.groupBy("grp", "cls").agg(F.count("*").alias("count"), F.min("n").alias("n"), F.min("low").alias("low"), F.min("high").alias("high"))
+        held = stored(loose.join(heaps, ["family", "step"]).select("cls", "place", F.xxhash64("family", "step", heap).alias("grp"), "low", "high"), "jaccard-blocks")
+        asked = rows.where("loose").select("gram", "cls").join(held, "cls").groupBy("gram", "grp").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("place").alias("first"))
+        passing = rows.select("gram", "cls", "n", place.alias("place")).join(asked, "gram").where((F.col("place") > F.col("first")) & (100 * F.col("n") >= self.percent * F.col("low")) & (100 * F.col("high") >= self.percent * F.col("n")))
+        passing = passing.groupBy("grp", "cls").agg(F.count("*").alias("count"), F.min("n").alias("n"), F.min("low").alias("low"), F.min("high").alias("high"), F.min("place").alias("place"))
         # the least number falls towards either end of the block's sizes; one less allows for rounding
         least = F.least(_least_shared(self.percent, F.col("low"), F.col("n")), _least_shared(self.percent, F.col("high"), F.col("n"))) - 1
-        passing = passing.where(2 * F.col("count") >= least).select("grp", "cls", F.lit(1).alias("role"))
-        # a block that only its own single class passes has nothing to compare
-        members = passing.select("grp", "cls").unionByName(held.select("grp", "cls"))
-        met = members.groupBy("grp").agg(F.min("cls").alias("first"), F.max("cls").alias("last")).where("first <> last").select("grp")
-        both = stored(passing.unionByName(held.select("grp", "cls", F.lit(0).alias("role"))).join(met, "grp"), "jaccard-passing")
-        texts = self._texts(both.select("cls"))
-        copies = both.groupBy("grp").agg(F.ceil(F.greatest(F.lit(1), F.sum("role")) / F.lit(PASSING)).cast("int").alias("copies"))
-        place = F.when(F.col("role") == 1, F.array(F.pmod(F.xxhash64("cls"), F.col("copies").cast("long")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("copies") - 1))
-        dealt = both.join(copies, "grp").select("grp", "role", "cls", F.explode(place).alias("salt"))
-        named = dealt.join(rows.select("cls", "component").distinct(), "cls").join(texts, "cls").select("grp", "salt", "role", "cls", "component", "packed")
-        return named.repartition("grp", "salt").sortWithinPartitions("grp", "salt", "role").mapInArrow(_blocks(self.width, self.percent), "a long, b long")
+        passing = stored(passing.where(F.col("count") >= least).select("grp", "cls", "place"), "jaccard-passing")
+        copies = passing.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(PASSING)).cast("int").alias("copies"))
+        texts = self._texts(passing.select("cls").unionByName(held.join(copies, "grp", "left_semi").select("cls")))
+        copy = F.pmod(F.xxhash64("cls"), F.col("copies").cast("long")).cast("int")
+        dealt = passing.join(copies, "grp").select("grp", copy.alias("salt"), F.lit(1).alias("role"), "cls", "place")
+        blocks = held.join(copies, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.lit(0).alias("role"), "cls", "place")
+        named = dealt.unionByName(blocks).join(texts, "cls").select("grp", "salt", "role", "place.size", "place.component", "packed")
+        return named.repartition("grp", "salt").sortWithinPartitions("grp", "salt", "role").mapInArrow(_blocks(self.width, self.percent), "a long, b long").distinct()
 
     def links(self) -> DataFrame:
         """Every linked pair of different classes, by their smallest documents: (doc_id, other_id)."""
@@ -479,14 +482,15 @@ class JaccardJoin:
         return found.select(F.least("doc_id", "second").alias("doc_id"), F.greatest("doc_id", "second").alias("other_id"))
 
     def components(self) -> DataFrame:
-        """doc_id, n (size of the set), component_id (smallest document reachable by links), row (the hash of id and text)."""
+        """doc_id, n (size of the set), component_id (smallest document reachable by links), row (the hash of id and text), component (its key; null for empty sets)."""
         led = self._led()
         first = stored(self._leader_round(led), "jaccard-links")
         labels = components(first)
+        named = self.classes.select("cls", "doc_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         second = stored(self._rest(led, labels), "jaccard-links")
         if second.limit(1).count():
-            labels = components(first.unionByName(second))
-        named = self.classes.select("cls", "doc_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+            above = components(second).select(F.col("node").alias("component"), F.col("component").alias("above"))
+            named = named.join(above, "component", "left").withColumn("component", F.coalesce("above", "component"))
         smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-        names = named.join(smallest, "component").select("cls", "component_id")
-        return self.members.join(names, "cls", "left").select("doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id"), "row")
+        names = named.join(smallest, "component").select("cls", "component_id", "component")
+        return self.members.join(names, "cls", "left").select("doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id"), "row", "component")
