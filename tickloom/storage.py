@@ -39,10 +39,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: lineage ends here.
 
     The files go when a run says so (``scratch``), else when the driver exits.
+    They are packed by zstd, whose buffers are heap arrays: those of snappy lie
+    off the heap until some late collection, beyond what an executor's heap bounds.
     """
     spark = df.sparkSession
     target = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(target)
+    df.write.option("compression", "zstd").parquet(target)
     path, system = _path(spark, target)
     system.deleteOnExit(path)
     written = _RUN.get()
