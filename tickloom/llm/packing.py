@@ -11,8 +11,9 @@ the driver sees at most ``capacity`` counts whatever the corpus:
   fits exactly); backtracking gives the multiset, which is used as often as the
   counts allow.
 * A piece gets its place from its rank among the pieces of its length.  Ranks
-  are counted within salts of each length and shifted by the salts' totals, so
-  that a length shared by a third of all rows isn't one task.
+  are counted within salts of each length, as many as its count fills, and
+  shifted by the salts' totals, so that a length shared by a third of all rows
+  isn't one task.
 
 Edge cases: null and empty texts are the end id alone.  A repeated row is a
 document of its own; rows that tie are alike and may swap places.  An empty
@@ -30,10 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.runtime import plain, stored
+from tickloom.llm.runtime import plain
 from tickloom.llm.textwords import RAW, chunks, dictionary_hashes, split_words
+from tickloom.storage import stored
 
-SALTS = 64
+#: Pieces of one length that are ranked in one group.
+SALT_ROWS = 100_000
+#: Words whose ids a worker keeps; it starts anew beyond them.
 CACHE_WORDS = 2_000_000
 #: Words given to the tokenizer at a time; each takes about a kilobyte until its ids are read.
 ENCODE_WORDS = 4096
@@ -44,8 +48,8 @@ _CACHES: dict[str, _WordIds] = {}
 class _WordIds:
     """Ids of blank-separated words, kept per worker as flat arrays.
 
-    The tokenizer drops white space and no pattern of it crosses one, so a
-    text's ids are those of its words in turn.
+    The tokenizer drops white space, no pattern of it crosses one and none of
+    its special strings holds one, so a text's ids are those of its words in turn.
     """
 
     def __init__(self, name: str):
@@ -54,7 +58,6 @@ class _WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
         self.forget()
 
     def forget(self) -> None:
@@ -233,13 +236,15 @@ def pack(documents: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int
     spark = documents.sparkSession
     rows = plain(documents, doc_id="long", text="string")
     pieces = stored(rows.mapInArrow(_pieces(tokenizer, end_id, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"), "pieces")
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SALTS)).cast("int"))
-    counts = stored(salted.groupBy("length", "salt").agg(F.count("*").alias("pieces")), "piece-counts")
-    of_length = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("pieces").alias("n")).collect()}
+    # at most ``capacity`` rows
+    lengths = stored(pieces.groupBy("length").agg(F.count("*").alias("pieces")), "piece-lengths")
+    of_length = {r.length: r.pieces for r in lengths.collect()}
     slots = spark.sparkContext.broadcast(_slots(plan(of_length, capacity)).tobytes())
-    # capacity * SALTS rows at most
+    salts = lengths.select("length", F.ceil(F.col("pieces") / SALT_ROWS).alias("salts"))
+    salted = pieces.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("salts")))
+    counts = salted.groupBy("length", "salt").agg(F.count("*").alias("pieces"))
     shift = counts.select("length", "salt", (F.sum("pieces").over(Window.partitionBy("length").orderBy("salt")) - F.col("pieces")).alias("shift"))
     own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32"))
-    ranked = salted.withColumn("own", own).join(F.broadcast(shift), ["length", "salt"]).withColumn("rank", F.col("shift") + F.col("own") - 1)
+    ranked = salted.withColumn("own", own).join(shift, ["length", "salt"]).withColumn("rank", F.col("shift") + F.col("own") - 1)
     out = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank").mapInArrow(_place(slots, capacity), out)
