@@ -5,27 +5,34 @@ Its risk is  prior * loss(P, +) + max(0, loss(U, -) - prior * loss(P, -)):
 the second term is what the negatives cost, corrected for the positives hidden
 in U; where it turns negative, the step goes back on it instead of down.
 
-* The logit is cut where squared recall on P per share of U above is largest, a
-  criterion that needs no negatives; a score of 0.5 stands for the cut.
-* prior: the share of toxic rows among all labels that may be learnt from.
+* Logistic loss on a linear logit makes this risk convex; max(0, x) is smoothed
+  as s * log(1 + exp(x / s)).  It is minimised by L-BFGS steps on the driver, which
+  holds one number a feature; the unlabelled side is summed anew at each step over
+  all documents that may be learnt from.  The ridge shrinks as P grows, as the
+  sampling error of P's means does, which the risk would otherwise fit.  A score
+  of 0.5 is the risk's own boundary.
+* prior: the share of toxic rows among all labels that may be learnt from, but
+  no more than the mixture allows: U holds toxic texts' share of any set of texts
+  at least, so the prior is at most the share of U with a feature over that of P.
 * Features are the distinct lower-cased words of a text and their first 3 to 6
-  letters.  Candidates are those that occur in enough of P; their document
-  counts come from every document that isn't held out.  A feature is kept if
-  toxic texts hold it significantly more often than all texts.
-* The fit itself, on the driver, sees bounded samples: at most ``MAX_TOXIC``
-  labelled toxic rows and about ``MAX_UNLABELLED`` documents whose labels, if
-  any, are hidden; both are chosen by a hash of doc_id.
+  letters.  Candidates are those that occur in at least ``SUPPORT`` of P, so there
+  are at most 1 / SUPPORT times as many as a toxic text has features on average;
+  their document counts come from every document that isn't held out.  A feature
+  is kept if toxic texts hold it significantly more often than all texts.
+* P is a sample, by a hash of doc_id, of at most about ``MAX_TOXIC`` labelled rows.
 
 Edge cases: null and empty texts have no features and get the model's base
-score.  Labels that are null don't count; of repeated labels the largest does.
-Rows without doc_id are held out.  Without any toxic example every score is 0.
-A repeated row is scored again; an empty table gives no rows; extra columns are
-ignored.
+score, which is the prior if nothing sets toxic texts apart.  Labels that are
+null don't count; of repeated labels the largest does.  Rows without doc_id are
+held out.  Without any toxic example every score is 0.  A very long text is one
+text: its features count once each.  A repeated row is scored again; an empty
+table gives no rows; extra columns are passed on, but for ``score`` and
+``predicted``, which are replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,20 +42,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from tickloom.llm.runtime import key_bits, key_cells, plain, stored
+from tickloom.llm.runtime import key_bits, key_cells, plain
 from tickloom.llm.textwords import ALNUM, chunks, dictionary_hashes, split_words
+from tickloom.storage import stored
 
 MAX_TOXIC = 20_000
-MAX_UNLABELLED = 40_000
-MAX_CANDIDATES = 1 << 16
 #: A feature occurs in so many toxic texts at least, and in such a share of them.
 MIN_TEXTS = 3
 SUPPORT = 0.01
-MAX_FEATURES = 4096
 #: Standard errors between the shares of toxic and of all texts with a feature, and the share of such texts that must be toxic.
 APART = 3.0
 TOXIC_SHARE = 0.75
 PREFIXES = (3, 4, 5, 6)
+#: The ridge as a share of the prior over the square root of the number of toxic texts.
+RIDGE = 0.1
+#: The smoothing of max(0, x) as a share of the prior.
+SMOOTH = 0.01
+#: L-BFGS steps at most; fewer if the risk falls no more.
+STEPS = 60
 
 
 @dataclass
@@ -79,28 +90,31 @@ def word_features(words: pa.Array) -> np.ndarray:
 def held_features(texts: pa.Array, features: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """The distinct (text, feature) pairs; features are places in ``features``, or hashes."""
     words = split_words(texts, ALNUM)
-    size = max(len(words.dictionary), 1)
-    pairs = np.unique(words.owner() * size + words.codes)
-    doc, code = pairs // size, pairs % size
     hashes = word_features(words.dictionary)
     if features is None:
-        values = hashes[code]
-        doc = np.repeat(doc, values.shape[1])
-        values = values.ravel()
+        size = max(len(words.dictionary), 1)
+        pairs = np.unique(words.owner() * size + words.codes)
+        values = hashes[pairs % size]
+        doc, values = np.repeat(pairs // size, values.shape[1]), values.ravel()
         keep = values != 0
         order = np.lexsort((values[keep], doc[keep]))
         doc, values = doc[keep][order], values[keep][order]
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (values[1:] != values[:-1])
         return doc[new], values[new]
-    if not len(features):
+    if not len(features) or not len(hashes):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     at = np.minimum(np.searchsorted(features, hashes), len(features) - 1)
     known = features[at] == hashes
+    # most words hold none of the features; a text's other words count once
+    size = len(hashes)
+    held = np.flatnonzero(known.any(axis=1)[words.codes])
+    pairs = np.unique((np.searchsorted(words.bounds, held, side="right") - 1) * size + words.codes[held])
+    doc, code = pairs // size, pairs % size
     out = []
-    for k in range(hashes.shape[1]):
-        here = known[:, k][code]
-        out.append(doc[here] * len(features) + at[:, k][code[here]])
+    for k in range(known.shape[1]):
+        here = known[code, k]
+        out.append(doc[here] * len(features) + at[code[here], k])
     pairs = np.unique(np.concatenate(out))
     return pairs // len(features), pairs % len(features)
 
@@ -136,48 +150,94 @@ def _held(blob):
     return run
 
 
-def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, size: int, rounds: int = 600, rate: float = 0.1, sparse_by: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk and ``sparse_by`` times the weights' sizes.
-
-    Full-batch Adam steps; the mean of the last half of them counts.
-    """
-
-    def sparse(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
-
-    (p_row, p_at), (u_row, u_at) = sparse(toxic), sparse(unlabelled)
-    theta = np.zeros(size + 1)
-    theta[-1] = np.log(prior / (1 - prior))
-    first, second, mean = np.zeros_like(theta), np.zeros_like(theta), np.zeros_like(theta)
-
-    def gradient(row: np.ndarray, at: np.ndarray, slope: np.ndarray) -> np.ndarray:
-        return np.append(np.bincount(at, weights=slope[row], minlength=size), slope.sum())
-
-    for step in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-(theta[-1] + np.bincount(p_row, weights=theta[p_at], minlength=len(toxic)))))
-        u = 1 / (1 + np.exp(-(theta[-1] + np.bincount(u_row, weights=theta[u_at], minlength=len(unlabelled)))))
-        down = gradient(u_row, u_at, u / len(u)) - prior * gradient(p_row, p_at, p / len(p))
-        negative = -np.log1p(-np.minimum(u, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(p, 1 - 1e-12)).mean()
-        if negative >= 0:
-            slope = prior * gradient(p_row, p_at, (p - 1) / len(p)) + down
-        else:
-            slope = -down
-        slope[:-1] += sparse_by * np.sign(theta[:-1])
-        first = 0.9 * first + 0.1 * slope
-        second = 0.999 * second + 0.001 * slope**2
-        theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-        if 2 * step > rounds:
-            mean += theta / (rounds - rounds // 2)
-    return mean[:-1], float(mean[-1])
-
-
-def cut(toxic: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The logit to decide at: the largest squared recall on P per share of U above it, midway to the next."""
-    values = np.unique(np.concatenate([toxic, unlabelled]))
-    recall = 1 - np.searchsorted(np.sort(toxic), values) / len(toxic)
-    share = 1 - np.searchsorted(np.sort(unlabelled), values) / len(unlabelled)
-    best = int(np.argmax(np.where(share > 0, recall**2 / np.maximum(share, 1e-12), 0)))
-    return float((values[best] + values[max(best - 1, 0)]) / 2)
+def loss_sums(row: np.ndarray, at: np.ndarray, times: np.ndarray, theta: np.ndarray, sign: int) -> tuple[float, np.ndarray]:
+    """The logistic loss of texts against ``sign``, each counted ``times``, and its slope; (row, at) are the features held."""
+    z = sign * (theta[-1] + np.bincount(row, weights=theta[at], minlength=len(times)))
+    slope = sign * times / (1 + np.exp(np.clip(z, -700, 700)))
+    return float((times * np.logaddexp(0, -z)).sum()), -np.append(np.bincount(at, weights=slope[row], minlength=len(theta) - 1), slope.sum())
+
+
+def non_negative_risk(theta: np.ndarray, toxic: tuple[np.ndarray, np.ndarray, int], negative: tuple[float, np.ndarray], prior: float) -> tuple[float, np.ndarray]:
+    """The risk and its slope; ``negative`` is the mean loss of U against the negative label, and its slope."""
+    row, at, n = toxic
+    ones = np.ones(n)
+    plus, minus = loss_sums(row, at, ones, theta, 1), loss_sums(row, at, ones, theta, -1)
+    smooth = SMOOTH * prior
+    rest = (negative[0] - prior * minus[0] / n) / smooth
+    share = 1 / (1 + np.exp(np.clip(-rest, -700, 700)))
+    weights = np.append(theta[:-1], 0.0)
+    ridge = RIDGE * prior / np.sqrt(n)
+    value = prior * plus[0] / n + smooth * float(np.logaddexp(0, rest)) + ridge * float(weights @ weights) / 2
+    return value, prior * plus[1] / n + share * (negative[1] - prior * minus[1] / n) + ridge * weights
+
+
+def minimise(function: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray, steps: int = STEPS, settled: float = 1e-6, memory: int = 10) -> np.ndarray:
+    """L-BFGS with halved steps; ends where a step gains less than ``settled`` of the value."""
+    x, (value, slope), past = start, function(start), []
+    for _ in range(steps):
+        way, shares = slope.copy(), []
+        for s, y in reversed(past):
+            shares.append(s @ way / (s @ y))
+            way -= shares[-1] * y
+        way *= past[-1][0] @ past[-1][1] / (past[-1][1] @ past[-1][1]) if past else 1 / max(np.abs(slope).max(), 1e-12)
+        for (s, y), share in zip(past, reversed(shares), strict=True):
+            way += s * (share - y @ way / (s @ y))
+        if slope @ way <= 0:
+            way, past = slope.copy(), []
+        length = 1.0
+        while True:
+            new = x - length * way
+            new_value, new_slope = function(new)
+            if new_value <= value - 1e-4 * length * (slope @ way):
+                break
+            length /= 2
+            if length < 1e-4:
+                return x
+        if (new - x) @ (new_slope - slope) > 1e-14:
+            past = [*past, (new - x, new_slope - slope)][-memory:]
+        gain, x, value, slope = value - new_value, new, new_value, new_slope
+        if gain <= settled * abs(value):
+            return x
+    return x
+
+
+def fit(toxic: list[np.ndarray], unlabelled: Callable[[np.ndarray], tuple[float, np.ndarray]], prior: float, size: int) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the non-negative risk; ``unlabelled`` gives the mean loss of U against the negative label and its slope."""
+    row, at = np.repeat(np.arange(len(toxic)), [len(r) for r in toxic]), np.concatenate([*toxic, np.empty(0, np.int64)]).astype(np.int64)
+    start = np.zeros(size + 1)
+    start[-1] = np.log(prior / (1 - prior))
+    theta = minimise(lambda t: non_negative_risk(t, (row, at, len(toxic)), unlabelled(t), prior), start)
+    return theta[:-1], float(theta[-1])
+
+
+def _unlabelled_loss(patterns: DataFrame, total: int, size: int) -> Callable[[np.ndarray], tuple[float, np.ndarray]]:
+    """The mean loss of all texts against the negative label and its slope, summed where the patterns are."""
+    context = patterns.sparkSession.sparkContext
+
+    def mean(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        shared = context.broadcast(theta.tobytes())
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = np.frombuffer(shared.value)
+            loss, slope = 0.0, np.zeros(size + 1)
+            for batch in batches:
+                lists = batch.column("held")
+                row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
+                more = loss_sums(row, np.asarray(lists.flatten(), np.int64), np.asarray(batch.column("times"), np.float64), own, -1)
+                loss, slope = loss + more[0], slope + more[1]
+            found = np.flatnonzero(slope)
+            yield pa.record_batch({"place": pa.array(np.append(found, -1), pa.int32()), "value": pa.array(np.append(slope[found], loss))})
+
+        out, loss = np.zeros(size + 1), 0.0
+        for place, value in patterns.mapInArrow(run, "place int, value double").groupBy("place").agg(F.sum("value")).collect():
+            if place < 0:
+                loss = value
+            else:
+                out[place] = value
+        shared.unpersist()
+        return loss / total, out / total
+
+    return mean
 
 
 def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
@@ -216,7 +276,7 @@ def train(documents: DataFrame, labels: DataFrame, learnable: Column | None = No
     if not n_known:
         return nothing
     counted = toxic.mapInArrow(_toxic_counts, "feature long, times long").groupBy("feature").agg(F.sum("times").alias("times"))
-    found = counted.where(F.col("times") >= max(MIN_TEXTS, SUPPORT * n_known)).orderBy(F.desc("times"), "feature").limit(MAX_CANDIDATES).collect()
+    found = counted.where(F.col("times") >= max(MIN_TEXTS, SUPPORT * n_known)).collect()
     order = np.argsort(np.array([r.feature for r in found], np.int64).view(np.uint64))
     candidates = np.array([r.feature for r in found], np.int64).view(np.uint64)[order]
     of_toxic = np.array([r.times for r in found], np.float64)[order]
@@ -229,17 +289,16 @@ def train(documents: DataFrame, labels: DataFrame, learnable: Column | None = No
     p, u = of_toxic / n_known, np.maximum(of_all, of_toxic * n_known / max(n_toxic, 1)) / max(n_all, 1)
     apart = (p - u) / np.sqrt(p * (1 - p) / n_known + u * (1 - u) / max(n_all, 1) + 1e-12)
     good = np.flatnonzero((apart > APART) & (prior * p > TOXIC_SHARE * u))
-    good = np.sort(good[np.argsort(-apart[good], kind="stable")[:MAX_FEATURES]])
     features = candidates[good]
     blob = spark.sparkContext.broadcast(features.tobytes())
     known = [np.array(r.held, np.int64) for r in toxic.mapInArrow(_held(blob), "held array<int>").collect()]
-    sample = rows.where(_sample(F.col("doc_id"), MAX_UNLABELLED / max(n_all, 1))).select("text")
-    unlabelled = [np.array(r.held, np.int64) for r in sample.mapInArrow(_held(blob), "held array<int>").collect()]
-    if not unlabelled:
-        return nothing
-    weights, _ = fit(known, unlabelled, prior, len(features))
-    at = cut(np.array([weights[k].sum() for k in known]), np.array([weights[k].sum() for k in unlabelled]))
-    return ToxicityModel(features, weights, -at)
+    # texts with the same features count as one pattern; a pattern's texts are summed before they move
+    patterns = stored(rows.select("text").mapInArrow(_held(blob), "held array<int>").groupBy("held").agg(F.count("*").alias("times")), "toxic-patterns")
+    with_any = patterns.where("size(held) > 0").agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0] / n_all
+    most = with_any / max(np.mean([len(k) > 0 for k in known]), 1e-12) if len(features) else 1.0
+    prior = min(prior, most)
+    weights, bias = fit(known, _unlabelled_loss(patterns, n_all, len(features)), prior, len(features))
+    return ToxicityModel(features, weights, bias)
 
 
 def score(documents: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
