@@ -3,7 +3,7 @@
 * Scripts: each word has the script of its letters, by fixed code point ranges.
   A language keeps the scripts that make up ``SCRIPT_SHARE`` of its words at
   least; a word's candidates are the languages that keep its script, or all if
-  none does.
+  none does, as for letters of a script that isn't listed.
 * Word scores: the mean log probability of a word's byte n-grams and of the
   word itself under each language, times its length.  The counts behind them
   come from all documents that may be learnt from, added up in a table of
@@ -17,8 +17,8 @@ language's share of them.
 Edge cases: a text that is null or has no letter is ``und`` with score 0.  Null
 languages and texts teach nothing; rows without doc_id are judged like others.
 Ties go to the language that sorts first.  Without any example all is ``und``.
-Repeated rows are judged alike; an empty table gives no rows; extra columns are
-ignored.
+Repeated rows are judged alike; a very long text is one text; an empty table gives
+no rows; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.runtime import merge_sketches, plain, sketch_rows
-from tickloom.llm.textwords import ALNUM, chunks, mixed, split_words, text_bytes
+from tickloom.llm.textwords import ALNUM, chunks, dictionary_hashes, mixed, split_words, text_bytes
 
 # First code points of the scripts' ranges, in order; 0 is no letter of any listed script.
 SCRIPT_STARTS = (0x0, 0x41, 0x5B, 0x61, 0x7B, 0xC0, 0x250, 0x370, 0x400, 0x530, 0x590, 0x600, 0x750, 0x900, 0x980, 0xE00, 0xE80, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0)
@@ -64,7 +64,7 @@ def word_scripts(words: pa.Array) -> np.ndarray:
 
 
 def word_cells(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The cells of all n-grams of all words, and the word of each."""
+    """The cells of all n-grams of all words and of the words themselves, and the word of each."""
     marked = pc.binary_join_element_wise(pa.scalar("^", pa.large_string()), words, pa.scalar("$", pa.large_string()), pa.scalar("", pa.large_string()))
     offsets, data = text_bytes(marked)
     n = len(data)
@@ -79,9 +79,15 @@ def word_cells(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             inside = place[: n - k + 1] + k <= end[: n - k + 1]
             cells.append((mixed(value[inside] + np.uint64(k << 48)) & np.uint64(CELLS - 1)).astype(np.int64))
             owners.append(word[: n - k + 1][inside])
+    cells.append((mixed(dictionary_hashes(words)) & np.uint64(CELLS - 1)).astype(np.int64))
+    owners.append(np.arange(len(words)))
     return np.concatenate(cells), np.concatenate(owners)
 
 
+def have_letters(words: pa.Array) -> np.ndarray:
+    return np.asarray(pc.fill_null(pc.match_substring_regex(words, r"\pL"), False).to_numpy(zero_copy_only=False), bool)
+
+
 @dataclass
 class LanguageModel:
     """Per language: log probabilities of cells, and whether it keeps each script."""
@@ -107,7 +113,7 @@ class LanguageModel:
         fits = self.scripts[:, script].T
         fits[~fits.any(axis=1)] = True
         out[~fits] = -np.inf
-        out[script == 0] = 0.0
+        out[~have_letters(words)] = 0.0
         out -= out.max(axis=1, keepdims=True)
         return out
 
@@ -199,11 +205,11 @@ def label(documents: DataFrame, model: LanguageModel, switch: float = SWITCH, wi
             words = split_words(texts, ALNUM)
             lower = pc.utf8_lower(words.dictionary.cast(pa.large_string()))
             n = len(texts)
-            letters = np.asarray(pc.fill_null(pc.match_substring_regex(texts, r"\pL"), False).to_numpy(zero_copy_only=False), bool) & bool(known.names)
+            letters = have_letters(texts) & bool(known.names)
             if known.names:
                 labels = viterbi(words.codes, words.bounds, known.scores(lower), switch)
-                weight = np.where(word_scripts(lower) > 0, np.asarray(pc.utf8_length(lower), np.int64), 0)[words.codes]
-                # words without letters of a listed script count only if nothing else does
+                weight = np.where(have_letters(lower), np.asarray(pc.utf8_length(lower), np.int64), 0)[words.codes]
+                # words without letters count only if nothing else does
                 votes = np.bincount(words.owner() * len(known.names) + labels, weights=weight + 1e-6, minlength=n * len(known.names)).reshape(n, -1)
                 best = np.where(letters, votes.argmax(axis=1), len(known.names))
                 score = np.where(letters, votes.max(axis=1) / np.maximum(votes.sum(axis=1), 1e-9), 0.0)
