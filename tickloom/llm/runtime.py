@@ -6,7 +6,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,11 +117,11 @@ def may_be_in(docs: DataFrame, names: DataFrame, key: str) -> Column:
     """Whether a row's key has its bit among the names' bits: true for all of them and a few others."""
     bits = docs.sparkSession.sparkContext.broadcast(key_bits(names.select(F.col(key).cast("long")).dropna()).tobytes())
 
-    @F.pandas_udf("boolean")
-    def marked(keys: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def marked(keys: pa.Array) -> pa.Array:
         array = np.frombuffer(bits.value, np.uint8)
-        cell = key_cells(keys.fillna(0).to_numpy(np.int64), 8 * len(array))
-        return pd.Series(((array[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0) & keys.notna().to_numpy())
+        cell = key_cells(np.asarray(keys.fill_null(0)), 8 * len(array))
+        return pa.array(((array[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0) & np.asarray(keys.is_valid()))
 
     return marked(F.col(key).cast("long"))
 
