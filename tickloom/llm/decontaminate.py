@@ -158,7 +158,8 @@ class PositionalIndex:
         whole = size > vocabulary_bytes
         vocabulary = None if whole else _packed(spark, [r.term for r in words.collect()])
         counts = texts.select("text").mapInArrow(_counts(vocabulary), "term string, times long").groupBy("term").agg(F.sum("times").alias("times"))
-        ranked = spread.join(counts, "term", "left").groupBy("gram").agg(F.count("*").alias("n"), F.min(F.coalesce("times", F.lit(0))).alias("least"), F.min(F.struct("times", "term", "offset")).alias("one"), F.array_sort(F.collect_list(F.struct("times", "term", "offset"))).alias("all"))
+        # one row a term of the vocabulary, which is within its bytes unless it is whole; a frequent term isn't one task then
+        ranked = spread.join(counts if whole else F.broadcast(counts), "term", "left").groupBy("gram").agg(F.count("*").alias("n"), F.min(F.coalesce("times", F.lit(0))).alias("least"), F.min(F.struct("times", "term", "offset")).alias("one"), F.array_sort(F.collect_list(F.struct("times", "term", "offset"))).alias("all"))
         two = F.coalesce(F.try_element_at("all", F.lit(2)), F.col("one"))
         #: gram, n, and the two rarest terms with their offsets; windows with an unseen term can't occur
         self.probes = stored(ranked.where("least > 0").select("gram", "n", F.col("one.term").alias("term"), F.col("one.offset").alias("offset"), two["term"].alias("term2"), two["offset"].alias("offset2")), "test-probes")
