@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tickloom.storage import stored
 
 BATCH_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def plain(df: DataFrame, **columns: str) -> DataFrame:
