@@ -4,20 +4,24 @@ Base kinds are patterns with least lengths (``assign``, ``access``, ``hex``).
 The method adds kind ``random``: tokens of key characters that look drawn at
 random from an alphabet.
 
-* Encoding: the first of hex, base32, base36 and base64 whose alphabet, in one
-  letter case where it has one, holds all of a token's characters.
-* Evidence, against "ordinary words": the likelihood ratio of uniform draws to
-  a fixed model of written text.  Under the words' model a ratio of r has a
-  chance of at most 1/r, so 1/r is a p-value; it falls with length.  Benjamini
-  and Hochberg's rule is applied within each length class to all tokens of the
-  corpus.  p-values are counted in whole bits, so the driver sees at most
-  ``MAX_BITS`` counts a class, whatever the corpus.
-* Battery, against "uniform and independent over that alphabet": a chi-squared
-  test of counts over ``BINS`` equal shares of the alphabet, a runs test of
-  ranks above and below the middle, and the serial correlation of neighbouring
-  ranks.  A token passes if no z-score is larger than ``BATTERY_Z``.
-
-A token that counts as a discovery and passes the battery is a span, unless a
+* Encoding: the first of decimal, hex, base32, base36 and base64 whose alphabet,
+  in one letter case where it has one, holds all of a token's characters.
+* Battery: a chi-squared test of counts over equal shares of the alphabet, a runs
+  test of ranks above and below the middle, and the serial correlation of
+  neighbouring ranks about the middle.
+* Each test is read twice.  Against "uniform and independent" a token passes if
+  no z-score is larger than ``BATTERY_Z``.  Against "written text" it gives a
+  p-value: the chance that text of the token's length in that alphabet looks as
+  uniform.  What the statistics are in text follows from the letters and pairs
+  of neighbouring letters of all words of the corpus shorter than a token.
+* The three p-values are combined as three times the smallest, which holds
+  whatever the tests' dependence.  Benjamini and Hochberg's rule is applied
+  within each length class to all tokens of the corpus, so short tokens, which
+  text can imitate, need more.  p-values are counted in whole bits: the driver
+  sees at most ``MAX_BITS`` counts a class and 64 x 65 counts of letters,
+  whatever the corpus.
+
+A token that counts as a discovery and passes as uniform is a span, unless a
 base span overlaps it.  Spans are half-open ranges of code points.
 
 Edge cases: null is read as empty; empty and blank texts have no spans.
@@ -31,6 +35,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.storage import stored
+
 # The patterns of the base kinds and their least lengths.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 6
@@ -41,25 +47,23 @@ KINDS = ("assign", "access", "hex", "random")
 #: What the method tests.
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 TOKEN_LEAST = 16
-BINS = 4
 BATTERY_Z = 3.3
 RATE = 0.001
 MAX_BITS = 400
 LENGTH_CLASSES = (20, 24, 32, 48, 64, 128)
 
 _LOW, _HIGH, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-_BASE64 = _HIGH + _LOW + _DIGIT + "+/"
-_ALPHABETS = (
-    ("^[0-9a-f]+$", _DIGIT + "abcdef"),
-    ("^[0-9A-F]+$", _DIGIT + "ABCDEF"),
-    ("^[A-Z2-7]+$", _HIGH + "234567"),
-    ("^[0-9a-z]+$", _DIGIT + _LOW),
-    ("^[0-9A-Z]+$", _DIGIT + _HIGH),
+#: Pattern, alphabet, and the number of equal shares of it that the chi-squared test counts:
+#: letters, or where an alphabet has both cases and digits the groups that tell these apart.
+ENCODINGS = (
+    ("^[0-9]+$", _DIGIT, 10),
+    ("^[0-9a-f]+$", _DIGIT + "abcdef", 16),
+    ("^[0-9A-F]+$", _DIGIT + "ABCDEF", 16),
+    ("^[A-Z2-7]+$", _HIGH + "234567", 32),
+    ("^[0-9a-z]+$", _DIGIT + _LOW, 36),
+    ("^[0-9A-Z]+$", _DIGIT + _HIGH, 36),
+    ("", _HIGH + _LOW + _DIGIT + "+/", 8),
 )
-#: The model of written text: bits a character, by its group.  Capitals cost
-#: theirs on top, after the first, unless the token has no other letters.
-_TEXT_BITS = (("etaoinsr", 3.6), ("hldcumfpgwybv", 5.6), ("kjxqz", 8.5), (_DIGIT, 8.0), ("+/", 7.0))
-_CAPITAL_BITS = 4.5
 
 
 def _spans(gaps: Column, found: Column) -> Column:
@@ -81,24 +85,52 @@ def _core(token: Column) -> Column:
     return F.translate(F.regexp_replace(token, "=+$", ""), "-_=", "+/A")
 
 
-def _alphabet(core: Column) -> Column:
-    out = F.lit(_BASE64)
-    for pattern, letters in reversed(_ALPHABETS):
-        out = F.when(core.rlike(pattern), F.lit(letters)).otherwise(out)
+def _encoding(core: Column) -> Column:
+    """An index of ENCODINGS."""
+    out = F.lit(len(ENCODINGS) - 1)
+    for i, (pattern, *_) in reversed(list(enumerate(ENCODINGS[:-1]))):
+        out = F.when(core.rlike(pattern), F.lit(i)).otherwise(out)
     return out
 
 
-def _evidence(core: Column) -> Column:
-    """Bits by which uniform draws explain a token better than written text does."""
-    lower, n = F.lower(core), F.length(core)
-    text = F.lit(0.0)
-    for letters, bits in _TEXT_BITS:
-        text = text + bits * (n - F.length(F.translate(lower, letters, "")))
-    later = F.length(F.regexp_replace(F.substring(core, 2, 1 << 30), "[^A-Z]", ""))
-    text = text + F.when(core.rlike("[a-z]"), _CAPITAL_BITS * later).otherwise(0.0)
-    uniform = n * F.log2(F.length(_alphabet(core)).cast("double"))
-    # numbers are as uniform in written text
-    return F.when(core.rlike("^[0-9+/]+$"), 0).otherwise(F.least(F.lit(MAX_BITS), F.greatest(F.lit(0), F.floor(text - uniform).cast("int"))))
+def pieces(documents: DataFrame) -> DataFrame:
+    """(piece, times): what stands between blanks in all texts; tokens hold no blank, so each lies in one piece."""
+    # one plain blank is split at without a regular expression, which is twenty times as fast
+    found = documents.select(F.explode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), " ")).alias("piece"))
+    return found.where("piece <> ''").groupBy("piece").agg(F.count("*").alias("times"))
+
+
+def text_model(words: DataFrame) -> list[tuple[float, float, float, float]]:
+    """How written text looks in each encoding.
+
+    The sums of squares and of cubes of the shares' frequencies, the chance that
+    neighbours lie on different sides of the middle, and their correlation
+    about it; of all pieces (piece, times) that are shorter than a token.
+    """
+    words = words.where(F.length("piece") < TOKEN_LEAST)
+    pairs = words.select("times", F.explode(F.expr("transform(sequence(1, length(piece)), i -> struct(substr(piece, i, 1) as one, substr(piece, i + 1, 1) as two))")).alias("pair"))
+    letter = F.col("pair.one").rlike("[A-Za-z0-9+/]")
+    counted = [(r.one, r.two, r.times) for r in pairs.where(letter).select("times", "pair.one", F.when(F.col("pair.two").rlike("[A-Za-z0-9+/]"), F.col("pair.two")).alias("two")).groupBy("one", "two").agg(F.sum("times").alias("times")).collect()]
+    out = []
+    for _, letters, shares in ENCODINGS:
+        size, middle = len(letters), (len(letters) - 1) / 2
+        fold = str if len(set(letters) & set(_LOW)) and len(set(letters) & set(_HIGH)) else (str.upper if set(letters) & set(_HIGH) else str.lower)
+        rank = {c: i for i, c in enumerate(letters)}
+        # one of each letter, and of each pair, is counted beside those of the corpus
+        held = [size / shares] * shares
+        switched, pairs_seen, product, square = size * size / 2, float(size * size), 0.0, size * sum((i - middle) ** 2 for i in range(size))
+        for one, two, times in counted:
+            a, b = rank.get(fold(one)), rank.get(fold(two)) if two else None
+            if a is not None:
+                held[a * shares // size] += times
+            if a is not None and b is not None:
+                pairs_seen += times
+                switched += times * ((2 * a + 1 > size) != (2 * b + 1 > size))
+                product += times * (a - middle) * (b - middle)
+                square += times * ((a - middle) ** 2 + (b - middle) ** 2) / 2
+        frequency = [h / sum(held) for h in held]
+        out.append((sum(f**2 for f in frequency), sum(f**3 for f in frequency), switched / pairs_seen, product / square))
+    return out
 
 
 def _length_class(core: Column) -> Column:
@@ -108,20 +140,26 @@ def _length_class(core: Column) -> Column:
     return out
 
 
-def battery(core: Column) -> Column:
-    """Whether none of the three tests rejects that a token's characters are uniform and independent."""
-    free = BINS - 1
-    share = 2 / (9 * free)
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.transform(F.array(value), then)[0]
+
 
-    def ranks(t: Column) -> Column:
-        places = F.transform(F.split(t["core"], ""), lambda c: F.instr(t["alphabet"], c) - 1)
-        return F.struct(F.filter(places, lambda r: r >= 0).alias("ranks"), F.length(t["alphabet"]).alias("size"))
+def statistics(core: Column) -> Column:
+    """encoding, n, shares, chi (the chi-squared sum), ones (ranks above the middle), runs, serial (the correlation about the middle)."""
+    letters = F.array(*(F.lit(alphabet) for _, alphabet, _ in ENCODINGS))
+    shares = F.array(*(F.lit(n) for *_, n in ENCODINGS))
+
+    def ranks(e: Column) -> Column:
+        alphabet = F.element_at(letters, e + 1)
+        places = F.transform(F.split(core, ""), lambda c: F.instr(alphabet, c) - 1)
+        return F.struct(e.alias("encoding"), F.length(alphabet).alias("size"), F.element_at(shares, e + 1).alias("shares"), F.filter(places, lambda r: r >= 0).alias("ranks"))
 
     def sums(t: Column) -> Column:
         size, middle = t["size"], (t["size"] - 1) / 2
         n = F.size(t["ranks"]).cast("double")
-        counts = F.transform(F.sequence(F.lit(0), F.lit(free)), lambda b: F.size(F.filter(t["ranks"], lambda r: F.floor(r * BINS / size) == b)).cast("double"))
-        chi = F.aggregate(counts, F.lit(0.0), lambda a, c: a + (c - n / BINS) * (c - n / BINS) / (n / BINS))
+        counts = F.transform(F.sequence(F.lit(0), t["shares"] - 1), lambda b: F.size(F.filter(t["ranks"], lambda r: F.floor(r * t["shares"] / size) == b)).cast("double"))
+        chi = F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c) * t["shares"] / n - n
         begin = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("ones"), F.lit(0).alias("runs"), F.lit(0.0).alias("products"), F.lit(0.0).alias("squares"))
 
         def step(s: Column, r: Column) -> Column:
@@ -135,27 +173,64 @@ def battery(core: Column) -> Column:
                 (s["squares"] + off * off).alias("squares"),
             )
 
-        return F.struct(n.alias("n"), chi.alias("chi"), F.aggregate(t["ranks"], begin, step).alias("s"))
+        return F.struct(t["encoding"].alias("encoding"), n.alias("n"), t["shares"].alias("shares"), chi.alias("chi"), F.aggregate(t["ranks"], begin, step).alias("s"))
+
+    def told(t: Column) -> Column:
+        serial = t["s"]["products"] / F.greatest(t["s"]["squares"], F.lit(1e-9))
+        return F.struct(t["encoding"].alias("encoding"), t["n"].alias("n"), t["shares"].alias("shares"), t["chi"].alias("chi"), t["s"]["ones"].cast("double").alias("ones"), t["s"]["runs"].cast("double").alias("runs"), serial.alias("serial"))
+
+    return _let(_let(_let(_encoding(core), ranks), sums), told)
 
-    def verdict(t: Column) -> Column:
-        n, ones = t["n"], t["s"]["ones"].cast("double")
-        z_chi = (F.cbrt(t["chi"] / free) - (1 - share)) / share**0.5
-        mean = 2 * ones * (n - ones) / n + 1
-        spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
-        z_runs = (t["s"]["runs"] - mean) / spread
-        z_serial = F.sqrt(n) * t["s"]["products"] / F.greatest(t["s"]["squares"], F.lit(1e-9))
-        return (ones > 0) & (ones < n) & (z_chi <= BATTERY_Z) & (F.abs(z_runs) <= BATTERY_Z) & (F.abs(z_serial) <= BATTERY_Z)
 
-    one = F.array(F.struct(core.alias("core"), _alphabet(core).alias("alphabet")))
-    return F.transform(F.transform(F.transform(one, ranks), sums), verdict)[0]
+def passes_as_uniform(t: Column) -> Column:
+    """Whether none of the three tests rejects that a token's characters are uniform and independent."""
+    n, ones, free = t["n"], t["ones"], t["shares"] - 1
+    share = 2 / (9 * free)
+    z_chi = (F.cbrt(t["chi"] / free) - (1 - share)) / F.sqrt(share)
+    mean = 2 * ones * (n - ones) / n + 1
+    spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
+    return (ones > 0) & (ones < n) & (z_chi <= BATTERY_Z) & (F.abs(t["runs"] - mean) <= BATTERY_Z * spread) & (F.abs(t["serial"]) * F.sqrt(n) <= BATTERY_Z)
+
+
+def _lower_tail(z: Column) -> Column:
+    """The normal distribution function, by Zelen and Severo's polynomial."""
+
+    def tail(v: Column) -> Column:
+        x = F.least(F.abs(v), F.lit(37.0))
+        t = 1 / (1 + 0.2316419 * x)
+        poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+        upper = F.exp(-x * x / 2) * poly * 0.3989422804014327
+        return F.when(v < 0, upper).otherwise(1 - upper)
+
+    return _let(z, tail)
+
+
+def p_values(t: Column, model: list[tuple[float, float, float, float]]) -> list[Column]:
+    """The chances that written text looks as uniform to the chi-squared, runs and serial tests as a token does."""
+    two, three, switch, serial = (F.element_at(F.array(*(F.lit(float(m[k])) for m in model)), t["encoding"] + 1) for k in range(4))
+    n, shares = t["n"], t["shares"]
+    # moments of the chi-squared sum for counts that are multinomial in text's frequencies
+    mean = shares * (1 - two) + n * (shares * two - 1)
+    variance = shares * shares / (n * n) * 2 * n * (n - 1) * (two + (2 * n - 4) * three - (2 * n - 3) * two * two)
+    z_chi = (t["chi"] - mean) / F.sqrt(F.greatest(variance, F.lit(1e-9)))
+    towards = F.when(switch < 0.5, -1.0).otherwise(1.0)
+    z_runs = towards * (t["runs"] - 1 - (n - 1) * switch) / F.sqrt(F.greatest((n - 1) * switch * (1 - switch), F.lit(1e-9)))
+    z_serial = F.signum(serial) * (t["serial"] - serial) * F.sqrt(n / F.greatest(1 - serial * serial, F.lit(1e-9)))
+    return [_lower_tail(z) for z in (z_chi, z_runs, z_serial)]
+
+
+def _bits(t: Column, model: list[tuple[float, float, float, float]]) -> Column:
+    """Whole bits of the combined p-value."""
+    smallest = F.least(*p_values(t, model))
+    return F.greatest(F.lit(0), F.floor(F.least(F.lit(float(MAX_BITS)), -F.log2(F.greatest(3 * smallest, F.lit(1e-300))))).cast("int"))
 
 
 def discoveries(tokens: DataFrame, rate: float = RATE) -> DataFrame:
-    """The least bits that count in each length class, of tokens (core).
+    """The least bits that count in each length class, of tokens (core, bits, times).
 
     Of m tokens of a class, k of them at b bits or more, b counts if 2^-b <= rate * k / m.
     """
-    cells = tokens.groupBy(_length_class(F.col("core")).alias("length_class"), _evidence(F.col("core")).alias("bits")).agg(F.count("*").alias("here"))
+    cells = tokens.groupBy(_length_class(F.col("core")).alias("length_class"), "bits").agg(F.sum("times").alias("here"))
     of_class = Window.partitionBy("length_class")
     k = F.sum("here").over(of_class.orderBy(F.desc("bits")))
     m = F.sum("here").over(of_class)
@@ -163,32 +238,40 @@ def discoveries(tokens: DataFrame, rate: float = RATE) -> DataFrame:
     return found.groupBy("length_class").agg(F.min("bits").alias("least"))
 
 
+#: Names of a scan's own columns; a caller's columns can't have them.
+_OWN = "__secrets_"
+
+
 def scan(documents: DataFrame, rate: float = RATE) -> DataFrame:
     """All columns of ``documents`` and ``secrets``: array of (start, kind, end), in order; kind is an index of KINDS."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    tokens = documents.select(F.explode(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))).alias("token")).select(_core(F.col("token")).alias("core"))
-    least = {r.length_class: r.least for r in discoveries(tokens.where(F.length("core") >= TOKEN_LEAST), rate).collect()}
+    held = stored(pieces(documents), "secret-pieces")
+    model = text_model(held)
+    tokens = held.where(F.length("piece") >= TOKEN_LEAST).select("times", F.explode(F.regexp_extract_all("piece", F.lit(TOKEN), F.lit(0))).alias("token"))
+    tokens = tokens.select("times", _core(F.col("token")).alias("core")).where(F.length("core") >= TOKEN_LEAST)
+    told = tokens.select("times", "core", _bits(statistics(F.col("core")), model).alias("bits"))
+    least = {r.length_class: r.least for r in discoveries(told, rate).collect()}
     bars = F.array(*(F.lit(least.get(i, MAX_BITS + 1)) for i in range(len(LENGTH_CLASSES) + 1)))
 
     patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": TOKEN}
-    own = [f"{part}_{kind}_" for kind in KINDS for part in ("gaps", "found")]
-    rows = documents.drop("secrets", "text_", "base_", "tokens_", *own).withColumn("text_", text)
-    rows = rows.withColumns({f"found_{k}_": F.regexp_extract_all("text_", F.lit(p), F.lit(0)) for k, p in patterns.items()})
+    own = {name: _OWN + name for name in ("text", "base", "tokens", *(f"{part}_{kind}" for kind in KINDS for part in ("gaps", "found")))}
+    rows = documents.drop("secrets").withColumn(own["text"], text)
+    rows = rows.withColumns({own[f"found_{k}"]: F.regexp_extract_all(own["text"], F.lit(p), F.lit(0)) for k, p in patterns.items()})
     # texts without a match are not split
-    rows = rows.withColumns({f"gaps_{k}_": F.when(F.size(f"found_{k}_") > 0, F.split("text_", p, -1)).otherwise(F.array().cast("array<string>")) for k, p in patterns.items()})
-    spans = {k: _spans(F.col(f"gaps_{k}_"), F.col(f"found_{k}_")) for k in KINDS}
+    rows = rows.withColumns({own[f"gaps_{k}"]: F.when(F.size(own[f"found_{k}"]) > 0, F.split(own["text"], p, -1)).otherwise(F.array().cast("array<string>")) for k, p in patterns.items()})
+    spans = {k: _spans(F.col(own[f"gaps_{k}"]), F.col(own[f"found_{k}"])) for k in KINDS}
     spans["assign"] = F.filter(spans["assign"], lambda s: F.length(F.regexp_extract(s["found"], ASSIGN, 2)) >= ASSIGN_LEAST)
 
     def listed(kind: str) -> Column:
         return F.transform(spans[kind], lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
 
-    rows = rows.withColumn("base_", F.concat(*map(listed, KINDS[:3])))
-    cored = F.transform(spans["random"], lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _core(s["found"]).alias("core")))
-    strong = F.filter(cored, lambda t: (F.length(t["core"]) >= TOKEN_LEAST) & (_evidence(t["core"]) >= F.element_at(bars, _length_class(t["core"]) + 1)))
-    rows = rows.withColumn("tokens_", strong)
-    alone = F.filter("tokens_", lambda t: ~F.exists("base_", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    drawn = F.transform(F.filter(alone, lambda t: battery(t["core"])), lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
-    return rows.withColumn("secrets", F.array_sort(F.concat("base_", drawn))).drop("text_", "base_", "tokens_", *own)
+    rows = rows.withColumn(own["base"], F.concat(*map(listed, KINDS[:3])))
+    cored = F.filter(F.transform(spans["random"], lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _core(s["found"]).alias("core"))), lambda t: F.length(t["core"]) >= TOKEN_LEAST)
+    tested = F.transform(cored, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.element_at(bars, _length_class(t["core"]) + 1).alias("bar"), statistics(t["core"]).alias("told")))
+    rows = rows.withColumn(own["tokens"], F.filter(tested, lambda t: (_bits(t["told"], model) >= t["bar"]) & passes_as_uniform(t["told"])))
+    alone = F.filter(own["tokens"], lambda t: ~F.exists(own["base"], lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    drawn = F.transform(alone, lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
+    return rows.withColumn("secrets", F.array_sort(F.concat(own["base"], drawn))).drop(*own.values())
 
 
 def span_text(secrets: Column) -> Column:
