@@ -272,6 +272,7 @@ def train(documents: DataFrame, labels: DataFrame, learnable: Column | None = No
             yield batch.filter(pa.array((wanted[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0))
 
     toxic = stored(rows.mapInArrow(marked, "doc_id long, text string").join(chosen, "doc_id").select("text"), "toxic-texts")
+    bits.unpersist()
     n_known = toxic.count()
     if not n_known:
         return nothing
@@ -284,6 +285,7 @@ def train(documents: DataFrame, labels: DataFrame, learnable: Column | None = No
     of_all = np.zeros(len(candidates))
     for place, times in rows.select("text").mapInArrow(_all_counts(blob), "place long, times long").groupBy("place").agg(F.sum("times")).collect():
         of_all[place] = times
+    blob.unpersist()
     n_all = rows.count()
     # toxic texts against all texts: how far the shares differ, in standard errors, and as a ratio
     p, u = of_toxic / n_known, np.maximum(of_all, of_toxic * n_known / max(n_toxic, 1)) / max(n_all, 1)
@@ -294,6 +296,7 @@ def train(documents: DataFrame, labels: DataFrame, learnable: Column | None = No
     known = [np.array(r.held, np.int64) for r in toxic.mapInArrow(_held(blob), "held array<int>").collect()]
     # texts with the same features count as one pattern; a pattern's texts are summed before they move
     patterns = stored(rows.select("text").mapInArrow(_held(blob), "held array<int>").groupBy("held").agg(F.count("*").alias("times")), "toxic-patterns")
+    blob.unpersist()
     with_any = patterns.where("size(held) > 0").agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0] / n_all
     most = with_any / max(np.mean([len(k) > 0 for k in known]), 1e-12) if len(features) else 1.0
     prior = min(prior, most)
