@@ -226,7 +226,7 @@ def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loose = rows["component"] != rows["component"][last]
         keep = np.repeat(rows["component"][grams] != rows["component"][last[grams]], np.diff(np.append(grams, len(last))))
         if keep.any():
-            yield pa.RecordBatch.from_pydict({k: pa.array(rows[k][keep]) for k in ("gram", "cls", "n", "lead_cls", "size", "component")} | {"loose": pa.array(loose[keep])})
+            yield pa.RecordBatch.from_pydict({k: pa.array(rows[k][keep]) for k in ("gram", "cls", "n", "lead_cls", "place", "component")} | {"loose": pa.array(loose[keep])})
 
 
 def _suffix(percent: int):
@@ -307,19 +307,19 @@ def _blocks(width: int, percent: int):
                 for start in range(0, batch.num_rows, 256):
                     part = batch.slice(start, 256)
                     texts = pa.array([unpack(x) for x in part.column("packed").to_pylist()], pa.large_binary())
-                    names = ["grp", "salt", "role", "size", "component"]
+                    names = ["grp", "salt", "role", "place", "component"]
                     plain = pa.RecordBatch.from_arrays([*map(part.column, names), texts], [*names, "text"])
                     for small in chunks(iter([plain])):
                         yield from zip(*(small.column(c).to_pylist() for c in names), shingle_sets(small.column("text"), width), strict=True)
 
         a: list[int] = []
         b: list[int] = []
-        for grp, salt, role, size, component, one in rows():
+        for grp, salt, role, place, component, one in rows():
             if (grp, salt) != now:
                 now, parts, sets, shapes, known = (grp, salt), [], [], None, None
                 parent.clear()
             if role == 0:
-                parts.append((size, component))
+                parts.append((place, component))
                 sets.append(one)
                 continue
             if known is None:
@@ -333,7 +333,7 @@ def _blocks(width: int, percent: int):
             most = np.minimum(shapes, shape).sum(axis=1) if len(one) < 65535 else np.minimum(n, len(one))
             mine = root(component)
             near = np.flatnonzero((np.minimum(most, np.minimum(n, len(one))) >= need) | (n >= 65535)).tolist()
-            open_sets = [k for k in near if parts[k] < (size, component) and root(parts[k][1]) != mine]
+            open_sets = [k for k in near if parts[k] < (place, component) and root(parts[k][1]) != mine]
             if not open_sets:
                 continue
             low, high = np.searchsorted(known, one), np.searchsorted(known, one, side="right")
@@ -403,13 +403,17 @@ class JaccardJoin:
         """Postings of shared n-grams with their leaders."""
         sketch = self.documents.sparkSession.sparkContext.broadcast(self._sketch.tobytes())
         postings = self.documents.select("text").mapInArrow(_postings(self.width, self.percent, sketch), "gram long, cls long, n int, pos int, salts int")
-        return stored(_led(postings), "jaccard-postings")
+        out = stored(_led(postings), "jaccard-postings")
+        sketch.unpersist()
+        return out
 
     def _texts(self, classes: DataFrame) -> DataFrame:
         """The packed text of one document of each of the classes (cls); the other texts stay where they are."""
         wanted = stored(classes.distinct().join(self.classes, "cls").select("cls", "row"), "jaccard-wanted")
         bits = wanted.sparkSession.sparkContext.broadcast(key_bits(wanted.select("row")).tobytes())
-        return stored(self.documents.select("row", "text").mapInArrow(_packed(bits), "row long, packed binary").join(wanted, "row").dropDuplicates(["cls"]).select("cls", "packed"), "jaccard-texts")
+        out = stored(self.documents.select("row", "text").mapInArrow(_packed(bits), "row long, packed binary").join(wanted, "row").dropDuplicates(["cls"]).select("cls", "packed"), "jaccard-texts")
+        bits.unpersist()
+        return out
 
     def _checked(self, pairs: DataFrame) -> DataFrame:
         pairs = stored(_filtered(pairs, self.classes, self.percent), "jaccard-pairs")
@@ -452,26 +456,32 @@ class JaccardJoin:
         """
         sized = labels.join(labels.groupBy("component").agg(F.count("*").alias("size")), "component").withColumnRenamed("node", "cls")
         rows = led.select("gram", "cls", "n", "lead_cls").join(sized, "cls", "left").withColumns({"component": F.coalesce("component", "cls"), "size": F.coalesce("size", F.lit(1))})
-        rows = rows.repartition("gram").sortWithinPartitions("gram", "size", "component", "cls").mapInArrow(_mixed, "gram long, cls long, n int, lead_cls long, size long, component long, loose boolean")
-        rows = stored(rows, "jaccard-rest")
-        place = F.struct("size", "component")
+        # the order in one number, as far as it goes; components that tie in it are told apart by name
+        place = F.shiftleft(F.least("size", F.lit(32767)), 48) + F.shiftrightunsigned("component", 16)
+        rows = rows.withColumn("place", place).drop("size").repartition("gram").sortWithinPartitions("gram", "place", "component", "cls")
+        rows = stored(rows.mapInArrow(_mixed, "gram long, cls long, n int, lead_cls long, place long, component long, loose boolean"), "jaccard-rest")
+        own = [F.min(c).alias(c) for c in ("n", "place", "component")]
         step = F.floor(F.log("n") / float(np.log(1.05)))
-        loose = rows.where("loose").groupBy("cls").agg(F.min("lead_cls").alias("family"), F.min("n").alias("n"), F.min(place).alias("place")).withColumn("step", step)
+        loose = rows.where("loose").groupBy("cls").agg(F.min("lead_cls").alias("family"), *own).withColumn("step", step)
         heaps = loose.groupBy("family", "step").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_GRAMS))).cast("int").alias("heaps"), F.min("n").alias("low"), F.max("n").alias("high"))
         heap = F.pmod(F.xxhash64("cls"), F.col("heaps").cast("long")).cast("int")
-        held = stored(loose.join(heaps, ["family", "step"]).select("cls", "place", F.xxhash64("family", "step", heap).alias("grp"), "low", "high"), "jaccard-blocks")
-        asked = rows.where("loose").select("gram", "cls").join(held, "cls").groupBy("gram", "grp").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("place").alias("first"))
-        passing = rows.select("gram", "cls", "n", place.alias("place")).join(asked, "gram").where((F.col("place") > F.col("first")) & (100 * F.col("n") >= self.percent * F.col("low")) & (100 * F.col("high") >= self.percent * F.col("n")))
-        passing = passing.groupBy("grp", "cls").agg(F.count("*").alias("count"), F.min("n").alias("n"), F.min("low").alias("low"), F.min("high").alias("high"), F.min("place").alias("place"))
+        held = stored(loose.join(heaps, ["family", "step"]).select("cls", "place", "component", F.xxhash64("family", "step", heap).alias("grp"), "low", "high"), "jaccard-blocks")
+        sizes = [F.min("low").alias("low"), F.max("high").alias("high")]
+        asked = rows.where("loose").select("gram", "cls").join(held, "cls").groupBy("gram", "grp").agg(*sizes, F.min("place").alias("first"))
+        passing = rows.select("gram", "cls", "n", "place", "component").join(asked, "gram").where((F.col("place") >= F.col("first")) & (100 * F.col("n") >= self.percent * F.col("low")) & (100 * F.col("high") >= self.percent * F.col("n")))
+        passing = passing.groupBy("grp", "cls").agg(F.count("*").alias("count"), *own, *sizes)
         # the least number falls towards either end of the block's sizes; one less allows for rounding
         least = F.least(_least_shared(self.percent, F.col("low"), F.col("n")), _least_shared(self.percent, F.col("high"), F.col("n"))) - 1
-        passing = stored(passing.where(F.col("count") >= least).select("grp", "cls", "place"), "jaccard-passing")
+        passing = passing.where(F.col("count") >= least).select("grp", "cls", "place", "component")
+        # a block that only its own single class passes has nothing to compare
+        met = passing.select("grp", "cls").unionByName(held.select("grp", "cls")).groupBy("grp").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b").select("grp")
+        passing = stored(passing.join(met, "grp", "left_semi"), "jaccard-passing")
         copies = passing.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(PASSING)).cast("int").alias("copies"))
         texts = self._texts(passing.select("cls").unionByName(held.join(copies, "grp", "left_semi").select("cls")))
         copy = F.pmod(F.xxhash64("cls"), F.col("copies").cast("long")).cast("int")
-        dealt = passing.join(copies, "grp").select("grp", copy.alias("salt"), F.lit(1).alias("role"), "cls", "place")
-        blocks = held.join(copies, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.lit(0).alias("role"), "cls", "place")
-        named = dealt.unionByName(blocks).join(texts, "cls").select("grp", "salt", "role", "place.size", "place.component", "packed")
+        dealt = passing.join(copies, "grp").select("grp", copy.alias("salt"), F.lit(1).alias("role"), "cls", "place", "component")
+        blocks = held.join(copies, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.lit(0).alias("role"), "cls", "place", "component")
+        named = dealt.unionByName(blocks).join(texts, "cls").select("grp", "salt", "role", "place", "component", "packed")
         return named.repartition("grp", "salt").sortWithinPartitions("grp", "salt", "role").mapInArrow(_blocks(self.width, self.percent), "a long, b long").distinct()
 
     def links(self) -> DataFrame:
