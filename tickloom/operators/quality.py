@@ -97,21 +97,25 @@ def symbol_coverage(df: DataFrame, calendar: DataFrame, symbol: str, date: str,
     """(symbol, missing date, explained): open days of the symbol's exchange within its own dates that it lacks.
 
     A symbol without exchange goes by the calendar named ALL, else by all days.
-    Calendars and symbols meet on the exchange; the dates are a filter there.
+    Days are compared as sets, one a symbol and one a calendar, neither longer
+    than the calendar is; only what is missing becomes rows.
     """
-    rows = df.select(F.col(symbol).alias("symbol"), compact(date).alias("d")).where("d is not null").distinct()
-    spans = rows.groupBy("symbol").agg(F.min("d").alias("low"), F.max("d").alias("high")).withColumn("exchange", F.coalesce(exchange_of_symbol("symbol"), F.lit("ALL")))
-    opened = calendar.where(is_true(flag)).select("exchange", F.col(cal_date).alias("d")).distinct()
-    anywhere = opened.select(F.lit("ALL").alias("exchange"), "d").distinct()
-    known = spans.select("exchange").distinct().join(opened.select("exchange").distinct(), "exchange", "left_semi")
-    spans = spans.join(known.withColumn("own_", F.lit(True)), "exchange", "left").withColumn("exchange", F.when(F.col("own_"), F.col("exchange")).otherwise("ALL")).drop("own_")
-    days = opened.where("exchange <> 'ALL'").unionByName(anywhere)
-    expected = spans.join(days, "exchange").where("d >= low and d <= high").select("symbol", "d")
-    missing = expected.join(rows, ["symbol", "d"], "left_anti")
+    days = lambda d, by, name: d.groupBy(by).agg(F.collect_set("d").alias(name))
+    rows = df.select(F.col(symbol).alias("symbol"), compact(date).alias("d")).where("d is not null")
+    spans = rows.groupBy("symbol").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.collect_set("d").alias("held")).withColumn("exchange", F.coalesce(exchange_of_symbol("symbol"), F.lit("ALL")))
+    opened = calendar.where(is_true(flag)).select("exchange", F.col(cal_date).alias("d"))
+    own = days(opened.where("exchange <> 'ALL'"), "exchange", "own")
+    anywhere = opened.agg(F.collect_set("d").alias("anywhere"))
+    expected = spans.join(own, "exchange", "left").crossJoin(F.broadcast(anywhere)).withColumn("open", F.coalesce("own", "anywhere"))
+    missing = F.filter(F.array_except("open", "held"), lambda d: (d >= F.col("low")) & (d <= F.col("high")))
     if suspensions is None:
-        return missing.withColumn("explained", F.lit(False))
-    known = suspensions.select(F.col(symbol).alias("symbol"), compact(date).alias("d")).distinct().withColumn("explained", F.lit(True))
-    return missing.join(known, ["symbol", "d"], "left").withColumn("explained", F.coalesce("explained", F.lit(False)))
+        return expected.select("symbol", F.explode(missing).alias("d"), F.lit(False).alias("explained"))
+    known = days(suspensions.select(F.col(symbol).alias("symbol"), compact(date).alias("d")).where("d is not null"), "symbol", "halted")
+    halted = F.coalesce("halted", F.array().cast("array<string>"))
+    told = lambda found, why: F.transform(found, lambda d: F.struct(d.alias("d"), F.lit(why).alias("explained")))
+    split = lambda m: F.when(F.size(halted) == 0, told(m, False)).otherwise(F.concat(told(F.array_intersect(m, halted), True), told(F.array_except(m, halted), False)))
+    # the missing days are worked out once
+    return expected.join(known, "symbol", "left").select("symbol", F.inline(F.transform(F.array(missing), split)[0]))
 
 
 def validate_table(df: DataFrame, table: str) -> list[dict]:
