@@ -627,7 +627,8 @@ def q_symbol_coverage(spark, folder):
     # every second symbol is halted for a month of 31 days
     halts = rows.where("o_custkey % 2 = 0").select("symbol").distinct().withColumn("d", F.explode(F.transform(F.sequence(F.lit(1), F.lit(31)), lambda i: F.format_string("199607%02d", i))))
     out = quality.symbol_coverage(rows, v.calendar(spark, folder), "symbol", "d", halts)
-    return out.groupBy("symbol", "explained").agg(F.count("*").alias("n_days"), F.min("d").alias("first_day"))
+    # numbers are aggregated by hashing, text by sorting
+    return out.groupBy("symbol", "explained").agg(F.count("*").alias("n_days"), F.min(F.col("d").cast("int")).cast("string").alias("first_day"))
 
 
 @query(f"WITH {v.CALENDAR_SQL} SELECT min(cal_date) AS first_date, max(cal_date) AS last_date, count(*) AS n_days, count(*) FILTER (WHERE is_open = 1) AS n_open FROM calendar")
