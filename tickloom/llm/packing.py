@@ -35,8 +35,9 @@ from tickloom.llm.runtime import plain
 from tickloom.llm.textwords import RAW, chunks, dictionary_hashes, split_words
 from tickloom.storage import stored
 
-#: Pieces of one length that are ranked in one group.
+#: Pieces of one length that are ranked in one group, and the share of all pieces that is.
 SALT_ROWS = 100_000
+SHARES = 256
 #: Words whose ids a worker keeps; it starts anew beyond them.
 CACHE_WORDS = 2_000_000
 #: Words given to the tokenizer at a time; each takes about a kilobyte until its ids are read.
@@ -240,7 +241,8 @@ def pack(documents: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int
     lengths = stored(pieces.groupBy("length").agg(F.count("*").alias("pieces")), "piece-lengths")
     of_length = {r.length: r.pieces for r in lengths.collect()}
     slots = spark.sparkContext.broadcast(_slots(plan(of_length, capacity)).tobytes())
-    salts = lengths.select("length", F.ceil(F.col("pieces") / SALT_ROWS).alias("salts"))
+    most = max(1, min(SALT_ROWS, sum(of_length.values()) // SHARES))
+    salts = lengths.select("length", F.ceil(F.col("pieces") / most).alias("salts"))
     salted = pieces.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("salts")))
     counts = salted.groupBy("length", "salt").agg(F.count("*").alias("pieces"))
     shift = counts.select("length", "salt", (F.sum("pieces").over(Window.partitionBy("length").orderBy("salt")) - F.col("pieces")).alias("shift"))
