@@ -27,6 +27,9 @@ COLUMNS = {
     "op8_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     "op9_token_counts": ["doc_id", "n_words", "n_tokens"],
     "op10_substring_dedup": ["doc_id", "n_words", "n_removed", "kept_sha256"],
+    "op11_target_resampling": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op12_line_dedup": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
+    "op13_ranked_search": ["item_id", "rank", "doc_id", "score"],
 }
 
 

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import language
 from tickloom.llm.decontaminate import PositionalIndex
+from tickloom.llm.line_dedup import drop_common_lines
 from tickloom.llm.ngram_join import JaccardJoin
+from tickloom.llm.ngram_resampling import resample
 from tickloom.llm.packing import pack
+from tickloom.llm.ranked_search import search
 from tickloom.llm.runtime import table
 from tickloom.llm.secrets import KINDS, scan, span_text
 from tickloom.llm.sql import SQL
@@ -78,8 +81,21 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"), with_text=False).drop("kept")
 
 
+def op11_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("n_words")
+
+
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = drop_common_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_secret_scans": op1_secret_scans, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op3_toxicity": op3_toxicity, "op6_url_filters": op6_url_filters, "op7_topk_search": op7_topk_search, "op5_language_id": op5_language_id, "op9_token_counts": op9_token_counts, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_secret_scans": op1_secret_scans, "op4_benchmark_decontamination": op4_benchmark_decontamination, "op2_ngram_join": op2_ngram_join, "op3_toxicity": op3_toxicity, "op6_url_filters": op6_url_filters, "op7_topk_search": op7_topk_search, "op5_language_id": op5_language_id, "op9_token_counts": op9_token_counts, "op8_packing": op8_packing, "op10_substring_dedup": op10_substring_dedup, "op11_target_resampling": op11_target_resampling, "op12_line_dedup": op12_line_dedup, "op13_ranked_search": op13_ranked_search}
 
 
 def oracle_sql() -> dict[str, str]:
