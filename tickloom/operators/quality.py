@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.codes import exchange_of_symbol
 from tickloom.functions.dates import compact, is_true
 from tickloom.functions.money import num
-from tickloom.operators import aggregates
+from tickloom.operators import aggregates, daybits
 from tickloom.operators.joins import overlap_ratio
 from tickloom.schema import table_schema
 
@@ -93,29 +94,53 @@ def calendar_coverage(df: DataFrame, calendar: DataFrame, date: str, by: str = "
     return out.crossJoin(bounds).crossJoin(span).withColumn("status", status)
 
 
-def symbol_coverage(df: DataFrame, calendar: DataFrame, symbol: str, date: str, suspensions: DataFrame | None = None, cal_date: str = "cal_date", flag: str = "is_open") -> DataFrame:
-    """(symbol, missing date, explained): open days of the symbol's exchange within its own dates that it lacks.
+def symbol_gaps(df: DataFrame, calendar: DataFrame, symbol: str, date: str, suspensions: DataFrame | None = None, cal_date: str = "cal_date", flag: str = "is_open") -> DataFrame:
+    """(symbol, word, missing, explained): the open days of the symbol's exchange within its own dates that it lacks, as words of days.
 
-    A symbol without exchange goes by the calendar named ALL, else by all days.
-    Days are compared as sets, one a symbol and one a calendar, neither longer
-    than the calendar is; only what is missing becomes rows.
+    A symbol goes by the calendar of its exchange, and without one by all open days.
+    ``explained`` are the missing days on which it was suspended.  Text that is no
+    date counts nowhere.
     """
-    days = lambda d, by, name: d.groupBy(by).agg(F.collect_set("d").alias(name))
-    rows = df.select(F.col(symbol).alias("symbol"), compact(date).alias("d")).where("d is not null")
-    spans = rows.groupBy("symbol").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.collect_set("d").alias("held")).withColumn("exchange", F.coalesce(exchange_of_symbol("symbol"), F.lit("ALL")))
+    held = daybits.day_words(df.select(F.col(symbol).alias("symbol"), F.col(date).alias("d")), ["symbol"], "d", "held")
     opened = calendar.where(is_true(flag)).select("exchange", F.col(cal_date).alias("d"))
-    own = days(opened.where("exchange <> 'ALL'"), "exchange", "own")
-    anywhere = opened.agg(F.collect_set("d").alias("anywhere"))
-    expected = spans.join(own, "exchange", "left").crossJoin(F.broadcast(anywhere)).withColumn("open", F.coalesce("own", "anywhere"))
-    missing = F.filter(F.array_except("open", "held"), lambda d: (d >= F.col("low")) & (d <= F.col("high")))
-    if suspensions is None:
-        return expected.select("symbol", F.explode(missing).alias("d"), F.lit(False).alias("explained"))
-    known = days(suspensions.select(F.col(symbol).alias("symbol"), compact(date).alias("d")).where("d is not null"), "symbol", "halted")
-    halted = F.coalesce("halted", F.array().cast("array<string>"))
-    told = lambda found, why: F.transform(found, lambda d: F.struct(d.alias("d"), F.lit(why).alias("explained")))
-    split = lambda m: F.when(F.size(halted) == 0, told(m, False)).otherwise(F.concat(told(F.array_intersect(m, halted), True), told(F.array_except(m, halted), False)))
-    # the missing days are worked out once
-    return expected.join(known, "symbol", "left").select("symbol", F.inline(F.transform(F.array(missing), split)[0]))
+    own = daybits.day_words(opened.where("exchange <> 'ALL'"), ["exchange"], "d", "open").select(F.col("exchange").alias("calendar"), "word", "open")
+    anywhere = daybits.day_words(opened, [], "d", "open").select(F.lit("*").alias("calendar"), "word", "open")
+    named = own.select(F.col("calendar").alias("exchange")).distinct().withColumn("own", F.lit(True))
+    spans = held.groupBy("symbol").agg(F.min("low").alias("low"), F.max("high").alias("high")).withColumn("exchange", exchange_of_symbol("symbol"))
+    # a row an exchange
+    spans = spans.join(F.broadcast(named), "exchange", "left").withColumn("calendar", F.when(F.col("own"), F.col("exchange")).otherwise("*"))
+    words = spans.select("symbol", "calendar", "low", "high", F.explode(F.expr("sequence(low >> 6, high >> 6)")).alias("word"))
+    # a word for two months of an exchange's calendar
+    due = words.join(F.broadcast(own.unionByName(anywhere)), ["calendar", "word"]).select("symbol", "word", F.col("open").bitwiseAND(daybits.within("word", "low", "high")).alias("open"))
+    sides = [due, held.select("symbol", "word", "held")]
+    if suspensions is not None:
+        sides.append(daybits.day_words(suspensions.select(F.col(symbol).alias("symbol"), F.col(date).alias("d")), ["symbol"], "d", "halted").select("symbol", "word", "halted"))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    none = F.lit(0).cast("long")
+    either = lambda name: F.coalesce(F.bit_or(name), none) if name in both.columns else none
+    met = both.groupBy("symbol", "word").agg(either("open").alias("open"), either("held").alias("held"), either("halted").alias("halted"))
+    missing = daybits.without(F.col("open"), F.col("held"))
+    return met.select("symbol", "word", missing.alias("missing"), missing.bitwiseAND(F.col("halted")).alias("explained")).where("missing <> 0")
+
+
+def _by_reason(gaps: DataFrame) -> DataFrame:
+    """A row for the explained days of a word and one for the others: symbol, word, bits, explained."""
+    plain = daybits.without(F.col("missing"), F.col("explained"))
+    told = F.array(F.struct(F.col("explained").alias("bits"), F.lit(True).alias("explained")), F.struct(plain.alias("bits"), F.lit(False).alias("explained")))
+    return gaps.select("symbol", "word", F.inline(told)).where("bits <> 0")
+
+
+def symbol_coverage(df: DataFrame, calendar: DataFrame, symbol: str, date: str, suspensions: DataFrame | None = None, cal_date: str = "cal_date", flag: str = "is_open") -> DataFrame:
+    """(symbol, missing date, explained): every day of ``symbol_gaps``, spelt out."""
+    gaps = _by_reason(symbol_gaps(df, calendar, symbol, date, suspensions, cal_date, flag))
+    return daybits.spelt(gaps, "word", "bits").select("symbol", "d", "explained")
+
+
+def symbol_gap_counts(df: DataFrame, calendar: DataFrame, symbol: str, date: str, suspensions: DataFrame | None = None, cal_date: str = "cal_date", flag: str = "is_open") -> DataFrame:
+    """(symbol, explained, n_days, first_day) of what is missing, counted in bits."""
+    gaps = _by_reason(symbol_gaps(df, calendar, symbol, date, suspensions, cal_date, flag))
+    first = F.min(daybits.first_day(F.col("word"), F.col("bits")))
+    return gaps.groupBy("symbol", "explained").agg(F.sum(F.bit_count("bits")).alias("n_days"), daybits.day_text(first).alias("first_day"))
 
 
 def validate_table(df: DataFrame, table: str) -> list[dict]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import codes, dates, limits, money, text
-from tickloom.operators import adjust, aggregates, bars, calendar, filters, joins, ladder, options, quality, ranking, reshape, snapshot
+from tickloom.operators import adjust, aggregates, bars, calendar, filters, joins, ladder, options, quality, ranking, reshape, scans, snapshot
 from tickloom.plans import views as v
 from tickloom.plans.views import load
 from tickloom.sources import formats, tables, writers
@@ -104,11 +104,11 @@ def q_distinct_first(spark, folder):
     return writers.keep_first(load(spark, folder, "orders"), [F.col("o_custkey")], [F.col("o_orderkey")]).select("o_custkey", "o_orderkey")
 
 
-@query("""WITH b AS (SELECT o_custkey, o_totalprice, 0 AS side, o_orderkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_custkey, o_totalprice, 1, o_orderkey FROM orders WHERE o_orderkey % 5 = 1)
+@query("""WITH b AS (SELECT o_custkey, o_totalprice, 0 AS side, o_orderkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_custkey, o_totalprice, 1, o_orderkey FROM orders WHERE o_orderkey % 2 = 1)
 SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY side DESC, o_orderkey DESC) AS r FROM b) WHERE r = 1""")
 def q_distinct_last_upsert(spark, folder):
     rows = load(spark, folder, "orders").select("o_custkey", "o_totalprice", "o_orderkey")
-    return writers.upserted(rows.where("o_orderkey % 2 = 0"), rows.where("o_orderkey % 5 = 1"), ["o_custkey"], "o_orderkey").select("o_custkey", "o_totalprice")
+    return writers.upserted(rows.where("o_orderkey % 2 = 0"), rows.where("o_orderkey % 2 = 1"), ["o_custkey"], "o_orderkey").select("o_custkey", "o_totalprice")
 
 
 @query("""WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS trade_date, o_totalprice AS p FROM orders)
@@ -235,10 +235,10 @@ def q_share_provenance(spark, folder):
     return snapshot.shares_on(rows).select("p_partkey", "source", "free_float_share")
 
 
-@query("""SELECT a.n AS n_left, b.n AS n_right, c.n AS n_both, c.n / greatest(a.n, b.n) AS overlap FROM (SELECT count(DISTINCT o_custkey) AS n FROM orders) a, (SELECT count(DISTINCT c_custkey) AS n FROM customer WHERE c_custkey % 3 > 0) b,
-(SELECT count(*) AS n FROM (SELECT o_custkey FROM orders INTERSECT SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0)) c""")
+@query("""SELECT a.n AS n_left, b.n AS n_right, c.n AS n_both, c.n / greatest(a.n, b.n) AS overlap FROM (SELECT count(DISTINCT o_custkey) AS n FROM orders) a, (SELECT count(DISTINCT c_custkey) AS n FROM customer) b,
+(SELECT count(*) AS n FROM (SELECT o_custkey FROM orders INTERSECT SELECT c_custkey FROM customer)) c""")
 def q_key_overlap(spark, folder):
-    return joins.overlap_ratio(load(spark, folder, "orders").select(F.col("o_custkey").alias("k")), load(spark, folder, "customer").where("c_custkey % 3 > 0").select(F.col("c_custkey").alias("k")), ["k"])
+    return joins.overlap_ratio(load(spark, folder, "orders").select(F.col("o_custkey").alias("k")), load(spark, folder, "customer").select(F.col("c_custkey").alias("k")), ["k"])
 
 
 # --- bars and windows
@@ -314,6 +314,37 @@ def q_qfq_factor(spark, folder):
     return _factors(spark, folder).select("instrument_id", "trade_date", F.round("qfq", 6).alias("qfq"))
 
 
+# One instrument with a third of all bars: every third tick is a bar of it, an action falls on every hundredth.
+_HOT_SQL = """bars AS (SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS instrument_id, strftime(ts, '%Y%m%d%H%M%S') || lpad(CAST(event_id AS VARCHAR), 12, '0') AS trade_date, CAST(round(value * 1000) AS BIGINT) + 1000 AS last_close_milli FROM events),
+actions AS (SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS instrument_id, strftime(ts, '%Y%m%d%H%M%S') AS event_date, 1 AS category_raw, event_id AS ordinal, CAST(event_id % 7 AS DOUBLE) / 1000 AS c1, 1.0 AS c2, CAST(event_id % 5 AS DOUBLE) / 100 AS c3, 0.0 AS c4 FROM events WHERE event_id % 100 < 3)"""
+
+
+def _hot(spark, folder):
+    rows = load(spark, folder, "events").withColumn("instrument_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+    clock = F.date_format("ts", "yyyyMMddHHmmss")
+    ticks = rows.select("instrument_id", F.concat(clock, F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("trade_date"), (F.round(F.col("value") * 1000).cast("long") + 1000).alias("last_close_milli"))
+    falls = rows.where("event_id % 100 < 3").select("instrument_id", clock.alias("event_date"), F.lit(1).alias("category_raw"), F.col("event_id").alias("ordinal"), ((F.col("event_id") % 7).cast("double") / 1000).alias("c1"), F.lit(1.0).alias("c2"), ((F.col("event_id") % 5).cast("double") / 100).alias("c3"), F.lit(0.0).alias("c4"))
+    return ticks, falls
+
+
+@query(f"{_FACTORS_SQL.replace(f'{v.DAILY_SQL}, {v.BARS_SQL}', _HOT_SQL)} SELECT instrument_id, trade_date, round(hfq, 6) AS hfq, round(qfq, 6) AS qfq FROM factors")
+def q_hot_instrument_factors(spark, folder):
+    out = adjust.adjustment_factors_in_pieces(*_hot(spark, folder))
+    return out.select("instrument_id", "trade_date", F.round("hfq", 6).alias("hfq"), F.round("qfq", 6).alias("qfq"))
+
+
+@query(f"WITH {_HOT_SQL}, m AS (SELECT b.*, a.event_date AS matched_event_date, a.ordinal AS ordinal FROM bars b ASOF LEFT JOIN (SELECT instrument_id, event_date, max(ordinal) AS ordinal FROM actions GROUP BY 1, 2) a ON a.instrument_id = b.instrument_id AND b.trade_date >= a.event_date) SELECT * FROM m")
+def q_hot_instrument_asof(spark, folder):
+    ticks, falls = _hot(spark, folder)
+    return scans.asof_in_pieces(ticks, falls, ["instrument_id"], "trade_date", "event_date", ["ordinal"])
+
+
+@query("SELECT event_id, k, CAST(sum(value) OVER w AS BIGINT) AS amount, count(*) OVER w AS n FROM (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS k, CAST(floor(value) AS BIGINT) AS value FROM events) WINDOW w AS (PARTITION BY k ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")
+def q_hot_instrument_totals(spark, folder):
+    rows = load(spark, folder, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("k"), "ts", F.floor("value").alias("v"))
+    return scans.running_in_pieces(rows, ["k"], [F.col("ts"), F.col("event_id")], {"amount": F.col("v"), "n": F.lit(1)}).select("event_id", "k", "amount", "n")
+
+
 @query(f"""{_FACTORS_SQL}, base AS (SELECT instrument_id, arg_max(qfq, trade_date) AS base FROM factors WHERE trade_date <= '20240115' GROUP BY 1)
 SELECT instrument_id, trade_date, round(qfq / base, 5) AS adj_factor FROM factors JOIN base USING (instrument_id)""")
 def q_qfq_anchor(spark, folder):
@@ -626,9 +657,16 @@ def q_symbol_coverage(spark, folder):
     rows = load(spark, folder, "orders").select("o_custkey", F.concat(F.col("o_custkey").cast("string"), F.lit(".SH")).alias("symbol"), v.day("o_orderdate").alias("d"))
     # every second symbol is halted for a month of 31 days
     halts = rows.where("o_custkey % 2 = 0").select("symbol").distinct().withColumn("d", F.explode(F.transform(F.sequence(F.lit(1), F.lit(31)), lambda i: F.format_string("199607%02d", i))))
-    out = quality.symbol_coverage(rows, v.calendar(spark, folder), "symbol", "d", halts)
-    # numbers are aggregated by hashing, text by sorting
-    return out.groupBy("symbol", "explained").agg(F.count("*").alias("n_days"), F.min(F.col("d").cast("int")).cast("string").alias("first_day"))
+    return quality.symbol_gap_counts(rows, v.calendar(spark, folder), "symbol", "d", halts)
+
+
+@query(f"""WITH {v.CALENDAR_SQL}, r AS (SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y%m%d') AS d FROM orders), s AS (SELECT o_custkey, min(d) AS lo, max(d) AS hi FROM r GROUP BY 1),
+m AS (SELECT o_custkey, cal_date FROM s JOIN calendar ON is_open = 1 AND cal_date BETWEEN lo AND hi), g AS (SELECT m.o_custkey, cal_date FROM m LEFT JOIN r ON r.o_custkey = m.o_custkey AND r.d = m.cal_date WHERE r.d IS NULL)
+SELECT cal_date AS d, count(*) AS n_symbols, min(o_custkey) AS first_symbol FROM g GROUP BY 1""")
+def q_symbol_missing_days(spark, folder):
+    rows = load(spark, folder, "orders").select(F.concat(F.col("o_custkey").cast("string"), F.lit(".SH")).alias("symbol"), v.day("o_orderdate").alias("d"))
+    days = quality.symbol_coverage(rows, v.calendar(spark, folder), "symbol", "d")
+    return days.groupBy("d").agg(F.count("*").alias("n_symbols"), F.min(F.substring_index("symbol", ".", 1).cast("long")).alias("first_symbol"))
 
 
 @query(f"WITH {v.CALENDAR_SQL} SELECT min(cal_date) AS first_date, max(cal_date) AS last_date, count(*) AS n_days, count(*) FILTER (WHERE is_open = 1) AS n_open FROM calendar")
@@ -636,9 +674,9 @@ def q_calendar_cover(spark, folder):
     return calendar.coverage(v.calendar(spark, folder))
 
 
-@query(f"WITH {v.CALENDAR_SQL} SELECT strftime(d, '%Y%m%d') AS cal_date FROM (SELECT CAST(unnest(generate_series(DATE '1997-12-01', DATE '1998-01-31', INTERVAL 1 DAY)) AS DATE) AS d) WHERE strftime(d, '%Y%m%d') NOT IN (SELECT cal_date FROM calendar)")
+@query(f"WITH {v.CALENDAR_SQL} SELECT strftime(d, '%Y%m%d') AS cal_date FROM (SELECT CAST(unnest(generate_series(DATE '2001-07-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS d) WHERE strftime(d, '%Y%m%d') NOT IN (SELECT cal_date FROM calendar)")
 def q_calendar_missing(spark, folder):
-    return calendar.missing_days(v.calendar(spark, folder), "1997-12-01", "1998-01-31")
+    return calendar.missing_days(v.calendar(spark, folder), "2001-07-01", "2001-12-31")
 
 
 @query(f"""WITH {v.CALENDAR_SQL}, o AS (SELECT cal_date FROM calendar WHERE is_open = 1 AND cal_date <= '19970615' ORDER BY 1 DESC LIMIT 2) SELECT CASE WHEN (SELECT is_open FROM calendar WHERE cal_date = '19970615') = 1 THEN 'trading' ELSE 'closed' END AS phase, (SELECT max(cal_date) FROM o) AS target_date, (SELECT min(cal_date) FROM o) AS previous_date""")
@@ -834,10 +872,10 @@ def q_volume_scalars(spark, folder):
     return rows.select("instrument", "trade_date", money.volume_change("volume", "before").alias("change"), money.volume_change_pct("volume", "before").alias("change_pct"), money.volume_ratio("volume", "before").alias("ratio"), money.auction_open_lots("amount", "open").alias("open_lots"))
 
 
-@query(f"WITH {v.CALENDAR_SQL} SELECT exchange, cal_date, CASE WHEN cal_date BETWEEN '19970101' AND '19970131' THEN 1 ELSE is_open END AS is_open FROM calendar UNION ALL SELECT 'SSE', '19980101', 1")
+@query(f"WITH {v.CALENDAR_SQL} SELECT exchange, cal_date, CASE WHEN cal_date BETWEEN '19970101' AND '19970131' THEN 1 ELSE is_open END AS is_open FROM calendar UNION ALL SELECT 'SSE', '20991231', 1")
 def q_calendar_update(spark, folder):
     old = v.calendar(spark, folder)
-    new = calendar.spine(spark, "19970101", "19970131").unionByName(calendar.spine(spark, "19980101", "19980101")).select(F.lit("SSE").alias("exchange"), "cal_date", F.lit(1).alias("is_open"))
+    new = calendar.spine(spark, "19970101", "19970131").unionByName(calendar.spine(spark, "20991231", "20991231")).select(F.lit("SSE").alias("exchange"), "cal_date", F.lit(1).alias("is_open"))
     return calendar.updated(old, new)
 
 

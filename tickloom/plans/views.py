@@ -34,18 +34,18 @@ def daily(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# The calendar: days with orders of priority 1 are open, over the natural days of two years.
+# The calendar: days with orders of priority 1 are open, over all natural days from the first order to the last.
 CALENDAR_SQL = """calendar AS (
   SELECT 'SSE' AS exchange, strftime(d, '%Y%m%d') AS cal_date,
          CASE WHEN d IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderpriority LIKE '1%') THEN 1 ELSE 0 END AS is_open
-  FROM (SELECT CAST(unnest(generate_series(DATE '1996-01-01', DATE '1997-12-31', INTERVAL 1 DAY)) AS DATE) AS d))"""
+  FROM (SELECT CAST(unnest(generate_series((SELECT CAST(min(o_orderdate) AS DATE) FROM orders), (SELECT CAST(max(o_orderdate) AS DATE) FROM orders), INTERVAL 1 DAY)) AS DATE) AS d))"""
 
 
 def calendar(spark: SparkSession, folder: str) -> DataFrame:
-    from tickloom.operators.calendar import spine
-
-    opened = load(spark, folder, "orders").where("o_orderpriority like '1%'").select(day("o_orderdate").alias("cal_date")).distinct().withColumn("is_open", F.lit(1))
-    days = spine(spark, "19960101", "19971231").join(opened, "cal_date", "left")
+    orders = load(spark, folder, "orders")
+    opened = orders.where("o_orderpriority like '1%'").select(day("o_orderdate").alias("cal_date")).distinct().withColumn("is_open", F.lit(1))
+    span = orders.agg(F.to_date(F.min("o_orderdate")).alias("low"), F.to_date(F.max("o_orderdate")).alias("high"))
+    days = span.select(F.explode(F.sequence("low", "high")).alias("d")).select(day("d").alias("cal_date")).join(opened, "cal_date", "left")
     return days.select(F.lit("SSE").alias("exchange"), "cal_date", F.coalesce("is_open", F.lit(0)).alias("is_open"))
 
 
