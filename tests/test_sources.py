@@ -5,10 +5,11 @@ import os
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom import catalog
 from tickloom.schema import list_tables, table_schema
-from tickloom.sources import formats, gateway, tables, writers
+from tickloom.sources import formats, gateway, tables, versions, writers
 from tickloom.sources.layout import table_files
 
 DAILY = "ts_code string, trade_date string, close double"
@@ -107,7 +108,7 @@ def test_upsert(spark, tmp_path):
     writers.write(spark.createDataFrame([(1, 10.0), (2, 20.0)], kind), target, "upsert_by_key", ["k"])
     result = writers.write(spark.createDataFrame([(1, 10.8), (3, 30.0)], kind), target, "upsert_by_key", ["k"])
     assert (result.rows_before, result.rows_written, result.rows_after, result.duplicates_dropped) == (2, 2, 3, 1)
-    assert {r.k: r.v for r in spark.read.parquet(target).collect()} == {"1": 10.8, "2": 20.0, "3": 30.0}
+    assert {r.k: r.v for r in writers.read_written(spark, target).collect()} == {"1": 10.8, "2": 20.0, "3": 30.0}
 
 
 def test_upsert_moves_a_key_between_partitions(spark, tmp_path):
@@ -115,7 +116,7 @@ def test_upsert_moves_a_key_between_partitions(spark, tmp_path):
     writers.write(spark.createDataFrame([("a", "20240102", 1.0)], kind), target, "upsert_by_key", ["k"], ["d"], "d")
     result = writers.write(spark.createDataFrame([("a", "20240103", 2.0)], kind), target, "upsert_by_key", ["k"], ["d"], "d")
     assert (result.rows_before, result.rows_after, result.duplicates_dropped) == (1, 1, 1)
-    assert [p for p in os.listdir(target) if p.startswith("part_")] == ["part_d=20240103"]
+    assert [versions.label_of(f) for f in versions.latest(spark, target).files] == ["d=20240103"]
 
 
 def test_upsert_keys_of_one_day(spark):
@@ -129,7 +130,7 @@ def test_replace_range(spark, tmp_path):
     writers.write(spark.createDataFrame([("20240102", 10.0), ("20240103", 11.0), ("20240104", 12.0), (None, 0.5)], kind), target)
     result = writers.write(spark.createDataFrame([("2024-01-03", 11.8)], kind), target, "replace_range", date_field="d")
     assert (result.range_start, result.range_end) == ("20240103", "20240103")
-    assert sorted(r.v for r in spark.read.parquet(target).collect()) == [0.5, 10.0, 11.8, 12.0]
+    assert sorted(r.v for r in writers.read_written(spark, target).collect()) == [0.5, 10.0, 11.8, 12.0]
     with pytest.raises(ValueError):
         writers.write(spark.createDataFrame([(None, 1.0)], kind), target, "replace_range", date_field="d")
     with pytest.raises(ValueError):
@@ -139,7 +140,7 @@ def test_replace_range(spark, tmp_path):
 def test_overwrite_partition_and_append(spark, tmp_path):
     target, kind = f"{tmp_path}/t", "d string, v double"
     writers.write(spark.createDataFrame([("20240102", 1.0), ("20240103", 2.0), (None, 3.0), ("a/b", 4.0)], kind), target, partition_by=["d"])
-    assert {"part_d=__null__", "part_d=a_b"} <= set(os.listdir(target))
+    assert {"d=__null__", "d=a_b"} <= {versions.label_of(f) for f in versions.latest(spark, target).files}
     result = writers.write(spark.createDataFrame([("20240102", 9.0)], kind), target, "overwrite_partition", partition_by=["d"])
     assert result.partitions == ["d=20240102"]
     assert sorted(r.v for r in writers.read_written(spark, target).collect()) == [2.0, 3.0, 4.0, 9.0]
@@ -166,17 +167,18 @@ def test_only_touched_partitions_are_written(spark, tmp_path):
     target, kind = f"{tmp_path}/t", "k string, d string, p string, v double"
     first = [("1", "20240101", "a", 1.0), ("2", "20240102", "b", 2.0), ("3", None, "c", 3.0), ("4", "20240102", "c", 4.0), ("5", "20240105", "", 5.0)]
     writers.write(spark.createDataFrame(first, kind), target, partition_by=["p"])
-    files = lambda p: set(os.listdir(f"{target}/part_p={p}"))
+    files = lambda p: {f for f in versions.latest(spark, target).files if versions.label_of(f) == f"p={p}"}
+    writers.write(spark.createDataFrame([("9", "20240105", "c", 6.0)], kind), target, "upsert_by_key", ["k"], ["p"], "d")
     was = {p: files(p) for p in "abc"}
     writers.write(spark.createDataFrame([("1", "20240103", "b", 1.5)], kind), target, "upsert_by_key", ["k"], ["p"], "d")
     # the key's old partition holds nothing else and goes; c isn't touched
-    assert not os.path.exists(f"{target}/part_p=a")
-    assert files("c") == was["c"] and files("b") != was["b"]
+    assert not files("a")
+    assert files("c") == was["c"] and files("b") > was["b"]
     writers.write(spark.createDataFrame([("7", "20240102", "e", 7.0)], kind), target, "replace_range", partition_by=["p"], date_field="d")
     rows = {(r.k, r.p, r.v) for r in writers.read_written(spark, target).collect()}
-    assert rows == {("1", "b", 1.5), ("3", "c", 3.0), ("5", "", 5.0), ("7", "e", 7.0)}
+    assert rows == {("1", "b", 1.5), ("3", "c", 3.0), ("5", "", 5.0), ("9", "c", 6.0), ("7", "e", 7.0)}
     writers.write(spark.createDataFrame([("8", "20240109", "", 8.0)], kind), target, "overwrite_partition", partition_by=["p"])
-    assert {r.k for r in writers.read_written(spark, target).collect()} == {"1", "3", "7", "8"}
+    assert {r.k for r in writers.read_written(spark, target).collect()} == {"1", "3", "7", "8", "9"}
 
 
 def test_keys_that_become_text_do_so_everywhere(spark, tmp_path):
@@ -189,11 +191,7 @@ def test_keys_that_become_text_do_so_everywhere(spark, tmp_path):
 
 def test_outputs(spark, tmp_path):
     df = spark.createDataFrame([(1, "中")], "a int, b string")
-    out = writers.write_outputs(df, str(tmp_path), "x", ("parquet", "csv", "jsonl", "duckdb"))
-    import duckdb
-
-    with duckdb.connect(out["duckdb"], read_only=True) as db:
-        assert db.execute("SELECT * FROM x").fetchall() == [(1, "中")]
+    out = writers.write_outputs(df, str(tmp_path), "x", ("parquet", "csv", "jsonl"))
     assert spark.read.parquet(out["parquet"]).count() == 1
     assert spark.read.option("header", True).csv(out["csv"]).first().b == "中"
     assert spark.read.json(out["jsonl"]).first().b == "中"
@@ -324,3 +322,76 @@ def test_typed_and_validation(spark):
     assert sorted(str(r.is_open) for r in typed.collect()) == ["1", "None"]
     issues = {i["issue"] for i in quality.validate_table(typed, "trade_cal")}
     assert issues == {"missing_required", "primary_key_duplicates"}
+
+
+def test_a_write_that_stops_leaves_the_old_version_whole(spark, tmp_path, monkeypatch):
+    """Stopped after its files are written and before its manifest is in place, a write over all partitions shows nothing."""
+    target, kind = f"{tmp_path}/t", "k string, p string, v double"
+    old = [(str(i), "abc"[i % 3], float(i)) for i in range(30)]
+    writers.write(spark.createDataFrame(old, kind), target, "upsert_by_key", ["k"], ["p"])
+    seen = writers.read_written(spark, target)
+    fresh = spark.createDataFrame([(str(i), "bcd"[i % 3], -1.0) for i in range(0, 40, 2)], kind)
+
+    def lost(*_):
+        raise OSError("the driver is lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "commit", lost)
+        for mode, more in (("upsert_by_key", {"key": ["k"]}), ("overwrite_partition", {}), ("append", {}), ("snapshot", {})):
+            with pytest.raises(OSError, match="lost"):
+                writers.write(fresh, target, mode, partition_by=["p"], **more)
+    assert sorted(map(tuple, writers.read_written(spark, target).collect())) == sorted(old)
+    result = writers.write(fresh, target, "upsert_by_key", ["k"], ["p"])
+    wanted = {r[0]: r for r in old} | {r.k: tuple(r) for r in fresh.collect()}
+    assert sorted(map(tuple, writers.read_written(spark, target).collect())) == sorted(wanted.values())
+    assert (result.rows_before, result.rows_written, result.rows_after, result.duplicates_dropped) == (30, 20, 35, 15)
+    # who began to read the old version goes on reading it, until its files go
+    assert sorted(map(tuple, seen.collect())) == sorted(old)
+    assert versions.read(spark, target, labels=["p=d"]).count() == sum(1 for r in wanted.values() if r[1] == "d")
+    assert versions.vacuum(spark, target) > 0
+    assert versions.numbers(spark, target) == [2]
+    assert sorted(map(tuple, writers.read_written(spark, target).collect())) == sorted(wanted.values())
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    target = f"{tmp_path}/t"
+    writers.write(spark.range(3), target)
+    one = versions.next_version(versions.latest(spark, target), rows=1)
+    versions.commit(spark, target, one)
+    with pytest.raises(versions.Conflict):
+        versions.commit(spark, target, one)
+    assert versions.numbers(spark, target) == [1, 2]
+
+
+def test_rows_are_evaluated_once(spark, tmp_path):
+    """Every mode reads its input once; the report comes from the writing jobs."""
+    kind = "k string, d string, v double"
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(str(i), f"202401{i % 5 + 1:02d}", 1.0) for i in range(20)], kind)
+    target = f"{tmp_path}/t"
+    for mode, more, after in (("snapshot", {}, 20), ("append", {}, 40), ("upsert_by_key", {"key": ["k"]}, 20), ("replace_range", {"date_field": "d"}, 20), ("overwrite_partition", {}, 20), ("upsert_by_key", {"key": ["k"]}, 20)):
+        calls.value = 0
+        result = writers.write(rows.mapInArrow(counted, kind), target, mode, partition_by=["d"], **more)
+        assert calls.value == 20, mode
+        assert (result.rows_written, result.rows_after) == (20, after), mode
+        assert writers.read_written(spark, target).count() == after
+
+
+def test_a_plain_folder_becomes_a_version(spark, tmp_path):
+    target = f"{tmp_path}/t"
+    spark.createDataFrame([(1, "a b"), (2, "c")], "k long, p string").withColumn("part_p", F.col("p")).write.partitionBy("part_p").parquet(target)
+    result = writers.write(spark.createDataFrame([(3, "c")], "k long, p string"), target, "append", partition_by=["p"])
+    assert (result.rows_before, result.rows_after) == (2, 3)
+    assert sorted(map(tuple, writers.read_written(spark, target).collect())) == [(1, "a b"), (2, "c"), (3, "c")]
+    # a core table's scan reads the newest version too
+    core = f"{tmp_path}/lake/core/table=trade_cal/parquet"
+    day = lambda *ds: spark.createDataFrame([("SSE", d, 1) for d in ds], "exchange string, cal_date string, is_open int")
+    writers.write(day("20240102", "20240103"), core, partition_by=["cal_date"])
+    writers.write(day("20240103", "20240104"), core, "upsert_by_key", ["cal_date"], ["cal_date"])
+    assert sorted(r.cal_date for r in tables.read_core_table(spark, "trade_cal", f"{tmp_path}/lake").select("cal_date").collect()) == ["20240102", "20240103", "20240104"]

@@ -72,6 +72,8 @@ def test_latest_per_key(spark):
     assert sorted(r.v for r in refresh.latest_per_key(df, "k", "t").collect()) == ["y", "z"]
 
 
-def test_next_run():
-    assert refresh.next_run("202401021600", ["20240102", "20240104"], "1530") == "202401041530"
-    assert refresh.next_run("202401051600", ["20240102"], "1530") is None
+def test_next_run(spark):
+    days = lambda *names: spark.createDataFrame([("SSE", d, True) for d in names], "exchange string, cal_date string, is_open boolean")
+    assert refresh.next_run(days("20240102", "20240104"), "202401021600", "1530") == "202401041530"
+    assert refresh.next_run(days("20240102"), "202401051600", "1530") is None
+    assert {r.cal_date: r.due for r in refresh.next_runs(days("20240102", "20240104"), "1530").collect()} == {"20240102": "202401041530", "20240104": None}

@@ -208,25 +208,20 @@ def q_projected(spark, folder):
 # --- sinks and write modes
 
 
-@query("SELECT f AS form, n, s AS keys FROM (SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS s FROM customer), (SELECT unnest(['parquet', 'csv', 'jsonl', 'duckdb']) AS f)")
+@query("SELECT f AS form, n, s AS keys FROM (SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS s FROM customer), (SELECT unnest(['parquet', 'csv', 'jsonl']) AS f)")
 def q_write_outputs(spark, folder):
-    import duckdb
-
-    out = writers.write_outputs(load(spark, folder, "customer"), scratch(spark, "outputs"), "customer", ("parquet", "csv", "jsonl", "duckdb"))
+    out = writers.write_outputs(load(spark, folder, "customer"), scratch(spark, "outputs"), "customer", ("parquet", "csv", "jsonl"))
     read = {"parquet": spark.read.parquet, "csv": spark.read.option("header", True).csv, "jsonl": spark.read.json}
     counts = [F.count("*").alias("n"), F.sum(F.col("c_custkey").cast("long")).alias("keys")]
-    frames = [how(out[form]).agg(*counts).select(F.lit(form).alias("form"), "n", "keys") for form, how in read.items()]
-    with duckdb.connect(out["duckdb"].removeprefix("file:"), read_only=True) as db:
-        own = db.execute("SELECT count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer").fetchone()
-    return _union([*frames, _rows(spark, "form string, n long, keys long", ("duckdb", *own))])
+    return _union([how(out[form]).agg(*counts).select(F.lit(form).alias("form"), "n", "keys") for form, how in read.items()])
 
 
 @query("SELECT o_orderstatus AS dataset, 'ok' AS status, CAST(n AS VARCHAR) AS updated_at FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)")
 def q_run_log(spark, folder):
     target = scratch(spark, "runs")
-    # one run for each of the three states of an order
-    for r in load(spark, folder, "orders").groupBy("o_orderstatus").count().collect():
-        writers.write_run_log(spark, target, {"dataset": r.o_orderstatus, "path": f"{target}/{r.o_orderstatus}", "status": "ok", "updated_at": str(r["count"])})
+    # one run for each state of an order
+    states = load(spark, folder, "orders").groupBy("o_orderstatus").count()
+    writers.write_run_log(states.select(F.col("o_orderstatus").alias("dataset"), F.concat(F.lit(f"{target}/"), "o_orderstatus").alias("path"), F.lit("ok").alias("status"), F.col("count").cast("string").alias("updated_at")), target)
     return catalog.run_log(spark, target).select("dataset", "status", "updated_at")
 
 
@@ -277,12 +272,15 @@ def q_replace_range_partitioned(spark, folder):
     return writers.read_written(spark, target).select("o_orderkey", "o_orderstatus")
 
 
-@query("SELECT 'F' AS label, TRUE AS inside UNION ALL SELECT 'O', FALSE UNION ALL SELECT 'P', FALSE")
+@query("SELECT 'F' AS label, count(*) AS n FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'O', NULL UNION ALL SELECT 'P', NULL")
 def q_delete_dataset(spark, folder):
-    target, _ = _written(spark, folder, "delete")
+    root = scratch(spark, "delete")
+    for state in "FOP":
+        writers.staged(load(spark, folder, "orders").where(F.col("o_orderstatus") == state), f"{root}/{state}")
     for state in ("O", "P"):
-        writers.delete_dataset(spark, target, f"part_o_orderstatus={state}")
-    return _rows(spark, "label string, inside boolean", *((s, layout.exists(spark, f"{target}/part_o_orderstatus={s}")) for s in "FOP"))
+        writers.delete_dataset(spark, root, state)
+    left = [spark.read.parquet(f"{root}/{s}").agg(F.lit(s).alias("label"), F.count("*").alias("n")) if layout.exists(spark, f"{root}/{s}") else _rows(spark, "label string, n long", (s, None)) for s in "FOP"]
+    return _union(left)
 
 
 @query("SELECT o_orderpriority AS exchange, strftime(o_orderdate, '%Y%m%d') AS cal_date, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS is_open FROM orders")
@@ -568,9 +566,7 @@ def q_stream_scheduled(spark, folder):
 
 @query(f"WITH {v.CALENDAR_SQL}, o AS (SELECT cal_date FROM calendar WHERE is_open = 1) SELECT cal_date AS after, (SELECT min(b.cal_date) FROM o b WHERE b.cal_date > a.cal_date) || '1530' AS due FROM o a")
 def q_next_runs(spark, folder):
-    # the open days of two years
-    days = sorted(r.cal_date for r in v.calendar(spark, folder).where("is_open = 1").collect())
-    return _rows(spark, "after string, due string", *((d, refresh.next_run(f"{d}1530", days, "1530")) for d in days))
+    return refresh.next_runs(v.calendar(spark, folder).where("is_open = 1"), "1530").select(F.col("cal_date").alias("after"), "due")
 
 
 @query("SELECT o_orderkey, json FROM (SELECT o_orderkey, '{\"k\":' || o_orderkey || ',\"n\":null}' AS json FROM orders)")

@@ -44,6 +44,12 @@ def _outside(value: str, start: str | None, end: str | None) -> bool:
 
 
 def _walk(spark: SparkSession, folder: str, date_field: str | None, start: str | None, end: str | None) -> tuple[list[str], bool]:
+    from tickloom.sources import versions
+
+    if version := versions.latest(spark, folder):
+        # a written table: the files of its newest version
+        ours = [f for f in version.files if not any(_outside(v, start, end) for k, _, v in (part.partition("=") for part in versions.label_of(f).split("/")) if k == date_field)]
+        return [f"{folder.rstrip('/')}/{f}" for f in ours], bool(version.files)
     kept, seen = [], False
     for path, is_folder in children(spark, folder):
         name = path.rstrip("/").rsplit("/", 1)[-1]

@@ -1,27 +1,29 @@
 """Sinks and the five write modes.
 
-Every write goes to a staging folder first and is then moved into place, so a
-failed job leaves the old data; nothing that is read is overwritten meanwhile.
+``write`` makes a new version of a table (``sources/versions.py``), seen whole or not
+at all.  Core tables and outputs are plain folders: written aside, then moved into
+place in one step.
 """
 
 from __future__ import annotations
 
-import json
 import posixpath
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tickloom.functions.dates import compact
 from tickloom.schema import table_schema
-from tickloom.sources.layout import children, exists
+from tickloom.sources import versions
 from tickloom.sources.tables import union_by_name
+from tickloom.storage import stored
 
 NULL_LABEL = "__null__"
 MODES = ("snapshot", "append", "overwrite_partition", "replace_range", "upsert_by_key")
@@ -77,12 +79,9 @@ def write_outputs(df: DataFrame, folder: str, stem: str, forms: Sequence[str] =
     again = df.sparkSession.read.schema(df.schema).parquet(first)
     out = {"parquet": first}
     for form in forms:
-        if form not in ("parquet", "csv", "jsonl", "duckdb"):
+        if form not in ("parquet", "csv", "jsonl"):
             raise ValueError(f"unknown format {form}")
-        if form == "duckdb":
-            out[form] = f"{folder}/duckdb/{stem}.duckdb"
-            write_duckdb(df.sparkSession, first, out[form], stem)
-        elif form != "parquet":
+        if form != "parquet":
             out[form] = f"{folder}/{form}/{stem}.{form}"
             staged(again, out[form], form)
     if "parquet" not in forms:
@@ -91,31 +90,6 @@ def write_outputs(df: DataFrame, folder: str, stem: str, forms: Sequence[str] =
     return out
 
 
-def write_duckdb(spark: SparkSession, parquet: str, target: str, table: str) -> None:
-    """A DuckDB file with one table of a written Parquet folder's rows.
-
-    DuckDB has one writer and a file of its own, so this is an export for one
-    machine: the driver lets DuckDB read the Parquet files itself, in its own
-    bounded memory, and rows never pass through Python.  The folder must be one
-    that the driver sees as a path.
-    """
-    import os
-
-    import duckdb
-
-    local = [p.removeprefix("file:") for p in (parquet, target)]
-    if any("://" in p for p in local):
-        raise ValueError("a DuckDB file is written to a path that the driver sees")
-    os.makedirs(os.path.dirname(local[1]), exist_ok=True)
-    fresh = f"{local[1]}.staging-{uuid.uuid4().hex}"
-    files = f"{local[0]}/*.parquet"
-    with duckdb.connect(fresh) as db:
-        db.execute("SET threads = 1")
-        name = '"' + table.replace('"', '""') + '"'
-        db.execute(f"CREATE TABLE {name} AS SELECT * FROM read_parquet(?)", [files])
-    os.replace(fresh, local[1])
-
-
 def partition_label(column: Column) -> Column:
     """A partition's text: nulls as a name, slashes as underscores."""
     return F.coalesce(F.replace(column.cast("string"), F.lit("/"), F.lit("_")), F.lit(NULL_LABEL))
@@ -166,38 +140,33 @@ def range_replaced(old: DataFrame, new: DataFrame, date_field: str, start: str,
     return union_by_name(old.where(day.isNull() | ~day.between(start, end)), new)
 
 
-def _named(folder: str) -> str:
-    """The label of a partition's folder."""
-    return unquote(folder).replace("__HIVE_DEFAULT_PARTITION__", "")
+def _labelled(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return df.withColumns({f"part_{k}": partition_label(F.col(k)) for k in partition_by})
 
 
-def _leaves(spark: SparkSession, target: str, depth: int) -> dict[str, str]:
-    """Label -> folder of every partition below a target."""
-    found = {"": target}
-    for _ in range(depth):
-        found = {f"{label}/{_named(name)}".lstrip("/"): path for label, folder in found.items() for path, is_folder in children(spark, folder) if is_folder and "=" in (name := path.rstrip("/").rsplit("/", 1)[-1])}
-    return found
+def _put(df: DataFrame, target: str, partition_by: Sequence[str]) -> tuple[str, ...]:
+    if not partition_by:
+        return versions.put(df, target)
+    names = [f"part_{k}" for k in partition_by]
+    # a partition's rows come together, a large one's in several tasks
+    return versions.put(_labelled(df, partition_by).hint("rebalance", *names), target, names)
 
 
-def _labelled(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    return df.withColumns({f"part_{k}": partition_label(F.col(k)) for k in partition_by})
+def _counted(df: DataFrame, date_field: str | None = None) -> tuple[DataFrame, Observation]:
+    """Rows that are counted, and their dates bounded, by whatever job writes them."""
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    dates = [F.min(compact(date_field)).alias("low"), F.max(compact(date_field)).alias("high")] if date_field else []
+    return df.observe(seen, F.count(F.lit(1)).alias("n"), *dates), seen
 
 
-def _label(partition_by: Sequence[str]) -> Column:
-    return F.concat_ws("/", *(F.concat(F.lit(f"part_{k}="), partition_label(F.col(k))) for k in partition_by))
+def _same_kinds(old: StructType, new: StructType) -> bool:
+    kinds = {f.name: f.dataType for f in new.fields}
+    return all(kinds.get(f.name, f.dataType) == f.dataType for f in old.fields)
 
 
-def _check_layout(spark: SparkSession, target: str, partition_by: Sequence[str]) -> None:
-    """What is there must be partitioned as the new rows are; otherwise readers would skip one of them."""
-    there = set()
-    folders = [target]
-    while folders:
-        below = [(p, p.rstrip("/").rsplit("/", 1)[-1]) for f in folders for p, is_folder in children(spark, f) if is_folder]
-        names = {n.partition("=")[0].removeprefix("part_") for _, n in below if "=" in n}
-        there |= names
-        folders = [p for p, n in below if "=" in n][:1]
-    if there != set(partition_by):
-        raise ValueError(f"{target} is partitioned by {sorted(there)}, not by {sorted(partition_by)}")
+def _united(old: StructType, new: StructType) -> StructType:
+    known = set(old.names)
+    return StructType([StructField(f.name, f.dataType, True, f.metadata) for f in [*old.fields, *(f for f in new.fields if f.name not in known)]])
 
 
 def write(
@@ -211,11 +180,15 @@ def write(
     end: str | None = None,
     order: str | None = None,
     legacy_keys: bool = False,
+    batch: tuple[str, int] | None = None,
 ) -> WriteResult:
-    """Write rows to a Parquet folder in one of MODES.
+    """Write rows as the next version of a table, in one of MODES.
 
-    In a partitioned target only the partitions that the new rows touch, or
-    whose old rows go, are read and written.
+    The rows are evaluated once, and what is reported is counted by the jobs that
+    write.  Files that hold no row that goes are taken over as they are; the others
+    are written anew beside them.  A target that was a plain Parquet folder becomes
+    the first version's files.  ``batch`` names a stream and a batch of it: one that
+    the table holds already changes nothing.
     """
     spark = df.sparkSession
     if mode not in MODES:
@@ -226,102 +199,94 @@ def write(
         raise ValueError("upsert_by_key needs a key")
     if mode == "replace_range" and not date_field:
         raise ValueError("replace_range needs a date field")
-    old = read_written(spark, target) if exists(spark, target) else None
-    if old is not None and mode != "snapshot":
-        _check_layout(spark, target, partition_by)
-    before = old.count() if old is not None else 0
-    written = df.count()
-    result = WriteResult(before, written, 0)
-    if partition_by:
-        result.partitions = sorted(r.label for r in partition_labels(df, partition_by).collect())
+    old = versions.adopted(spark, target)
+    before = old.rows if old else 0
+    if batch and old and old.applied.get(batch[0], batch[1] - 1) >= batch[1]:
+        return WriteResult(before, 0, before)
+    if old and mode != "snapshot" and set(old.partition_by) != set(partition_by):
+        raise ValueError(f"{target} is partitioned by {sorted(old.partition_by)}, not by {sorted(partition_by)}")
+    applied = (dict(old.applied) if old else {}) | (dict([batch]) if batch else {})
+    partition_by = list(old.partition_by) if old and mode != "snapshot" else list(partition_by)
+
+    def done(files: Sequence[str], kinds: StructType, rows: int, unique: Sequence[str] = ()) -> None:
+        versions.commit(spark, target, versions.next_version(old, schema=kinds.json(), files=tuple(files), partition_by=tuple(partition_by), rows=rows, unique=tuple(unique), applied=applied, details={}))
+
+    rows, seen = _counted(df, date_field if mode == "replace_range" else None)
+    if mode in ("snapshot", "append", "overwrite_partition"):
+        if old and mode != "snapshot" and not _same_kinds(old.struct(), df.schema):
+            raise ValueError(f"columns of {target} have other types")
+        fresh = _put(rows, target, partition_by)
+        result = WriteResult(before, seen.get["n"], seen.get["n"])
+        stay: Sequence[str] = ()
+        if mode == "append" and old:
+            stay, result.rows_after = old.files, before + result.rows_written
+        elif mode == "overwrite_partition" and old:
+            touched = {versions.label_of(f) for f in fresh}
+            stay = [f for f in old.files if versions.label_of(f) not in touched]
+            # counts alone come from the files' footers
+            result.rows_after = before - versions.read_files(spark, target, old.struct(), [f for f in old.files if f not in set(stay)]).count() + result.rows_written
+        result.partitions = sorted({versions.label_of(f) for f in fresh} - {""})
+        done([*stay, *fresh], _united(old.struct(), df.schema) if stay else df.schema, result.rows_after)
+        return result
+
+    new = stored(rows, "new-rows")
+    result = WriteResult(before, seen.get["n"], 0)
     if mode == "replace_range":
-        low, high = df.agg(F.min(compact(date_field)), F.max(compact(date_field))).first()
-        result.range_start, result.range_end = (start or low or "").replace("-", "") or None, (end or high or "").replace("-", "") or None
+        result.range_start, result.range_end = ((a or b or "").replace("-", "") or None for a, b in ((start, seen.get["low"]), (end, seen.get["high"])))
         if not result.range_start or not result.range_end:
             raise ValueError("no row has a date, so there is no range to replace")
-
-    def merged(had: DataFrame) -> DataFrame:
-        """The rows that take the place of ``had``."""
-        if mode == "upsert_by_key":
-            return upserted(had, df, key, order, date_field, legacy_keys)
-        if mode == "replace_range":
-            return range_replaced(had, df, date_field, result.range_start, result.range_end)
-        return df
-
-    if old is None or mode == "snapshot":
-        whole = merged(df.limit(0)) if mode == "upsert_by_key" else df
-        if partition_by:
-            paths = [f"part_{k}" for k in partition_by]
-            staged(_labelled(whole, partition_by).hint("rebalance", *paths), target, partition_by=paths)
-        else:
-            staged(whole, target)
-    elif mode == "append":
-        # never touches what is there
-        rows = _labelled(df, partition_by) if partition_by else df
-        (rows.write.partitionBy(*(f"part_{k}" for k in partition_by)) if partition_by else rows.write).mode("append").parquet(target)
-    elif partition_by:
-        kinds = dict(merged(old).dtypes)
-        # where a column changes its type, as keys that become text, all partitions are written anew
-        changed = any(kinds[c] != t for c, t in old.dtypes if c in kinds)
-        _rewrite(spark, target, partition_by, df, old if changed and mode != "overwrite_partition" else _going(old, df, mode, key, date_field, result, legacy_keys), merged)
-    else:
-        staged(merged(old), target)
-    result.rows_after = read_written(spark, target).count()
-    if mode == "append" and result.rows_after != before + written:
-        raise OSError(f"{target} holds {result.rows_after} rows after {before} and {written}")
+        if result.range_start > result.range_end:
+            raise ValueError("the range starts after its end")
+    had = versions.read_files(spark, target, old.struct(), old.files) if old else new.limit(0)
+    # a key that isn't known to be unique is made so over all rows; so are columns that change their types
+    whole = mode == "upsert_by_key" and old is not None and tuple(key) != old.unique
+    merge = lambda h: upserted(h, new, key, order, date_field, legacy_keys) if mode == "upsert_by_key" else range_replaced(h, new, date_field, result.range_start, result.range_end)
+    kinds = merge(had).schema
+    going: Sequence[str] = ()
+    if old:
+        going = old.files if whole or not _same_kinds(old.struct(), kinds) else _files_with(spark, target, _going(had, new, mode, key, date_field, result, legacy_keys))
+        had = versions.read_files(spark, target, old.struct(), going)
+    had, read = _counted(had)
+    merged, kept = _counted(merge(had))
+    fresh = _put(merged, target, partition_by)
+    gone = read.get["n"] if going else 0
+    result.rows_after = before - gone + kept.get["n"]
     if mode == "upsert_by_key":
-        result.duplicates_dropped = before + written - result.rows_after
+        result.duplicates_dropped = before + result.rows_written - result.rows_after
+    result.partitions = sorted(r.label for r in partition_labels(new, partition_by).collect()) if partition_by else []
+    left = [f for f in old.files if f not in set(going)] if old else []
+    done([*left, *fresh], _united(old.struct(), kinds) if left else kinds, result.rows_after, key if mode == "upsert_by_key" else ())
     return result
 
 
-def _going(old: DataFrame, new: DataFrame, mode: str, key: Sequence[str], date_field: str | None, result: WriteResult, legacy_keys: bool) -> DataFrame | None:
-    """The old rows that a mode takes away wherever they are."""
+def _files_with(spark: SparkSession, target: str, rows: DataFrame) -> list[str]:
+    """The files, relative to the table, that hold the rows; as many as the version has at most."""
+    root = f"/{versions.FILES}/"
+    found = [unquote(r.file) for r in rows.select(F.col("_metadata.file_path").alias("file")).distinct().collect()]
+    plain = target.rstrip("/").removeprefix("file:")
+    return [f"{versions.FILES}/{f.rpartition(root)[2]}" if root in f else f[f.index(plain) + len(plain) + 1 :] for f in found]
+
+
+def _going(old: DataFrame, new: DataFrame, mode: str, key: Sequence[str], date_field: str | None, result: WriteResult, legacy_keys: bool) -> DataFrame:
+    """The old rows that a mode takes away, wherever they are, with the file they come from."""
     if mode == "replace_range":
         return old.where(compact(date_field).between(result.range_start, result.range_end))
-    if mode == "upsert_by_key":
-        texts = lambda d: d.withColumns({f"key_{k}": key_text(F.col(k), k == date_field, legacy_keys) for k in key})
-        named, fresh = texts(old), texts(new).select(*(f"key_{k}" for k in key)).distinct()
-        return named.join(fresh, reduce(and_, (named[f"key_{k}"].eqNullSafe(fresh[f"key_{k}"]) for k in key)), "left_semi")
-    return None
-
-
-def _rewrite(spark: SparkSession, target: str, partition_by: Sequence[str], df: DataFrame, going: DataFrame | None, merged: Callable[[DataFrame], DataFrame]) -> None:
-    """Write the touched partitions beside the target and swap them in, one folder each."""
-    label, depth = _label(partition_by), len(partition_by)
-    labels = df.select(label.alias("label")).distinct()
-    if going is not None:
-        labels = labels.unionByName(going.select(label.alias("label")).distinct())
-    # as many as there are partitions
-    touched = {r.label for r in labels.distinct().collect()}
-    there = _leaves(spark, target, depth)
-    paths = [there[t] for t in sorted(touched) if t in there]
-    if paths:
-        had = spark.read.option("mergeSchema", True).option("basePath", target).parquet(*paths)
-        had = had.drop(*(c for c in had.columns if c.startswith("part_")))
-    else:
-        had = df.limit(0)
-    stage = f"{target.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    names = [f"part_{k}" for k in partition_by]
-    # a partition's rows come together, a large one's in several tasks
-    _labelled(merged(had), partition_by).hint("rebalance", *names).write.partitionBy(*names).parquet(stage)
-    fresh = _leaves(spark, stage, depth)
-    for name in sorted(touched | set(fresh)):
-        if name in fresh:
-            _move(spark, fresh[name], there.get(name) or fresh[name].replace(stage, target.rstrip("/"), 1))
-        elif name in there:
-            _delete(spark, there[name])
-    _delete(spark, stage)
+    texts = lambda d: d.withColumns({f"key_{k}": key_text(F.col(k), k == date_field, legacy_keys) for k in key})
+    named, fresh = texts(old.select("*", "_metadata")), texts(new).select(*(f"key_{k}" for k in key)).distinct()
+    return named.join(fresh, reduce(and_, (named[f"key_{k}"].eqNullSafe(fresh[f"key_{k}"]) for k in key)), "left_semi")
 
 
 def read_written(spark: SparkSession, target: str) -> DataFrame:
-    """What ``write`` wrote, without the folders' own columns."""
+    """What ``write`` wrote last, or a plain Parquet folder without the folders' own columns."""
+    if versions.numbers(spark, target):
+        return versions.read(spark, target)
     df = spark.read.option("mergeSchema", True).parquet(target)
     return df.drop(*(c for c in df.columns if c.startswith("part_")))
 
 
-def write_run_log(spark: SparkSession, folder: str, entry: dict) -> None:
-    """One JSON line a run."""
-    spark.createDataFrame([(json.dumps(entry, ensure_ascii=False, default=str),)], "value string").coalesce(1).write.mode("append").text(f"{folder}/runs")
+def write_run_log(entries: DataFrame, folder: str) -> None:
+    """A JSON line for each row, a run."""
+    entries.select(F.to_json(F.struct(*entries.columns)).alias("value")).coalesce(1).write.mode("append").text(f"{folder}/runs")
 
 
 def json_rows(df: DataFrame) -> DataFrame:

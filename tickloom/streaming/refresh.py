@@ -12,6 +12,8 @@ from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tickloom.functions.dates import is_true
+from tickloom.operators.calendar import neighbours
 from tickloom.sources.gateway import _function
 
 LEAST_MS, DEFAULT_MS, MOST_CODES = 500, 3000, 100
@@ -136,6 +138,12 @@ def scheduled(updates: DataFrame, sink: Callable[[DataFrame, int], None], checkp
     query.awaitTermination()
 
 
-def next_run(now: str, open_days: Sequence[str], clock: str) -> str | None:
-    """The next yyyyMMddHHmm at a time of day on an open day, after ``now``."""
-    return next((f"{d}{clock}" for d in sorted(open_days) if f"{d}{clock}" > now), None)
+def next_runs(calendar: DataFrame, clock: str, date: str = "cal_date", flag: str = "is_open", by: str = "exchange") -> DataFrame:
+    """Each day with the next yyyyMMddHHmm that is due after it: a time of day on the open day that follows, or null."""
+    return neighbours(calendar, date, flag, by).withColumn("due", F.concat("next_trade_date", F.lit(clock))).drop("pretrade_date", "next_trade_date")
+
+
+def next_run(calendar: DataFrame, now: str, clock: str, date: str = "cal_date", flag: str = "is_open") -> str | None:
+    """The first yyyyMMddHHmm at a time of day on an open day, after ``now``."""
+    due = F.concat(F.col(date), F.lit(clock))
+    return calendar.where(is_true(flag) & (due > now)).agg(F.min(due)).first()[0]
