@@ -4,7 +4,8 @@
    lower-cased) and hashed to 128 bits.
 2. The distinct documents of each hash are counted: first once per hash and
    document, then per hash, so that no line is one task's work however often it is.
-3. Lines join the hashes found in enough documents; only their places travel.
+3. Lines join the hashes found in enough documents; only their places travel.  A hash
+   with more than its share of all such lines is dealt out over salts.
 4. Each text is put together again, by position, from the lines that stay.
 
 A document is a row; rows with equal doc_id and text count as one.
@@ -21,6 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.storage import stored
+
+#: Into as many pieces at least the lines that are looked up are dealt; also the most hashes that are salted.
+PIECES = 4096
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -48,8 +53,15 @@ def common_lines(documents: DataFrame, least_docs: int = 10, least_chars: int =
     lines = _rows(documents).select("id_", "row_", F.posexplode("lines").alias("place", "line"))
     key = lines.select("id_", "row_", "place", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= least_chars)
     hashed = key.select("id_", "row_", "place", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("2"), "key").alias("h2"))
-    shared = hashed.groupBy("h1", "h2").agg(F.count_distinct("id_", "row_").alias("docs_")).where(F.col("docs_") >= least_docs)
-    return hashed.join(shared.select("h1", "h2"), ["h1", "h2"]).select("id_", "row_", "place")
+    shared = hashed.groupBy("h1", "h2").agg(F.count_distinct("id_", "row_").alias("docs_"), F.count("*").alias("lines_"))
+    shared = stored(shared.where(F.col("docs_") >= least_docs).select("h1", "h2", "lines_"), "common-lines")
+    total = shared.agg(F.sum("lines_")).first()[0] or 1
+    salts = F.expr(f"lines_ * {PIECES} div {total}") + 1
+    # each has a PIECES-th of the lines or more, so there are PIECES at most
+    often = shared.withColumn("salts_", salts).where("salts_ > 1").select("h1", "h2", "salts_")
+    dealt = hashed.join(F.broadcast(often), ["h1", "h2"], "left").withColumn("salt_", F.pmod(F.xxhash64("row_", "place"), F.coalesce("salts_", F.lit(1))))
+    asked = shared.select("h1", "h2", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt_"))
+    return dealt.join(asked, ["h1", "h2", "salt_"]).select("id_", "row_", "place")
 
 
 def drop_common_lines(documents: DataFrame, least_docs: int = 10, least_chars: int = 1) -> DataFrame:
