@@ -1,7 +1,11 @@
 """Cursor source, refresh state and streaming bars."""
 
+import random
+from collections import defaultdict
+
 import pytest
 
+from tickloom.sources import versions, writers
 from tickloom.streaming import refresh
 
 CALLS = []
@@ -77,3 +81,58 @@ def test_next_run(spark):
     assert refresh.next_run(days("20240102", "20240104"), "202401021600", "1530") == "202401041530"
     assert refresh.next_run(days("20240102"), "202401051600", "1530") is None
     assert {r.cal_date: r.due for r in refresh.next_runs(days("20240102", "20240104"), "1530").collect()} == {"20240102": "202401041530", "20240104": None}
+
+
+def told(spark, rows, batches, tmp_path, restart=()):
+    """What subscribers are told when the rows come in so many batches; the query is started anew after those named."""
+    kind = "instrument_id string, client string, kind string, mark long, seq long, value double"
+    source, target = f"{tmp_path}/feed", f"{tmp_path}/told"
+    size = -(-len(rows) // batches)
+    for k in range(batches):
+        spark.createDataFrame(rows[k * size : (k + 1) * size], kind).coalesce(1).write.mode("append").parquet(source)
+        if k in restart or k == batches - 1:
+            feed = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(source)
+            out = refresh.subscriptions(feed.where("kind = 'quote'"), feed.where("kind <> 'quote'"))
+            refresh.scheduled(out, refresh.applied_once(target, "t"), f"{tmp_path}/state")
+    return sorted(tuple(r) for r in writers.read_written(spark, target).collect())
+
+
+def test_subscribers_get_a_snapshot_and_newer_quotes(spark, tmp_path):
+    """Clients come and go, old quotes come late, one instrument has most rows; state survives restarts."""
+    rng = random.Random(1)
+    rows = []
+    for i in range(240):
+        name, kind = rng.choice(["a", "a", "a", "b", "c"]), rng.choice(["quote"] * 4 + ["subscribe", "unsubscribe"])
+        rows.append((name, None if kind == "quote" else rng.choice("xyz"), kind, i, i, float(i) if kind == "quote" else None))
+    # a quote of long ago in the last batch
+    rows.append(("a", None, "quote", 3, 0, -1.0))
+    clients, newest, wanted = defaultdict(set), {}, []
+    for name, client, kind, mark, seq, value in rows:
+        if kind == "subscribe":
+            clients[name].add(client)
+            wanted += [(name, client, "snapshot", *newest[name])] if name in newest else []
+        elif kind == "unsubscribe":
+            clients[name].discard(client)
+        elif name not in newest or (mark, seq) > newest[name][:2]:
+            newest[name] = (mark, seq, value)
+            wanted += [(name, c, "update", *newest[name]) for c in clients[name]]
+    assert told(spark, rows, 3, tmp_path, restart=(0,)) == sorted(wanted)
+
+
+def test_a_batch_that_comes_again_changes_nothing(spark, tmp_path):
+    target = f"{tmp_path}/t"
+    one, two = (refresh.applied_once(target, name) for name in ("one", "two"))
+    rows = spark.createDataFrame([(1, "a")], "k long, v string")
+    for sink, batch in ((one, -1), (one, -1), (one, 0), (one, 1), (one, 0), (two, 0), (two, 0), (one, 1)):
+        sink(rows, batch)
+    assert writers.read_written(spark, target).count() == 4
+    assert versions.latest(spark, target).applied == {"one": 1, "two": 0}
+
+
+def test_a_restart_sends_no_snapshot(spark, tmp_path):
+    source, sent = f"{tmp_path}/feed", []
+    spark.range(3).write.parquet(source)
+    feed = spark.readStream.schema("id long").parquet(source)
+    for _ in range(2):
+        refresh.start(feed, lambda rows, batch: sent.append((batch, rows.count())), f"{tmp_path}/state", spark.range(1), once=True).awaitTermination()
+    assert sent == [(-1, 1), (0, 3)]

@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -564,6 +565,49 @@ def q_stream_scheduled(spark, folder):
     return spark.read.schema(rows.schema).parquet(out).groupBy("user_id").agg(F.count("*").alias("n"))
 
 
+@query("""WITH e AS (SELECT *, event_type IN ('error', 'click') AS control FROM events, (SELECT unnest([0, 1, 2]) AS c)),
+s AS (SELECT *, last_value(CASE WHEN control AND event_id % 3 = c THEN event_type END IGNORE NULLS) OVER w AS state, last_value(CASE WHEN NOT control THEN event_id END IGNORE NULLS) OVER w AS newest FROM e WINDOW w AS (PARTITION BY user_id, c ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
+SELECT CAST(user_id AS VARCHAR) AS instrument_id, CAST(c AS VARCHAR) AS client, 'update' AS kind, event_id AS seq, value FROM s WHERE NOT control AND state = 'click'
+UNION ALL SELECT CAST(s.user_id AS VARCHAR), CAST(c AS VARCHAR), 'snapshot', newest, q.value FROM s JOIN events q ON q.event_id = s.newest WHERE control AND s.event_type = 'click' AND s.event_id % 3 = c""")
+def q_stream_subscriptions(spark, folder):
+    # clicks subscribe one of three clients to a user, errors unsubscribe it, all else are quotes
+    source, target = scratch(spark, "feed"), scratch(spark, "told")
+    rows = load(spark, folder, "events").select(F.col("user_id").alias("instrument_id"), "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("mark"), F.col("event_id").alias("seq"), "value", F.dayofmonth("ts").alias("day"))
+    for week in range(4):
+        rows.where(f"(day - 1) div 8 = {week}").coalesce(1).write.mode("append").parquet(source)
+    feed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    kind = F.when(F.col("event_type") == "click", "subscribe").otherwise("unsubscribe")
+    asked = feed.where("event_type in ('click', 'error')").select("instrument_id", (F.col("seq") % 3).alias("client"), kind.alias("kind"), "mark", "seq")
+    told = refresh.subscriptions(feed.where("event_type not in ('click', 'error')"), asked)
+    refresh.scheduled(told, refresh.applied_once(target, "told"), scratch(spark, "state"))
+    return writers.read_written(spark, target).select("instrument_id", "client", "kind", "seq", "value")
+
+
+@query("SELECT event_id, user_id, 'update' AS kind FROM events UNION ALL SELECT max(event_id), user_id, 'snapshot' FROM events GROUP BY user_id")
+def q_stream_replay_once(spark, folder):
+    source, target, state = scratch(spark, "feed"), scratch(spark, "once"), scratch(spark, "state")
+    rows = load(spark, folder, "events").select("event_id", "user_id")
+    first = rows.groupBy("user_id").agg(F.max("event_id").alias("event_id")).select("event_id", "user_id", F.lit("snapshot").alias("kind"))
+    for part in range(3):
+        rows.where(f"event_id % 3 = {part}").coalesce(1).write.mode("append").parquet(source)
+    feed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source).withColumn("kind", F.lit("update"))
+    sink = refresh.applied_once(target, "events")
+
+    def lost(batch: DataFrame, number: int) -> None:
+        sink(batch, number)
+        if number == 1:
+            raise RuntimeError("lost after the commit")
+
+    # the second run repeats batch 1, and begins with the snapshot again
+    for way in (lost, sink):
+        running = refresh.start(feed, way, state, first, once=True)
+        try:
+            running.awaitTermination()
+        except StreamingQueryException:
+            sink(first, -1)
+    return writers.read_written(spark, target).select("event_id", "user_id", "kind")
+
+
 @query(f"WITH {v.CALENDAR_SQL}, o AS (SELECT cal_date FROM calendar WHERE is_open = 1) SELECT cal_date AS after, (SELECT min(b.cal_date) FROM o b WHERE b.cal_date > a.cal_date) || '1530' AS due FROM o a")
 def q_next_runs(spark, folder):
     return refresh.next_runs(v.calendar(spark, folder).where("is_open = 1"), "1530").select(F.col("cal_date").alias("after"), "due")

@@ -6,15 +6,17 @@ import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
 from tickloom.functions.dates import is_true
 from tickloom.operators.calendar import neighbours
 from tickloom.sources.gateway import _function
+from tickloom.sources.layout import exists
+from tickloom.sources.writers import write
 
 LEAST_MS, DEFAULT_MS, MOST_CODES = 500, 3000, 100
 INTERNAL = ("update_time_raw",)
@@ -105,13 +107,79 @@ def events(df: DataFrame, kind: str, request_id: str) -> DataFrame:
 
 
 def start(updates: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, snapshot: DataFrame | None = None, interval: Any = None, once: bool = False) -> StreamingQuery:
-    """The snapshot as batch -1, then every micro-batch, to a sink."""
-    if snapshot is not None:
+    """The snapshot as batch -1, then every micro-batch, to a sink.
+
+    A restart from a checkpoint that has begun doesn't send the snapshot again, and
+    the engine repeats the batch that wasn't ended; a sink of ``applied_once`` takes
+    either at most once wherever a run stops.
+    """
+    if snapshot is not None and not exists(updates.sparkSession, f"{checkpoint}/offsets"):
         sink(snapshot, -1)
     writer = updates.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{interval_ms(interval)} milliseconds")).start()
 
 
+def applied_once(target: str, stream: str, mode: str = "append", **how: Any) -> Callable[[DataFrame, int], None]:
+    """A sink into a table of versions that remembers, in the step that commits a batch, that it holds it.
+
+    A batch or a snapshot that comes again changes nothing.  Several streams may write
+    to one table, each under a name of its own.
+    """
+
+    def sink(rows: DataFrame, batch: int) -> None:
+        write(rows, target, mode, batch=(stream, batch), **how)
+
+    return sink
+
+
+class _Subscribed(StatefulProcessor):
+    """The state of one instrument: who is subscribed to it, and its newest quote."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.clients = handle.getMapState("clients", "client string", "since long")
+        self.newest = handle.getValueState("newest", "mark long, seq long, value double")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
+        told = lambda client, kind, mark, seq, value: Row(instrument_id=key[0], client=client, kind=kind, mark=mark, seq=seq, value=value)
+        newest = self.newest.get()
+        # a micro-batch bounds the rows of a key
+        for row in sorted(rows, key=lambda r: (r.mark, r.seq)):
+            if row.kind == "subscribe":
+                self.clients.updateValue((row.client,), (row.mark,))
+                if newest is not None:
+                    yield told(row.client, "snapshot", *newest)
+            elif row.kind == "unsubscribe":
+                if self.clients.containsKey((row.client,)):
+                    self.clients.removeKey((row.client,))
+            elif newest is None or (row.mark, row.seq) > (newest[0], newest[1]):
+                newest = (row.mark, row.seq, row.value)
+                for client in list(self.clients.keys()):
+                    yield told(client[0], "update", *newest)
+        if newest is not None:
+            self.newest.update(newest)
+
+    def close(self) -> None:
+        pass
+
+
+def subscriptions(quotes: DataFrame, control: DataFrame) -> DataFrame:
+    """What subscribers of instruments are told: instrument_id, client, kind (snapshot or update), mark, seq, value.
+
+    ``quotes`` (instrument_id, mark, seq, value) and ``control`` (instrument_id, client,
+    kind subscribe or unsubscribe, mark, seq) are streams; within a batch they count in
+    the order of mark and seq.  A subscriber gets the newest quote at once and each newer
+    one until it leaves; a quote that isn't newer than the newest is dropped.  State is
+    kept by instrument, so it is spread as they are and nothing of it is in an offset.
+    """
+    spark = quotes.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    told = "instrument_id string, client string, kind string, mark long, seq long, value double"
+    plain = lambda df, **more: df.select(F.col("instrument_id").cast("string").alias("instrument_id"), *((more.get(n) if n in more else F.col(n)).cast(t).alias(n) for n, t in (("client", "string"), ("kind", "string"), ("mark", "long"), ("seq", "long"), ("value", "double"))))
+    none = F.lit(None)
+    both = plain(quotes, client=none, kind=F.lit("quote")).unionByName(plain(control, value=none))
+    return both.groupBy("instrument_id").transformWithState(_Subscribed(), told, "Append", "None")
+
+
 def latest_per_key(df: DataFrame, key: str, mark: str) -> DataFrame:
     """The newest row of each key in a batch."""
     whole = F.struct(*(F.col(c) for c in df.columns))
