@@ -61,6 +61,37 @@ def ohlcv(ticks: DataFrame, of: str, by: list[str], time: str, price: str, tie:
     return out.withColumnRenamed("bucket_", "bar_start")
 
 
+def ohlcv_of_periods(ticks: DataFrame, periods: list[str], by: list[str], time: str, price: str, tie: str, volume: str | None = None) -> DataFrame:
+    """Bars of several periods from one scan and one shuffle, as grouping sets over the period starts.
+
+    Open and close are the first and last by time.  Periods of n days count an
+    instrument's own days and are not among these.
+    """
+    names = [period(p) for p in periods]
+    if any(re.fullmatch(r"\d+d", n) for n in names):
+        raise ValueError("periods of several days aren't grouped with others")
+    order, size = F.struct(time, tie), num(volume) if volume else F.lit(1.0)
+    starts = [f"start_{i}_" for i in range(len(names))]
+    rows = ticks.withColumns({c: bucket(F.col(time), n, by) for c, n in zip(starts, names, strict=True)})
+    sets = [[*(F.col(b) for b in by), F.col(c)] for c in starts]
+    out = rows.groupingSets(sets, *by, *starts).agg(
+        F.grouping_id(*by, *starts).alias("set_"),
+        F.min(time).alias("first_time"),
+        F.min_by(price, order).alias("open"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        F.max_by(price, order).alias("close"),
+        F.sum(size).alias("volume"),
+        F.sum(num(price) * size).alias("amount"),
+        F.count("*").alias("n_ticks"),
+    )
+    # a set's number has a bit for each start it leaves out
+    number = {c: (1 << len(starts)) - 1 - (1 << (len(starts) - 1 - i)) for i, c in enumerate(starts)}
+    named = F.coalesce(*(F.when(F.col("set_") == number[c], n) for c, n in zip(starts, names, strict=True)))
+    start = F.coalesce(*(F.when(F.col("set_") == number[c], F.col(c)) for c in starts))
+    return out.select(*by, named.alias("period"), start.alias("bar_start"), "first_time", "open", "high", "low", "close", "volume", "amount", "n_ticks")
+
+
 def tail(df: DataFrame, n: int, by: list[str], order: str) -> DataFrame:
     """The last n rows of each key."""
     return df.withColumn("r_", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(order)))).where(F.col("r_") <= n).drop("r_")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom import catalog, schema
@@ -17,7 +19,7 @@ from tickloom.operators import calendar, filters, quality, ranking, snapshot
 from tickloom.plans import views as v
 from tickloom.plans.market import QUERIES, SQL, query, scratch
 from tickloom.plans.views import load
-from tickloom.sources import formats, gateway, layout, tables, writers
+from tickloom.sources import formats, gateway, layout, packed, table_functions, tables, writers
 from tickloom.streaming import refresh
 
 HERE = __name__
@@ -206,6 +208,101 @@ def q_projected(spark, folder):
     return gateway.projected(load(spark, folder, "customer"), ["c_custkey", "absent", "c_name"])
 
 
+def order_rows(params: Mapping) -> Iterator[dict]:
+    """A fetcher over a table's files that filters by itself: batch by batch, only the columns of the interface, only row groups that may pass."""
+    import pyarrow.dataset as ds
+
+    marks = {"=": "__eq__", ">": "__gt__", ">=": "__ge__", "<": "__lt__", "<=": "__le__"}
+    wanted = ds.field("o_orderdate") >= pd.Timestamp(params["year"], 1, 1)
+    wanted &= ds.field("o_orderdate") < pd.Timestamp(params["year"] + 1, 1, 1)
+    for name, operator, value in params.get("filters", []):
+        wanted &= ds.field(name).isin(value) if operator == "in" else getattr(ds.field(name), marks[operator])(value)
+    columns = {"o_orderkey": ds.field("o_orderkey"), "o_orderstatus": ds.field("o_orderstatus"), "o_totalprice": ds.field("o_totalprice")}
+    for batch in ds.dataset(params["path"]).to_batches(columns=columns, filter=wanted):
+        for row in batch.to_pylist():
+            yield row | {"year": params["year"]}
+
+
+@query("SELECT CAST(year(o_orderdate) AS BIGINT) AS year, o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE year(o_orderdate) >= 1997 AND year(o_orderdate) <> 1999 AND o_orderstatus IN ('F', 'O') AND o_totalprice > 200000 AND o_orderkey % 2 = 0")
+def q_source_filters(spark, folder):
+    fields = {"year": "integer", "o_orderkey": "integer", "o_orderstatus": "string", "o_totalprice": "number"}
+    source = gateway.Interface("orders", f"{HERE}:order_rows", fields, {"path": "string", "year": "array"}, ("path",), filters=("o_orderstatus", "o_totalprice"))
+    low, high = load(spark, folder, "orders").agg(F.min(v.day("o_orderdate")), F.max(v.day("o_orderdate"))).first()
+    asked = [("year", ">=", 1997), ("o_orderstatus", "in", ["F", "O"]), ("o_totalprice", ">", 200_000.0)]
+    rows = gateway.request(spark, source, {"path": f"{folder}/orders.parquet", "year": gateway.years(low, high)}, fanout="year", where=asked)
+    return rows.where("year <> 1999 and o_orderkey % 2 = 0")
+
+
+# --- table functions
+
+
+def _ticks_view(spark: SparkSession, folder: str) -> str:
+    """A view of the events under a name of its own."""
+    name = f"ticks_{uuid.uuid4().hex}"
+    load(spark, folder, "events").selectExpr("event_id", "user_id", "ts", "value", "value > 50 AS up").createOrReplaceTempView(name)
+    table_functions.register(spark)
+    return name
+
+
+@query("SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r <= 5")
+def q_tail_function(spark, folder):
+    view = _ticks_view(spark, folder)
+    return spark.sql(f"SELECT user_id, event_id, value FROM tail_rows(TABLE({view}) PARTITION BY user_id ORDER BY (ts, event_id), n => 5)")
+
+
+@query("WITH f AS (SELECT *, value > 50 AS up, sum(CASE WHEN value > 50 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM events) SELECT event_id, CAST(sum(CASE WHEN up THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, k ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS streak FROM f")
+def q_streak_function(spark, folder):
+    view = _ticks_view(spark, folder)
+    return spark.sql(f"SELECT event_id, streak FROM streak_rows(TABLE({view}) PARTITION BY user_id ORDER BY (ts, event_id), flag => 'up')")
+
+
+@query("SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS year FROM orders WHERE o_orderstatus = 'F'")
+def q_entry_function(spark, folder):
+    table_functions.register(spark)
+    name = f"years_{uuid.uuid4().hex}"
+    years = load(spark, folder, "orders").select(F.year("o_orderdate").cast("long").alias("year")).distinct()
+    years.selectExpr(f"'{folder}/orders.parquet' AS path", "year", "array(array('o_orderstatus', '=', 'F')) AS filters").createOrReplaceTempView(name)
+    return spark.sql(f"SELECT o_orderkey, year FROM entry_rows(TABLE({name}), entry => '{HERE}:order_rows', fields => 'o_orderkey long, year long')")
+
+
+# --- packed payloads
+
+
+def _lists(spark: SparkSession, folder: str, value: Column) -> DataFrame:
+    """Each order's values of its items, by line number."""
+    items = F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), value.cast("long").alias("v"))))
+    return load(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.transform(items, lambda x: x["v"]).alias("v"))
+
+
+@query("SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) - 1 AS INTEGER) AS place, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem")
+def q_unpack_deltas(spark, folder):
+    values = _lists(spark, folder, F.round(F.col("l_extendedprice") * 100))
+    steps = F.transform("v", lambda x, i: x - F.coalesce(F.get("v", i - 1), F.lit(0)))
+    raw = values.select("l_orderkey", packed.pack_varints(steps).alias("raw"))
+    return raw.select("l_orderkey", F.posexplode(packed.unpack_varints("raw", deltas=True)).alias("place", "cents"))
+
+
+@query("SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) - 1 AS INTEGER) AS place, CAST(l_quantity AS BIGINT) - 25 AS quantity FROM lineitem")
+def q_unpack_bits(spark, folder):
+    values = _lists(spark, folder, F.col("l_quantity") - 25)
+    raw = values.select("l_orderkey", F.size("v").alias("n"), packed.pack_bits("v", 7).alias("raw"))
+    # bits beyond the count are padding
+    unpacked = F.slice(packed.unpack_bits("raw", 7, signed=True), F.lit(1), F.col("n"))
+    return raw.select("l_orderkey", F.posexplode(unpacked).alias("place", "quantity"))
+
+
+@query(f"""WITH {v.DAILY_SQL} SELECT instrument, CAST(row_number() OVER (PARTITION BY instrument ORDER BY trade_date) - 1 AS INTEGER) AS place, CAST(trade_date AS BIGINT) AS date_raw, CAST(round(open * 1000) AS BIGINT) AS open_milli, CAST(round(close * 1000) AS BIGINT) AS close_milli, CAST(round(high * 1000) AS BIGINT) AS high_milli, CAST(round(low * 1000) AS BIGINT) AS low_milli, volume FROM daily""")
+def q_bar_records(spark, folder):
+    milli = lambda c: F.round(F.col(c) * 1000).cast("long").alias(c)
+    days = v.daily(spark, folder).select("instrument", "trade_date", *map(milli, ("open", "close", "high", "low")), packed.compact_bits("volume").alias("volume"))
+    before = F.coalesce(F.lag("close").over(Window.partitionBy("instrument").orderBy("trade_date")), F.lit(0))
+    steps = F.array(F.col("open") - before, *(F.col(c) - F.col("open") for c in ("close", "high", "low")))
+    days = days.withColumn("steps", steps).select("instrument", "trade_date", F.concat(packed.little_endian(F.col("trade_date"), 4), packed.pack_varints("steps"), packed.little_endian(F.col("volume"), 4), packed.little_endian(F.lit(0), 4)).alias("one"))
+    whole = F.array_sort(F.collect_list(F.struct("trade_date", "one")))
+    raw = days.groupBy("instrument").agg(whole.alias("all")).select("instrument", F.concat(packed.little_endian(F.size("all"), 2), F.aggregate("all", F.lit(b""), lambda a, x: F.concat(a, x["one"]))).alias("raw"))
+    return packed.bar_records(raw, "raw", ["instrument"]).drop("minute", "amount")
+
+
 # --- sinks and write modes
 
 

@@ -268,6 +268,12 @@ def q_second_bars(spark, folder):
     return _ohlcv(spark, folder, "30s")
 
 
+@query(" UNION ALL ".join(_ohlcv_sql(f"strftime(date_trunc('{p}', ts), '%Y-%m-%d %H:%M:%S')").replace("SELECT user_id,", f"SELECT '{p}' AS period, user_id,").replace("GROUP BY 1, 2", "GROUP BY 2, 3") for p in ("day", "week", "month", "quarter")))
+def q_bars_of_periods(spark, folder):
+    out = bars.ohlcv_of_periods(load(spark, folder, "events"), ["day", "week", "month", "quarter"], ["user_id"], "ts", "value", "event_id")
+    return out.select("period", "user_id", F.date_format("bar_start", "yyyy-MM-dd HH:mm:ss").alias("bar_start"), "open", "high", "low", "close", "n_ticks", F.round("amount", 4).alias("amount"))
+
+
 @query(_ohlcv_sql("strftime(date_trunc('week', ts), '%Y-%m-%d %H:%M:%S')"))
 def q_week_bars(spark, folder):
     return _ohlcv(spark, folder, "week")

@@ -14,11 +14,12 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
 
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 KINDS = {"string": "string", "integer": "long", "number": "double", "float64": "double", "boolean": "boolean", "date": "string", "datetime": "timestamp"}
 
 
@@ -34,6 +35,9 @@ class Interface:
     key: tuple[str, ...] = ()
     provider: str = "builtin"
     trust: int = 0
+    #: fields that the fetcher itself filters by, as params["filters"], and whether it sorts and limits (params["sort"], params["limit"])
+    filters: tuple[str, ...] = ()
+    sorts: bool = False
 
     def schema(self, names: Sequence[str] | None = None) -> str:
         """A type of another kind, or one spelled a/b, is text."""
@@ -104,17 +108,61 @@ class Part(InputPartition):
         self.params = params
 
 
+#: How a fetcher is told a filter.
+OPERATORS = {EqualTo: "=", In: "in", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+
+
+COMPARED: dict[str, Callable[[Column, Any], Column]] = {
+    "=": lambda c, v: c == v, "in": lambda c, v: c.isin(list(v)), ">": lambda c, v: c > v, ">=": lambda c, v: c >= v, "<": lambda c, v: c < v, "<=": lambda c, v: c <= v,
+}
+
+
+def holds(value: Any, operator: str, against: Any) -> bool:
+    """Whether a value passes a filter; null passes none."""
+    if value is None:
+        return False
+    if operator == "in":
+        return value in against
+    return {"=": value == against, ">": value > against, ">=": value >= against, "<": value < against, "<=": value <= against}[operator] if against is not None else False
+
+
 class InterfaceReader(DataSourceReader):
+    """Reads with the filters of its request: the fetcher is told those it takes, those on the fan-out parameter leave partitions out.
+
+    A reader is shared by all plans over a frame, so what one plan pushes would hold
+    in the others as well.  Only the request's own filters, which are in all of them,
+    are taken off Spark's hands; those put on the frame later stay with Spark.
+    """
+
     def __init__(self, schema: StructType, options: Mapping[str, str]):
         self.names, self.options = schema.names, options
+        self.where = [(name, operator, value) for name, operator, value in json.loads(options.get("where", "[]"))]
+        self.told = [f for f in self.where if f[0] in options.get("filters", "").split(",")]
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
+        for one in filters:
+            operator = OPERATORS.get(type(one))
+            known = operator is not None and len(one.attribute) == 1 and (one.attribute[0], operator, list(one.value) if operator == "in" else one.value) in self.told
+            if not known:
+                yield one
 
     def partitions(self) -> list[Part]:
-        """One per value of the fan-out parameter: codes, years or pages."""
+        """One per value of the fan-out parameter that the filters allow: codes, years or pages."""
         base, fan = json.loads(self.options.get("params", "{}")), self.options.get("fanout")
+        if self.told:
+            base["filters"] = self.told
+        for name in ("sort", "limit"):
+            if name in self.options:
+                base[name] = json.loads(self.options[name])
         values = base.get(fan) if fan else None
-        return [Part(json.dumps(base | {fan: v})) for v in values] if isinstance(values, list) and values else [Part(json.dumps(base))]
+        if not isinstance(values, list) or not values:
+            return [Part(json.dumps(base))]
+        kept = [v for v in values if all(holds(v, operator, value) for name, operator, value in self.where if name == fan)]
+        return [Part(json.dumps(base | {fan: v})) for v in kept] or [Part("")]
 
     def read(self, partition: Part) -> Iterator[tuple]:
+        if not partition.params:
+            return
         fetch, size = _function(self.options["fetcher"]), int(self.options.get("page_size", "0"))
         params = json.loads(partition.params)
         key = [k for k in self.options.get("key", "").split(",") if k]
@@ -143,14 +191,21 @@ def years(start: str, end: str) -> list[int]:
 
 
 def request(
-    spark: SparkSession, interface: Interface, params: Mapping[str, Any] | None = None, fields: Sequence[str] | None = None, fanout: str | None = None, page_size: int = 0, order: Sequence[str] = (), limit: int | None = None, persist: bool = False,
+    spark: SparkSession, interface: Interface, params: Mapping[str, Any] | None = None, fields: Sequence[str] | None = None, fanout: str | None = None, page_size: int = 0, order: Sequence[str] = (), limit: int | None = None, persist: bool = False, where: Sequence[tuple[str, str, Any]] = (),
 ) -> DataFrame:
-    """Rows of an interface: validated, read, deduplicated by its key, projected, ordered, limited."""
+    """Rows of an interface: validated, read, filtered, deduplicated by its key, projected, ordered, limited.
+
+    ``where`` holds (field, =, in, >, >=, < or <=, value): what the fetcher takes
+    itself is pushed to it, and a fan-out over years reads only those asked for.
+    """
     if persist:
         raise ValueError("a request never stores rows")
     for name in fields or []:
         if name not in interface.fields:
             raise ValueError(f"{interface.name} has no field {name}")
+    for name, operator, _ in where:
+        if name not in interface.fields or operator not in COMPARED:
+            raise ValueError(f"{interface.name} can't be filtered by {name} {operator}")
     params = dict(params or {})
     if unknown := [p for p in params if p not in interface.params]:
         raise ValueError(f"{interface.name} takes no {', '.join(unknown)}")
@@ -158,8 +213,16 @@ def request(
         raise ValueError(f"{interface.name} needs {', '.join(missing)}")
     spark.dataSource.register(InterfaceSource)
     reader = spark.read.format("market_interface").schema(interface.schema()).option("fetcher", interface.fetcher).option("params", json.dumps(params)).option("key", ",".join(interface.key))
-    reader = reader.option("page_size", str(page_size))
-    df = (reader.option("fanout", fanout) if fanout else reader).load()
+    reader = reader.option("page_size", str(page_size)).option("filters", ",".join(interface.filters))
+    if interface.sorts and order:
+        # each partition comes sorted and cut; the rest of both is done here
+        reader = reader.option("sort", json.dumps(list(order)))
+        rest = any(name not in interface.filters for name, *_ in where)
+        reader = reader.option("limit", json.dumps(limit)) if limit is not None and not interface.key and not rest else reader
+    spark.conf.set(PUSHDOWN, "true")
+    df = (reader.option("fanout", fanout) if fanout else reader).option("where", json.dumps(list(where))).load()
+    for name, operator, value in where:
+        df = df.where(COMPARED[operator](F.col(f"`{name}`"), value))
     df = df.dropDuplicates(list(interface.key)) if interface.key else df
     df = df.orderBy(*order) if order else df
     return (df if limit is None else df.limit(limit)).select(*(fields or interface.fields))
