@@ -1,5 +1,6 @@
 """Cases in which an operator did less than its whole job, against brute force."""
 
+import hashlib
 import math
 import random
 from collections import defaultdict
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_operators import linked, plain_components, shingles
-from tickloom.llm import topk_search
+from tickloom.llm import substring_dedup, topk_search
 from tickloom.llm.ngram_join import JaccardJoin
 
 
@@ -71,3 +72,17 @@ def test_clean_rows_that_share_an_id_stay(spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == ["doc_id", "text"]
     assert sorted((r.doc_id, r.text) for r in docs.collect()) == [rows[0], rows[2], rows[4]]
+
+
+def test_a_row_that_fills_the_table(spark, monkeypatch):
+    """A million rows without id and text, and a long text as a third of all other rows: no task holds them, all come back."""
+    monkeypatch.setattr(substring_dedup, "COPIES", 100)
+    text = " ".join(f"w{i}" for i in range(50))
+    hot = [(1, text)] * 700
+    rest = [(i, f"own {i} text {i}") for i in range(2, 1400)]
+    docs = spark.createDataFrame(hot + rest, "doc_id long, text string").repartition(7).unionByName(spark.range(1_000_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "CAST(NULL AS STRING) AS text"))
+    got = substring_dedup.remove_repeats(docs, with_text=False, cells=1 << 20)
+    counts = {tuple(r)[:4]: r.n for r in got.groupBy("doc_id", "n_words", "n_removed", "kept_sha256").agg(F.count("*").alias("n")).where("doc_id is null or doc_id < 3").collect()}
+    empty = hashlib.sha256(b"").hexdigest()
+    assert counts == {(None, 0, 0, empty): 1_000_000, (1, 50, 50, empty): 700, (2, 4, 0, hashlib.sha256(b"own 2 text 2").hexdigest()): 1}
+    assert got.count() == 1_000_000 + len(hot) + len(rest)

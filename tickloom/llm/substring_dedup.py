@@ -6,13 +6,15 @@ a window whose word sequence also starts anywhere else is removed.
 1. Each window has an anchor: the leftmost smallest 8-word hash inside it.
    Equal windows have equal anchors at equal distances, so two places of a
    window are two places of its anchor.  Partition sketches count the anchors'
-   places in two rows of counters; merged, they never count less than the
-   windows' true number.
-2. Windows whose estimate is two or more are grouped exactly, by a 96-bit hash.
+   places in two rows of counters, as far as two: merged, they never say once of a
+   window that is there twice.
+2. Windows whose estimate is two are grouped exactly, by a 96-bit hash.
    A window seen twice in one chunk is known to repeat at once: its places are
    kept as ranges, and one representative goes on, so that a passage in a third
    of all documents sends a row per chunk, not per copy.
-3. A last pass joins each document with its repeated places and drops the words.
+3. A last pass joins each document with suspect windows with its repeated places and
+   drops the words; the others pass it spread evenly.  Rows with equal id and text are
+   one document, sent once by a task along with how many they are.
 
 The sketch's size is fixed (``cells`` bits a row).  On corpora far larger than
 that it lets more windows through; none is ever lost.
@@ -42,6 +44,8 @@ GRAM = 8
 PLACE_BITS = 24
 PARTS = 64
 FLUSH = 4_000_000
+#: Copies of a row that come back from one array.
+COPIES = 4096
 _PLACE = np.uint64(PLACE_BITS)
 
 
@@ -192,6 +196,9 @@ def _suspects(width: int, cells: int, sketch):
             if known.any():
                 own, at, names = owner[known], place[known], key[known]
                 first, length = _ranges(own, at)
+                # rows with equal id and text have equal ranges
+                once = np.unique(np.stack([names[first], at[first], length]), axis=1, return_index=True)[1]
+                first, length = first[once], length[once]
                 k = len(first)
                 spread = mixed(names[first].view(np.uint64) + at[first].astype(np.uint64)).view(np.int64)
                 yield pa.record_batch([pa.array(x) for x in (spread, np.zeros(k, np.int32), np.zeros(k, np.int32), names[first], at[first], length.astype(np.int32))], ["gram", "more", "times", "key", "place", "length"])
@@ -237,12 +244,17 @@ def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
+_TEXTS = "key long, doc_id long, place int, length int, n_words long, packed binary, sha string, kept string, copies int"
+
+
 def _texts(width: int, cells: int, sketch, with_text: bool):
-    """Whole results of documents without suspects; the others' packed words."""
+    """Whole results of documents without suspects; of the others packed words, or how many more of them a chunk has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         bits = zlib.decompress(sketch.value)
+        sent: set[int] = set()
+        so_far = 0
         for batch in chunks(batches):
             texts = batch.column("text").cast(pa.large_binary())
             words = split_words(texts, RAW)
@@ -251,49 +263,53 @@ def _texts(width: int, cells: int, sketch, with_text: bool):
             suspect = np.zeros(len(texts), bool)
             if len(starts):
                 suspect[owner[_estimate(bits, anchor, cells)[use]]] = True
-            packed, shas, kept = [], [], []
-            for text, held in zip(texts.to_pylist(), suspect.tolist(), strict=True):
-                packed.append(pack(text) if held else None)
+            key = np.asarray(batch.column("key"))
+            # results need no other row, so they go anywhere
+            route = np.where(suspect, key, mixed((np.arange(len(key)) + so_far).astype(np.uint64) ^ key.view(np.uint64)).view(np.int64))
+            so_far += len(key)
+            times: dict[int, list[int]] = {}
+            rows, packed, shas, kept, copies = [], [], [], [], []
+            for i, (text, held) in enumerate(zip(texts.to_pylist(), suspect.tolist(), strict=True)):
+                name = int(key[i])
+                if held and name in times:
+                    times[name][0] += 1
+                    continue
+                rows.append(i)
                 one = b"" if held else b" ".join((text or b"").split())
+                packed.append(pack(text) if held and name not in sent else None)
                 shas.append(None if held else hashlib.sha256(one).hexdigest())
                 kept.append(one.decode() if with_text and not held else None)
-            n = len(texts)
+                copies.append(times.setdefault(name, [1]) if held else [1])
+            sent.update(times)
+            n, at = len(rows), pa.array(rows, pa.int64())
             yield pa.record_batch(
-                [batch.column("key"), batch.column("doc_id"), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.array(words.counts, pa.int64()), pa.array(packed, pa.binary()), pa.array(shas, pa.string()), pa.array(kept, pa.string())],
-                ["key", "doc_id", "place", "length", "n_words", "packed", "sha", "kept"],
+                [pa.array(route[rows]), batch.column("doc_id").take(at), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.array(words.counts[rows], pa.int64()), pa.array(packed, pa.binary()), pa.array(shas, pa.string()), pa.array(kept, pa.string()), pa.array([c[0] for c in copies], pa.int32())],
+                ["key", "doc_id", "place", "length", "n_words", "packed", "sha", "kept", "copies"],
             )
 
     return run
 
 
 def _cut(width: int, with_text: bool):
-    """Texts of a key, then its repeated places."""
+    """The text of a key, then its repeated places; held are one text and a number a word of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         out: list[tuple] = []
-        texts: list[tuple] = []
-        places: list[np.ndarray] = []
-        now = None
+        now, text, copies, edges = None, None, 0, np.empty(0, np.int64)
 
         def close() -> None:
-            for doc_id, n, packed, sha, kept in texts:
-                if packed is None:
-                    out.append((doc_id, n, 0, sha, kept))
-                    continue
-                words = unpack(packed).split()
-                edges = np.zeros(n + 1, np.int32)
-                for rows in places:
-                    np.add.at(edges, rows[0], 1)
-                    np.add.at(edges, np.minimum(rows[0] + rows[1] + width - 1, n), -1)
-                gone = np.cumsum(edges[:n]) > 0
-                left = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                out.append((doc_id, n, int(gone.sum()), _digest(left), b" ".join(left).decode() if with_text else None))
-            texts.clear()
-            places.clear()
+            if text is None:
+                return
+            doc_id, n, packed = text
+            words = unpack(packed).split()
+            gone = np.cumsum(edges[:n]) > 0
+            left = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+            out.append((doc_id, n, int(gone.sum()), _digest(left), b" ".join(left).decode() if with_text else None, copies))
 
         def result() -> pa.RecordBatch:
-            done = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+            done = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "copies"])
             out.clear()
             return done
 
@@ -302,18 +318,23 @@ def _cut(width: int, with_text: bool):
                 continue
             key = np.asarray(batch.column("key"))
             is_text = np.asarray(batch.column("place").is_null())
-            edges = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
-            for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            bounds = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+            for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 if now != key[start]:
                     close()
-                    now = key[start]
+                    now, text, copies = key[start], None, 0
                 k = int(is_text[start:end].sum())
-                if k:
-                    part = batch.slice(start, k)
-                    texts += zip(*(part.column(c).to_pylist() for c in ("doc_id", "n_words", "packed", "sha", "kept")), strict=True)
+                for doc_id, n, packed, sha, kept, times in zip(*(batch.column(c).slice(start, k).to_pylist() for c in ("doc_id", "n_words", "packed", "sha", "kept", "copies")), strict=True):
+                    if sha is not None:
+                        out.append((doc_id, n, 0, sha, kept, 1))
+                        continue
+                    copies += times
+                    if packed is not None and text is None:
+                        text, edges = (doc_id, n, packed), np.zeros(n + 1, np.int64)
                 if start + k < end:
-                    part = batch.slice(start + k, end - start - k)
-                    places.append(np.stack([np.asarray(part.column(c), np.int64) for c in ("place", "length")]))
+                    place, length = (np.asarray(batch.column(c).slice(start + k, end - start - k), np.int64) for c in ("place", "length"))
+                    np.add.at(edges, place, 1)
+                    np.add.at(edges, np.minimum(place + length + width - 1, len(edges) - 1), -1)
             if len(out) >= 2000 or with_text and out:
                 yield result()
         close()
@@ -337,6 +358,11 @@ def remove_repeats(documents: DataFrame, width: int = 35, cells: int = 1 << 26,
     sketch = spark.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1))
     suspects = rows.select("key", "text").mapInArrow(_suspects(width, cells, sketch), _WINDOWS)
     repeated = suspects.repartition("gram", "more").sortWithinPartitions("gram", "more").mapInArrow(_repeated, "key long, place int, length int")
-    texts = rows.mapInArrow(_texts(width, cells, sketch, with_text), "key long, doc_id long, place int, length int, n_words long, packed binary, sha string, kept string")
+    texts = rows.mapInArrow(_texts(width, cells, sketch, with_text), _TEXTS)
     both = texts.unionByName(repeated, allowMissingColumns=True)
-    return both.repartition("key").sortWithinPartitions("key", F.col("place").asc_nulls_first()).mapInArrow(_cut(width, with_text), _RESULT)
+    order = ["key", F.col("place").asc_nulls_first(), F.col("packed").asc_nulls_last()]
+    cut = both.repartition("key").sortWithinPartitions(*order).mapInArrow(_cut(width, with_text), f"{_RESULT}, copies long")
+    # a row for each copy, an array of them at a time
+    blocks = cut.withColumn("block_", F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {COPIES}"))))
+    rows = blocks.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.least(F.lit(COPIES), F.col("copies") - COPIES * F.col("block_")))))
+    return rows.drop("copies", "block_", "copy_")
