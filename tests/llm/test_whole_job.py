@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_operators import linked, plain_components, shingles
-from tickloom.llm import substring_dedup, topk_search
+from tickloom.llm import ngram_join, substring_dedup, topk_search
 from tickloom.llm.ngram_join import JaccardJoin
 
 
@@ -74,6 +74,27 @@ def test_clean_rows_that_share_an_id_stay(spark, tmp_path):
     assert sorted((r.doc_id, r.text) for r in docs.collect()) == [rows[0], rows[2], rows[4]]
 
 
+@pytest.mark.parametrize("hot", [3, 20_000])
+def test_one_ngram_in_half_of_all_sets(spark, monkeypatch, hot):
+    """A greeting that half of the sets begin with, dealt over salts or not: the same components, and no task has the n-gram's rows."""
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    rng = random.Random(11)
+    # short texts post the greeting, as they have few other n-grams
+    greeting, texts = "dear sir or madam please", []
+    for i in range(240):
+        own = [f"g{i % 40}w{k}" for k in range(6)] if i % 2 else [*greeting.split(), f"a{rng.randrange(30)}", f"b{rng.randrange(9)}"]
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(6)
+    sets = {i: shingles(t) for i, t in enumerate(texts)}
+    join = JaccardJoin(docs, percent=30)
+    got = {r.doc_id: r.component_id for r in join.components().collect()}
+    near = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 30 * len(sets[a] | sets[b])]
+    assert got == plain_components(sets, near)
+    led = join._led()
+    salts = led.groupBy("gram").agg(F.max("salts").alias("salts"), F.count("*").alias("n"), F.countDistinct(F.pmod(F.xxhash64("cls"), F.col("salts").cast("long"))).alias("dealt")).orderBy(F.desc("n")).first()
+    assert (salts.salts > 4 and salts.dealt > 4) if hot == 3 else salts.salts == 1
+
+
 def test_a_row_that_fills_the_table(spark, monkeypatch):
     """A million rows without id and text, and a long text as a third of all other rows: no task holds them, all come back."""
     monkeypatch.setattr(substring_dedup, "COPIES", 100)

@@ -226,7 +226,20 @@ def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loose = rows["component"] != rows["component"][last]
         keep = np.repeat(rows["component"][grams] != rows["component"][last[grams]], np.diff(np.append(grams, len(last))))
         if keep.any():
-            yield pa.RecordBatch.from_pydict({k: pa.array(rows[k][keep]) for k in ("gram", "cls", "n", "lead_cls", "place", "component")} | {"loose": pa.array(loose[keep])})
+            yield pa.RecordBatch.from_pydict({k: pa.array(rows[k][keep]) for k in ("gram", "cls", "n", "pos", "lead_cls", "place", "component")} | {"loose": pa.array(loose[keep])})
+
+
+_MIXED = "gram long, cls long, n int, pos int, lead_cls long, place long, component long, loose boolean"
+
+
+def _mixed_hot(rows: DataFrame) -> DataFrame:
+    """The same for n-grams that are dealt over salts: their ends are found by partial aggregates, and joined salt by salt."""
+    order = F.struct("place", "component")
+    ends = rows.groupBy("gram").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.max("salts").alias("of")).where("first.component <> last.component")
+    ends = ends.select("gram", F.col("last.component").alias("above"), F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("salt"))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("salts").cast("long")).cast("int")).join(ends, ["gram", "salt"])
+    out = dealt.select("gram", "cls", "n", "pos", "lead_cls", "place", "component", (F.col("component") != F.col("above")).alias("loose"))
+    return out.dropDuplicates(["gram", "cls"])
 
 
 def _suffix(percent: int):
@@ -307,19 +320,19 @@ def _blocks(width: int, percent: int):
                 for start in range(0, batch.num_rows, 256):
                     part = batch.slice(start, 256)
                     texts = pa.array([unpack(x) for x in part.column("packed").to_pylist()], pa.large_binary())
-                    names = ["grp", "salt", "role", "place", "component"]
+                    names = ["grp", "salt", "role", "place", "component", "cls", "failed"]
                     plain = pa.RecordBatch.from_arrays([*map(part.column, names), texts], [*names, "text"])
                     for small in chunks(iter([plain])):
                         yield from zip(*(small.column(c).to_pylist() for c in names), shingle_sets(small.column("text"), width), strict=True)
 
         a: list[int] = []
         b: list[int] = []
-        for grp, salt, role, place, component, one in rows():
+        for grp, salt, role, place, component, cls, failed, one in rows():
             if (grp, salt) != now:
                 now, parts, sets, shapes, known = (grp, salt), [], [], None, None
                 parent.clear()
             if role == 0:
-                parts.append((place, component))
+                parts.append((place, component, cls, failed))
                 sets.append(one)
                 continue
             if known is None:
@@ -333,7 +346,7 @@ def _blocks(width: int, percent: int):
             most = np.minimum(shapes, shape).sum(axis=1) if len(one) < 65535 else np.minimum(n, len(one))
             mine = root(component)
             near = np.flatnonzero((np.minimum(most, np.minimum(n, len(one))) >= need) | (n >= 65535)).tolist()
-            open_sets = [k for k in near if parts[k] < (place, component) and root(parts[k][1]) != mine]
+            open_sets = [k for k in near if parts[k][:2] < (place, component) and root(parts[k][1]) != mine and parts[k][2] != failed and parts[k][3] != cls]
             if not open_sets:
                 continue
             low, high = np.searchsorted(known, one), np.searchsorted(known, one, side="right")
@@ -415,13 +428,14 @@ class JaccardJoin:
         bits.unpersist()
         return out
 
-    def _checked(self, pairs: DataFrame) -> DataFrame:
+    def _checked(self, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The linked ones of the pairs, and the pairs that were compared."""
         pairs = stored(_filtered(pairs, self.classes, self.percent), "jaccard-pairs")
         texts = self._texts(pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))))
-        return _verified(pairs, texts, self.width, self.percent)
+        return _verified(pairs, texts, self.width, self.percent), pairs
 
-    def _leader_round(self, led: DataFrame) -> DataFrame:
-        """Linked pairs of each class and the leader that shares most of its n-grams.
+    def _leader_round(self, led: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Linked pairs, and compared ones, of each class and the leader that shares most of its n-grams.
 
         Counts are of n-grams that have this leader, so a pair below the least
         number may still be linked; the last round looks at it again.
@@ -440,9 +454,9 @@ class JaccardJoin:
         pairs = rows.join(two, "gram").where(F.col("cls") < F.col("cls2"))
         pairs = pairs.where(_possible(self.percent, F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
         pairs = pairs.groupBy(F.col("cls").alias("a"), F.col("cls2").alias("b")).agg(F.count("*").alias("count"), F.min("n").alias("n"), F.min("n2").alias("n2"))
-        return self._checked(pairs.where(F.col("count") >= _least_shared(self.percent, F.col("n"), F.col("n2"))).select("a", "b"))
+        return self._checked(pairs.where(F.col("count") >= _least_shared(self.percent, F.col("n"), F.col("n2"))).select("a", "b"))[0]
 
-    def _rest(self, led: DataFrame, labels: DataFrame) -> DataFrame:
+    def _rest(self, led: DataFrame, labels: DataFrame, failed: DataFrame) -> DataFrame:
         """Linked pairs (a, b) of components whose classes share enough posted n-grams.
 
         Components are ordered by size, then name.  In each n-gram's group the
@@ -451,15 +465,17 @@ class JaccardJoin:
         that they share.  Loose classes of one family and nearly one size form
         blocks; a class of a larger component passes a block if it shares as
         many n-grams with the block's loose classes as a link with a set of its
-        sizes takes.  So a pair is compared once, and a group costs rows by the
+        sizes takes.  A pair that failed in the leader round (cls, failed) isn't
+        compared again.  So a pair is compared once, and a group costs rows by the
         number of blocks, not of pairs.
         """
         sized = labels.join(labels.groupBy("component").agg(F.count("*").alias("size")), "component").withColumnRenamed("node", "cls")
-        rows = led.select("gram", "cls", "n", "lead_cls").join(sized, "cls", "left").withColumns({"component": F.coalesce("component", "cls"), "size": F.coalesce("size", F.lit(1))})
+        rows = led.select("gram", "cls", "n", "pos", "salts", "lead_cls").join(sized, "cls", "left").withColumns({"component": F.coalesce("component", "cls"), "size": F.coalesce("size", F.lit(1))})
         # the order in one number, as far as it goes; components that tie in it are told apart by name
         place = F.shiftleft(F.least("size", F.lit(32767)), 48) + F.shiftrightunsigned("component", 16)
-        rows = rows.withColumn("place", place).drop("size").repartition("gram").sortWithinPartitions("gram", "place", "component", "cls")
-        rows = stored(rows.mapInArrow(_mixed, "gram long, cls long, n int, lead_cls long, place long, component long, loose boolean"), "jaccard-rest")
+        rows = rows.withColumn("place", place).drop("size")
+        usual = rows.where("salts = 1").repartition("gram").sortWithinPartitions("gram", "place", "component", "cls").mapInArrow(_mixed, _MIXED)
+        rows = stored(usual.unionByName(_mixed_hot(rows.where("salts > 1"))), "jaccard-rest")
         own = [F.min(c).alias(c) for c in ("n", "place", "component")]
         step = F.floor(F.log("n") / float(np.log(1.05)))
         loose = rows.where("loose").groupBy("cls").agg(F.min("lead_cls").alias("family"), *own).withColumn("step", step)
@@ -467,8 +483,12 @@ class JaccardJoin:
         heap = F.pmod(F.xxhash64("cls"), F.col("heaps").cast("long")).cast("int")
         held = stored(loose.join(heaps, ["family", "step"]).select("cls", "place", "component", F.xxhash64("family", "step", heap).alias("grp"), "low", "high"), "jaccard-blocks")
         sizes = [F.min("low").alias("low"), F.max("high").alias("high")]
-        asked = rows.where("loose").select("gram", "cls").join(held, "cls").groupBy("gram", "grp").agg(*sizes, F.min("place").alias("first"))
-        passing = rows.select("gram", "cls", "n", "place", "component").join(asked, "gram").where((F.col("place") >= F.col("first")) & (100 * F.col("n") >= self.percent * F.col("low")) & (100 * F.col("high") >= self.percent * F.col("n")))
+        ranks = [F.max("pos").alias("before"), F.max(F.col("n") - F.col("pos")).alias("after")]
+        asked = rows.where("loose").select("gram", "cls", "n", "pos").join(held, "cls").groupBy("gram", "grp").agg(*sizes, *ranks, F.min("place").alias("first"))
+        passing = rows.select("gram", "cls", "n", "pos", "place", "component").join(asked, "gram").where((F.col("place") >= F.col("first")) & (100 * F.col("n") >= self.percent * F.col("low")) & (100 * F.col("high") >= self.percent * F.col("n")))
+        # the positional filter, for the block's set that it leaves most to
+        most = F.least(F.col("pos"), F.col("before")) + F.least(F.col("n") - F.col("pos"), F.col("after"))
+        passing = passing.where((100 + self.percent) * most >= self.percent * (F.col("n") + F.col("low")))
         passing = passing.groupBy("grp", "cls").agg(F.count("*").alias("count"), *own, *sizes)
         # the least number falls towards either end of the block's sizes; one less allows for rounding
         least = F.least(_least_shared(self.percent, F.col("low"), F.col("n")), _least_shared(self.percent, F.col("high"), F.col("n"))) - 1
@@ -481,7 +501,7 @@ class JaccardJoin:
         copy = F.pmod(F.xxhash64("cls"), F.col("copies").cast("long")).cast("int")
         dealt = passing.join(copies, "grp").select("grp", copy.alias("salt"), F.lit(1).alias("role"), "cls", "place", "component")
         blocks = held.join(copies, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.lit(0).alias("role"), "cls", "place", "component")
-        named = dealt.unionByName(blocks).join(texts, "cls").select("grp", "salt", "role", "place", "component", "packed")
+        named = dealt.unionByName(blocks).join(failed, "cls", "left").join(texts, "cls").select("grp", "salt", "role", "place", "component", "cls", "failed", "packed")
         return named.repartition("grp", "salt").sortWithinPartitions("grp", "salt", "role").mapInArrow(_blocks(self.width, self.percent), "a long, b long").distinct()
 
     def links(self) -> DataFrame:
@@ -494,10 +514,13 @@ class JaccardJoin:
     def components(self) -> DataFrame:
         """doc_id, n (size of the set), component_id (smallest document reachable by links), row (the hash of id and text), component (its key; null for empty sets)."""
         led = self._led()
-        first = stored(self._leader_round(led), "jaccard-links")
+        linked, compared = self._leader_round(led)
+        first = stored(linked, "jaccard-links")
+        # a class is compared with one leader, so there is one failed pair of it at most
+        failed = compared.join(first, ["a", "b"], "left_anti").select(F.col("b").alias("cls"), F.col("a").alias("failed"))
         labels = components(first)
         named = self.classes.select("cls", "doc_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        second = stored(self._rest(led, labels), "jaccard-links")
+        second = stored(self._rest(led, labels, failed), "jaccard-links")
         if second.limit(1).count():
             above = components(second).select(F.col("node").alias("component"), F.col("component").alias("above"))
             named = named.join(above, "component", "left").withColumn("component", F.coalesce("above", "component"))
