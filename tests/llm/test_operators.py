@@ -684,3 +684,14 @@ def test_subpackage_stands_alone():
     for path in root.rglob("*.py"):
         if "llm" not in path.parts:
             assert "tickloom.llm" not in path.read_text()
+
+
+def test_binomial_tails_and_discoveries():
+    from tickloom.llm.toxicity import binomial_tails, discoveries
+
+    cases = [(k, n, u) for n in (3, 10, 200) for k in (1, 3, n // 2 + 1, n) for u in (0.001, 0.03, 0.5, 0.99)]
+    for k, n, u in cases:
+        exact = sum(math.comb(n, i) * u**i * (1 - u) ** (n - i) for i in range(k, n + 1))
+        assert binomial_tails(np.array([k]), n, np.array([u]))[0] == pytest.approx(exact, rel=1e-6)
+    assert discoveries(np.array([0.001, 0.2, 0.011, 0.9]), 0.025).tolist() == [True, False, True, False]
+    assert not discoveries(np.array([0.5, 0.6]), 0.01).any() and not len(discoveries(np.empty(0), 0.01))

@@ -2,7 +2,9 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -68,11 +70,16 @@ def plain_toxic(spark, docs, folder):
     weight = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
     out = set()
     for r in docs.collect():
-        held = set()
-        for w in set(alnum_words(r.text)):
-            w = w.lower()
-            held |= {(w, 0)} | {(w[:k], k) for k in toxicity.PREFIXES if len(w) > k}
-        if model.bias + sum(weight.get(xxhash.xxh64_intdigest(w.encode(), k), 0.0) for w, k in held) >= 0:
+        words = [w.lower() for w in alnum_words(r.text)]
+        held = Counter((w[:k], k) for w in words for k in toxicity.PREFIXES if len(w) > k)
+        held += Counter((w, 0) for w in words)
+        logit = model.bias
+        for (w, k), times in held.items():
+            name = xxhash.xxh64_intdigest(w.encode(), k)
+            logit += weight.get(name, 0.0)
+            if times >= 2 and toxicity.OFTEN * times >= len(words):
+                logit += weight.get(int(toxicity.twin(np.array([name], np.uint64))[0]), 0.0)
+        if logit >= 0:
             out.add(r.doc_id)
     return out
 

@@ -14,11 +14,14 @@ in U; where it turns negative, the step goes back on it instead of down.
 * prior: the share of toxic rows among all labels that may be learnt from, but
   no more than the mixture allows: U holds toxic texts' share of any set of texts
   at least, so the prior is at most the share of U with a feature over that of P.
-* Features are the distinct lower-cased words of a text and their first 3 to 6
-  letters.  Candidates are those that occur in at least ``SUPPORT`` of P, so there
+* Features are the lower-cased words of a text and their first 3 to 6 letters: that
+  a text holds one, and that it holds it often, twice at least and once in ``OFTEN``
+  words, as what stands once in a long text may be there by chance.  Candidates are those that occur in at least ``SUPPORT`` of P, so there
   are at most 1 / SUPPORT times as many as a toxic text has features on average;
   their document counts come from every document that isn't held out.  A feature
-  is kept if toxic texts hold it significantly more often than all texts.
+  is kept if toxic texts hold it more often than all texts, by the exact binomial
+  tail under control of the false-discovery rate over all candidates, so few toxic
+  texts suffice where they agree.
 * P is a sample, by a hash of doc_id, of at most about ``MAX_TOXIC`` labelled rows.
 
 Edge cases: null and empty texts have no features and get the model's base
@@ -43,16 +46,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tickloom.llm.runtime import key_bits, key_cells, plain
-from tickloom.llm.textwords import ALNUM, chunks, dictionary_hashes, split_words
+from tickloom.llm.textwords import ALNUM, chunks, dictionary_hashes, mixed, split_words
 from tickloom.storage import stored
 
 MAX_TOXIC = 20_000
 #: A feature occurs in so many toxic texts at least, and in such a share of them.
 MIN_TEXTS = 3
 SUPPORT = 0.01
-#: Standard errors between the shares of toxic and of all texts with a feature, and the share of such texts that must be toxic.
-APART = 3.0
+#: The rate of false discoveries among the features kept, and the share of texts with a feature that must be toxic.
+FALSE_RATE = 0.01
 TOXIC_SHARE = 0.75
+#: A text holds a feature often if it does so twice and once in as many words.
+OFTEN = 256
 PREFIXES = (3, 4, 5, 6)
 #: The ridge as a share of the prior over the square root of the number of toxic texts.
 RIDGE = 0.1
@@ -87,36 +92,82 @@ def word_features(words: pa.Array) -> np.ndarray:
     return np.stack(columns, axis=1)
 
 
+def twin(hashes: np.ndarray) -> np.ndarray:
+    """The feature that a text holds another one often."""
+    return mixed(hashes + np.uint64(0x9E3779B97F4A7C15))
+
+
+def _often(times: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return (times >= 2) & (OFTEN * times >= words)
+
+
+def _places(features: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(features, hashes), len(features) - 1)
+    return at, features[at] == hashes
+
+
 def held_features(texts: pa.Array, features: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct (text, feature) pairs; features are places in ``features``, or hashes."""
+    """The distinct (text, feature) pairs; features are places in ``features``, in the order of texts, or hashes."""
     words = split_words(texts, ALNUM)
     hashes = word_features(words.dictionary)
+    size = max(len(words.dictionary), 1)
     if features is None:
-        size = max(len(words.dictionary), 1)
-        pairs = np.unique(words.owner() * size + words.codes)
+        pairs, times = np.unique(words.owner() * size + words.codes, return_counts=True)
         values = hashes[pairs % size]
-        doc, values = np.repeat(pairs // size, values.shape[1]), values.ravel()
+        doc, times, values = np.repeat(pairs // size, values.shape[1]), np.repeat(times, values.shape[1]), values.ravel()
         keep = values != 0
-        order = np.lexsort((values[keep], doc[keep]))
-        doc, values = doc[keep][order], values[keep][order]
+        doc, times, values = doc[keep], times[keep], values[keep]
+        order = np.lexsort((values, doc))
+        doc, times, values = doc[order], times[order], values[order]
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (values[1:] != values[:-1])
-        return doc[new], values[new]
+        total = np.add.reduceat(times, np.flatnonzero(new)) if len(doc) else times
+        doc, values = doc[new], values[new]
+        often = _often(total, words.counts[doc])
+        return np.append(doc, doc[often]), np.append(values, twin(values[often]))
     if not len(features) or not len(hashes):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.minimum(np.searchsorted(features, hashes), len(features) - 1)
-    known = features[at] == hashes
+    (at, known), (at_twin, known_twin) = _places(features, hashes), _places(features, twin(hashes))
+    known_twin &= hashes != 0
     # most words hold none of the features; a text's other words count once
-    size = len(hashes)
-    held = np.flatnonzero(known.any(axis=1)[words.codes])
-    pairs = np.unique((np.searchsorted(words.bounds, held, side="right") - 1) * size + words.codes[held])
+    held = np.flatnonzero((known | known_twin).any(axis=1)[words.codes])
+    pairs, times = np.unique((np.searchsorted(words.bounds, held, side="right") - 1) * size + words.codes[held], return_counts=True)
     doc, code = pairs // size, pairs % size
-    out = []
+    n, out, often, counts = len(features), [], [], []
     for k in range(known.shape[1]):
         here = known[code, k]
-        out.append(doc[here] * len(features) + at[code[here], k])
-    pairs = np.unique(np.concatenate(out))
-    return pairs // len(features), pairs % len(features)
+        out.append(doc[here] * n + at[code[here], k])
+        here = known_twin[code, k]
+        often.append(doc[here] * n + at_twin[code[here], k])
+        counts.append(times[here])
+    pairs, back = np.unique(np.concatenate(often), return_inverse=True)
+    total = np.bincount(back, weights=np.concatenate(counts), minlength=len(pairs))
+    pairs = np.unique(np.concatenate([*out, pairs[_often(total, words.counts[pairs // n])]]))
+    return pairs // n, pairs % n
+
+
+def binomial_tails(times: np.ndarray, n: int, share: np.ndarray) -> np.ndarray:
+    """The chance of so many of n, or more, where each has the share: by the sum of its terms, largest first."""
+    logs = np.cumsum(np.log(np.maximum(np.arange(n + 1), 1)))
+    share = np.clip(share, 1e-12, 1 - 1e-12)
+    k = times.astype(np.int64)
+    term = np.exp(logs[n] - logs[k] - logs[n - k] + k * np.log(share) + (n - k) * np.log1p(-share))
+    total, odds = np.zeros(len(k)), share / (1 - share)
+    going = term > 0
+    while going.any():
+        total[going] += term[going]
+        term = term * np.maximum(n - k, 0) / (k + 1) * odds
+        k = k + 1
+        # beyond the mean the terms fall at least like this
+        going = (k <= n) & (term > 1e-9 * total) & going
+    return np.minimum(total, 1.0)
+
+
+def discoveries(tails: np.ndarray, rate: float) -> np.ndarray:
+    """The largest tail kept so that so many of those kept are false, by Benjamini and Hochberg."""
+    order = np.sort(tails)
+    good = np.flatnonzero(order <= rate * np.arange(1, len(order) + 1) / max(len(order), 1))
+    return tails <= (order[good[-1]] if len(good) else -1.0)
 
 
 def _toxic_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,10 +338,9 @@ def train(documents: DataFrame, labels: DataFrame, learnable: Column | None = No
         of_all[place] = times
     blob.unpersist()
     n_all = rows.count()
-    # toxic texts against all texts: how far the shares differ, in standard errors, and as a ratio
+    # toxic texts against all texts: whether chance can do it, and how many of those with a feature are toxic
     p, u = of_toxic / n_known, np.maximum(of_all, of_toxic * n_known / max(n_toxic, 1)) / max(n_all, 1)
-    apart = (p - u) / np.sqrt(p * (1 - p) / n_known + u * (1 - u) / max(n_all, 1) + 1e-12)
-    good = np.flatnonzero((apart > APART) & (prior * p > TOXIC_SHARE * u))
+    good = np.flatnonzero(discoveries(binomial_tails(of_toxic, n_known, u), FALSE_RATE) & (p > u) & (prior * p > TOXIC_SHARE * u))
     features = candidates[good]
     blob = spark.sparkContext.broadcast(features.tobytes())
     known = [np.array(r.held, np.int64) for r in toxic.mapInArrow(_held(blob), "held array<int>").collect()]
