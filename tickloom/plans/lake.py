@@ -97,10 +97,14 @@ def q_catalog_inspect(spark, folder):
     return _rows(spark, "n_rows long, date_min string, date_max string, key string", (found["rows"], found["date_min"], found["date_max"], ",".join(found["key"])))
 
 
-@query("SELECT * FROM (VALUES ('exchange', TRUE, 'string'), ('cal_date', TRUE, 'string'), ('is_open', TRUE, 'bigint'), ('pretrade_date', FALSE, 'string')) t(name, required, kind)")
+@query("""WITH d AS (SELECT o_orderpriority AS exchange, strftime(o_orderdate, '%Y%m%d') AS cal_date, CAST(count(*) AS BIGINT) AS is_open FROM orders GROUP BY 1, 2), t AS (SELECT count(*) AS n FROM d)
+SELECT name, required, kind, CASE WHEN name = 'pretrade_date' THEN 0 ELSE n END AS n_held FROM t, (VALUES ('exchange', TRUE, 'string'), ('cal_date', TRUE, 'string'), ('is_open', TRUE, 'bigint'), ('pretrade_date', FALSE, 'string')) v(name, required, kind)""")
 def q_table_schema(spark, folder):
     declared = schema.table_schema("trade_cal")
-    return _rows(spark, "name string, required boolean, kind string", *((f.name, f.name in declared.required, f.type.simpleString()) for f in declared.fields))
+    rows = load(spark, folder, "orders").groupBy(F.col("o_orderpriority").alias("exchange"), v.day("o_orderdate").alias("cal_date")).agg(F.count("*").alias("is_open"))
+    held = rows.agg(*(F.count(f.name).alias(f.name) if f.name in rows.columns else F.lit(0).cast("long").alias(f.name) for f in declared.fields))
+    told = F.array(*(F.struct(F.lit(f.name).alias("name"), F.lit(f.name in declared.required).alias("required"), F.lit(f.type.simpleString()).alias("kind"), F.col(f.name).alias("n_held")) for f in declared.fields))
+    return held.select(F.inline(told))
 
 
 # --- text, sheets and pages
@@ -172,7 +176,6 @@ def _registry() -> gateway.Registry:
     registry = gateway.Registry()
     given = lambda provider, trust, fetcher: gateway.Interface("yearly", fetcher, {"year": "integer", "k": "integer", "note": "string"}, {"year": "array"}, ("year",), ("year", "k"), provider, trust)
     registry.add(given("builtin", 0, "nowhere:nothing"))
-    registry.add(given("rival", 1, "nowhere:nothing"))
     registry.add(given("trusted", 2, f"{HERE}:yearly"))
     return registry
 
@@ -183,19 +186,26 @@ def q_request_fans_out(spark, folder):
     return gateway.request(spark, _registry().get("yearly"), {"year": gateway.years(low, high)}, ["year", "k"], fanout="year", page_size=10)
 
 
-@query("SELECT 'yearly' AS name, 'trusted' AS chosen, 'rival' AS forced, 2 AS n_problems")
+@query("SELECT o_orderstatus AS status, 'trusted' AS chosen, count(*) AS n, CASE WHEN o_orderstatus = 'F' THEN count(*) ELSE 0 END AS n_forced FROM orders GROUP BY 1")
 def q_registry_choice(spark, folder):
-    registry = _registry()
-    chosen = registry.get("yearly").provider
-    registry.chosen["yearly"] = "rival"
-    problems = gateway.Interface("x", "broken", {"a": "string"}, key=("b",)).problems()
-    return _rows(spark, "name string, chosen string, forced string, n_problems int", (registry.names()[0], chosen, registry.get("yearly").provider, len(problems)))
+    # the trusted provider gives all orders, the one that is chosen by name only those that are filled
+    registry = gateway.Registry()
+    fields = {"o_orderkey": "integer", "o_orderstatus": "string"}
+    for provider, trust, entry in (("builtin", 0, "nowhere:nothing"), ("filled", 1, f"{HERE}:filled_rows"), ("trusted", 2, f"{HERE}:order_rows")):
+        registry.add(gateway.Interface("orders", entry, fields, {"path": "string", "year": "array"}, ("path",), ("o_orderkey",), provider, trust))
+    low, high = load(spark, folder, "orders").agg(F.min(v.day("o_orderdate")), F.max(v.day("o_orderdate"))).first()
+    asked = {"path": f"{folder}/orders.parquet", "year": gateway.years(low, high)}
+    chosen = registry.get("orders")
+    rows = gateway.request(spark, chosen, asked, fanout="year")
+    registry.chosen["orders"] = "filled"
+    forced = gateway.request(spark, registry.get("orders"), asked, ["o_orderkey"], fanout="year").withColumn("forced", F.lit(True))
+    both = rows.join(forced, "o_orderkey", "left").groupBy(F.col("o_orderstatus").alias("status"))
+    return both.agg(F.lit(chosen.provider).alias("chosen"), F.count("*").alias("n"), F.count_if("forced").alias("n_forced"))
 
 
 def segments(spark: SparkSession, folder: str) -> dict:
-    """An entry point that gives its rows under a name."""
-    counts = load(spark, folder, "customer").groupBy("c_mktsegment").count().collect()
-    return {"records": [{"segment": r.c_mktsegment, "n": r["count"]} for r in counts]}
+    """An entry point that gives its rows, as a plan, under a name."""
+    return {"records": load(spark, folder, "customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("n"))}
 
 
 @query("SELECT c_mktsegment AS segment, count(*) AS n FROM customer GROUP BY 1")
@@ -223,6 +233,11 @@ def order_rows(params: Mapping) -> Iterator[dict]:
             yield row | {"year": params["year"]}
 
 
+def filled_rows(params: Mapping) -> Iterator[dict]:
+    """The same for filled orders alone."""
+    return order_rows(dict(params) | {"filters": [("o_orderstatus", "=", "F")]})
+
+
 @query("SELECT CAST(year(o_orderdate) AS BIGINT) AS year, o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE year(o_orderdate) >= 1997 AND year(o_orderdate) <> 1999 AND o_orderstatus IN ('F', 'O') AND o_totalprice > 200000 AND o_orderkey % 2 = 0")
 def q_source_filters(spark, folder):
     fields = {"year": "integer", "o_orderkey": "integer", "o_orderstatus": "string", "o_totalprice": "number"}
@@ -551,11 +566,12 @@ def q_instrument_id(spark, folder):
 # --- quality reports
 
 
-@query("SELECT 'error' AS status, 'absent' AS missing, 'o_clerk,o_comment' AS unexpected")
+@query("SELECT 'error' AS status, 'absent' AS missing, 'o_clerk,o_comment' AS unexpected, count(*) AS n FROM orders")
 def q_schema_check(spark, folder):
     rows = load(spark, folder, "orders").select("o_orderkey", "o_custkey", F.lit("").alias("o_clerk"), F.lit("").alias("o_comment"))
     found = quality.schema_check(rows, ["o_orderkey", "absent"], ["o_orderkey", "o_custkey"])
-    return _rows(spark, "status string, missing string, unexpected string", (found["status"], ",".join(found["missing"]), ",".join(found["unexpected"])))
+    told = (F.lit(x).alias(n) for n, x in (("status", found["status"]), ("missing", ",".join(found["missing"])), ("unexpected", ",".join(found["unexpected"]))))
+    return rows.agg(*told, F.count("*").alias("n"))
 
 
 @query("SELECT 'missing_value' AS status, count(*) FILTER (WHERE o_custkey % 50 = 0) AS n_null, (SELECT coalesce(sum(n), 0)::BIGINT FROM (SELECT count(*) AS n FROM orders GROUP BY nullif(o_custkey % 50, 0), o_orderstatus HAVING count(*) > 1)) AS n_duplicate_rows FROM orders")
@@ -642,9 +658,10 @@ def q_stream_events(spark, folder):
     return rows.where("event not like '%update_time_raw%'").select(part("$.data.event_id").cast("long").alias("event_id"), part("$.event").alias("kind"), part("$.request_id").alias("request_id"), part("$.data.user_id").cast("long").alias("user_id"))
 
 
-@query("SELECT unnest([3000, 3000, 500, 4000]) AS ms")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 3000 ELSE greatest(500, CAST(c_custkey * 7 AS INTEGER)) END AS ms FROM customer")
 def q_stream_intervals(spark, folder):
-    return _rows(spark, "ms int", *((refresh.interval_ms(value),) for value in (None, "", 10, "4000")))
+    asked = F.when(F.col("c_custkey") % 3 > 0, (F.col("c_custkey") * 7).cast("string")).otherwise("")
+    return load(spark, folder, "customer").select("c_custkey", refresh.interval_column(asked).alias("ms"))
 
 
 @query("SELECT user_id, count(*) AS n FROM events GROUP BY 1")

@@ -734,9 +734,9 @@ def q_epoch_clock(spark, folder):
     return load(spark, folder, "events").select("event_id", dates.from_millis(F.col("event_id") * 86_400_000).alias("d"), dates.clock_text((F.col("event_id") % 24 * 10_000 + 509).cast("string")).alias("clock"))
 
 
-@query("SELECT i AS minute, lpad(CAST(CASE WHEN i < 120 THEN (570 + i) // 60 ELSE (780 + i - 120) // 60 END AS VARCHAR), 2, '0') || ':' || lpad(CAST(CASE WHEN i < 120 THEN (570 + i) % 60 ELSE (780 + i - 120) % 60 END AS VARCHAR), 2, '0') AS label FROM (SELECT unnest(range(240)) AS i)")
+@query("SELECT event_id, lpad(CAST(CASE WHEN i < 120 THEN (570 + i) // 60 ELSE (780 + i - 120) // 60 END AS VARCHAR), 2, '0') || ':' || lpad(CAST(CASE WHEN i < 120 THEN (570 + i) % 60 ELSE (780 + i - 120) % 60 END AS VARCHAR), 2, '0') AS label FROM (SELECT event_id, event_id % 240 AS i FROM events)")
 def q_minute_label(spark, folder):
-    return spark.range(240).select(F.col("id").alias("minute"), dates.minute_label("id").alias("label"))
+    return load(spark, folder, "events").select("event_id", dates.minute_label(F.col("event_id") % 240).alias("label"))
 
 
 @query(f"""WITH {v.DAILY_SQL} SELECT instrument, trade_date, round(close * 10000, 4) AS units, round(close / 100, 6) AS hundredth, round((volume - 3) / nullif(volume + 3, 0) * 100, 6) AS balance, round(close / nullif(volume - 2, 0), 6) AS ratio, round(round_even(close / 0.05, 0) * 0.05, 6) AS tick FROM daily""")

@@ -234,10 +234,10 @@ def run_entry(spark: SparkSession, entry: str, schema: str, **arguments: Any) ->
     takes = inspect.signature(call).parameters
     loose = any(p.kind is p.VAR_KEYWORD for p in takes.values())
     found = call(**{k: v for k, v in (arguments | {"spark": spark}).items() if loose or k in takes})
-    if isinstance(found, DataFrame):
-        return found
     if isinstance(found, Mapping):
         found = next(found[k] for k in ("records", "data", "rows") if k in found)
+    if isinstance(found, DataFrame):
+        return found
     empty = spark.createDataFrame([], schema)
     return spark.createDataFrame([tuple(r.get(n) for n in empty.columns) for r in found], empty.schema)
 

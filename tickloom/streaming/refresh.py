@@ -27,6 +27,11 @@ def interval_ms(value: Any) -> int:
     return DEFAULT_MS if value in (None, "") else max(LEAST_MS, int(value))
 
 
+def interval_column(value: Column) -> Column:
+    """The same of a column; text that is no number is an error."""
+    return F.when(value.isNull() | (value.cast("string") == ""), DEFAULT_MS).otherwise(F.greatest(F.lit(LEAST_MS), value.cast("int")))
+
+
 def checked_codes(codes: Sequence[str]) -> list[str]:
     out = list(dict.fromkeys(c.strip() for c in codes if c.strip()))
     if not 1 <= len(out) <= MOST_CODES:
