@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -695,3 +696,22 @@ def test_binomial_tails_and_discoveries():
         assert binomial_tails(np.array([k]), n, np.array([u]))[0] == pytest.approx(exact, rel=1e-6)
     assert discoveries(np.array([0.001, 0.2, 0.011, 0.9]), 0.025).tolist() == [True, False, True, False]
     assert not discoveries(np.array([0.5, 0.6]), 0.01).any() and not len(discoveries(np.empty(0), 0.01))
+
+
+def test_long_words_are_read_one_by_one(monkeypatch):
+    """A word of two million bytes among short ones, and the same counts however many are read one by one."""
+    from tickloom.llm import token_counts
+
+    rng = random.Random(9)
+    pieces = sorted({"".join(rng.choice("abcé") for _ in range(rng.randrange(1, 6))).encode() for _ in range(60)})
+    words = ["".join(rng.choice("abcéd") for _ in range(rng.randrange(0, 40))) for _ in range(200)] + ["".join(rng.choice("abcéd") for _ in range(n)) for n in (3000, 2999, 700)]
+    found = []
+    for few in (0, 1, 24, 10_000):
+        monkeypatch.setattr(token_counts, "FEW", few)
+        found.append(Automaton.build(pieces, "▁".encode()).counts(pa.array(words, pa.large_string())).tolist())
+    assert all(f == found[0] for f in found)
+    monkeypatch.setattr(token_counts, "FEW", 24)
+    began = time.process_time()
+    long = "abé" * 650_000
+    assert Automaton.build(pieces, b"").counts(pa.array([*words, long], pa.large_string()))[-1] > 100_000
+    assert time.process_time() - began < 20

@@ -11,6 +11,9 @@ failure link is the node of what is left.  Both are found breadth first, so
 reading a word is linear in its bytes and no piece is ever built.  The
 automaton is made once on the driver; its size is that of the vocabulary.
 
+Words advance together, byte by byte, while they are many; the few longest, as a text
+without white space is, are read one by one.
+
 Edge cases: null, empty and blank texts have no words and no tokens.  Repeated
 rows are counted alike; an empty table gives no rows; extra columns are ignored.
 """
@@ -27,6 +30,9 @@ from pyspark.sql import DataFrame
 from tickloom.llm.runtime import plain
 from tickloom.llm.textwords import RAW, chunks, split_words, text_bytes
 
+#: Words that are left at a length and then read one by one.
+FEW = 24
+
 
 @dataclass
 class Automaton:
@@ -38,6 +44,9 @@ class Automaton:
     fail: np.ndarray
     flush: np.ndarray
     mark: bytes
+    # the same as plain Python values, made in a task that meets a long word
+    _edges: dict[int, int] | None = None
+    _plain: tuple[list[int], list[int]] | None = None
 
     @classmethod
     def build(cls, pieces: Iterable[bytes], mark: bytes) -> Automaton:
@@ -84,12 +93,31 @@ class Automaton:
         for at in range(int(sizes[0]) if len(sizes) else 0):
             while left and sizes[left - 1] <= at:
                 left -= 1
+            if left <= FEW:
+                # the longest words, each on its own: a step of few words costs as much as one of many
+                for word in range(left):
+                    rest = data[starts[word] + at : starts[word] + sizes[word]].tobytes()
+                    state[word], count[word] = self._walk(int(state[word]), int(count[word]), rest)
+                break
             byte = data[starts[:left] + at].astype(np.int64)
             self._advance(state[:left], count[:left], byte)
         out = np.empty(len(order), np.int64)
         out[order] = count + self.flush[state]
         return out
 
+    def _walk(self, state: int, count: int, rest: bytes) -> tuple[int, int]:
+        """The state and count after the rest of one word."""
+        if self._edges is None:
+            self._edges = dict(zip(self.keys.tolist(), self.nodes.tolist(), strict=True))
+            self._plain = self.pops.tolist(), self.fail.tolist()
+        ways, (pops, fail) = self._edges.get, self._plain
+        for byte in rest:
+            while (node := ways(state << 8 | byte)) is None:
+                count += pops[state]
+                state = fail[state]
+            state = node
+        return state, count
+
     def _start(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         state, count = np.zeros(1, np.int64), np.zeros(1, np.int64)
         for byte in self.mark:

@@ -152,7 +152,8 @@ def binomial_tails(times: np.ndarray, n: int, share: np.ndarray) -> np.ndarray:
     share = np.clip(share, 1e-12, 1 - 1e-12)
     k = times.astype(np.int64)
     term = np.exp(logs[n] - logs[k] - logs[n - k] + k * np.log(share) + (n - k) * np.log1p(-share))
-    total, odds = np.zeros(len(k)), share / (1 - share)
+    # so far below the mean that the first term vanishes, the sum is 1
+    total, odds = np.where((term == 0) & (k < n * share), 1.0, 0.0), share / (1 - share)
     going = term > 0
     while going.any():
         total[going] += term[going]
