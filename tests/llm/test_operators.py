@@ -715,3 +715,15 @@ def test_long_words_are_read_one_by_one(monkeypatch):
     long = "abé" * 650_000
     assert Automaton.build(pieces, b"").counts(pa.array([*words, long], pa.large_string()))[-1] > 100_000
     assert time.process_time() - began < 20
+
+
+@pytest.mark.parametrize("length,least", [(32, 0.7), (40, 0.9), (64, 0.95)])
+def test_secrets_of_a_corpus_without_words(spark, length, least):
+    """Key files hold no written text to be compared with."""
+    rng = random.Random(length)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows = [(i, " ".join(f'k="{"".join(rng.choice(letters) for _ in range(length))}"' for _ in range(20))) for i in range(20)]
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).select(F.sum(F.size("secrets"))).first()[0]
+    assert found >= least * 400
+    words = spark.createDataFrame([(0, "a_rather_long_name_of_a_function internationalisation_of_everything " * 9)], "doc_id long, text string")
+    assert secrets.scan(words).select(F.sum(F.size("secrets"))).first()[0] == 0

@@ -13,7 +13,8 @@ random from an alphabet.
   no z-score is larger than ``BATTERY_Z``.  Against "written text" it gives a
   p-value: the chance that text of the token's length in that alphabet looks as
   uniform.  What the statistics are in text follows from the letters and pairs
-  of neighbouring letters of all words of the corpus shorter than a token.
+  of neighbouring letters of all words of the corpus shorter than a token, and of a
+  little built-in English, which is all there is in a corpus of keys alone.
 * The three p-values are combined as three times the smallest, which holds
   whatever the tests' dependence.  Benjamini and Hochberg's rule is applied
   within each length class to all tokens of the corpus, so short tokens, which
@@ -53,6 +54,10 @@ MAX_BITS = 400
 LENGTH_CLASSES = (20, 24, 32, 48, 64, 128)
 
 _LOW, _HIGH, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+# How often each letter, a to z, stands in a thousand letters of English text.
+ENGLISH = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
+#: Letters of such text that count beside those of the corpus: where it has no words, they stand for them.
+BUILT_IN = 500
 #: Pattern, alphabet, and the number of equal shares of it that the chi-squared test counts:
 #: letters, or where an alphabet has both cases and digits the groups that tell these apart.
 ENCODINGS = (
@@ -100,6 +105,14 @@ def pieces(documents: DataFrame) -> DataFrame:
     return found.where("piece <> ''").groupBy("piece").agg(F.count("*").alias("times"))
 
 
+def _written(letters: str) -> list[float]:
+    """The shares of an alphabet's letters in written text: capitals are one letter in twenty, digits one in thirty, the rest one in a thousand."""
+    plain = {c: share / 1000 for c, share in zip(_LOW, ENGLISH, strict=True)}
+    both = set(letters) & set(_LOW) and set(letters) & set(_HIGH)
+    each = [plain[c] if c in plain else plain[c.lower()] / (20 if both else 1) if c.lower() in plain else 1 / 300 if c in _DIGIT else 1 / 2000 for c in letters]
+    return [e / sum(each) for e in each]
+
+
 def text_model(words: DataFrame) -> list[tuple[float, float, float, float]]:
     """How written text looks in each encoding.
 
@@ -116,9 +129,13 @@ def text_model(words: DataFrame) -> list[tuple[float, float, float, float]]:
         size, middle = len(letters), (len(letters) - 1) / 2
         fold = str if len(set(letters) & set(_LOW)) and len(set(letters) & set(_HIGH)) else (str.upper if set(letters) & set(_HIGH) else str.lower)
         rank = {c: i for i, c in enumerate(letters)}
-        # one of each letter, and of each pair, is counted beside those of the corpus
-        held = [size / shares] * shares
-        switched, pairs_seen, product, square = size * size / 2, float(size * size), 0.0, size * sum((i - middle) ** 2 for i in range(size))
+        # written text whose neighbours have nothing to do with each other is counted beside the corpus
+        held, above, mean, square = [0.0] * shares, 0.0, 0.0, 0.0
+        for i, share in enumerate(_written(letters)):
+            held[i * shares // size] += BUILT_IN * share
+            above += share * (2 * i + 1 > size)
+            mean, square = mean + share * (i - middle), square + BUILT_IN * share * (i - middle) ** 2
+        switched, pairs_seen, product = BUILT_IN * 2 * above * (1 - above), float(BUILT_IN), BUILT_IN * mean * mean
         for one, two, times in counted:
             a, b = rank.get(fold(one)), rank.get(fold(two)) if two else None
             if a is not None:
