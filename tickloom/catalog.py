@@ -39,16 +39,13 @@ def datasets(spark: SparkSession, root: str, runs: DataFrame | None = None, decl
 
 def footer_stats(spark: SparkSession, paths: Sequence[str], date_field: str | None = None) -> DataFrame:
     """Rows and least and largest date, answered from Parquet footers: the plan shows PushedAggregation."""
-    before = {k: spark.conf.get(k) for k in ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")}
-    try:
-        spark.conf.set("spark.sql.sources.useV1SourceList", "")
-        spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-        df = spark.read.parquet(*paths)
-        columns = [F.count("*").alias("n_rows")] + ([F.min(date_field).alias("min_date"), F.max(date_field).alias("max_date")] if date_field else [])
-        return spark.createDataFrame([df.agg(*columns).first()], df.agg(*columns).schema)
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    # a session of its own: other queries of the caller's plan meanwhile
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    columns = [F.count("*").alias("n_rows")] + ([F.min(date_field).alias("min_date"), F.max(date_field).alias("max_date")] if date_field else [])
+    found = own.read.parquet(*paths).agg(*columns)
+    return spark.createDataFrame([found.first()], found.schema)
 
 
 def inspect(spark: SparkSession, root: str, table: str) -> dict:

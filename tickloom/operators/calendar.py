@@ -53,7 +53,11 @@ def missing_days(calendar: DataFrame, start: str, end: str, date: str = "cal_dat
 
 
 def ranges(days: DataFrame, date: str, by: list[str] | None = None) -> DataFrame:
-    """Days next to each other as ranges: start, end, n_days."""
+    """Days next to each other as ranges: start, end, n_days.
+
+    Days are taken once, so a key's are as many as its calendar has; without ``by``
+    all are one calendar's, and one task's.
+    """
     by = by or []
     once = days.select(*by, real_date(date).alias("d")).distinct()
     island = F.date_sub("d", F.row_number().over(Window.partitionBy(*(by or [F.lit(0)])).orderBy("d")))

@@ -91,7 +91,7 @@ def commit(spark: SparkSession, target: str, version: Version) -> None:
     stream.write(bytearray(json.dumps(asdict(version)).encode()))
     stream.close()
     jvm = spark.sparkContext._jvm
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark.sparkContext._jsc.hadoopConfiguration()) if path.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
     none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:
         context.rename(path, _java(spark, final)[0], none)
