@@ -52,8 +52,9 @@ def of_date(value: Column) -> Column:
 
 
 def from_millis(value, pattern: str = "yyyyMMdd") -> Column:
-    """Text of epoch milliseconds, in the session's time zone."""
-    return F.date_format(F.timestamp_millis((value if isinstance(value, Column) else F.col(value)).cast("long")), pattern)
+    """Text of epoch milliseconds, in the session's time zone; a year of more digits than its pattern has no sign before it."""
+    told = F.date_format(F.timestamp_millis((value if isinstance(value, Column) else F.col(value)).cast("long")), pattern)
+    return F.regexp_replace(told, r"^\+", "") if pattern.startswith(("y", "u")) else told
 
 
 def minute_label(index) -> Column:
