@@ -1,12 +1,12 @@
 """Queries against their SQL on small tables that the driver's don't hold: far days, zero prices, entities."""
 
 import duckdb
+from pyspark.sql import functions as F
 
 from tests.oracle import rows
+from tickloom.functions import money
 from tickloom.plans import market
 
-EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-
 
 def differing(spark, folder, name, sql, **tables):
     """The rows of a query over these tables, held against its SQL."""
@@ -23,3 +23,20 @@ def test_days_after_the_year_9999(spark, tmp_path):
     ids = spark.range(2_932_895, 2_932_900).selectExpr("id as event_id").union(spark.range(36_000_000, 36_000_001)).union(spark.range(2))
     got = differing(spark, tmp_path, "q_epoch_clock", market.SQL["q_epoch_clock"], events=ids)
     assert {"99991231", "100000101", "1005340827", "19700101"} <= set(got.d)
+
+
+def ticks(spark, *of):
+    """Events of (user, day of January 2024, value), a second apart."""
+    made = [(i, u, d, float(x)) for i, (u, d, x) in enumerate(of)]
+    return spark.createDataFrame(made, "event_id long, user_id long, d int, value double").selectExpr("event_id", "cast(timestamp_seconds(1704067200 + (d - 1) * 86400 + event_id) as timestamp_ntz) as ts", "user_id", "'view' as event_type", "value", "'{}' as props")
+
+
+def test_change_from_a_zero_price(spark, tmp_path):
+    events = ticks(spark, (1, 1, 0), (1, 2, 5), (1, 3, 4), (2, 1, 0), (2, 2, 0), (2, 3, 1), (3, 1, 2), (3, 2, 3))
+    got = differing(spark, tmp_path, "q_pct_change", market.SQL["q_pct_change"], events=events)
+    assert sorted(got.pct.dropna()) == [-20.0, 50.0, float("inf"), float("inf")]
+
+
+def test_zero_from_zero_is_no_number(spark):
+    row = spark.range(1).select(F.isnan(money.percent_change(F.lit(0.0), F.lit(0.0), money.float_divide)).alias("x"), money.percent_change(F.lit(-1.0), F.lit(0.0), money.float_divide).alias("y"), money.percent_change(F.lit(None), F.lit(0.0), money.float_divide).alias("z")).first()
+    assert (row.x, row.y, row.z) == (True, float("-inf"), None)

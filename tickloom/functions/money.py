@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,8 +19,16 @@ def round6(value) -> Column:
     return F.round(num(value), 6)
 
 
-def percent_change(value, base) -> Column:
-    return F.round(F.try_divide(num(value) - num(base), num(base)) * 100, 6)
+def float_divide(top, bottom) -> Column:
+    """Division of floating point: by zero it gives an infinity, or NaN for zero by zero."""
+    t, b = num(top), num(bottom)
+    endless = F.when(F.isnan(t) | (t == 0), float("nan")).when(t > 0, float("inf")).when(t < 0, float("-inf"))
+    return F.when(b == 0, endless).otherwise(F.try_divide(t, b))
+
+
+def percent_change(value, base, divide: Callable[[Column, Column], Column] = F.try_divide) -> Column:
+    """A base of zero gives null, or what ``divide`` makes of it."""
+    return F.round(divide(num(value) - num(base), num(base)) * 100, 6)
 
 
 def safe_ratio(top, bottom) -> Column:
