@@ -40,3 +40,10 @@ def test_change_from_a_zero_price(spark, tmp_path):
 def test_zero_from_zero_is_no_number(spark):
     row = spark.range(1).select(F.isnan(money.percent_change(F.lit(0.0), F.lit(0.0), money.float_divide)).alias("x"), money.percent_change(F.lit(-1.0), F.lit(0.0), money.float_divide).alias("y"), money.percent_change(F.lit(None), F.lit(0.0), money.float_divide).alias("z")).first()
     assert (row.x, row.y, row.z) == (True, float("-inf"), None)
+
+
+def test_a_title_keeps_all_entities_but_the_ampersand(spark, tmp_path):
+    html = ["<h1> a &amp; <b>b</b> </h1>", "<h1>x = &quot;y&quot; &lt;z&gt; &#39;&apos;&nbsp;</h1>", "<h1>&amp;quot;</h1>", "<h1>\n<i></i></h1>", "<h1> </h1>", "<p>none</p>", None]
+    pages = spark.createDataFrame(list(enumerate(html)), "page_id long, html string")
+    got = differing(spark, tmp_path, "q_strip_html", market.SQL["q_strip_html"], pages=pages)
+    assert {"a & b", "x = &quot;y&quot; &lt;z&gt; &#39;&apos;&nbsp;", "&quot;"} <= set(got.title)

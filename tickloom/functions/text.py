@@ -40,10 +40,14 @@ def parse_int(value, truncate: bool = False) -> Column:
     return plain.try_cast("double").cast("long") if truncate else F.when(plain.rlike(r"^[+-]?\d+$"), plain.try_cast("long"))
 
 
-def strip_html(value) -> Column:
-    """Text without tags; the common entities and decimal references decoded."""
+# The common entities; an ampersand comes last, so that nothing is decoded twice.
+ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
+
+
+def strip_html(value, entities: Mapping[str, str] = ENTITIES) -> Column:
+    """Text without tags; entities decoded, the common ones unless others are given."""
     out = F.regexp_replace(text(value), r"(?s)<[^>]*>", "")
-    for name, letter in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
+    for name, letter in entities.items():
         out = F.replace(out, F.lit(name), F.lit(letter))
     out = F.trim(out)
     return F.when(out != "", out)
