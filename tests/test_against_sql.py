@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tests.oracle import rows
 from tickloom.functions import money
-from tickloom.plans import market
+from tickloom.plans import lake, market
+from tickloom.plans import views as v
 
 
 def differing(spark, folder, name, sql, **tables):
@@ -47,3 +48,18 @@ def test_a_title_keeps_all_entities_but_the_ampersand(spark, tmp_path):
     pages = spark.createDataFrame(list(enumerate(html)), "page_id long, html string")
     got = differing(spark, tmp_path, "q_strip_html", market.SQL["q_strip_html"], pages=pages)
     assert {"a & b", "x = &quot;y&quot; &lt;z&gt; &#39;&apos;&nbsp;", "&quot;"} <= set(got.title)
+
+
+def test_amounts_are_summed_in_the_order_of_time(spark, tmp_path):
+    # 100 in one order, a bit less or more in others
+    parts = [(33.34, 14.26, 52.4), (66.6, 33.3, 0.1), (0.1, 99.2, 0.7), (70.1, 0.2, 29.7), (0.7, 0.1, 99.2)] + [tuple(round(x + k / 100, 2) for x in (31.0, 41.1, 27.9)) for k in range(60)]
+    events = ticks(spark, *((u, 1, x) for u, of in enumerate(parts) for x in of))
+    # each user's ticks lie in three files, the last of them first
+    events.repartition(3, F.col("event_id") % 3).sortWithinPartitions(F.desc("event_id")).write.parquet(f"{tmp_path}/events.parquet")
+    wanted = {u: (a + b) + c for u, (a, b, c) in enumerate(parts)}
+    # other orders make other numbers of this
+    assert sum(w != a + (b + c) for w, (a, b, c) in zip(wanted.values(), parts, strict=True)) > 3
+    assert {r.instrument: r.amount for r in v.daily(spark, str(tmp_path)).collect()} == wanted
+    few = sum(w - 100 < 0 for w in wanted.values())
+    assert {r.rule: r.n for r in market.QUERIES["q_quality_rules"](spark, str(tmp_path)).collect()}["negative_amount"] == few
+    assert lake.QUERIES["q_quality_report"](spark, str(tmp_path)).first().n_negative == few

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -23,13 +23,17 @@ DAILY_SQL = """daily AS (
 
 
 def daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts are summed in the order of time: sums of parts, in the order they come in, end in other digits from run to run."""
     order = F.struct("ts", "event_id")
+    ticks = load(spark, folder, "events").withColumns({"instrument": F.col("user_id"), "trade_date": day("ts")})
+    # a window streams by and spills, however many ticks a day has
+    so_far = Window.partitionBy("instrument", "trade_date").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        load(spark, folder, "events")
-        .groupBy(F.col("user_id").alias("instrument"), day("ts").alias("trade_date"))
+        ticks.withColumn("so_far_", F.sum("value").over(so_far))
+        .groupBy("instrument", "trade_date")
         .agg(
             F.min_by("value", order).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", order).alias("close"),
-            F.count("*").cast("double").alias("volume"), F.sum("value").alias("amount"),
+            F.count("*").cast("double").alias("volume"), F.max_by("so_far_", order).alias("amount"),
         )
     )
 
