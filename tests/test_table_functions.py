@@ -122,3 +122,34 @@ def test_bars_of_periods_equal_those_of_each(spark):
     assert got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Scan ExistingRDD") == 1
     with pytest.raises(ValueError):
         bars.ohlcv_of_periods(ticks, ["day", "3d"], ["k"], "t", "p", "i")
+
+
+def test_functions_of_single_rows_take_no_frame_a_row(spark):
+    # Arrow would make a batch of the answer to each row
+    table_functions.register(spark)
+    spark.range(10).selectExpr("id", "id % 2 = 0 as even").createOrReplaceTempView("numbers_of_test")
+    for call in ("tail_rows(TABLE(numbers_of_test) PARTITION BY even ORDER BY id, n => 2)", "streak_rows(TABLE(numbers_of_test) PARTITION BY even ORDER BY id, flag => 'even')"):
+        plan = spark.sql(f"SELECT * FROM {call}")._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPythonUDTF" in plan
+        assert "ArrowEvalPythonUDTF" not in plan
+
+
+def test_order_rows_hold_no_row_group(tmp_path):
+    import datetime
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tickloom.plans import lake
+
+    n = 1_500_000
+    days = pa.array([datetime.datetime(1996 + k, 12, 31) for k in range(3)] * (n // 3))
+    orders = pa.table({"o_orderkey": range(n), "o_custkey": range(n), "o_orderstatus": pa.array(["F", "O", "P"] * (n // 3)), "o_totalprice": pa.array([1.0] * n), "o_orderdate": days})
+    pq.write_table(orders, tmp_path / "orders.parquet", row_group_size=n)
+    del orders, days
+    before, most, keys = pa.total_allocated_bytes(), 0, 0
+    for k, row in enumerate(lake.order_rows({"path": str(tmp_path / "orders.parquet"), "year": 1997, "filters": [("o_orderstatus", "in", ["O", "P"])]})):
+        keys += row["o_orderkey"]
+        most = max(most, pa.total_allocated_bytes() - before) if k % 1000 == 0 else most
+    assert (k + 1, keys) == (n // 3, sum(range(1, n, 3)))
+    assert most < 16 << 20

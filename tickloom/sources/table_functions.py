@@ -5,8 +5,10 @@
     SELECT * FROM streak_rows(TABLE(bars) PARTITION BY code ORDER BY day, flag => 'up')
     SELECT * FROM entry_rows(TABLE(SELECT year FROM years) , entry => 'module:function', fields => 'year long, k long')
 
-Rows travel in Arrow batches; a partition streams by in its order, and a function
-keeps no more than its answer needs: n rows, or a count.
+A partition streams by in its order, and a function keeps no more than its answer
+needs: n rows, or a count.  Functions that are called for every row take plain rows,
+for Arrow would make a batch of what each call gives; an entry point, which gives many
+rows a call, sends them in Arrow batches.
 """
 
 from __future__ import annotations
@@ -100,4 +102,4 @@ FUNCTIONS = {"tail_rows": TailRows, "streak_rows": StreakRows, "entry_rows": Ent
 
 def register(spark: SparkSession) -> None:
     for name, kind in FUNCTIONS.items():
-        spark.udtf.register(name, udtf(kind, useArrow=True))
+        spark.udtf.register(name, udtf(kind, useArrow=kind is EntryRows))
