@@ -1,10 +1,14 @@
 """Queries against their SQL on small tables that the driver's don't hold: far days, zero prices, entities."""
 
+import datetime
+import random
+
 import duckdb
 from pyspark.sql import functions as F
 
 from tests.oracle import rows
 from tickloom.functions import money
+from tickloom.operators import quality
 from tickloom.plans import lake, market
 from tickloom.plans import views as v
 
@@ -63,3 +67,25 @@ def test_amounts_are_summed_in_the_order_of_time(spark, tmp_path):
     few = sum(w - 100 < 0 for w in wanted.values())
     assert {r.rule: r.n for r in market.QUERIES["q_quality_rules"](spark, str(tmp_path)).collect()}["negative_amount"] == few
     assert lake.QUERIES["q_quality_report"](spark, str(tmp_path)).first().n_negative == few
+
+
+def test_missing_days_are_counted_without_spelling_them_out(spark, tmp_path):
+    rng = random.Random(5)
+    made = [(i, rng.randrange(12), datetime.datetime(1995, 1, 1) + datetime.timedelta(days=rng.choice([rng.randrange(20), rng.randrange(60, 200), rng.randrange(900)])), rng.choice("12")) for i in range(150)]
+    orders = spark.createDataFrame(made, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string")
+    got = differing(spark, tmp_path, "q_symbol_missing_days", market.SQL["q_symbol_missing_days"], orders=orders)
+    assert len(got) > 40
+    # ranges meet days as blocks: no day of a symbol is ever a row
+    plan = market.q_symbol_missing_days(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "getbit" not in plan
+
+
+def test_missing_days_equal_the_days_spelt_out(spark):
+    rng = random.Random(6)
+    day = lambda k: (datetime.date(2020, 1, 1) + datetime.timedelta(days=k)).strftime("%Y%m%d")
+    rows = [(f"{n:03d}.{rng.choice(['SH', 'SZ', 'XX'])}", day(rng.randrange(400))) for n in range(9) for _ in range(6)] + [("000.SH", "no date"), ("001.SZ", None)]
+    held = spark.createDataFrame([(s, d) for n, (s, d) in enumerate(rows)], "symbol string, d string")
+    calendar = spark.createDataFrame([(e, day(k), int(rng.random() < share)) for e, share in (("SSE", 0.7), ("SZSE", 0.5), ("ALL", 0.1)) for k in range(400)], "exchange string, cal_date string, is_open int")
+    spelt = quality.symbol_coverage(held, calendar, "symbol", "d").groupBy("d").agg(F.count("*"), F.min("symbol")).collect()
+    counted = quality.missing_day_counts(held, calendar, "symbol", "d", F.col("symbol")).collect()
+    assert sorted(map(tuple, counted)) == sorted(map(tuple, spelt))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.codes import exchange_of_symbol
@@ -143,6 +143,49 @@ def symbol_gap_counts(df: DataFrame, calendar: DataFrame, symbol: str, date: str
     return gaps.groupBy("symbol", "explained").agg(F.sum(F.bit_count("bits")).alias("n_days"), daybits.day_text(first).alias("first_day"))
 
 
+def missing_day_counts(df: DataFrame, calendar: DataFrame, symbol: str, date: str, least: Column, cal_date: str = "cal_date", flag: str = "is_open") -> DataFrame:
+    """(day, n_symbols, least): how many symbols lack each open day within their own dates, and the least value of theirs.
+
+    The same days as ``symbol_coverage`` without suspensions, of which none is spelt
+    out: between two days that a symbol holds lies one range it lacks, so there are
+    no more ranges than rows.  A range is cut at multiples of powers of two into a few
+    blocks; equal blocks are summed in every task, and only these, as many as twice the
+    days of a calendar, meet the days they cover.
+    """
+    rows = df.select(F.col(symbol).alias("symbol"), daybits.day_number(F.col(date)).alias("day"), least.alias("least")).where("day is not null")
+    held = rows.groupBy("symbol", "day").agg(F.min("least").alias("least"))
+    before = F.lag("day").over(Window.partitionBy("symbol").orderBy("day"))
+    # a symbol's least value is one for all its days
+    lowest = F.min("least").over(Window.partitionBy("symbol"))
+    gaps = held.select("symbol", (before + 1).alias("low"), (F.col("day") - 1).alias("high"), lowest.alias("least")).where("low <= high")
+    opened = calendar.where(is_true(flag)).select("exchange", daybits.day_number(F.col(cal_date)).alias("day")).where("day is not null")
+    own = opened.where("exchange <> 'ALL'").select(F.col("exchange").alias("calendar"), "day").distinct()
+    anywhere = opened.select(F.lit("*").alias("calendar"), "day").distinct()
+    named = own.select(F.col("calendar").alias("exchange")).distinct().withColumn("own", F.lit(True))
+    # a row an exchange
+    gaps = gaps.withColumn("exchange", exchange_of_symbol("symbol")).join(F.broadcast(named), "exchange", "left").withColumn("calendar", F.when(F.col("own"), F.col("exchange")).otherwise("*"))
+    blocks = gaps.select("calendar", "least", F.inline(_blocks("low", "high"))).groupBy("calendar", "level", "place").agg(F.count("*").alias("n"), F.min("least").alias("least"))
+    days = own.unionByName(anywhere).select("calendar", "day", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level")).withColumn("place", F.expr("shiftright(day, level)"))
+    covered = days.join(blocks, ["calendar", "level", "place"])
+    return covered.groupBy("day").agg(F.sum("n").alias("n_symbols"), F.min("least").alias("least")).select(daybits.day_text(F.col("day")).alias("day"), "n_symbols", "least")
+
+
+#: Blocks have up to 2^21 days, so that any two dates lie within a few.
+LEVELS = 22
+
+
+def _blocks(low: str, high: str) -> Column:
+    """A range of days as an array of (level, place): days place * 2^level and on, 2^level of them."""
+    # of each size at most one block at the left and one at the right, once smaller ones have taken what doesn't fit
+    begin, end = (lambda i: f"shiftright({low} + shiftleft(1, {i}) - 1, {i})"), (lambda i: f"shiftright({high} + 1, {i})")
+    whole = f"filter(sequence(0, {LEVELS - 1}), i -> {begin('i')} < {end('i')})"
+    left = f"i < {LEVELS - 1} and {begin('i')} & 1 = 1"
+    right = f"i < {LEVELS - 1} and {end('i')} & 1 = 1 and not ({begin('i')} & 1 = 1 and {begin('i')} = {end('i')} - 1)"
+    top = f"if(i = {LEVELS - 1}, transform(sequence({begin('i')}, {end('i')} - 1), p -> struct(i as level, p as place)), array())"
+    one = lambda when, place: f"if({when}, array(struct(i as level, {place} as place)), array())"
+    return F.expr(f"flatten(transform({whole}, i -> concat({one(left, begin('i'))}, {one(right, end('i') + ' - 1')}, {top})))")
+
+
 def validate_table(df: DataFrame, table: str) -> list[dict]:
     """Issues of a core table: missing columns or values, and keys that aren't unique."""
     schema = table_schema(table)
