@@ -89,3 +89,9 @@ def test_missing_days_equal_the_days_spelt_out(spark):
     spelt = quality.symbol_coverage(held, calendar, "symbol", "d").groupBy("d").agg(F.count("*"), F.min("symbol")).collect()
     counted = quality.missing_day_counts(held, calendar, "symbol", "d", F.col("symbol")).collect()
     assert sorted(map(tuple, counted)) == sorted(map(tuple, spelt))
+
+
+def test_outputs_hold_a_duckdb_file(spark, data):
+    got = lake.QUERIES["q_write_outputs"](spark, data).collect()
+    assert sorted(r.form for r in got) == ["csv", "duckdb", "jsonl", "parquet"]
+    assert len({(r.n, r["keys"]) for r in got}) == 1

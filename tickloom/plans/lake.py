@@ -330,12 +330,17 @@ def q_bar_records(spark, folder):
 # --- sinks and write modes
 
 
-@query("SELECT f AS form, n, s AS keys FROM (SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS s FROM customer), (SELECT unnest(['parquet', 'csv', 'jsonl']) AS f)")
+@query("SELECT f AS form, n, s AS keys FROM (SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS s FROM customer), (SELECT unnest(['parquet', 'csv', 'jsonl', 'duckdb']) AS f)")
 def q_write_outputs(spark, folder):
-    out = writers.write_outputs(load(spark, folder, "customer"), scratch(spark, "outputs"), "customer", ("parquet", "csv", "jsonl"))
+    import duckdb
+
+    out = writers.write_outputs(load(spark, folder, "customer"), scratch(spark, "outputs"), "customer", ("parquet", "csv", "jsonl", "duckdb"))
     read = {"parquet": spark.read.parquet, "csv": spark.read.option("header", True).csv, "jsonl": spark.read.json}
     counts = [F.count("*").alias("n"), F.sum(F.col("c_custkey").cast("long")).alias("keys")]
-    return _union([how(out[form]).agg(*counts).select(F.lit(form).alias("form"), "n", "keys") for form, how in read.items()])
+    frames = [how(out[form]).agg(*counts).select(F.lit(form).alias("form"), "n", "keys") for form, how in read.items()]
+    with duckdb.connect(out["duckdb"].removeprefix("file:").replace("//", "/"), read_only=True) as db:
+        own = db.execute("SELECT count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer").fetchone()
+    return _union([*frames, _rows(spark, "form string, n long, keys long", ("duckdb", *own))])
 
 
 @query("SELECT o_orderstatus AS dataset, 'ok' AS status, CAST(n AS VARCHAR) AS updated_at FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)")
