@@ -136,3 +136,25 @@ def test_a_restart_sends_no_snapshot(spark, tmp_path):
     for _ in range(2):
         refresh.start(feed, lambda rows, batch: sent.append((batch, rows.count())), f"{tmp_path}/state", spark.range(1), once=True).awaitTermination()
     assert sent == [(-1, 1), (0, 3)]
+
+
+def test_state_is_read_once_a_batch_and_written_where_it_changed():
+    from types import SimpleNamespace as Of
+
+    class State:
+        def __init__(self):
+            self.held, self.calls = {}, 0
+
+        def __getattr__(self, name):
+            self.calls += 1
+            return {"get": lambda: self.held.get(()), "update": lambda v: self.held.update({(): v}), "iterator": lambda: iter(list(self.held.items())), "keys": lambda: iter(list(self.held)), "containsKey": lambda k: k in self.held, "updateValue": lambda k, v: self.held.update({k: v}), "removeKey": lambda k: self.held.pop(k)}[name]
+
+    clients, newest, told = State(), State(), refresh._Subscribed()
+    told.init(Of(getMapState=lambda *_: clients, getValueState=lambda *_: newest))
+    quotes = [Of(kind="quote", client=None, mark=m, seq=m, value=float(m)) for m in range(2, 200)]
+    asked = [Of(kind="subscribe", client=c, mark=1, seq=k, value=None) for k, c in enumerate("ab")]
+    assert len(list(told.handleInputRows(("x",), iter(asked + quotes), None))) == 2 * len(quotes)
+    gone = [Of(kind="unsubscribe", client="a", mark=300, seq=0, value=None), Of(kind="quote", client=None, mark=301, seq=1, value=1.0)]
+    assert [(r.client, r.kind) for r in told.handleInputRows(("x",), iter(gone), None)] == [("b", "update")]
+    assert clients.held == {("b",): (1,)}
+    assert clients.calls + newest.calls < 12

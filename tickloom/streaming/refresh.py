@@ -146,21 +146,26 @@ class _Subscribed(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
         told = lambda client, kind, mark, seq, value: Row(instrument_id=key[0], client=client, kind=kind, mark=mark, seq=seq, value=value)
-        newest = self.newest.get()
+        # each step of the state is a message to the engine: it is read once a batch, and what changed is written at the end
+        newest, known = self.newest.get(), {client: since for (client,), (since,) in self.clients.iterator()}
+        clients, had = dict(known), newest
         # a micro-batch bounds the rows of a key
         for row in sorted(rows, key=lambda r: (r.mark, r.seq)):
             if row.kind == "subscribe":
-                self.clients.updateValue((row.client,), (row.mark,))
+                clients[row.client] = row.mark
                 if newest is not None:
                     yield told(row.client, "snapshot", *newest)
             elif row.kind == "unsubscribe":
-                if self.clients.containsKey((row.client,)):
-                    self.clients.removeKey((row.client,))
+                clients.pop(row.client, None)
             elif newest is None or (row.mark, row.seq) > (newest[0], newest[1]):
                 newest = (row.mark, row.seq, row.value)
-                for client in list(self.clients.keys()):
-                    yield told(client[0], "update", *newest)
-        if newest is not None:
+                for client in clients:
+                    yield told(client, "update", *newest)
+        for client in known.keys() - clients.keys():
+            self.clients.removeKey((client,))
+        for client in (c for c, since in clients.items() if known.get(c) != since):
+            self.clients.updateValue((client,), (clients[client],))
+        if newest is not had:
             self.newest.update(newest)
 
     def close(self) -> None:
